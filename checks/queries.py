@@ -200,7 +200,8 @@ def _payload_sql(size: int, where: str = "TRUE") -> str:
     return f"""
     SELECT scope, name AS product_name, ((row_no - 1) // {size})::INT AS part,
            count(*) AS n_comments,
-           string_agg(comments || '|' || trunc(rating)::INT, chr(10) ORDER BY row_no) AS comments
+           string_agg(concat_ws('|', comments, trunc(rating)::INT), chr(10) ORDER BY row_no)
+               AS comments
     FROM numbered WHERE {where} GROUP BY ALL"""
 
 
@@ -240,7 +241,8 @@ def product_payload_own_rating(spark, sf):
 
 @query("""
     SELECT scope, '{"product_name":"' || name || '","comments":[' ||
-           string_agg('{"text":"' || comments || '","rating":' || trunc(rating)::INT || '}', ','
+           string_agg('{"text":"' || comments || '"'
+                      || coalesce(',"rating":' || trunc(rating)::INT, '') || '}', ','
                       ORDER BY row_no) || ']}' AS payload
     FROM numbered GROUP BY scope, name""")
 def payload_json(spark, sf):
@@ -360,7 +362,8 @@ _TAIL_A, _TAIL_B = _TAIL.split("{product_name}")
 @query(f"""
     SELECT scope, name AS product_name,
            '{_HEAD}' || string_agg('Comment ' || row_no || ': ' || comments || ' (Số sao: ' ||
-                                   trunc(rating)::INT || ')', chr(10) ORDER BY row_no)
+                                   coalesce(trunc(rating)::INT::VARCHAR, 'None') || ')',
+                                   chr(10) ORDER BY row_no)
            || '{_TAIL_A}' || name || '{_TAIL_B}' AS prompt
     FROM numbered GROUP BY scope, name""")
 def build_prompt(spark, sf):
@@ -615,13 +618,14 @@ def counting_function() -> Callable[[str], str]:
         p = json.loads(payload_text)
         return json.dumps({
             "product_name": p["product_name"] + " (renamed)",
-            "summary": f"{len(p['comments'])} comments, {p['comments'][0]['rating']} stars"})
+            "summary": f"{len(p['comments'])} comments, {p['comments'][0].get('rating')} stars"})
     return answer
 
 
 @query("""
     SELECT scope, name AS product_name, 0 AS part,
-           count(*) || ' comments, ' || trunc(any_value(rating))::INT || ' stars' AS summary,
+           count(*) || ' comments, ' || coalesce(trunc(any_value(rating))::INT::VARCHAR, 'None')
+           || ' stars' AS summary,
            name || ' (renamed)' AS echoed_name, NULL::VARCHAR AS error, 1 AS attempts
     FROM rated GROUP BY scope, name""")
 def summarize(spark, sf):
@@ -635,7 +639,7 @@ def _enriched_sql(size: int, chosen: str) -> str:
     SELECT scope, name, round(rating, 6) AS rating, comments,
            CASE WHEN {chosen} THEN
                count(*) OVER (PARTITION BY scope, name, (row_no - 1) // {size}) || ' comments, '
-               || trunc(rating)::INT || ' stars' END AS summary
+               || coalesce(trunc(rating)::INT::VARCHAR, 'None') || ' stars' END AS summary
     FROM (SELECT *, min(name) OVER (PARTITION BY scope) AS first_name FROM numbered)"""
 
 

@@ -71,13 +71,14 @@ def reject_reason(product_name: Column | str, comments: Column | str) -> Column:
 
 
 def _render(template: str, fields: dict[str, Column]) -> Column:
-    """``str.format`` over columns: inserted values are never scanned for placeholders."""
+    """``str.format`` over columns: inserted values are never scanned for placeholders, and a
+    missing value reads ``None`` rather than making the whole text null."""
     parts: list[Column] = []
     for literal, field, _, _ in Formatter().parse(template):
         if literal:
             parts.append(F.lit(literal))
         if field is not None:
-            parts.append(fields[field])
+            parts.append(F.coalesce(fields[field], F.lit("None")))
     return F.concat(*parts)
 
 

@@ -53,9 +53,7 @@ def product_payload(df: DataFrame, scope: Sequence[str] = (), order_by: str | No
     order = order_by or "__ordinal"
     rows = df.select(*keys, F.col("comments").alias("__text"), rating.alias("__stars"),
                      (F.col(order_by) if order_by else text_ordinal("comments")).alias(order))
-    numbered = number_rows(rows, keys, order, "__row_no", rows_per_split)
-    if max_comments is not None:
-        numbered = numbered.filter(F.col("__row_no") <= max_comments)
+    numbered = number_rows(rows, keys, order, "__row_no", max_comments, rows_per_split)
     parts = numbered.withColumn("part", part_number("__row_no", part_size))
     return collect_payload(parts, keys, "__row_no", F.col("__text"), F.col("__stars"))
 

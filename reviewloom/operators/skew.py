@@ -43,23 +43,25 @@ def spread_join(rows: DataFrame, lookup: DataFrame, keys: Sequence[str], how: st
         counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(count))
     hot = _hottest(counts, keys, count, rows_per_split).select(
         *keys, F.ceil(F.col(count) / F.lit(rows_per_split)).cast("int").alias(_SPLITS))
-    splits = F.coalesce(F.col(_SPLITS), F.lit(1))
-    salted_rows = (rows.join(F.broadcast(hot), keys, "left")
-                       .withColumn(_SALT, F.pmod(F.xxhash64(*rows.columns), splits).cast("int"))
-                       .drop(_SPLITS))
+    dealt = F.pmod(F.xxhash64(*rows.columns), F.col(_SPLITS)).cast("int")
+    salt = F.when(F.col(_SPLITS).isNull(), F.lit(0)).otherwise(dealt)
+    salts = F.sequence(F.lit(0), F.coalesce(F.col(_SPLITS), F.lit(1)) - 1)
+    salted_rows = rows.join(F.broadcast(hot), keys, "left").withColumn(_SALT, salt).drop(_SPLITS)
     salted_lookup = (lookup.join(F.broadcast(hot), keys, "left")
-                           .withColumn(_SALT, F.explode(F.sequence(F.lit(0), splits - 1)))
-                           .drop(_SPLITS))
+                           .withColumn(_SALT, F.explode(salts)).drop(_SPLITS))
     return salted_rows.join(salted_lookup, [*keys, _SALT], how).drop(_SALT)
 
 
 def number_rows(rows: DataFrame, keys: Sequence[str], order: str, into: str = "row_no",
-                rows_per_split: int | None = None) -> DataFrame:
+                at_most: int | None = None, rows_per_split: int | None = None) -> DataFrame:
     """Exact 1-based numbering per key in the order of an integral, per-key unique column.
 
     A hot key's value range is cut into blocks of equal width. Rows are numbered inside their
     block, and a block starts where the counted sizes of the blocks before it end. No task ever
     sorts more than one block.
+
+    ``at_most`` keeps only the first rows of each key. Blocks that start beyond it are left out
+    before anything is sorted.
     """
     rows_per_split = rows_per_split or ROWS_PER_SPLIT
     keys = list(keys)
@@ -83,11 +85,16 @@ def number_rows(rows: DataFrame, keys: Sequence[str], order: str, into: str = "r
     bases = (sizes.select(*keys, _BLOCK, F.sum(_COUNT).over(before).alias(_BASE))
                   .filter(F.col(_BASE).isNotNull()))
 
+    placed = blocked.drop(_LOW, _WIDTH).join(bases, [*keys, _BLOCK], "left")
+    base = F.coalesce(F.col(_BASE), F.lit(0))
+    if at_most is not None:
+        placed = placed.filter(base < at_most)
     inside = F.row_number().over(Window.partitionBy(*keys, _BLOCK).orderBy(order))
-    return (blocked.drop(_LOW, _WIDTH).withColumn(into, inside)
-                   .join(bases, [*keys, _BLOCK], "left")
-                   .withColumn(into, F.col(into) + F.coalesce(F.col(_BASE), F.lit(0)))
-                   .select(*rows.columns, into))
+    numbered = placed.withColumn(into, inside)
+    if at_most is not None:
+        # the first test alone lets Spark cut each block before the shuffle when at_most is small
+        numbered = numbered.filter(F.col(into) <= at_most).filter(F.col(into) + base <= at_most)
+    return numbered.withColumn(into, F.col(into) + base).select(*rows.columns, into)
 
 
 def _int_div(a: Column, b: Column) -> Column:

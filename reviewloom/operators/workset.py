@@ -74,5 +74,4 @@ def bucket_contiguous(df: DataFrame, k: int = 5, order_by: str = "pos") -> DataF
 def cap_reviews(df: DataFrame, n: int = MAX_REVIEWS, keys: Sequence[str] = ("name",),
                 order_by: str = "pos", rows_per_split: int | None = None) -> DataFrame:
     """At most the first ``n`` reviews of each product."""
-    numbered = number_rows(df, keys, order_by, "__row_no", rows_per_split)
-    return numbered.filter(F.col("__row_no") <= n).drop("__row_no")
+    return number_rows(df, keys, order_by, "__row_no", n, rows_per_split).drop("__row_no")

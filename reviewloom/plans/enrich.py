@@ -54,7 +54,7 @@ def enrich_reviews(raw: DataFrame, fn: Callable[[str], str], scope: Sequence[str
     order = order_by or "__ordinal"
     if order_by is None:
         scored = scored.withColumn(order, text_ordinal("comments"))
-    numbered = number_rows(scored, keys, order, "__row_no", rows_per_split)
+    numbered = number_rows(scored, keys, order, "__row_no", rows_per_split=rows_per_split)
     parts = land(numbered.withColumn("part", part_number("__row_no", part_size)), "parts")
     payloads = collect_payload(parts.filter(F.col("__chosen")), keys, "__row_no",
                                F.col("comments"), star_int("rating"))
