@@ -1,0 +1,170 @@
+import csv
+import json
+
+import pytest
+
+from reviewloom.functions.names import data_file
+from reviewloom.operators.stats import request_stats
+from reviewloom.operators.workset import (arrival_status, assign_index, bucket_contiguous,
+                                          bucket_modulo, cap_reviews, pending_files, ready_files)
+from reviewloom.sources import files, ratings, sinks
+
+RAW = "rating_star string, comment string, name string"
+
+
+def write_reviews(path, rows):
+    with open(path, "w", newline="", encoding="utf-8") as f:
+        out = csv.writer(f)
+        out.writerow(["rating_star", "comment", "name"])
+        out.writerows(rows)
+
+
+def test_reviews_with_quotes_backslashes_and_empty_fields(spark, tmp_path):
+    rows = [("5", 'he said "ok, fine", yes', "p"), ("4", 'a \\ b\\', "p,q"), ("", "", ""),
+            ("3", "  padded  ", "Áo")]
+    write_reviews(tmp_path / "1_2.csv", rows)
+    write_reviews(tmp_path / "3_4.csv", [("1", "x", "y")])
+    got = files.read_reviews(spark, str(tmp_path)).collect()
+    want = [tuple(v or None for v in r) + ("1_2.csv",) for r in rows] + [("1", "x", "y", "3_4.csv")]
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+    two = files.read_reviews(spark, [str(tmp_path / "1_2.csv"), str(tmp_path / "3_4.csv")])
+    assert two.count() == 5 and two.select("name").where("name = 'p'").count() == 1
+
+
+def test_appended_reviews_read_back_the_same(spark, tmp_path):
+    rows = [("5", 'he said "ok, fine", yes', "p"), (None, "\\", " q "), ("4", "", "p")]
+    df = spark.createDataFrame(rows, RAW)
+    path = str(tmp_path / "out")
+    sinks.append_reviews(df, path)
+    sinks.append_reviews(df, path)
+    got = files.read_reviews(spark, path).select("rating_star", "comment", "name").collect()
+    want = [tuple(v or None for v in r) for r in rows] * 2
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+
+
+def test_manifest_with_and_without_header(spark, tmp_path):
+    (tmp_path / "h.csv").write_text("filename\n1_2\n3_4\n")
+    (tmp_path / "n.csv").write_text("1_2\n3_4\n")
+    for name, header in (("h.csv", True), ("n.csv", False)):
+        rows = files.read_manifest(spark, str(tmp_path / name), header).orderBy("pos").collect()
+        assert [r.filename for r in rows] == ["1_2", "3_4"]
+    assert files.read_manifest(spark, str(tmp_path / "n.csv")).count() == 1
+
+
+def test_product_urls_and_manifest(spark, tmp_path):
+    (tmp_path / "urls.csv").write_text("https://m/a-i.11.22?x=1\nhttps://m/none\n\"https://m/b,c-i.3.4\",more\n")
+    urls = files.read_product_urls(spark, str(tmp_path / "urls.csv"))
+    manifest = files.build_manifest(urls)
+    assert [r.filename for r in manifest.orderBy("pos").collect()] == ["22_11", "4_3"]
+    sinks.write_manifest(manifest, str(tmp_path / "list"))
+    again = files.read_manifest(spark, str(tmp_path / "list"), has_header=False)
+    assert sorted(r.filename for r in again.collect()) == ["22_11", "4_3"]
+
+
+def page(*rows):
+    return json.dumps({"data": {"ratings": list(rows)}}, ensure_ascii=False)
+
+
+def test_rating_pages(spark):
+    full = {"itemid": 1, "shopid": 2, "userid": 3, "rating_star": 5, "comment": "a\nb\rc",
+            "product_items": [{"name": "x"}, {"name": "y"}]}
+    pages = [page(full, {"rating_star": 4}, {"rating_star": 3, "comment": None, "product_items": []}),
+             "not json", page(), json.dumps({"data": None}), "{}"]
+    df = spark.createDataFrame(list(enumerate(pages)), "page_id int, page string")
+    got = ratings.flatten_rating_pages(df, "page").orderBy("page_id", "page_row").collect()
+    assert [tuple(r) for r in got] == [(0, 0, 5, "a b c", "x"), (0, 1, 4, "", ""), (0, 2, 3, "", "")]
+    wide = ratings.flatten_rating_pages(df, "page", wide=True).orderBy("page_row").collect()
+    assert [tuple(r)[2:] for r in wide] == [(1, "x", 2, 3, 5, "a\nb\rc"),
+                                            (None, None, None, None, 4, None),
+                                            (None, None, None, None, 3, None)]
+
+
+def test_land_replaces_only_the_given_sources(spark, tmp_path):
+    path = str(tmp_path / "landed")
+    rows = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b")], "i int, source_file string")
+    sinks.land_reviews(rows, path)
+    sinks.land_reviews(spark.createDataFrame([(9, "a")], rows.schema), path)
+    got = spark.read.parquet(path)
+    assert sorted((r.i, r.source_file) for r in got.collect()) == [(3, "b"), (9, "a")]
+
+
+def test_clean_sink_refuses_to_overwrite(spark, tmp_path):
+    df = spark.createDataFrame([("p", 4.5, "c")], "name string, rating double, comments string")
+    sinks.write_clean(df, str(tmp_path / "clean"))
+    with pytest.raises(Exception, match="already exists"):
+        sinks.write_clean(df, str(tmp_path / "clean"))
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "json"])
+def test_index_sink(spark, tmp_path, fmt):
+    df = spark.createDataFrame([("comment_index_76", "a"), ("comment_index_77", "b")],
+                               "index_name string, name string")
+    path = str(tmp_path / "index")
+    for _ in range(2):
+        sinks.write_index(df, path, fmt)
+    assert sorted((r.index_name, r.name) for r in spark.read.format(fmt).load(path).collect()) == [
+        ("comment_index_76", "a"), ("comment_index_77", "b")]
+
+
+def test_preview(spark, capsys):
+    df = spark.range(20)
+    assert sinks.preview(df).count() == 5
+    assert "id: long" in capsys.readouterr().out
+
+
+def test_listing_and_arrival(spark, tmp_path):
+    (tmp_path / "sub").mkdir()
+    for name in ("1_2.csv", "sub/3_4.csv", "other.txt"):
+        (tmp_path / name).write_text("x")
+    listing = files.list_files(spark, str(tmp_path))
+    assert sorted(r.filename for r in listing.collect()) == ["1_2.csv", "3_4.csv"]
+    manifest = spark.createDataFrame([("1_2", 0), ("5_6", 1), ("3_4.csv", 2), ("1_2", 3)],
+                                     "filename string, pos long")
+    ready, pending = ready_files(manifest, listing), pending_files(manifest, listing)
+    assert sorted(r.pos for r in ready.collect()) == [0, 2, 3]
+    assert [r.pos for r in pending.collect()] == [1]
+    assert ready.unionAll(pending).count() == manifest.count()
+    status = {r.pos: r.status for r in arrival_status(manifest, listing).collect()}
+    assert status == {0: "ready", 1: "pending", 2: "ready", 3: "ready"}
+
+
+def test_index_numbers_start_after_75(spark):
+    manifest = spark.createDataFrame([("b", 10), ("a", 5), ("c", 7)], "filename string, pos long")
+    got = {r.filename: r.index_name for r in assign_index(manifest).collect()}
+    assert got == {"a": "comment_index_76", "c": "comment_index_77", "b": "comment_index_78"}
+
+
+@pytest.mark.parametrize("n", [0, 1, 3, 5, 7, 10, 23])
+def test_buckets(spark, n):
+    df = spark.range(n).selectExpr("id * 3 as pos")
+    got = sorted((r.pos, r.bucket) for r in bucket_modulo(df, 3).collect())
+    assert [b for _, b in got] == [i % 3 for i in range(n)]
+    got = [b for _, b in sorted((r.pos, r.bucket) for r in bucket_contiguous(df, 5).collect())]
+    sizes = [n // 5 + (i < n % 5) for i in range(5)]
+    assert got == [b for b, size in enumerate(sizes) for _ in range(size)]
+
+
+def test_cap_per_product(spark):
+    df = spark.createDataFrame([(p, i) for p, n in (("a", 9), ("b", 2)) for i in range(n)],
+                               "name string, pos long")
+    for split in (None, 2):
+        got = sorted(map(tuple, cap_reviews(df, 3, rows_per_split=split).collect()))
+        assert got == [("a", 0), ("a", 1), ("a", 2), ("b", 0), ("b", 1)]
+
+
+def test_request_statistics(spark):
+    log = spark.createDataFrame(
+        [("success", 1.0), ("success", 3.0), ("error", 9.0), ("exception", None),
+         ("validation_error", None), (None, 2.0)], "status string, response_time double")
+    row = request_stats(log).first()
+    assert tuple(row) == (6, 2, 1, 1, 1, 2.0, 3.0, 1.0)
+    none = request_stats(log.filter("status = 'error'")).first()
+    assert tuple(none)[-3:] == (0.0, 0.0, 0.0)
+    assert tuple(request_stats(log.limit(0)).first()) == (0, 0, 0, 0, 0, 0.0, 0.0, 0.0)
+    per = {r.status: r.total_requests for r in request_stats(log, ["status"]).collect()}
+    assert per["success"] == 2 and len(per) == 5
+    assert request_stats(log, stamp=True).first().timestamp is not None
+
+
+def test_file_names(column):
+    assert column(["a", "a.csv"], data_file) == ["a.csv", "a.csv"]
