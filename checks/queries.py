@@ -206,7 +206,7 @@ def _payload_sql(size: int, where: str = "TRUE") -> str:
 
 
 def _payload(spark, sf, **options):
-    p = payload.product_payload(_rated(spark, sf), SCOPE, "row_id", **options)
+    p = payload.product_payload(_rated(spark, sf), "row_id", SCOPE, **options)
     lines = F.transform("comments", lambda x: F.concat_ws("|", x["text"], x["rating"]))
     return p.select("scope", "product_name", "part",
                     F.size("comments").cast("bigint").alias("n_comments"),
@@ -234,7 +234,7 @@ def product_payload_capped(spark, sf):
     FROM numbered WHERE rating_star IS NOT NULL GROUP BY scope, name""")
 def product_payload_own_rating(spark, sf):
     rows = _rated(spark, sf).filter(F.col("rating_star").isNotNull())
-    p = payload.product_payload(rows, SCOPE, "row_id", rating=rating.star_int("rating_star"))
+    p = payload.product_payload(rows, "row_id", SCOPE, rating=rating.star_int("rating_star"))
     lines = F.transform("comments", lambda x: F.concat_ws("|", x["text"], x["rating"]))
     return p.select("scope", "product_name", "part", F.array_join(lines, "\n").alias("comments"))
 
@@ -246,7 +246,7 @@ def product_payload_own_rating(spark, sf):
                       ORDER BY row_no) || ']}' AS payload
     FROM numbered GROUP BY scope, name""")
 def payload_json(spark, sf):
-    p = payload.product_payload(_rated(spark, sf), SCOPE, "row_id")
+    p = payload.product_payload(_rated(spark, sf), "row_id", SCOPE)
     return payload.payload_json(p).select("scope", "payload")
 
 
@@ -367,7 +367,7 @@ _TAIL_A, _TAIL_B = _TAIL.split("{product_name}")
            || '{_TAIL_A}' || name || '{_TAIL_B}' AS prompt
     FROM numbered GROUP BY scope, name""")
 def build_prompt(spark, sf):
-    p = payload.product_payload(_rated(spark, sf), SCOPE, "row_id")
+    p = payload.product_payload(_rated(spark, sf), "row_id", SCOPE)
     return payload.build_prompt(p).select("scope", "product_name", "prompt")
 
 
@@ -629,7 +629,7 @@ def counting_function() -> Callable[[str], str]:
            name || ' (renamed)' AS echoed_name, NULL::VARCHAR AS error, 1 AS attempts
     FROM rated GROUP BY scope, name""")
 def summarize(spark, sf):
-    p = payload.payload_json(payload.product_payload(_rated(spark, sf), SCOPE, "row_id"))
+    p = payload.payload_json(payload.product_payload(_rated(spark, sf), "row_id", SCOPE))
     return enrich.summarize(p, counting_function(), keys=["scope", "product_name", "part"],
                             max_parallel=4)
 

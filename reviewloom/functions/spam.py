@@ -52,7 +52,7 @@ SPAM_KEYWORDS: tuple[str, ...] = (
 
 
 def _quote(text: str) -> str:
-    return re.sub(r"([\\.^$|?*+()\[\]{}\-])", r"\\\1", text)
+    return re.sub(r"([\\.^$|?*+()\[\]{}\-&])", r"\\\1", text)
 
 
 def _grouped(words: Iterable[str]) -> str:
@@ -76,7 +76,9 @@ def keyword_pattern(keywords: tuple[str, ...]) -> str:
     """
     lowered = dict.fromkeys(k.lower() for k in keywords if k)
     needed = [k for k in lowered if not any(o != k and o in k for o in lowered)]
-    return _grouped(needed)
+    # one look at the first letter rules out most places in a text
+    firsts = "".join(_quote(c) for c in dict.fromkeys(k[0] for k in needed))
+    return f"(?=[{firsts}]){_grouped(needed)}"
 
 
 def has_spam_keyword(c: Column | str, keywords: Sequence[str] = SPAM_KEYWORDS) -> Column:

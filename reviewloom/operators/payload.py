@@ -14,7 +14,9 @@ from reviewloom.operators.skew import _int_div, number_rows
 
 
 def text_ordinal(text: Column | str) -> Column:
-    """A non-negative number from the text, for a stable order where rows carry no position."""
+    """A non-negative number from the text: a stable order for deduplicated rows that carry no
+    position. Copies of a text would share a number, so it does not suit rows that still have them.
+    """
     return F.shiftrightunsigned(F.xxhash64(text), 1)
 
 
@@ -33,7 +35,7 @@ def collect_payload(numbered: DataFrame, keys: Sequence[str], row_no: str,
                     .withColumnRenamed("name", "product_name"))
 
 
-def product_payload(df: DataFrame, scope: Sequence[str] = (), order_by: str | None = None,
+def product_payload(df: DataFrame, order_by: str, scope: Sequence[str] = (),
                     rating: Column | None = None, part_size: int = review.MAX_COMMENTS,
                     max_comments: int | None = None,
                     rows_per_split: int | None = None) -> DataFrame:
@@ -44,16 +46,15 @@ def product_payload(df: DataFrame, scope: Sequence[str] = (), order_by: str | No
     the data. Products up to that size are the single part 0. ``max_comments`` asks for only the
     first comments of each product.
 
-    ``rating`` defaults to the product's average in whole stars; pass ``star_int("rating_star")``
-    for each comment's own. ``order_by`` is an integral column that is unique within a product;
-    without one the order follows a hash of the text.
+    ``order_by`` is an integral column, unique within a product; ``text_ordinal`` gives one for
+    deduplicated rows. ``rating`` defaults to the product's average in whole stars; pass
+    ``star_int("rating_star")`` for each comment's own. The keys and the order of ``df`` are read
+    three times, so land it first when it is costly to compute.
     """
     keys = [*scope, "name"]
     rating = star_int("rating") if rating is None else rating
-    order = order_by or "__ordinal"
-    rows = df.select(*keys, F.col("comments").alias("__text"), rating.alias("__stars"),
-                     (F.col(order_by) if order_by else text_ordinal("comments")).alias(order))
-    numbered = number_rows(rows, keys, order, "__row_no", max_comments, rows_per_split)
+    rows = df.select(*keys, order_by, F.col("comments").alias("__text"), rating.alias("__stars"))
+    numbered = number_rows(rows, keys, order_by, "__row_no", max_comments, rows_per_split)
     parts = numbered.withColumn("part", part_number("__row_no", part_size))
     return collect_payload(parts, keys, "__row_no", F.col("__text"), F.col("__stars"))
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from reviewloom.functions import review
 from reviewloom.functions.rating import star_int
-from reviewloom.operators.clean import STRICT, Profile, clean_reviews
+from reviewloom.operators.clean import STRICT, Profile, clean_reviews, profile_of
 from reviewloom.operators.enrich import summarize
 from reviewloom.operators.payload import (build_prompt, collect_payload, part_number,
                                           payload_json, text_ordinal)
@@ -30,8 +30,8 @@ def enrich_reviews(raw: DataFrame, fn: Callable[[str], str], scope: Sequence[str
     comments as a prompt with ``request="prompt"``.
 
     A product larger than ``part_size`` is summarised part by part and each of its rows gets the
-    summary of the part it was in. The numbered rows are landed in the shared folder, as both the
-    payloads and the result need them, and so are the summaries, so that the calls are made once.
+    summary of the part it was in. What several later steps read is landed in the shared folder:
+    the cleaned rows, then the numbered ones, and the summaries, so that the calls are made once.
     """
     if products not in ("first", "all"):
         raise ValueError(f"products must be 'first' or 'all', not {products!r}")
@@ -39,7 +39,13 @@ def enrich_reviews(raw: DataFrame, fn: Callable[[str], str], scope: Sequence[str
         raise ValueError(f"request must be 'payload' or 'prompt', not {request!r}")
     keys = [*scope, "name"]
     needed = dict.fromkeys([*keys, "rating_star", "comment", *([order_by] if order_by else [])])
-    cleaned = clean_reviews(raw.select(*needed), profile, scope, [order_by] if order_by else [])
+    rules, order = profile_of(profile), order_by or "__ordinal"
+    cleaned = clean_reviews(raw.select(*needed), rules, scope, [order_by] if order_by else [])
+    if order_by is None:
+        # ids of rows that may be copies are fixed by landing them
+        cleaned = cleaned.withColumn(order, text_ordinal("comments") if rules.dedup
+                                     else F.monotonically_increasing_id())
+    cleaned = land(cleaned, "cleaned")
 
     rated = average_rating(cleaned, scope, count_into="__n")
     lookup = rated.drop("__n")
@@ -48,14 +54,11 @@ def enrich_reviews(raw: DataFrame, fn: Callable[[str], str], scope: Sequence[str
         lookup = lookup.join(first, keys, "left")
     else:
         lookup = lookup.withColumn("__chosen", F.lit(True))
-    scored = spread_join(cleaned, lookup, keys, "inner", counts=rated, count="__n",
-                         rows_per_split=rows_per_split)
 
-    order = order_by or "__ordinal"
-    if order_by is None:
-        scored = scored.withColumn(order, text_ordinal("comments"))
-    numbered = number_rows(scored, keys, order, "__row_no", rows_per_split=rows_per_split)
-    parts = land(numbered.withColumn("part", part_number("__row_no", part_size)), "parts")
+    numbered = number_rows(cleaned, keys, order, "__row_no", rows_per_split=rows_per_split)
+    scored = spread_join(numbered, lookup, keys, "inner", counts=rated, count="__n",
+                         rows_per_split=rows_per_split)
+    parts = land(scored.withColumn("part", part_number("__row_no", part_size)), "parts")
     payloads = collect_payload(parts.filter(F.col("__chosen")), keys, "__row_no",
                                F.col("comments"), star_int("rating"))
     if request == "prompt":

@@ -49,8 +49,12 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A path below the shared folder that nothing has used yet."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A path below the shared folder that nothing has used yet.
+
+    All paths of an application share one folder, which can go when the application has ended.
+    """
+    folder = f"{shared_dir(spark).rstrip('/')}/{spark.sparkContext.applicationId}"
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
 
 
 def land(df: DataFrame, name: str) -> DataFrame:

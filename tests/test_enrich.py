@@ -120,6 +120,13 @@ def test_all_products_in_parts_with_one_call_each(spark, tmp_path, request_):
         assert sorted(r.summary for r in got if r.name == "áo") == ["1", "2", "2", "2", "2"]
 
 
+def test_copies_of_a_text_are_kept_apart_without_dedup(spark):
+    df = spark.createDataFrame([("5", "ngon", "p")] * 7, "rating_star string, comment string, name string")
+    got = enrich_reviews(df.repartition(3), echo(), profile="relaxed", part_size=3,
+                         rows_per_split=2).collect()
+    assert [tuple(r) for r in got] == [("p", 5.0, "ngon", "fine")] * 7
+
+
 def test_unknown_choices(spark):
     with pytest.raises(ValueError):
         enrich_reviews(raw(spark), echo(), products="some")

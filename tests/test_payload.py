@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from reviewloom.functions import review
 from reviewloom.functions.rating import star_int
 from reviewloom.operators.payload import (build_prompt, keep_valid_comments, payload_json,
-                                          product_payload, valid_review)
+                                          product_payload, text_ordinal, valid_review)
 
 SCORED = "name string, rating double, rating_star double, row_id long, comments string"
 REVIEW = "product_name string, comments array<struct<text:string,rating:int>>"
@@ -49,8 +49,9 @@ def test_capped_payload(scored):
 
 
 def test_order_without_a_position_is_stable(spark, scored):
-    answers = {json.dumps(sorted(map(str, product_payload(scored.repartition(n)).collect())))
-               for n in (1, 3, 7)}
+    answers = {json.dumps(sorted(map(str, product_payload(
+        scored.withColumn("o", text_ordinal("comments")).repartition(n), "o").collect())))
+        for n in (1, 3, 7)}
     assert len(answers) == 1
 
 
