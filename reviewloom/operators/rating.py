@@ -37,5 +37,7 @@ def first_products(products: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
 def only_first_product(df: DataFrame, scope: Sequence[str] = (),
                        rows_per_split: int | None = None) -> DataFrame:
     """The rows of the first product of each scope."""
-    return spread_join(df, first_products(df, scope), [*scope, "name"], "left_semi",
-                       rows_per_split=rows_per_split)
+    keys = [*scope, "name"]
+    products = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    return spread_join(df, first_products(products, scope), keys, "left_semi", counts=products,
+                       count="__n", rows_per_split=rows_per_split)

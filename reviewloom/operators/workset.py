@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewloom.functions.names import data_file
-from reviewloom.operators.skew import _int_div, number_rows
+from reviewloom.operators.skew import _int_div, number_rows, spread_join
 
 # Counter before the first index, index name prefix, reviews kept per product.
 INDEX_START = 75
@@ -36,9 +36,9 @@ def arrival_status(manifest: DataFrame, available: DataFrame) -> DataFrame:
     """Manifest rows with ``status``, ``ready`` or ``pending``."""
     arrived = _files(available).distinct().withColumn("__arrived", F.lit(True))
     status = F.when(F.col("__arrived"), "ready").otherwise("pending")
-    return (manifest.withColumn("__file", data_file("filename"))
-                    .join(arrived, "__file", "left")
-                    .withColumn("status", status).drop("__file", "__arrived"))
+    wanted = manifest.withColumn("__file", data_file("filename"))
+    return (spread_join(wanted, arrived, ["__file"], "left")
+            .withColumn("status", status).drop("__file", "__arrived"))
 
 
 def assign_index(manifest: DataFrame, order_by: str = "pos", start: int = INDEX_START,
