@@ -14,5 +14,5 @@ def parse_rating(c: Column | str) -> Column:
 
 
 def star_int(c: Column | str) -> Column:
-    """Average as whole stars, cut off rather than rounded (4.9 gives 4)."""
-    return _col(c).cast("int")
+    """Average as whole stars, cut off rather than rounded (4.9 gives 4); null when it is infinite."""
+    return _col(c).try_cast("int")

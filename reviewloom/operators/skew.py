@@ -73,19 +73,21 @@ def number_rows(rows: DataFrame, keys: Sequence[str], order: str, into: str = "r
     pos = F.col(order)
     spans = work.groupBy(*keys).agg(F.min(pos).alias(_LOW), F.max(pos).alias(_HIGH),
                                     F.count(F.lit(1)).alias(_COUNT))
+    # any positive width gives exact numbers, so a rounded one will do; divided first, as the
+    # span itself may exceed a bigint
     blocks = F.ceil(F.col(_COUNT) / F.lit(rows_per_split))
-    width = F.floor((F.col(_HIGH) - F.col(_LOW)) / blocks).cast("bigint") + 1
-    hot = _hottest(spans, keys, _COUNT, rows_per_split).select(*keys, _LOW, width.alias(_WIDTH))
+    width = F.floor(F.col(_HIGH) / blocks - F.col(_LOW) / blocks).cast("bigint") + 1
+    hot = _hottest(spans, keys, _COUNT, rows_per_split).select(*keys, width.alias(_WIDTH))
 
     blocked = work.join(F.broadcast(hot), keys, "left").withColumn(
-        _BLOCK, F.coalesce(_int_div(pos - F.col(_LOW), F.col(_WIDTH)), F.lit(0).cast("bigint")))
+        _BLOCK, F.coalesce(_int_div(pos, F.col(_WIDTH)), F.lit(0).cast("bigint")))
     sizes = (blocked.filter(F.col(_WIDTH).isNotNull())
                     .groupBy(*keys, _BLOCK).agg(F.count(F.lit(1)).alias(_COUNT)))
     before = Window.partitionBy(*keys).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     bases = (sizes.select(*keys, _BLOCK, F.sum(_COUNT).over(before).alias(_BASE))
                   .filter(F.col(_BASE).isNotNull()))
 
-    placed = blocked.drop(_LOW, _WIDTH).join(bases, [*keys, _BLOCK], "left")
+    placed = blocked.drop(_WIDTH).join(bases, [*keys, _BLOCK], "left")
     base = F.coalesce(F.col(_BASE), F.lit(0))
     if at_most is not None:
         placed = placed.filter(base < at_most)

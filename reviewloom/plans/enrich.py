@@ -12,7 +12,7 @@ from reviewloom.functions.rating import star_int
 from reviewloom.operators.clean import STRICT, Profile, clean_reviews, profile_of
 from reviewloom.operators.enrich import summarize
 from reviewloom.operators.payload import (build_prompt, collect_payload, part_number,
-                                          payload_json, text_ordinal)
+                                          payload_json, text_ordinal, valid_review)
 from reviewloom.operators.rating import average_rating, first_products
 from reviewloom.operators.skew import number_rows, spread_join
 from reviewloom.session import land
@@ -20,14 +20,15 @@ from reviewloom.session import land
 
 def enrich_reviews(raw: DataFrame, fn: Callable[[str], str], scope: Sequence[str] = (),
                    profile: Profile | str = STRICT, products: str = "first",
-                   request: str = "payload", order_by: str | None = None,
-                   part_size: int = review.MAX_COMMENTS, rows_per_split: int | None = None,
-                   **call_options) -> DataFrame:
+                   request: str = "payload", template: str = review.PROMPT_TEMPLATE,
+                   order_by: str | None = None, part_size: int = review.MAX_COMMENTS,
+                   rows_per_split: int | None = None, **call_options) -> DataFrame:
     """``scope, name, rating, comments, summary`` for every kept review.
 
     ``products="first"`` summarises the smallest product name of each scope and leaves the others
-    null, ``"all"`` summarises every product. ``fn`` gets each payload as JSON, or the filtered
-    comments as a prompt with ``request="prompt"``.
+    null, ``"all"`` summarises every product. ``fn`` gets each payload as JSON. With
+    ``request="prompt"`` it gets a prompt over the useful comments, and payloads that are no valid
+    review are not asked about. ``call_options`` go to ``summarize``.
 
     A product larger than ``part_size`` is summarised part by part and each of its rows gets the
     summary of the part it was in. What several later steps read is landed in the shared folder:
@@ -62,8 +63,9 @@ def enrich_reviews(raw: DataFrame, fn: Callable[[str], str], scope: Sequence[str
     payloads = collect_payload(parts.filter(F.col("__chosen")), keys, "__row_no",
                                F.col("comments"), star_int("rating"))
     if request == "prompt":
-        useful = payloads.withColumn("comments", review.filter_comment_array("comments"))
-        requests = build_prompt(useful, into="request")
+        accepted = valid_review(payloads).filter("is_valid")
+        useful = accepted.withColumn("comments", review.filter_comment_array("comments"))
+        requests = build_prompt(useful, template, into="request")
     else:
         requests = payload_json(payloads, into="request")
     summaries = land(summarize(requests, fn, "request", [*scope, "product_name", "part"],

@@ -41,11 +41,11 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only where the session names none, as in a local test, is a fresh local folder set.
     """
-    configured = spark.conf.get(SHARED_DIR, None) or spark.sparkContext.getConf().get(SHARED_DIR)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="reviewloom-")
-        spark.conf.set(SHARED_DIR, configured)
-    return configured
+    named = spark.conf.get(SHARED_DIR, None) or spark.sparkContext.getCheckpointDir()
+    if not named:
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="reviewloom-"))
+        named = spark.sparkContext.getCheckpointDir()
+    return named
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
@@ -53,7 +53,7 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 
     All paths of an application share one folder, which can go when the application has ended.
     """
-    folder = f"{shared_dir(spark).rstrip('/')}/{spark.sparkContext.applicationId}"
+    folder = f"{shared_dir(spark).rstrip('/')}/{spark.conf.get('spark.app.id')}"
     return f"{folder}/{name}-{uuid.uuid4().hex}"
 
 

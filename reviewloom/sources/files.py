@@ -52,7 +52,6 @@ def build_manifest(urls: DataFrame, url: str = "url", pattern: str = PRODUCT_URL
 
 
 def list_files(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame:
-    """Names of the files below ``path``; their content is not read."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob) \
-        .option("recursiveFileLookup", True).load(path)
+    """Names of the files in folder ``path``, those ``read_reviews`` reads; nothing is opened."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
     return files.select(F.element_at(F.split("path", "/"), -1).alias("filename"))

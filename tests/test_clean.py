@@ -17,7 +17,8 @@ def test_ratings_that_are_no_numbers_become_null(column):
 
 
 def test_stars_are_cut_off(column):
-    assert column([4.9, 4.5, 0.9, 5.0, None], star_int, "double") == [4, 4, 0, 5, None]
+    assert column([4.9, 4.5, 0.9, 5.0, None, float("inf")], star_int, "double") == [
+        4, 4, 0, 5, None, None]
 
 
 def test_require_columns(spark):

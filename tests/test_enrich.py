@@ -127,6 +127,22 @@ def test_copies_of_a_text_are_kept_apart_without_dedup(spark):
     assert [tuple(r) for r in got] == [("p", 5.0, "ngon", "fine")] * 7
 
 
+def test_a_refused_review_is_not_asked_about(spark, tmp_path):
+    calls = str(tmp_path / "calls")
+
+    def answer(text):
+        import json
+        with open(calls, "a") as f:
+            f.write("x\n")
+        return json.dumps({"product_name": "p", "summary": "s"})
+
+    df = spark.createDataFrame([("0", TEN, "bad"), ("5", TEN + " x", "good")],
+                               "rating_star string, comment string, name string")
+    got = enrich_reviews(df, answer, products="all", request="prompt").collect()
+    assert sorted((r.name, r.summary) for r in got) == [("bad", None), ("good", "s")]
+    assert len(open(calls).readlines()) == 1
+
+
 def test_unknown_choices(spark):
     with pytest.raises(ValueError):
         enrich_reviews(raw(spark), echo(), products="some")

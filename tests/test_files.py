@@ -3,6 +3,7 @@ import json
 
 import pytest
 
+from reviewloom import session
 from reviewloom.functions.names import data_file
 from reviewloom.operators.stats import request_stats
 from reviewloom.operators.workset import (arrival_status, assign_index, bucket_contiguous,
@@ -88,6 +89,23 @@ def test_land_replaces_only_the_given_sources(spark, tmp_path):
     assert sorted((r.i, r.source_file) for r in got.collect()) == [(3, "b"), (9, "a")]
 
 
+def test_landing_clustered_rows_needs_no_shuffle(spark, tmp_path):
+    write_reviews(tmp_path / "1_2.csv", [("1", "x", "y")])
+    path = str(tmp_path / "landed")
+    sinks.land_reviews(files.read_reviews(spark, str(tmp_path / "1_2.csv")), path, clustered=True)
+    assert spark.read.parquet(path).first().source_file == "1_2.csv"
+
+
+def test_the_shared_folder_is_the_one_the_session_names(spark):
+    folder = session.shared_dir(spark)
+    assert folder == session.shared_dir(spark)
+    assert folder == (spark.conf.get("spark.checkpoint.dir", None)
+                      or spark.sparkContext.getCheckpointDir())
+    landed = session.land(spark.range(3), "three")
+    assert landed.count() == 3
+    assert f"{folder}/{spark.conf.get('spark.app.id')}/three-" in landed.inputFiles()[0]
+
+
 def test_clean_sink_refuses_to_overwrite(spark, tmp_path):
     df = spark.createDataFrame([("p", 4.5, "c")], "name string, rating double, comments string")
     sinks.write_clean(df, str(tmp_path / "clean"))
@@ -114,7 +132,7 @@ def test_preview(spark, capsys):
 
 def test_listing_and_arrival(spark, tmp_path):
     (tmp_path / "sub").mkdir()
-    for name in ("1_2.csv", "sub/3_4.csv", "other.txt"):
+    for name in ("1_2.csv", "3_4.csv", "other.txt", "sub/5_6.csv"):
         (tmp_path / name).write_text("x")
     listing = files.list_files(spark, str(tmp_path))
     assert sorted(r.filename for r in listing.collect()) == ["1_2.csv", "3_4.csv"]

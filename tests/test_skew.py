@@ -44,6 +44,13 @@ def test_numbering_without_keys(spark):
     assert [n for _, n in got] == list(range(1, 1001))
 
 
+def test_numbering_over_the_whole_bigint_range(spark):
+    values = [-2**63, -2**62, -5, -1, 0, 1, 3, 2**62, 2**63 - 1]
+    df = spark.createDataFrame([("k", v) for v in values], "k string, v long")
+    got = sorted((r.v, r.n) for r in number_rows(df, ["k"], "v", "n", rows_per_split=2).collect())
+    assert got == list(zip(values, range(1, 10)))
+
+
 def test_a_short_list_of_hot_keys_changes_nothing(uneven, monkeypatch):
     rows, df = uneven
     monkeypatch.setattr(skew, "HOT_KEYS", 3)
