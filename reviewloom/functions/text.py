@@ -51,7 +51,9 @@ def cleans_to_short_tokens(c: Column | str, max_token_len: int = 6) -> Column:
 
 def cleans_to_min_words(c: Column | str, min_words: int) -> Column:
     """Raw text whose cleaned form has at least ``min_words`` tokens."""
-    return _col(c).rlike(rf"(?:{WORD_CHAR}++{NON_WORD_CHAR}++){{{min_words - 1}}}{WORD_CHAR}")
+    # tied to the start, so that a text with too few words is walked once
+    return _col(c).rlike(
+        rf"^{NON_WORD_CHAR}*+(?:{WORD_CHAR}++{NON_WORD_CHAR}++){{{min_words - 1}}}{WORD_CHAR}")
 
 
 def cleans_to_max_chars(c: Column | str, max_chars: int) -> Column:
@@ -65,7 +67,8 @@ def cleans_to_max_chars(c: Column | str, max_chars: int) -> Column:
 
 def has_min_words(c: Column | str, min_words: int) -> Column:
     """At least ``min_words`` whitespace-separated words in raw text."""
-    return _col(c).rlike(rf"(?:[^{SPACE}]++[{SPACE}]++){{{min_words - 1}}}[^{SPACE}]")
+    return _col(c).rlike(
+        rf"^[{SPACE}]*+(?:[^{SPACE}]++[{SPACE}]++){{{min_words - 1}}}[^{SPACE}]")
 
 
 def has_long_token(c: Column | str, max_token_len: int = 8) -> Column:

@@ -1,9 +1,10 @@
 """Joins and numbering that hold when one key owns a large share of the rows.
 
 Both start from per-key counts, which are small after map-side aggregation, and single out the
-hot keys: the ``HOT_KEYS`` largest of those above ``ROWS_PER_SPLIT``. That list cannot exceed
-``HOT_KEYS`` rows, so it may be broadcast, and a key that misses it holds less than one part in
-``HOT_KEYS`` of all rows. Nothing is dropped: the list only decides which keys are spread.
+hot keys: the ``HOT_KEYS`` largest of those above ``ROWS_PER_SPLIT``. The list names keys by a
+64-bit digest, so it cannot exceed ``HOT_KEYS`` times 16 bytes and may be broadcast, and a key that
+misses it holds less than one part in ``HOT_KEYS`` of all rows. Nothing is dropped: the list only
+decides which keys are spread, and a key that shares its digest with a hot one is merely spread too.
 """
 
 from __future__ import annotations
@@ -16,14 +17,24 @@ from pyspark.sql import functions as F
 HOT_KEYS = 10_000
 ROWS_PER_SPLIT = 1_000_000
 
-_SPLITS, _SALT, _COUNT = "__splits", "__salt", "__count"
-_LOW, _HIGH, _WIDTH, _BLOCK, _BASE, _ALL = "__low", "__high", "__width", "__block", "__base", "__all"
+_DIGEST, _SPLITS, _SALT, _COUNT = "__digest", "__splits", "__salt", "__count"
+_KEY, _LOW, _HIGH, _WIDTH, _BLOCK, _BASE = "__key", "__low", "__high", "__width", "__block", "__base"
 
 
-def _hottest(counts: DataFrame, keys: Sequence[str], count: str, rows_per_split: int) -> DataFrame:
-    return (counts.filter(F.col(count) > rows_per_split)
-                  .orderBy(F.col(count).desc(), *keys)
-                  .limit(HOT_KEYS))
+def _hottest(counts: DataFrame, keys: Sequence[str], count: str, rows_per_split: int,
+             value: Column, into: str) -> DataFrame:
+    """``value`` of the hot keys by digest."""
+    largest = (counts.filter(F.col(count) > rows_per_split)
+                     .orderBy(F.col(count).desc(), *keys)
+                     .limit(HOT_KEYS))
+    return (largest.select(F.xxhash64(*keys).alias(_DIGEST), value.alias(into))
+                   .groupBy(_DIGEST).agg(F.max(into).alias(into)))
+
+
+def _with_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
+    """``df`` with the hot keys' value, null for all other keys."""
+    return (df.withColumn(_DIGEST, F.xxhash64(*keys))
+              .join(F.broadcast(hot), _DIGEST, "left").drop(_DIGEST))
 
 
 def spread_join(rows: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "inner",
@@ -41,14 +52,14 @@ def spread_join(rows: DataFrame, lookup: DataFrame, keys: Sequence[str], how: st
     keys = list(keys)
     if counts is None:
         counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(count))
-    hot = _hottest(counts, keys, count, rows_per_split).select(
-        *keys, F.ceil(F.col(count) / F.lit(rows_per_split)).cast("int").alias(_SPLITS))
+    hot = _hottest(counts, keys, count, rows_per_split,
+                   F.ceil(F.col(count) / F.lit(rows_per_split)).cast("int"), _SPLITS)
     dealt = F.pmod(F.xxhash64(*rows.columns), F.col(_SPLITS)).cast("int")
     salt = F.when(F.col(_SPLITS).isNull(), F.lit(0)).otherwise(dealt)
     salts = F.sequence(F.lit(0), F.coalesce(F.col(_SPLITS), F.lit(1)) - 1)
-    salted_rows = rows.join(F.broadcast(hot), keys, "left").withColumn(_SALT, salt).drop(_SPLITS)
-    salted_lookup = (lookup.join(F.broadcast(hot), keys, "left")
-                           .withColumn(_SALT, F.explode(salts)).drop(_SPLITS))
+    salted_rows = _with_hot(rows, keys, hot).withColumn(_SALT, salt).drop(_SPLITS)
+    salted_lookup = (_with_hot(lookup, keys, hot).withColumn(_SALT, F.explode(salts))
+                     .drop(_SPLITS))
     return salted_rows.join(salted_lookup, [*keys, _SALT], how).drop(_SALT)
 
 
@@ -64,39 +75,38 @@ def number_rows(rows: DataFrame, keys: Sequence[str], order: str, into: str = "r
     before anything is sorted.
     """
     rows_per_split = rows_per_split or ROWS_PER_SPLIT
-    keys = list(keys)
-    work = rows
-    if not keys:
-        # one group over everything; computed from the data so that the joins stay equi-joins
-        keys = [_ALL]
-        work = work.withColumn(_ALL, F.pmod(F.col(order), F.lit(1)).cast("int"))
     pos = F.col(order)
-    spans = work.groupBy(*keys).agg(F.min(pos).alias(_LOW), F.max(pos).alias(_HIGH),
-                                    F.count(F.lit(1)).alias(_COUNT))
+    # as one struct the key is never null, so rows without a key are a group like any other;
+    # without keys it is a value computed from the data, so that the joins stay equi-joins
+    key = F.struct(*keys) if keys else F.struct(F.pmod(pos, F.lit(1)))
+    work = rows.withColumn(_KEY, key).drop(*keys)
+    spans = work.groupBy(_KEY).agg(F.min(pos).alias(_LOW), F.max(pos).alias(_HIGH),
+                                   F.count(F.lit(1)).alias(_COUNT))
     # any positive width gives exact numbers, so a rounded one will do; divided first, as the
     # span itself may exceed a bigint
     blocks = F.ceil(F.col(_COUNT) / F.lit(rows_per_split))
     width = F.floor(F.col(_HIGH) / blocks - F.col(_LOW) / blocks).cast("bigint") + 1
-    hot = _hottest(spans, keys, _COUNT, rows_per_split).select(*keys, width.alias(_WIDTH))
+    hot = _hottest(spans, [_KEY], _COUNT, rows_per_split, width, _WIDTH)
 
-    blocked = work.join(F.broadcast(hot), keys, "left").withColumn(
+    blocked = _with_hot(work, [_KEY], hot).withColumn(
         _BLOCK, F.coalesce(_int_div(pos, F.col(_WIDTH)), F.lit(0).cast("bigint")))
     sizes = (blocked.filter(F.col(_WIDTH).isNotNull())
-                    .groupBy(*keys, _BLOCK).agg(F.count(F.lit(1)).alias(_COUNT)))
-    before = Window.partitionBy(*keys).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    bases = (sizes.select(*keys, _BLOCK, F.sum(_COUNT).over(before).alias(_BASE))
+                    .groupBy(_KEY, _BLOCK).agg(F.count(F.lit(1)).alias(_COUNT)))
+    before = Window.partitionBy(_KEY).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    bases = (sizes.select(_KEY, _BLOCK, F.sum(_COUNT).over(before).alias(_BASE))
                   .filter(F.col(_BASE).isNotNull()))
 
-    placed = blocked.drop(_WIDTH).join(bases, [*keys, _BLOCK], "left")
+    placed = blocked.drop(_WIDTH).join(bases, [_KEY, _BLOCK], "left")
     base = F.coalesce(F.col(_BASE), F.lit(0))
     if at_most is not None:
         placed = placed.filter(base < at_most)
-    inside = F.row_number().over(Window.partitionBy(*keys, _BLOCK).orderBy(order))
+    inside = F.row_number().over(Window.partitionBy(_KEY, _BLOCK).orderBy(order))
     numbered = placed.withColumn(into, inside)
     if at_most is not None:
         # the first test alone lets Spark cut each block before the shuffle when at_most is small
         numbered = numbered.filter(F.col(into) <= at_most).filter(F.col(into) + base <= at_most)
-    return numbered.withColumn(into, F.col(into) + base).select(*rows.columns, into)
+    out = [F.col(f"{_KEY}.{c}").alias(c) if c in keys else F.col(c) for c in rows.columns]
+    return numbered.select(*out, (F.col(into) + base).alias(into))
 
 
 def _int_div(a: Column, b: Column) -> Column:

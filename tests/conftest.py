@@ -11,7 +11,7 @@ from reviewloom.session import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("tests", "local[4]", shuffle_partitions=4,
+    session = build_session("tests", "local[4, 3]", shuffle_partitions=4,
                             **{"spark.driver.memory": "4g",
                                "spark.ui.showConsoleProgress": "false"})
     session.sparkContext.setLogLevel("ERROR")

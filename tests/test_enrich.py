@@ -1,7 +1,7 @@
 import json
+import os
 
 import pytest
-from pyspark.errors import PythonException, SparkRuntimeException  # noqa: F401
 
 from reviewloom.operators.enrich import attach_summary, call_text_function, summarize
 from reviewloom.plans.enrich import enrich_reviews
@@ -79,6 +79,25 @@ def test_calls_in_flight_are_bounded(spark):
     assert out.rdd.getNumPartitions() == 3 and out.filter("summary = 'fine'").count() == 50
 
 
+def test_a_lost_worker_costs_a_repeat_but_no_row(spark, tmp_path):
+    marker = str(tmp_path / "crashed")
+
+    def answer(text):
+        import json
+        import os
+        name = json.loads(text)["product_name"]
+        if name == "p7" and not os.path.exists(marker):
+            open(marker, "w").close()
+            os._exit(1)
+        return json.dumps({"product_name": name, "summary": name})
+
+    df = spark.createDataFrame([(f"p{i}", json.dumps({"product_name": f"p{i}"})) for i in range(20)],
+                               PAYLOAD).repartition(4)
+    got = summarize(df, answer).collect()
+    assert os.path.exists(marker)
+    assert sorted(r.summary for r in got) == sorted(f"p{i}" for i in range(20))
+
+
 def test_attach_summary_leaves_the_rest_null(spark):
     rows = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "name string, i int")
     found = spark.createDataFrame([("a", "s")], "name string, summary string")

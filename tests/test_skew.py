@@ -74,8 +74,31 @@ def test_spread_join_equals_a_plain_join(uneven, spark, how, split):
         assert got == want
 
 
-def test_hot_rows_are_dealt_over_salts(uneven, spark):
+def test_only_keys_above_the_limit_are_hot(uneven):
     _, df = uneven
-    counts = df.groupBy("k").agg(F.count("*").alias("__count"))
-    hot = skew._hottest(counts, ["k"], "__count", 100).collect()
-    assert [r.k for r in hot] == ["hot"]
+    counts = df.groupBy("k").agg(F.count("*").alias("n"))
+    hot = skew._hottest(counts, ["k"], "n", 100, F.col("n"), "value").collect()
+    assert [r.value for r in hot] == [700]
+
+
+def test_rows_without_a_key_are_a_group_like_any_other(spark):
+    rows = [(None if i % 3 else "k", "s", i) for i in range(100)]
+    df = spark.createDataFrame(rows, "k string, s string, v long")
+    for split in (4, 10**6):
+        got = {(r.k, r.v): r.n
+               for r in number_rows(df, ["s", "k"], "v", "n", rows_per_split=split).collect()}
+        assert got == numbered_by_hand([(k, v) for k, _, v in rows])
+        joined = spread_join(df, spark.createDataFrame([("k", 1)], "k string, x int"), ["k"], "left",
+                             rows_per_split=split).collect()
+        assert sorted((r.v, r.x) for r in joined) == [
+            (v, 1 if k else None) for k, _, v in rows]
+
+
+def test_keys_with_one_digest_are_spread_together(uneven, spark, monkeypatch):
+    rows, df = uneven
+    monkeypatch.setattr(skew.F, "xxhash64", lambda *cols: F.lit(1).cast("bigint"))
+    got = {(r.k, r.v): r.n for r in number_rows(df, ["k"], "v", "n", rows_per_split=9).collect()}
+    assert got == numbered_by_hand(rows)
+    lookup = spark.createDataFrame([("hot", 1.0), ("k1", 2.0)], "k string, x double")
+    want = sorted(df.join(lookup, "k", "left").collect(), key=str)
+    assert sorted(spread_join(df, lookup, ["k"], "left", rows_per_split=9).collect(), key=str) == want
