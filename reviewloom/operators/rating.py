@@ -24,14 +24,16 @@ def with_product_rating(df: DataFrame, scope: Sequence[str] = (), rating: str =
     """Every row with its product's average rating."""
     keys = [*scope, "name"]
     products = average_rating(df, scope, rating, into, count_into="__n")
-    return spread_join(df, products.drop("__n"), keys, "inner", counts=products, count="__n",
-                       rows_per_split=rows_per_split)
+    return spread_join(df, products, keys, count="__n", rows_per_split=rows_per_split)
 
 
 def first_products(products: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
-    """The smallest product name of each scope; an empty input gives no row."""
-    first = products.groupBy(*scope).agg(F.min("name").alias("name"))
-    return first.filter(F.col("name").isNotNull())
+    """The row of the smallest product name of each scope; an empty input gives no row."""
+    rest = [c for c in products.columns if c not in scope and c != "name"]
+    named = products.filter(F.col("name").isNotNull())
+    first = named.groupBy(*scope).agg(F.min(F.struct("name", *rest)).alias("first"))
+    # over no rows at all, an aggregate without scope still gives one
+    return first.select(*scope, "first.*").filter(F.col("name").isNotNull())
 
 
 def only_first_product(df: DataFrame, scope: Sequence[str] = (),

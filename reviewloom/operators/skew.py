@@ -10,6 +10,7 @@ decides which keys are spread, and a key that shares its digest with a hot one i
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,8 +25,9 @@ _KEY, _LOW, _HIGH, _WIDTH, _BLOCK, _BASE = "__key", "__low", "__high", "__width"
 def _hottest(counts: DataFrame, keys: Sequence[str], count: str, rows_per_split: int,
              value: Column, into: str) -> DataFrame:
     """``value`` of the hot keys by digest."""
+    rest = [c for c in counts.columns if c != count]
     largest = (counts.filter(F.col(count) > rows_per_split)
-                     .orderBy(F.col(count).desc(), *keys)
+                     .orderBy(F.col(count).desc(), *rest)
                      .limit(HOT_KEYS))
     return (largest.select(F.xxhash64(*keys).alias(_DIGEST), value.alias(into))
                    .groupBy(_DIGEST).agg(F.max(into).alias(into)))
@@ -37,29 +39,48 @@ def _with_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
               .join(F.broadcast(hot), _DIGEST, "left").drop(_DIGEST))
 
 
+def _keyed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return df.filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
+
+
 def spread_join(rows: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "inner",
                 counts: DataFrame | None = None, count: str = _COUNT,
                 rows_per_split: int | None = None) -> DataFrame:
     """Equi-join ``rows`` with ``lookup``, which has at most one row per key.
 
-    Rows of a hot key are dealt over several salts by a hash of their content, and its lookup row
-    is repeated once per salt. No size is assumed for ``lookup``: AQE turns the join into a
-    broadcast only when the shuffled lookup turns out small.
+    Rows of a hot key are dealt over several salts, and its lookup row is repeated once per salt.
+    The salt is a hash of the row's content and of the task that reads it, so copies of one row
+    are dealt too, and a task that runs again deals as before. No size is assumed for ``lookup``:
+    AQE turns the join into a broadcast only when the shuffled lookup turns out small.
 
-    ``counts`` holds the keys and their row count, when the caller has it already.
+    When ``lookup`` is an aggregate of ``rows``, let it hold their number per key in ``count``,
+    which is left out of the result. Otherwise the rows are counted, or ``counts`` gives keys and
+    ``count``. What lookup and counts share is computed once, because both use all of it.
     """
     rows_per_split = rows_per_split or ROWS_PER_SPLIT
     keys = list(keys)
+    if how in ("inner", "left_semi"):
+        # said of every side at the start, so that plans over one input stay alike and share it
+        rows, lookup = _keyed(rows, keys), _keyed(lookup, keys)
+        counts = _keyed(counts, keys) if counts is not None else None
     if counts is None:
-        counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(count))
-    hot = _hottest(counts, keys, count, rows_per_split,
-                   F.ceil(F.col(count) / F.lit(rows_per_split)).cast("int"), _SPLITS)
-    dealt = F.pmod(F.xxhash64(*rows.columns), F.col(_SPLITS)).cast("int")
+        counts = lookup if count in lookup.columns else (
+            rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(count)))
+
+    def splits_of(n: str) -> Column:
+        return F.ceil(F.col(n) / F.lit(rows_per_split)).cast("int")
+
+    hot = _hottest(counts, keys, count, rows_per_split, splits_of(count), _SPLITS)
+    dealt = F.pmod(F.xxhash64(*rows.columns, F.spark_partition_id()), F.col(_SPLITS)).cast("int")
     salt = F.when(F.col(_SPLITS).isNull(), F.lit(0)).otherwise(dealt)
-    salts = F.sequence(F.lit(0), F.coalesce(F.col(_SPLITS), F.lit(1)) - 1)
+    repeats = F.coalesce(F.col(_SPLITS), F.lit(1))
+    if count in lookup.columns:
+        # at least as many as needed; reading the count keeps this aggregate the one of the list
+        repeats = F.greatest(repeats, splits_of(count))
     salted_rows = _with_hot(rows, keys, hot).withColumn(_SALT, salt).drop(_SPLITS)
-    salted_lookup = (_with_hot(lookup, keys, hot).withColumn(_SALT, F.explode(salts))
-                     .drop(_SPLITS))
+    salted_lookup = (_with_hot(lookup, keys, hot)
+                     .withColumn(_SALT, F.explode(F.sequence(F.lit(0), repeats - 1)))
+                     .drop(_SPLITS, count))
     return salted_rows.join(salted_lookup, [*keys, _SALT], how).drop(_SALT)
 
 

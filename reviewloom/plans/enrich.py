@@ -21,8 +21,9 @@ from reviewloom.session import land
 def enrich_reviews(raw: DataFrame, fn: Callable[[str], str], scope: Sequence[str] = (),
                    profile: Profile | str = STRICT, products: str = "first",
                    request: str = "payload", template: str = review.PROMPT_TEMPLATE,
-                   order_by: str | None = None, part_size: int = review.MAX_COMMENTS,
-                   rows_per_split: int | None = None, **call_options) -> DataFrame:
+                   order_by: str | None = None, scopes: DataFrame | None = None,
+                   part_size: int = review.MAX_COMMENTS, rows_per_split: int | None = None,
+                   **call_options) -> DataFrame:
     """``scope, name, rating, comments, summary`` for every kept review.
 
     ``products="first"`` summarises the smallest product name of each scope and leaves the others
@@ -30,6 +31,9 @@ def enrich_reviews(raw: DataFrame, fn: Callable[[str], str], scope: Sequence[str
     ``request="prompt"`` it gets a prompt over the useful comments, and payloads that are no valid
     review are not asked about. ``call_options`` go to ``summarize``.
 
+    ``scopes`` restricts the job to the scopes it holds, one row each, and its further columns are
+    added to the result. It meets the products, not the reviews, so the raw rows stay in place.
+
     A product larger than ``part_size`` is summarised part by part and each of its rows gets the
     summary of the part it was in. What several later steps read is landed in the shared folder:
     the cleaned rows, then the numbered ones, and the summaries, so that the calls are made once.
@@ -48,17 +52,19 @@ def enrich_reviews(raw: DataFrame, fn: Callable[[str], str], scope: Sequence[str
                                      else F.monotonically_increasing_id())
     cleaned = land(cleaned, "cleaned")
 
-    rated = average_rating(cleaned, scope, count_into="__n")
-    lookup = rated.drop("__n")
+    lookup = average_rating(cleaned, scope, count_into="__n")
     if products == "first":
-        first = first_products(rated, scope).withColumn("__chosen", F.lit(True))
+        first = first_products(lookup.select(*keys), scope).withColumn("__chosen", F.lit(True))
         lookup = lookup.join(first, keys, "left")
     else:
         lookup = lookup.withColumn("__chosen", F.lit(True))
+    carried = []
+    if scopes is not None:
+        carried = [c for c in scopes.columns if c not in scope]
+        lookup = spread_join(lookup, scopes, scope, rows_per_split=rows_per_split)
 
     numbered = number_rows(cleaned, keys, order, "__row_no", rows_per_split=rows_per_split)
-    scored = spread_join(numbered, lookup, keys, "inner", counts=rated, count="__n",
-                         rows_per_split=rows_per_split)
+    scored = spread_join(numbered, lookup, keys, count="__n", rows_per_split=rows_per_split)
     parts = land(scored.withColumn("part", part_number("__row_no", part_size)), "parts")
     payloads = collect_payload(parts.filter(F.col("__chosen")), keys, "__row_no",
                                F.col("comments"), star_int("rating"))
@@ -72,4 +78,4 @@ def enrich_reviews(raw: DataFrame, fn: Callable[[str], str], scope: Sequence[str
                                **call_options), "summaries")
     found = summaries.select(*scope, F.col("product_name").alias("name"), "part", "summary")
     return (parts.join(found, [*keys, "part"], "left")
-                 .select(*keys, "rating", "comments", "summary"))
+                 .select(*keys, "rating", "comments", "summary", *carried))

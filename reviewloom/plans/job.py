@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from reviewloom.functions.names import data_file
-from reviewloom.operators.skew import spread_join
 from reviewloom.operators.workset import arrival_status, assign_index
 from reviewloom.plans.enrich import enrich_reviews
 from reviewloom.session import land
@@ -27,9 +26,12 @@ def enrich_files(spark: SparkSession, files: DataFrame, landing: str, fn: Callab
     All files are one plan, each its own scope.
     """
     index = files.select(data_file("filename").alias(FILE), "index_name")
-    raw = read_reviews(spark, landing).join(index.select(FILE), FILE, "left_semi")
-    enriched = enrich_reviews(raw, fn, (FILE,), **enrich_options)
-    return spread_join(enriched, index, [FILE])
+    first = index.groupBy(FILE).agg(F.min("index_name").alias("index_name"))
+    enriched = enrich_reviews(read_reviews(spark, landing), fn, (FILE,), scopes=first,
+                              **enrich_options)
+    # a file that is listed twice is asked about once and written to both of its indexes
+    again = index.join(first, [FILE, "index_name"], "left_anti")
+    return enriched.unionByName(enriched.drop("index_name").join(again, FILE))
 
 
 def index_ready_files(spark: SparkSession, manifest: DataFrame, landing: str,

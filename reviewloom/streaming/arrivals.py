@@ -62,10 +62,11 @@ def stream_late_reviews(stream: DataFrame, sink: str, checkpoint: str,
     so it should be a landed table rather than a live listing.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
+        late = score_late_reviews(batch, ("source_file",), profile)
         if pending is not None:
+            # files are scored apart, so the others may go last, when few rows are left
             wanted = pending.select(data_file("filename").alias("source_file"))
-            batch = batch.join(wanted, "source_file", "left_semi")
-        late = score_late_reviews(batch, ("source_file",), profile)
+            late = late.join(wanted, "source_file", "left_semi")
         late.write.mode("overwrite").options(header=True, **_CSV_OUT).csv(
             f"{sink}/{BATCH}={batch_id}")
 

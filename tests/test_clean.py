@@ -96,7 +96,7 @@ def test_hot_products_get_the_same_rating(spark):
 
 
 def test_first_product_per_scope_and_of_nothing(spark):
-    df = spark.createDataFrame([("a", "z", 1), ("a", "y", 2), ("a", "y", 3), ("b", "x", 4)],
+    df = spark.createDataFrame([("a", "z", 1), ("a", "y", 2), ("a", "y", 3), ("b", "x", 4), ("a", None, 5)],
                                "scope string, name string, i int")
     for split in (None, 1):
         got = sorted(r.i for r in only_first_product(df, ["scope"], rows_per_split=split).collect())

@@ -6,6 +6,7 @@ import re
 import pytest
 
 from checks.queries import QUERIES
+from reviewloom.operators import skew
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test data here")
@@ -48,6 +49,15 @@ def test_flagship_scans_and_shuffles_the_reviews_once(spark):
     assert "Window" not in plan
 
 
+def test_with_hot_products_too_there_is_one_scan(spark, monkeypatch):
+    monkeypatch.setattr(skew, "ROWS_PER_SPLIT", 1)
+    plan = final_plan(QUERIES["score_reviews_per_file"](spark, SF_DIR))
+    assert plan.count("FileScan parquet") == 1 and plan.count("TakeOrderedAndProject") >= 1
+    # without deduplication the reviews are read twice, for the averages and for the rows
+    plan = final_plan(QUERIES["score_late_reviews_per_file"](spark, SF_DIR))
+    assert plan.count("FileScan parquet") == 2
+
+
 def test_scan_reads_only_the_needed_columns(spark):
     plan = plan_of(spark, "score_reviews_per_file")
     schemas = set(re.findall(r"ReadSchema: struct<([^>]*)>", plan))

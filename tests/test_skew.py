@@ -102,3 +102,21 @@ def test_keys_with_one_digest_are_spread_together(uneven, spark, monkeypatch):
     lookup = spark.createDataFrame([("hot", 1.0), ("k1", 2.0)], "k string, x double")
     want = sorted(df.join(lookup, "k", "left").collect(), key=str)
     assert sorted(spread_join(df, lookup, ["k"], "left", rows_per_split=9).collect(), key=str) == want
+
+
+def test_copies_of_one_row_are_dealt_too(spark):
+    rows = spark.createDataFrame([("hot", "same")] * 400, "k string, c string").repartition(8)
+    lookup = spark.createDataFrame([("hot", 1)], "k string, x int")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16",
+                "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        sizes = (spread_join(rows, lookup, ["k"], rows_per_split=50)
+                 .groupBy(F.spark_partition_id()).count().collect())
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert sum(r["count"] for r in sizes) == 400
+    assert max(r["count"] for r in sizes) < 300

@@ -74,7 +74,7 @@ def test_late_files_use_the_looser_rules(spark, tmp_path, landing):
 
 
 def test_whole_job(spark, tmp_path, landing):
-    (tmp_path / "list.csv").write_text("1_2\nmissing\n3_4.csv\nnever\n")
+    (tmp_path / "list.csv").write_text("1_2\nmissing\n3_4.csv\nnever\n1_2.csv\n")
     drop_in(landing, "1_2.csv", [("5", TEN + " a", "p"), ("4", TEN + " b", "p"), ("1", TEN, "q")])
     drop_in(landing, "3_4.csv", [("n/a", TEN, "r"), ("3", TEN + ' "c"', "r")])
     drop_in(landing, "0_0.csv", [("5", TEN, "not in the manifest")])
@@ -88,8 +88,12 @@ def test_whole_job(spark, tmp_path, landing):
            for r in spark.read.parquet(index).collect()}
     assert got == {("comment_index_76", "1_2.csv", "p", 4.5, "good"),
                    ("comment_index_76", "1_2.csv", "q", 1.0, None),
+                   ("comment_index_80", "1_2.csv", "p", 4.5, "good"),
+                   ("comment_index_80", "1_2.csv", "q", 1.0, None),
                    ("comment_index_78", "3_4.csv", "r", 3.0, "good")}
 
+    assert spark.read.parquet(index).count() == 3 + 2 + 3
+
     late, progress = str(tmp_path / "late"), str(tmp_path / "late-progress")
     drop_in(landing, "missing.csv", [("2", "short text", "p")])
     follow_pending_files(spark, pending, str(landing), late, progress,
