@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 SHARED_DIR = "spark.checkpoint.dir"
+_SHIPPED: set[str] = set()
 
 
 def build_session(app: str, master: str | None = None, shuffle_partitions: int | None = None,
@@ -67,3 +70,18 @@ def land(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(spark, name)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers of this application the package, wherever they run; done once.
+
+    The archive is made on the driver, and Spark sends it to the executors. An application started
+    with ``--py-files`` has no need of this.
+    """
+    app = spark.sparkContext.applicationId
+    if app not in _SHIPPED:
+        package = os.path.dirname(os.path.abspath(__file__))
+        name = os.path.join(tempfile.mkdtemp(prefix="package-"), os.path.basename(package))
+        spark.sparkContext.addPyFile(shutil.make_archive(name, "zip", os.path.dirname(package),
+                                                         os.path.basename(package)))
+        _SHIPPED.add(app)
