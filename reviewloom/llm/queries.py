@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewloom.llm import bpe, lengths, quality
+from reviewloom.llm import bpe, lengths, quality, simhash
+from reviewloom.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -18,8 +19,11 @@ RANK_FILE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
 def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
-    return fn
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return fn(spark, sf_dir)
+    QUERIES[fn.__name__] = run
+    return run
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -95,3 +99,8 @@ def op4_bpe(spark, sf):
 def op6_token_counts(spark, sf):
     counted = _documents(spark, sf).select(tokenizer(spark).count("text").alias("n_tokens"))
     return lengths.length_report(lengths.length_histogram(counted))
+
+
+@query
+def op5_simhash(spark, sf):
+    return simhash.near_duplicates(_documents(spark, sf))
