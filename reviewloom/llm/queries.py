@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewloom.llm import bpe, lengths, quality, simhash
+from reviewloom.llm import bpe, lengths, quality, secrets, sharding, simhash
 from reviewloom.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -104,3 +104,28 @@ def op6_token_counts(spark, sf):
 @query
 def op5_simhash(spark, sf):
     return simhash.near_duplicates(_documents(spark, sf))
+
+
+@query
+def op7_secrets(spark, sf):
+    found = secrets.find_secrets(_documents(spark, sf))
+    spans = F.col("secrets")
+    base = F.filter(spans, lambda s: s["kind"] < 3)
+
+    def of(kind: int) -> Column:
+        return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("bigint")
+
+    return found.select("doc_id", of(0).alias("n_assign"), of(1).alias("n_access"), of(2).alias("n_hex"),
+                        F.sha2(secrets.span_list(base), 256).alias("base_sha256"),
+                        secrets.span_list(spans).alias("spans"))
+
+
+@query
+def op8_sharding(spark, sf):
+    text = F.coalesce("text", F.lit(""))
+    sized = _documents(spark, sf).select(
+        "doc_id", (F.octet_length(text) + 1).cast("bigint").alias("size"),
+        F.crc32(text).alias("text_crc32"))
+    return sharding.shard_rows(sized, ["doc_id", "text_crc32", "size"]).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
