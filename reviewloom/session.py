@@ -10,6 +10,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 SHARED_DIR = "spark.checkpoint.dir"
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _SHIPPED: set[str] = set()
 
 
@@ -72,12 +73,14 @@ def land(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Give the Python workers of this application the package, wherever they run; done once.
+def prepare_workers(spark: SparkSession) -> None:
+    """Give the Python workers of this application the package, and small batches of rows.
 
-    The archive is made on the driver, and Spark sends it to the executors. An application started
-    with ``--py-files`` has no need of this.
+    The archive is made on the driver, once, and Spark sends it to the executors. Rows with long texts
+    travel a few hundred at a time, unless the session names another number than Spark's default.
     """
+    if spark.conf.get(ARROW_ROWS) == "10000":
+        spark.conf.set(ARROW_ROWS, "512")
     app = spark.sparkContext.applicationId
     if app not in _SHIPPED:
         package = os.path.dirname(os.path.abspath(__file__))
