@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from reviewloom.llm.batches import byte_slices
+from reviewloom.llm.batches import slices
 
 # Fixed values of the base rules.
 MIN_WORDS = 20
@@ -154,9 +154,8 @@ def measures(text: Column | str, min_repeat: int = MIN_REPEAT) -> Column:
     """
     @arrow_udf(f"struct<{MEASURES.replace(' bigint', ':bigint').replace('repeat_spans ', 'repeat_spans:')}>")
     def measure(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            parts = [measure_slice(part, min_repeat) for part in byte_slices(batch)]
-            yield pa.concat_arrays(parts or [measure_slice([], min_repeat)])
+        for part in slices(batches):
+            yield measure_slice(part, min_repeat)
     return measure.asNondeterministic()(text)  # else a filter on it would ask it twice
 
 

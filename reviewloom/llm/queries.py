@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewloom.llm import bpe, lengths, quality, secrets, sharding, simhash
-from reviewloom.session import ship_package
+from reviewloom.llm import bpe, lengths, licenses, quality, secrets, sharding, simhash
+from reviewloom.session import prepare_workers
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -20,7 +20,7 @@ RANK_FILE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 def query(fn: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        ship_package(spark)
+        prepare_workers(spark)
         return fn(spark, sf_dir)
     QUERIES[fn.__name__] = run
     return run
@@ -129,3 +129,51 @@ def op8_sharding(spark, sf):
     return sharding.shard_rows(sized, ["doc_id", "text_crc32", "size"]).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query
+def op9_licenses(spark, sf):
+    found = licenses.license_scan(_documents(spark, sf))
+    return found.select(
+        "doc_id", *[f"license.{c}" for c in ("n_words", "n_base", "first_word", "last_word")],
+        licenses.joined(F.col("license.base_labels")).alias("base_labels"),
+        licenses.joined(F.col("license.labels")).alias("labels"), "license.score")
+
+
+_WORDS = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+def _licenses_sql() -> str:
+    lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    phrases = ", ".join(f"({p.split()}, '{label}')" for p, label in licenses.PHRASES)
+    templates = ", ".join(f"('{label}', list_distinct({text.split()}))"
+                          for label, text in licenses.TEMPLATES)
+    return f"""
+    WITH texts AS (SELECT doc_id, {_WORDS.format(lower)} AS ws FROM documents),
+    places AS (
+        SELECT doc_id, i - 1 AS at, label
+        FROM (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM texts),
+             (VALUES {phrases}) AS phrases(words, label)
+        WHERE ws[i] = words[1] AND list_slice(ws, i, i + len(words) - 1) = words),
+    base AS (
+        SELECT doc_id, count(*) AS n_base, min(at) AS first_word, max(at) AS last_word,
+               list_sort(list_distinct(list(label))) AS found
+        FROM places GROUP BY doc_id),
+    blocks AS (
+        SELECT doc_id, list_distinct(list_slice(ws, at + 1, at + {licenses.BLOCK})) AS block
+        FROM (SELECT doc_id, ws, unnest(range(0, greatest(1, len(ws) - {licenses.STEP}),
+                                              {licenses.STEP})) AS at FROM texts)),
+    matches AS (
+        SELECT doc_id, label, len(list_intersect(block, words)) / len(words) AS share
+        FROM blocks, (VALUES {templates}) AS templates(label, words)
+        WHERE len(list_intersect(block, words)) >= ceil(round({licenses.THRESHOLD} * len(words), 9))),
+    best AS (SELECT doc_id, max(share) AS share, list(label) AS found FROM matches GROUP BY doc_id)
+    SELECT doc_id, len(ws) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+           array_to_string(coalesce(base.found, []), ',') AS base_labels,
+           array_to_string(list_sort(list_distinct(list_concat(coalesce(base.found, []),
+                                                               coalesce(best.found, [])))), ',') AS labels,
+           CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(share, 0.0) END::DOUBLE AS score
+    FROM texts LEFT JOIN base USING (doc_id) LEFT JOIN best USING (doc_id)"""
+
+
+ORACLES["op9_licenses"] = _licenses_sql()
