@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewloom.llm import bpe, lengths, licenses, quality, secrets, sharding, simhash
+from reviewloom.llm import bpe, decontaminate, lengths, licenses, quality, secrets, sharding, simhash
 from reviewloom.session import prepare_workers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -151,18 +151,18 @@ def _licenses_sql() -> str:
     return f"""
     WITH texts AS (SELECT doc_id, {_WORDS.format(lower)} AS ws FROM documents),
     places AS (
-        SELECT doc_id, i - 1 AS at, label
+        SELECT doc_id, i - 1 AS place, label
         FROM (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM texts),
              (VALUES {phrases}) AS phrases(words, label)
         WHERE ws[i] = words[1] AND list_slice(ws, i, i + len(words) - 1) = words),
     base AS (
-        SELECT doc_id, count(*) AS n_base, min(at) AS first_word, max(at) AS last_word,
+        SELECT doc_id, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word,
                list_sort(list_distinct(list(label))) AS found
         FROM places GROUP BY doc_id),
     blocks AS (
-        SELECT doc_id, list_distinct(list_slice(ws, at + 1, at + {licenses.BLOCK})) AS block
+        SELECT doc_id, list_distinct(list_slice(ws, place + 1, place + {licenses.BLOCK})) AS block
         FROM (SELECT doc_id, ws, unnest(range(0, greatest(1, len(ws) - {licenses.STEP}),
-                                              {licenses.STEP})) AS at FROM texts)),
+                                              {licenses.STEP})) AS place FROM texts)),
     matches AS (
         SELECT doc_id, label, len(list_intersect(block, words)) / len(words) AS share
         FROM blocks, (VALUES {templates}) AS templates(label, words)
@@ -177,3 +177,10 @@ def _licenses_sql() -> str:
 
 
 ORACLES["op9_licenses"] = _licenses_sql()
+
+
+@query
+def op2_decontamination(spark, sf):
+    found = decontaminate.contamination(_documents(spark, sf), _table(spark, sf, "benchmark"))
+    return found.select("doc_id", "contamination.contaminated",
+                        F.col("contamination.items").alias("item_ids"), "contamination.equal_words")
