@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import Column, SparkSession
 from pyspark.sql.functions import arrow_udf
 
-from reviewloom.llm.batches import byte_slices
+from reviewloom.llm.batches import slices
 
 MAX_RANK_FILE_BYTES = 64_000_000
 ENCODED = "struct<n_tokens:bigint,ids:binary>"
@@ -251,15 +251,12 @@ def _encoder(vocabulary: Callable[[], Vocabulary]):
     @arrow_udf(ENCODED)
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         vocab = vocabulary()
-        for texts in batches:
-            numbers, packed = [np.zeros(0, np.int64)], []
-            for part in byte_slices(texts):
-                ids, bounds = encode_slice(part, vocab)
-                numbers.append(np.diff(bounds))
-                data, cuts = ids.astype(ID_TYPE).tobytes(), (bounds * ID_TYPE.itemsize).tolist()
-                packed += [data[a:b] for a, b in zip(cuts, cuts[1:])]
+        for part in slices(batches):
+            ids, bounds = encode_slice(part, vocab)
+            data, cuts = ids.astype(ID_TYPE).tobytes(), (bounds * ID_TYPE.itemsize).tolist()
             yield pa.StructArray.from_arrays(
-                [pa.array(np.concatenate(numbers)), pa.array(packed, pa.binary())],
+                [pa.array(np.diff(bounds)),
+                 pa.array([data[a:b] for a, b in zip(cuts, cuts[1:])], pa.binary())],
                 ["n_tokens", "ids"])
     return encode.asNondeterministic()  # never asked twice
 
@@ -268,10 +265,8 @@ def _counter(vocabulary: Callable[[], Vocabulary]):
     @arrow_udf("bigint")
     def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         vocab = vocabulary()
-        for texts in batches:
-            yield pa.array(np.concatenate(
-                [np.zeros(0, np.int64),
-                 *(np.diff(encode_slice(part, vocab)[1]) for part in byte_slices(texts))]))
+        for part in slices(batches):
+            yield pa.array(np.diff(encode_slice(part, vocab)[1]))
     return count.asNondeterministic()  # never asked twice
 
 
