@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewloom.llm import bpe, decontaminate, lengths, licenses, quality, secrets, sharding, simhash
+from reviewloom.llm import bpe, decontaminate, lengths, licenses, quality, secrets, sharding, simhash, toxicity
 from reviewloom.session import prepare_workers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -184,3 +184,16 @@ def op2_decontamination(spark, sf):
     found = decontaminate.contamination(_documents(spark, sf), _table(spark, sf, "benchmark"))
     return found.select("doc_id", "contamination.contaminated",
                         F.col("contamination.items").alias("item_ids"), "contamination.equal_words")
+
+
+def _held_out(doc_id: Column) -> Column:
+    return F.coalesce(F.crc32(doc_id.cast("string")) % 3 == 1, F.lit(False))
+
+
+@query
+def op1_toxicity(spark, sf):
+    docs, labels = _documents(spark, sf), _table(spark, sf, "labels").select("doc_id", "toxic")
+    model = toxicity.train(docs, labels, lambda doc_id: ~_held_out(doc_id))
+    scored = docs.select("doc_id", _held_out(F.col("doc_id")).alias("held_out"),
+                         toxicity.score(spark, model, "text").alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
