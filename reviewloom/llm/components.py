@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,3 +46,35 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
         found = image.join(later, "image", "left").select(
             "node", F.coalesce("later", "image").alias("root"))
     return found
+
+
+def join_groups(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """``label`` after the groups of each ``i`` and ``j`` have become one; labels are least members."""
+    while True:
+        a, b = label[i], label[j]
+        differ = a != b
+        if not differ.any():
+            return label
+        i, j = i[differ], j[differ]
+        np.minimum.at(label, np.maximum(a, b)[differ], np.minimum(a, b)[differ])
+        while True:
+            shorter = label[label]
+            if np.array_equal(shorter, label):
+                break
+            label = shorter
+
+
+def split_large(rows: DataFrame, shard: str, item: str, size: int) -> DataFrame:
+    """``rows`` with the shards that hold more than ``size`` rows cut up, so that each task stays bounded.
+
+    A large shard's items are dealt to parts of half that size by hash, and each pair of parts becomes
+    a shard, so any two items still meet in one. ``shard`` is a bigint.
+    """
+    large = (rows.groupBy(shard).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > size)
+             .select(shard, F.ceil(F.col("n") / max(1, size // 2)).cast("int").alias("parts")))
+    part = F.pmod(F.xxhash64(F.col(item), F.lit("part")), F.col("parts")).cast("int")
+    pairs = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda other: F.xxhash64(
+        F.col(shard), F.least(part, other), F.greatest(part, other)))
+    others = [c for c in rows.columns if c != shard]
+    return rows.join(large, shard, "left").select(*others, F.explode(
+        F.when(F.col("parts").isNull(), F.array(shard)).otherwise(pairs)).alias(shard))

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewloom.llm import bpe, decontaminate, lengths, licenses, quality, secrets, sharding, simhash, toxicity
+from reviewloom.llm import (bpe, decontaminate, lengths, licenses, paragraphs, quality, secrets, sharding,
+                            simhash, toxicity)
 from reviewloom.session import prepare_workers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -197,3 +198,8 @@ def op1_toxicity(spark, sf):
     scored = docs.select("doc_id", _held_out(F.col("doc_id")).alias("held_out"),
                          toxicity.score(spark, model, "text").alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
+@query
+def op10_paragraph_dedup(spark, sf):
+    return paragraphs.dedup_report(_documents(spark, sf))

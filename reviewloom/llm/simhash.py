@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from reviewloom.llm.components import connected_components
+from reviewloom.llm.components import connected_components, join_groups, split_large
 from reviewloom.session import land
 
 SHINGLE_WORDS = 4
@@ -74,22 +74,6 @@ def _segment_masks(max_bits: int) -> list[int]:
     return [int(np.array([x | y], np.uint64).view(np.int64)[0]) for x, y in combinations(parts, 2)]
 
 
-def _join_groups(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """``label`` after the groups of each ``i`` and ``j`` have become one; labels are least members."""
-    while True:
-        a, b = label[i], label[j]
-        differ = a != b
-        if not differ.any():
-            return label
-        i, j = i[differ], j[differ]
-        np.minimum.at(label, np.maximum(a, b)[differ], np.minimum(a, b)[differ])
-        while True:
-            shorter = label[label]
-            if np.array_equal(shorter, label):
-                break
-            label = shorter
-
-
 def tree_groups(points: np.ndarray, max_bits: int) -> np.ndarray:
     """For each fingerprint, the first one of its group, linked by steps of ``max_bits`` at most.
 
@@ -106,13 +90,13 @@ def tree_groups(points: np.ndarray, max_bits: int) -> np.ndarray:
                 q, m = np.nonzero(np.bitwise_count(points[part, None] ^ points[members]) <= max_bits)
                 q, m = part[q], members[m]
                 new = label[q] != label[m]
-                label = _join_groups(label, q[new], m[new])
+                label = join_groups(label, q[new], m[new])
             continue
         vantage = members[members.size // 2]
         to_members = np.bitwise_count(points[members] ^ points[vantage]).astype(np.int64)
         to_queries = np.bitwise_count(points[queries] ^ points[vantage]).astype(np.int64)
         near = queries[to_queries <= max_bits]
-        label = _join_groups(label, near, np.full(near.size, vantage))
+        label = join_groups(label, near, np.full(near.size, vantage))
         median = int(np.median(to_members))
         inside = to_members <= median
         if inside.all():
@@ -145,7 +129,7 @@ def _shard_links(max_bits: int):
                 place = place[place + step < shard.size]
                 place = place[shard[place] == shard[place + step]]
                 near = place[np.bitwise_count(fps[place] ^ fps[place + step]) <= max_bits]
-                label = _join_groups(label, near, near + step)
+                label = join_groups(label, near, near + step)
                 step += 1
             for start, stop in zip(starts[sizes > _SMALL].tolist(), stops[sizes > _SMALL].tolist()):
                 label[start:stop] = start + tree_groups(fps[start:stop], max_bits)
@@ -176,14 +160,7 @@ def near_links(fps: DataFrame, fp: str = "fp", max_bits: int = MAX_BITS,
     masks = F.array(*[F.lit(m) for m in _segment_masks(max_bits)])
     sharded = fps.select(F.col(fp).alias("fp"), F.posexplode(masks).alias("forest", "mask")).select(
         "fp", F.xxhash64("forest", F.col("fp").bitwiseAND(F.col("mask"))).alias("shard"))
-    large = (sharded.groupBy("shard").agg(F.count(F.lit(1)).alias("n"))
-             .filter(F.col("n") > shard_size)
-             .select("shard", F.ceil(F.col("n") / (shard_size // 2)).cast("int").alias("parts")))
-    part = F.pmod(F.xxhash64(F.col("fp"), F.lit("part")), F.col("parts")).cast("int")
-    pairs = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda other: F.xxhash64(
-        F.col("shard"), F.least(part, other), F.greatest(part, other)))
-    dealt = sharded.join(large, "shard", "left").select("fp", F.explode(
-        F.when(F.col("parts").isNull(), F.array("shard")).otherwise(pairs)).alias("shard"))
+    dealt = split_large(sharded, "shard", "fp", shard_size)
     return (dealt.select("shard", "fp").repartition("shard").sortWithinPartitions("shard", "fp")
             .mapInArrow(_shard_links(max_bits), "a bigint, b bigint"))
 
