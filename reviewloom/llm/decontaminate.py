@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewloom.llm.batches import slices
+from reviewloom.llm.columns import column, columns, free_name
 from reviewloom.llm.words import hashed_words
 from reviewloom.session import land
 
@@ -174,8 +175,8 @@ def find_passages(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", tex
     """
     spark = docs.sparkSession
     kind = items.schema[item_id].dataType.simpleString()
-    read = land(items.filter(F.col(f"`{item_id}`").isNotNull()).select(
-        F.col(f"`{item_id}`").alias("item"), F.coalesce(F.col(f"`{item_text}`"), F.lit("")).alias("text"))
+    read = land(items.filter(column(item_id).isNotNull()).select(
+        column(item_id).alias("item"), F.coalesce(column(item_text), F.lit("")).alias("text"))
         .distinct().mapInArrow(_item_seeds(MASKS), f"item {kind}, words array<bigint>, "
                                "seeds array<struct<seed:bigint,at:bigint>>"), "items")
     tests = read.select("item", F.inline("seeds")).withColumnRenamed("at", "item_at")
@@ -185,7 +186,7 @@ def find_passages(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", tex
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _stretches(MASKS, bits, shared.value, AROUND)(batches)
 
-    found = land(keys(docs, doc_id, text).select("key_a", "key_b", F.col(f"`{text}`")).mapInArrow(
+    found = land(keys(docs, doc_id, text).select("key_a", "key_b", column(text)).mapInArrow(
         take, _SEEDS), "stretches")
     hits = found.select("key_a", "key_b", "begin", F.inline("hits"))
     pairs = hits.join(tests, "seed").select(
@@ -199,7 +200,7 @@ def find_passages(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", tex
 
 def keys(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """``docs`` with two hashes that tell rows apart by id and text, null and empty texts alike."""
-    words, number = F.coalesce(F.col(f"`{text}`"), F.lit("")), F.col(f"`{doc_id}`")
+    words, number = F.coalesce(column(text), F.lit("")), column(doc_id)
     return docs.withColumns({"key_a": F.xxhash64(number, words), "key_b": F.xxhash64(words, number)})
 
 
@@ -210,13 +211,13 @@ def contamination(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", tex
     One row per input row; null and empty texts hold nothing; without items nothing is contaminated; an
     existing column of that name is replaced.
     """
-    found = find_passages(docs.select(F.col(f"`{doc_id}`"), F.col(f"`{text}`")), items, doc_id, text,
+    found = find_passages(docs.select(column(doc_id), column(text)), items, doc_id, text,
                           **options)
     per_row = land(found.groupBy("key_a", "key_b").agg(
         F.array_sort(F.collect_set("item")).alias("items"),
         F.max("equal_words").alias("equal_words")), "contaminated")
-    kept = [F.col(f"`{c}`") for c in docs.columns if c != into]
-    words, number = F.coalesce(F.col(f"`{text}`"), F.lit("")), F.col(f"`{doc_id}`")
+    kept = columns(docs, (into,))
+    words, number = F.coalesce(column(text), F.lit("")), column(doc_id)
     rows = docs.select(F.struct(*kept).alias("row"), F.xxhash64(number, words).alias("key_a"),
                        F.xxhash64(words, number).alias("key_b"))
     return rows.join(per_row, ["key_a", "key_b"], "left").select("row.*", F.struct(
@@ -228,6 +229,6 @@ def contamination(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", tex
 def drop_contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text",
                       **options) -> DataFrame:
     """The rows of ``docs`` that hold no passage of an item, with their columns."""
-    into = "_".join(["found", *docs.columns])  # no column has this name
+    into = free_name(docs, "found")
     return contamination(docs, items, doc_id, text, into, **options).filter(
-        ~F.col(f"`{into}`.contaminated")).select(*[F.col(f"`{c}`") for c in docs.columns])
+        ~column(into)["contaminated"]).select(*columns(docs))

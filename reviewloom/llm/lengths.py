@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from reviewloom.llm.columns import column
+
 #: Lengths per block of the running sums: no task holds more of the histogram, and the sums of the
 #: blocks are one row per this many lengths.
 BLOCK = 1024
@@ -17,7 +19,7 @@ BLOCK = 1024
 
 def length_histogram(lengths: DataFrame, length: str = "n_tokens") -> DataFrame:
     """``length, n_docs``: one row per length that occurs; null lengths are not counted."""
-    return (lengths.select(F.col(f"`{length}`").cast("bigint").alias("length"))
+    return (lengths.select(column(length).cast("bigint").alias("length"))
             .filter(F.col("length").isNotNull())
             .groupBy("length").agg(F.count(F.lit(1)).alias("n_docs")))
 
@@ -61,17 +63,17 @@ def answer_limits(report: DataFrame, limits: DataFrame, limit: str = "limit") ->
 
     A limit below every length cuts all documents; null limits and empty reports answer null.
     """
-    few = limits.select(F.col(f"`{limit}`").cast("bigint").alias("limit")).distinct()
+    few = limits.select(column(limit).cast("bigint").alias("limit")).distinct()
     nearest = report.join(F.broadcast(few), F.col("length") <= F.col("limit")).groupBy("limit").agg(
         F.max(F.struct("length", "docs_longer", "tokens_kept")).alias("at"))
     total = report.agg(F.max("total_docs").alias("all_docs"))
     joined = limits.join(nearest.withColumnRenamed("limit", "_limit"),
-                         F.col(f"`{limit}`").cast("bigint") == F.col("_limit"), "left")
-    docs = F.when(F.col(f"`{limit}`").isNotNull(), F.coalesce("at.docs_longer", "all_docs"))
-    step = F.col(f"`{limit}`") - F.coalesce("at.length", F.lit(0))
+                         column(limit).cast("bigint") == F.col("_limit"), "left")
+    docs = F.when(column(limit).isNotNull(), F.coalesce("at.docs_longer", "all_docs"))
+    step = column(limit) - F.coalesce("at.length", F.lit(0))
     kept = F.coalesce("at.tokens_kept", F.lit(0)) + docs * F.greatest(step, F.lit(0))
     return joined.join(F.broadcast(total)).select(
-        *[F.col(f"`{c}`") for c in limits.columns], docs.alias("docs_cut"), kept.alias("tokens_kept"))
+        *[column(c) for c in limits.columns], docs.alias("docs_cut"), kept.alias("tokens_kept"))
 
 
 def quantile(report: DataFrame, share: float, of: str = "docs") -> Column:

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from reviewloom.llm.batches import slices
+from reviewloom.llm.columns import column
 from reviewloom.llm.words import words_of
 
 # Phrases whose words stand consecutively.
@@ -77,7 +78,7 @@ def word_counts(docs: DataFrame, text: str, words: set[bytes]) -> dict[bytes, in
                     total[w] += 1
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.binary()),
                                           pa.array(list(total.values()), pa.int64())], ["word", "n"])
-    counted = docs.select(F.col(f"`{text}`")).mapInArrow(count, "word binary, n bigint")
+    counted = docs.select(column(text)).mapInArrow(count, "word binary, n bigint")
     found = {bytes(r["word"]): r["n"] for r in
              counted.groupBy("word").agg(F.sum("n").alias("n")).collect()}
     return {w: found.get(w, 0) for w in words}
@@ -168,7 +169,7 @@ def license_scan(docs: DataFrame, text: str = "text",
     that matches, else 0. The order of words only decides how much is filtered early, never a result.
     """
     index = _Index(templates, word_counts(docs, text, _vocabulary(templates)), threshold)
-    return docs.withColumn(into, _scanner(index, [label for label, _ in templates])(F.col(f"`{text}`")))
+    return docs.withColumn(into, _scanner(index, [label for label, _ in templates])(column(text)))
 
 
 def _scanner(index: _Index, labels: list[str]):

@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from reviewloom.llm.columns import column
 from reviewloom.llm.components import connected_components, join_groups, split_large
 from reviewloom.llm.words import hashed_words
 from reviewloom.session import land
@@ -213,7 +214,7 @@ def paragraph_table(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     ``key`` tells rows with the same id apart by their text; ``at`` counts words from 0.
     """
-    number, words = F.col(f"`{doc_id}`"), F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    number, words = column(doc_id), F.coalesce(column(text), F.lit(""))
     kind = docs.schema[doc_id].dataType.simpleString()
     columns = "".join(f", band{k} bigint" for k in range(bands))
     return docs.select(number.alias("doc_id"), F.xxhash64(number, words).alias("key"),
@@ -251,7 +252,7 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     ``min_words`` words or more. Rows with equal ids are one document, null ids another.
     """
     bands = bands_for(similarity, recall)
-    docs = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    docs = docs.select(column(doc_id).alias("doc_id"), column(text).alias("text"))
     table = land(paragraph_table(docs, bands=bands), "paragraphs")
     similar = land(similar_classes(docs, table, bands, similarity), "similar")
     classes = table.groupBy("class").agg(
@@ -282,7 +283,7 @@ def dedup_report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **
     which ``n_removed`` with ``removed_words`` words stay elsewhere; ``removed_spans``, their places in
     words. Null and empty texts repeat nothing.
     """
-    number, words = F.col(f"`{doc_id}`"), F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    number, words = column(doc_id), F.coalesce(column(text), F.lit(""))
     found = land(repeated_passages(docs, doc_id, text, **options), "passages")
     span = F.when(F.col("removed"), F.struct(F.col("at").alias("start"),
                                              (F.col("at") + F.col("n")).alias("stop")))

@@ -16,10 +16,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from reviewloom.llm.batches import slices
+from reviewloom.llm.columns import column, columns, free_name
 
 # Fixed values of the base rules.
 MIN_WORDS = 20
@@ -180,14 +180,14 @@ def quality(docs: DataFrame, text: str = "text", min_repeat: int = MIN_REPEAT,
     One row per input row, repeated rows included; an existing column of that name is replaced. Null
     and empty texts have no words and fail. Nothing is shuffled.
     """
-    measured = F.col(into)
-    return docs.withColumn(into, measures(text, min_repeat)).withColumn(
+    measured = column(into)
+    return docs.withColumn(into, measures(column(text), min_repeat)).withColumn(
         into, measured.withField("base_failed", base_failed(measured)).withField(
             "kept", ~base_failed(measured) & repeats_allowed(measured, max_covered, max_longest)))
 
 
 def keep_good(docs: DataFrame, text: str = "text", **options: int) -> DataFrame:
     """The rows whose text passes, with the columns of ``docs``."""
-    into = "_".join(["quality", *docs.columns])  # no column has this name
+    into = free_name(docs, "quality")
     judged = quality(docs, text, into=into, **options)
-    return judged.filter(F.col(f"`{into}`.kept")).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return judged.filter(column(into)["kept"]).select(*columns(docs))

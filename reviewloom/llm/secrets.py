@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reviewloom.llm.columns import column, columns, free_name
 from reviewloom.session import land
 
 # Fixed values of the base patterns. A match that is too short is dropped after matching; where that
@@ -121,8 +122,8 @@ def find_secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sc
     by two hashes of id and text together. Only spans leave the tasks that read the texts, and only
     of texts with weak parts; what was linked is landed, so its size decides how it is joined back.
     """
-    words = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    number = F.col(f"`{doc_id}`")
+    words = F.coalesce(column(text), F.lit(""))
+    number = column(doc_id)
     keyed = docs.select(F.xxhash64(number, words).alias("key_a"), F.xxhash64(words, number).alias("key_b"),
                         words.alias("words")).filter(
         F.col("words").rlike(OPAQUE) | F.col("words").rlike(IDENTIFIER) | F.col("words").rlike(ENDPOINT))
@@ -131,7 +132,7 @@ def find_secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sc
     linked = land(link_parts(land(parts, "parts"), ["key_a", "key_b"], scope), "linked")
     per_row = linked.groupBy("key_a", "key_b").agg(
         F.collect_set(F.struct("kind", "start", "stop")).alias("linked_spans"))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != into]).alias("row"),
+    rows = docs.select(F.struct(*columns(docs, (into,))).alias("row"),
                        F.xxhash64(number, words).alias("key_a"), F.xxhash64(words, number).alias("key_b"),
                        base_spans(words).alias("base"))
     spans = F.concat("base", F.coalesce("linked_spans", F.array().cast(_EMPTY)))
@@ -151,9 +152,9 @@ def span_list(spans: Column) -> Column:
 def redact(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", scope: int = SCOPE,
            mask: str = "[secret]") -> DataFrame:
     """``docs`` with every span in ``text`` replaced by ``mask``; spans that overlap share one mask."""
-    into = "_".join(["spans", *docs.columns])  # no column has this name
+    into = free_name(docs, "spans")
     found = find_secrets(docs, doc_id, text, scope, into)
-    words = F.col(f"`{text}`")
+    words = column(text)
 
     def cut(held: Column, span: Column) -> Column:
         gap = F.substring(words, held["at"] + 1, span["start"] - held["at"])
@@ -161,8 +162,8 @@ def redact(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", scope: i
         longer = F.struct(held["out"].alias("out"), F.greatest(held["at"], span["stop"]).alias("at"))
         return F.when(span["start"] >= held["at"], fresh).otherwise(longer)
 
-    clean = F.aggregate(F.col(f"`{into}`"), F.struct(F.lit("").alias("out"), F.lit(0).alias("at")), cut,
+    clean = F.aggregate(column(into), F.struct(F.lit("").alias("out"), F.lit(0).alias("at")), cut,
                         lambda held: F.concat(held["out"], F.substring(
                             words, held["at"] + 1, F.length(words))))
-    return found.withColumn(text, F.when(F.size(F.col(f"`{into}`")) > 0, clean).otherwise(words)) \
-        .select(*[F.col(f"`{c}`") for c in docs.columns])
+    return found.withColumn(text, F.when(F.size(column(into)) > 0, clean).otherwise(words)) \
+        .select(*columns(docs))

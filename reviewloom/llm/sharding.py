@@ -15,6 +15,8 @@ import random
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from reviewloom.llm.columns import column
+
 #: Rows of a part and of a block; there are ``MAX_BLOCKS`` of each at most, so that the matrix
 #: stays below a million numbers. Beyond that the parts grow.
 ROWS_PER_BLOCK = 100_000
@@ -86,7 +88,7 @@ def shard_rows(docs: DataFrame, by: list[str], shards: int = 16, seed: int = 0,
     """
     spark = docs.sparkSession
     kept = [c for c in docs.columns if c not in (shard, slot)]
-    keys = [F.col(f"`{c}`") for c in by]
+    keys = [column(c) for c in by]
     rows = docs.count()
     parts = min(MAX_BLOCKS, max(1, math.ceil(rows / rows_per_block)))
     per_shard = max(1, math.ceil(parts / shards))  # blocks of a shard
@@ -94,7 +96,7 @@ def shard_rows(docs: DataFrame, by: list[str], shards: int = 16, seed: int = 0,
     def mixed(salt: str) -> Column:
         return F.xxhash64(*keys, F.lit(f"{salt}-{seed}"))
 
-    placed = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"),
+    placed = docs.select(F.struct(*[column(c) for c in kept]).alias("row"),
                          F.pmod(mixed("part"), F.lit(parts)).cast("int").alias("part"),
                          mixed("deal").alias("deal"), mixed("slot").alias("turn"))
     held = {r["part"]: r["count"] for r in placed.groupBy("part").count().collect()}

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
+from reviewloom.llm.columns import column, columns
 from reviewloom.llm.components import connected_components, join_groups, split_large
 from reviewloom.session import land
 
@@ -180,8 +181,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     equal fingerprints and are one node. Null and empty texts have fingerprint 0, which links like
     any other; null ids have a row but name no group unless nothing else is in it (then null).
     """
-    marked = land(docs.select(F.col(f"`{doc_id}`").alias("doc_id"),
-                              fingerprint(F.col(f"`{text}`"), words_per_shingle).alias("fp")),
+    marked = land(docs.select(column(doc_id).alias("doc_id"),
+                              fingerprint(column(text), words_per_shingle).alias("fp")),
                   "fingerprints")
     nodes = land(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
     named = nodes.join(near_groups(nodes, max_bits=max_bits), "fp", "left").select(
@@ -199,11 +200,11 @@ def keep_one_per_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     Null ids come last; among equal ids the text with the smaller hash stays, and of repeated rows one.
     The texts are shuffled once, after copies have been dropped where they were read.
     """
-    order = F.struct(F.col(f"`{doc_id}`").isNull().alias("no_id"), F.col(f"`{doc_id}`").alias("id"),
-                     F.xxhash64(F.col(f"`{text}`")).alias("hash"))
-    marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+    order = F.struct(column(doc_id).isNull().alias("no_id"), column(doc_id).alias("id"),
+                     F.xxhash64(column(text)).alias("hash"))
+    marked = docs.select(F.struct(*columns(docs)).alias("row"),
                          order.alias("order"),
-                         fingerprint(F.col(f"`{text}`"), words_per_shingle).alias("fp"))
+                         fingerprint(column(text), words_per_shingle).alias("fp"))
     firsts = land(marked.groupBy("fp").agg(F.min_by("row", "order").alias("row"),
                                            F.min("order").alias("order")), "firsts")
     groups = firsts.select("fp", "order").join(near_groups(firsts.select("fp"), max_bits=max_bits),

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from reviewloom.llm.batches import slices
+from reviewloom.llm.columns import column
 from reviewloom.llm.words import hashed_words
 from reviewloom.session import land
 
@@ -127,8 +128,8 @@ def train(docs: DataFrame, labels: DataFrame, eligible: Callable[[Column], Colum
     hash of the id before texts meet labels; the whole text of each counts. Without rows every weight is 0.
     """
     spark = docs.sparkSession
-    number = F.col(f"`{doc_id}`")
-    marked = labels.select(number.alias("id"), F.col(f"`{label}`").cast("int").alias("label")).filter(
+    number = column(doc_id)
+    marked = labels.select(number.alias("id"), column(label).cast("int").alias("label")).filter(
         F.col("label").isin(0, 1) & F.col("id").isNotNull())
     if eligible is not None:
         marked = marked.filter(eligible(F.col("id")))
@@ -139,7 +140,7 @@ def train(docs: DataFrame, labels: DataFrame, eligible: Callable[[Column], Colum
     def chosen(column: Column) -> Column:
         return F.pmod(F.xxhash64(column, F.lit("sample")), F.lit(_SAMPLE_UNITS)) < share
 
-    texts = docs.select(number.alias("id"), F.col(f"`{text}`").alias("text")).filter(chosen(F.col("id")))
+    texts = docs.select(number.alias("id"), column(text).alias("text")).filter(chosen(F.col("id")))
     sample = texts.join(marked.filter(chosen(F.col("id"))), "id").select(
         "label", F.xxhash64("id", F.lit("turn")).alias("turn"), F.coalesce("text", F.lit("")).alias("text"))
     made = land(sample.mapInArrow(_features, "label int, turn bigint, buckets array<int>"), "features")

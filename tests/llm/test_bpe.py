@@ -1,0 +1,98 @@
+import base64
+import hashlib
+import random
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from pyspark.sql import functions as F
+
+from reviewloom.llm import bpe
+
+PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+@pytest.fixture(scope="module")
+def vocab():
+    with open(PATH, "rb") as file:
+        return bpe.Vocabulary(file.read(), public_tokenizers.PATTERN)
+
+
+@pytest.fixture(scope="module")
+def reference(vocab):
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=vocab.rank_of,
+                             special_tokens={})
+
+
+ODD = ["", None, "a", " ", "\n", "aaaa aaaaaaaaaaaaaaaaaaaaa", "  two  spaces \n\n lines\t\ttabs ",
+       "l'été n'est pas fini, they'll've", "日本語 テキスト 🙂🙂🙂 é́", "<|endoftext|>",
+       "\x00\x1c\x1f\x85\xa0 x", "1234567890 12 345", "&&&***###", "é" * 500, "ab" * 3000]
+
+
+def _texts():
+    rng = random.Random(5)
+    letters = "aabcdeéß 日\n\t.,'1🙂"
+    return ODD + ["".join(rng.choice(letters) for _ in range(rng.randrange(80))) for _ in range(300)]
+
+
+def test_slices_agree_with_the_public_encoder(vocab, reference):
+    texts = _texts()
+    for size in (1, 7, len(texts)):
+        for at in range(0, len(texts), size):
+            part = texts[at:at + size]
+            ids, bounds = bpe.encode_slice([t if t is None else t.encode() for t in part], vocab)
+            assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == \
+                [reference.encode_ordinary(t or "") for t in part]
+
+
+def test_replay_agrees_with_one_merge_at_a_time(vocab):
+    rng = random.Random(3)
+    words = [bytes(rng.choice(b"aabnsteo \xc3\xa9") for _ in range(rng.randrange(1, 40))) for _ in range(500)]
+    ids, bounds = bpe.replay_merges(words, vocab)
+    assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == \
+        [bpe._one_word(w, vocab) for w in words]
+
+
+def test_merges_out_of_rank_order_are_redone():
+    """'cd' and 'd' only meet after a later rank than their own merge has been applied."""
+    pieces = {bytes([b]): b for b in range(256)}
+    pieces |= {b"bc": 300, b"abc": 301, b"ab": 302, b"bcd": 299, b"aab": 303}
+    lines = b"\n".join(base64.b64encode(p) + b" " + str(r).encode() for p, r in pieces.items())
+    vocab = bpe.Vocabulary(lines, public_tokenizers.PATTERN)
+    rng = random.Random(1)
+    words = [bytes(rng.choice(b"abcd") for _ in range(rng.randrange(1, 12))) for _ in range(400)]
+    ids, bounds = bpe.replay_merges(words, vocab)
+    assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == [bpe._one_word(w, vocab) for w in words]
+
+
+def test_columns_round_trip(llm, documents, reference):
+    codec = bpe.BytePairEncoding(llm, PATH, public_tokenizers.PATTERN)
+    docs = documents(list(enumerate(ODD)) + [(1, "a"), (None, None)]).withColumn("ids", F.lit("x"))
+    rows = docs.withColumn("e", codec.encode("text")).select(
+        "text", "e.n_tokens", "e.ids", codec.decode("e.ids").alias("back"),
+        codec.count("text").alias("n")).collect()
+    assert len(rows) == len(ODD) + 2
+    for r in rows:
+        want = reference.encode_ordinary(r["text"] or "")
+        assert np.frombuffer(bytes(r["ids"]), "<u4").tolist() == want
+        assert r["n_tokens"] == r["n"] == len(want)
+        assert bytes(r["back"]) == (r["text"] or "").encode()
+    assert documents([]).withColumn("e", codec.encode("text")).count() == 0
+
+
+def test_query_digests(llm, reference):
+    from reviewloom.llm.queries import QUERIES
+    sf = "/root/testdata/sf0.001"
+    texts = {r["doc_id"]: r["text"] for r in llm.read.parquet(f"{sf}/documents.parquet").collect()}
+    for r in QUERIES["op4_bpe"](llm, sf).collect():
+        ids = reference.encode_ordinary(texts[r["doc_id"]] or "")
+        assert r["n_tokens"] == len(ids)
+        assert r["ids_sha256"] == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+        assert r["decoded_sha256"] == hashlib.sha256((texts[r["doc_id"]] or "").encode()).hexdigest()
+
+
+def test_large_rank_files_are_refused(llm, tmp_path, monkeypatch):
+    monkeypatch.setattr(bpe, "MAX_RANK_FILE_BYTES", 10)
+    with pytest.raises(ValueError):
+        bpe.BytePairEncoding(llm, PATH, public_tokenizers.PATTERN)

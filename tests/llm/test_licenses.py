@@ -1,0 +1,73 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+import brute
+from reviewloom.llm import licenses
+
+NOTICE = dict(licenses.TEMPLATES)
+CASES = [
+    None, "", "nothing", "CC BY 4.0, cc-by; Cc  by", "All Rights\nReserved. all rights reserved",
+    "GNU General Public License, version 3", "general public", "ccby cc xby", "é" + "cc by" + "é cc by",
+    "Permission is hereby granted,\nfree of charge, to any person\nobtaining a copy of this software and "
+    "associated documentation files", "Released under the MIT License.", "released under the license",
+    "filler " * 100 + licenses.TEMPLATES[2][1].replace(" ", "\n") + " filler" * 100,
+    "the of and in to a is this with or " * 30, "all " * 3000 + "all rights reserved",
+]
+
+
+def _plain(text):
+    words = brute.alnum_words(text)
+    starts, base = [], set()
+    for phrase, label in licenses.PHRASES:
+        parts = phrase.split()
+        at = [i for i in range(len(words)) if words[i:i + len(parts)] == parts]
+        starts += at
+        base |= {label} if at else set()
+    blocks = []
+    for start in range(0, max(1, len(words) - licenses.STEP), licenses.STEP):
+        block = set(words[start:start + licenses.BLOCK])
+        for t, (_, notice) in enumerate(licenses.TEMPLATES):
+            wanted = set(notice.split())
+            if len(block & wanted) >= licenses.needed(len(wanted)):
+                blocks.append((start, t, len(block & wanted) / len(wanted)))
+    labels = base | {licenses.TEMPLATES[t][0] for _, t, _ in blocks}
+    score = 1.0 if base else max((s for *_, s in blocks), default=0.0)
+    return (len(words), len(starts), min(starts, default=None), max(starts, default=None), sorted(base),
+            sorted(labels), score, sorted(blocks))
+
+
+def _random(seed):
+    rng = random.Random(seed)
+    known = sorted({w for _, t in licenses.TEMPLATES for w in t.split()})
+    notice = rng.choice(licenses.TEMPLATES)[1].split()
+    kept = [w for w in notice if rng.random() < 0.93]
+    return " ".join([rng.choice(known) if rng.random() < 0.3 else f"w{rng.randrange(50)}"
+                     for _ in range(rng.randrange(120))] + kept)
+
+
+def test_filters_lose_no_block(documents):
+    texts = CASES + [_random(i) for i in range(150)]
+    docs = documents(list(enumerate(texts)) + [(0, CASES[3]), (None, None)]).withColumn("license", F.lit(1))
+    rows = licenses.license_scan(docs).collect()
+    assert len(rows) == len(texts) + 2
+    hits = 0
+    for r in rows:
+        got = r["license"]
+        want = _plain(r["text"])
+        assert tuple(got[:6]) == want[:6]
+        assert got["score"] == pytest.approx(want[6])
+        assert [(b["start"], b["template"]) for b in got["blocks"]] == [b[:2] for b in want[7]]
+        hits += bool(got["blocks"])
+    assert hits > 50
+
+
+def test_no_documents(documents):
+    assert licenses.license_scan(documents([])).count() == 0
+
+
+def test_too_many_templates(documents, monkeypatch):
+    monkeypatch.setattr(licenses, "MAX_TEMPLATE_WORDS", 3)
+    with pytest.raises(ValueError):
+        licenses.license_scan(documents([]))
