@@ -1,10 +1,11 @@
 """Joins and numbering that hold when one key owns a large share of the rows.
 
 Both start from per-key counts, which are small after map-side aggregation, and single out the
-hot keys: the ``HOT_KEYS`` largest of those above ``ROWS_PER_SPLIT``. The list names keys by a
-64-bit digest, so it cannot exceed ``HOT_KEYS`` times 16 bytes and may be broadcast, and a key that
-misses it holds less than one part in ``HOT_KEYS`` of all rows. Nothing is dropped: the list only
-decides which keys are spread, and a key that shares its digest with a hot one is merely spread too.
+hot keys: all with more than ``rows_per_split`` rows, however many they are. The list names keys by a
+64-bit digest; a key that shares its digest with a hot one is merely spread too. There are at most
+rows / ``rows_per_split`` hot keys. From ``BROADCAST_FROM`` rows per split on that is less than a
+thousandth of the rows' own size, by far, and the list is broadcast; below, it is joined as a table
+that AQE broadcasts if it measures small.
 """
 
 from __future__ import annotations
@@ -15,28 +16,27 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HOT_KEYS = 10_000
 ROWS_PER_SPLIT = 1_000_000
+BROADCAST_FROM = 100_000
+#: Quantiles of a key's order; a block holds a ``QUANTILES``-th of its key at least.
+QUANTILES = 1024
 
-_DIGEST, _SPLITS, _SALT, _COUNT = "__digest", "__splits", "__salt", "__count"
-_KEY, _LOW, _HIGH, _WIDTH, _BLOCK, _BASE = "__key", "__low", "__high", "__width", "__block", "__base"
+_DIGEST, _SPLITS, _SALT, _COUNT, _TASK = "__digest", "__splits", "__salt", "__count", "__task"
+_KEY, _MARKS, _CUTS, _BLOCK, _BASE = "__key", "__marks", "__cuts", "__block", "__base"
 
 
 def _hottest(counts: DataFrame, keys: Sequence[str], count: str, rows_per_split: int,
              value: Column, into: str) -> DataFrame:
     """``value`` of the hot keys by digest."""
-    rest = [c for c in counts.columns if c != count]
-    largest = (counts.filter(F.col(count) > rows_per_split)
-                     .orderBy(F.col(count).desc(), *rest)
-                     .limit(HOT_KEYS))
-    return (largest.select(F.xxhash64(*keys).alias(_DIGEST), value.alias(into))
-                   .groupBy(_DIGEST).agg(F.max(into).alias(into)))
+    large = counts.filter(F.col(count) > rows_per_split)
+    return (large.select(F.xxhash64(*keys).alias(_DIGEST), value.alias(into))
+                 .groupBy(_DIGEST).agg(F.max(into).alias(into)))
 
 
-def _with_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
+def _with_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame, rows_per_split: int) -> DataFrame:
     """``df`` with the hot keys' value, null for all other keys."""
-    return (df.withColumn(_DIGEST, F.xxhash64(*keys))
-              .join(F.broadcast(hot), _DIGEST, "left").drop(_DIGEST))
+    listed = F.broadcast(hot) if rows_per_split >= BROADCAST_FROM else hot
+    return df.withColumn(_DIGEST, F.xxhash64(*keys)).join(listed, _DIGEST, "left").drop(_DIGEST)
 
 
 def _keyed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -49,8 +49,8 @@ def spread_join(rows: DataFrame, lookup: DataFrame, keys: Sequence[str], how: st
     """Equi-join ``rows`` with ``lookup``, which has at most one row per key.
 
     Rows of a hot key are dealt over several salts, and its lookup row is repeated once per salt.
-    The salt is a hash of the row's content and of the task that reads it, so copies of one row
-    are dealt too, and a task that runs again deals as before. No size is assumed for ``lookup``:
+    The salt is a hash of the row's content plus the number of the task that reads it, so copies of
+    one row are dealt too, and a task that runs again deals as before. No size is assumed for ``lookup``:
     AQE turns the join into a broadcast only when the shuffled lookup turns out small.
 
     When ``lookup`` is an aggregate of ``rows``, let it hold their number per key in ``count``,
@@ -71,14 +71,17 @@ def spread_join(rows: DataFrame, lookup: DataFrame, keys: Sequence[str], how: st
         return F.ceil(F.col(n) / F.lit(rows_per_split)).cast("int")
 
     hot = _hottest(counts, keys, count, rows_per_split, splits_of(count), _SPLITS)
-    dealt = F.pmod(F.xxhash64(*rows.columns, F.spark_partition_id()), F.col(_SPLITS)).cast("int")
+    dealt = F.pmod(F.pmod(F.xxhash64(*rows.columns), F.col(_SPLITS)) + F.col(_TASK),
+                   F.col(_SPLITS)).cast("int")
     salt = F.when(F.col(_SPLITS).isNull(), F.lit(0)).otherwise(dealt)
     repeats = F.coalesce(F.col(_SPLITS), F.lit(1))
     if count in lookup.columns:
         # at least as many as needed; reading the count keeps this aggregate the one of the list
         repeats = F.greatest(repeats, splits_of(count))
-    salted_rows = _with_hot(rows, keys, hot).withColumn(_SALT, salt).drop(_SPLITS)
-    salted_lookup = (_with_hot(lookup, keys, hot)
+    marked = rows.withColumn(_TASK, F.spark_partition_id())  # before any join moves the rows
+    salted_rows = (_with_hot(marked, keys, hot, rows_per_split).withColumn(_SALT, salt)
+                   .drop(_SPLITS, _TASK))
+    salted_lookup = (_with_hot(lookup, keys, hot, rows_per_split)
                      .withColumn(_SALT, F.explode(F.sequence(F.lit(0), repeats - 1)))
                      .drop(_SPLITS, count))
     return salted_rows.join(salted_lookup, [*keys, _SALT], how).drop(_SALT)
@@ -88,9 +91,9 @@ def number_rows(rows: DataFrame, keys: Sequence[str], order: str, into: str = "r
                 at_most: int | None = None, rows_per_split: int | None = None) -> DataFrame:
     """Exact 1-based numbering per key in the order of an integral, per-key unique column.
 
-    A hot key's value range is cut into blocks of equal width. Rows are numbered inside their
-    block, and a block starts where the counted sizes of the blocks before it end. No task ever
-    sorts more than one block.
+    A hot key is cut at quantiles of its order, so its blocks are alike in size whatever the values
+    are. Rows are numbered inside their block, and a block starts where the counted sizes of the
+    blocks before it end. No task ever sorts more than one block.
 
     ``at_most`` keeps only the first rows of each key. Blocks that start beyond it are left out
     before anything is sorted.
@@ -101,23 +104,28 @@ def number_rows(rows: DataFrame, keys: Sequence[str], order: str, into: str = "r
     # without keys it is a value computed from the data, so that the joins stay equi-joins
     key = F.struct(*keys) if keys else F.struct(F.pmod(pos, F.lit(1)))
     work = rows.withColumn(_KEY, key).drop(*keys)
-    spans = work.groupBy(_KEY).agg(F.min(pos).alias(_LOW), F.max(pos).alias(_HIGH),
-                                   F.count(F.lit(1)).alias(_COUNT))
-    # any positive width gives exact numbers, so a rounded one will do; divided first, as the
-    # span itself may exceed a bigint
-    blocks = F.ceil(F.col(_COUNT) / F.lit(rows_per_split))
-    width = F.floor(F.col(_HIGH) / blocks - F.col(_LOW) / blocks).cast("bigint") + 1
-    hot = _hottest(spans, [_KEY], _COUNT, rows_per_split, width, _WIDTH)
-
-    blocked = _with_hot(work, [_KEY], hot).withColumn(
-        _BLOCK, F.coalesce(_int_div(pos, F.col(_WIDTH)), F.lit(0).cast("bigint")))
-    sizes = (blocked.filter(F.col(_WIDTH).isNotNull())
+    marks = F.percentile_approx(pos, F.array(*[F.lit(i / QUANTILES) for i in range(1, QUANTILES)]),
+                                F.lit(10 * QUANTILES))
+    spans = work.groupBy(_KEY).agg(marks.alias(_MARKS), F.count(F.lit(1)).alias(_COUNT))
+    # every so many quantiles make one block; the counts of the blocks make up for what is approximate
+    blocks = F.least(F.ceil(F.col(_COUNT) / F.lit(rows_per_split)), F.lit(QUANTILES))
+    step = F.greatest(F.floor(F.lit(QUANTILES) / blocks), F.lit(1))
+    cuts = F.filter(_MARKS, lambda _, i: F.pmod(i + 1, step) == 0)
+    hot = _hottest(spans, [_KEY], _COUNT, rows_per_split, cuts, _CUTS)
+
+    halvings = F.array(*[F.lit(1 << i) for i in range(QUANTILES.bit_length() - 1, -1, -1)])
+    # binary search: how many cuts are not beyond the value
+    search = F.aggregate(halvings, F.lit(0), lambda at, by: F.when(
+        F.get(_CUTS, at + by - 1) <= pos, at + by).otherwise(at))
+    blocked = _with_hot(work, [_KEY], hot, rows_per_split).withColumn(
+        _BLOCK, F.when(F.col(_CUTS).isNotNull(), search).otherwise(F.lit(0)))
+    sizes = (blocked.filter(F.col(_CUTS).isNotNull())
                     .groupBy(_KEY, _BLOCK).agg(F.count(F.lit(1)).alias(_COUNT)))
     before = Window.partitionBy(_KEY).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     bases = (sizes.select(_KEY, _BLOCK, F.sum(_COUNT).over(before).alias(_BASE))
                   .filter(F.col(_BASE).isNotNull()))
 
-    placed = blocked.drop(_WIDTH).join(bases, [_KEY, _BLOCK], "left")
+    placed = blocked.drop(_CUTS).join(bases, [_KEY, _BLOCK], "left")
     base = F.coalesce(F.col(_BASE), F.lit(0))
     if at_most is not None:
         placed = placed.filter(base < at_most)
