@@ -28,6 +28,14 @@ def data_file(c: Column | str) -> Column:
     return F.when(name.endswith(".csv"), name).otherwise(F.concat(name, F.lit(".csv")))
 
 
+def file_name(encoded: Column | str) -> Column:
+    """The name of a file as it is listed, from its URL-encoded form in ``_metadata``.
+
+    Only ``%`` starts an escape there; a plus sign stands for itself.
+    """
+    return F.url_decode(F.replace(_col(encoded), F.lit("+"), F.lit("%2B")))
+
+
 def data_path(c: Column | str, base: str) -> Column:
     """Path of a manifest entry's file below ``base``."""
     return F.concat(F.lit(base.rstrip("/") + "/"), data_file(c))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import shutil
 import tempfile
 import uuid
@@ -43,10 +44,13 @@ def build_session(app: str, master: str | None = None, shuffle_partitions: int |
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
-    Only where the session names none, as in a local test, is a fresh local folder set.
+    Only where the session names none and runs in one process, as in a local test, is a fresh local
+    folder set. On a cluster its executors would each write to their own disk, so that is an error.
     """
     named = spark.conf.get(SHARED_DIR, None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError(f"{SHARED_DIR} must name a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="reviewloom-"))
         named = spark.sparkContext.getCheckpointDir()
     return named

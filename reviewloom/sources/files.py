@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import permutations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reviewloom.functions.names import PRODUCT_URL_PATTERN, extract_ids
+from reviewloom.functions.names import PRODUCT_URL_PATTERN, data_file, extract_ids, file_name
+from reviewloom.operators.skew import spread_join
+from reviewloom.session import land
 
 RAW_REVIEW = T.StructType([
     T.StructField("rating_star", T.StringType()),
@@ -18,28 +21,107 @@ RAW_REVIEW = T.StructType([
 
 # Quotes inside a field are doubled, not escaped by a backslash.
 CSV = {"escape": '"', "quote": '"'}
+#: With a header that must agree with the columns asked for: no value is ever taken for another one.
+WITH_HEADER = {**CSV, "header": True, "enforceSchema": False}
+#: So many file names may stand in a filter; beyond that the wanted files are joined as a table.
+NAMES_IN_FILTER = 10_000
+
+_ENCODED = "_metadata.file_name"
 
 
 def read_reviews(spark: SparkSession, paths: str | Sequence[str],
-                 schema: T.StructType = RAW_REVIEW) -> DataFrame:
-    """Raw review CSVs with a header, all as text, plus the ``source_file`` of each row.
+                 schema: T.StructType = RAW_REVIEW, only: DataFrame | None = None,
+                 fmt: str = "csv", mixed_headers: bool = False) -> DataFrame:
+    """Raw reviews, all as text, plus the ``source_file`` of each row.
+
+    CSVs have a header, which must hold the columns of ``schema`` in that order, or reading fails. With
+    ``mixed_headers`` each file may have them in its own order, at the price of a second scan for
+    the headers. Empty fields come back as null. ``fmt="parquet"`` reads what ``land_reviews`` wrote.
 
-    All files are one scan. Empty fields come back as null.
+    ``only`` holds the wanted files in ``filename``; no other file is opened, unless there
+    are more than ``NAMES_IN_FILTER`` of them, when the others' rows go right after the scan.
+    """
+    if fmt != "csv":
+        landed = T.StructType([*(f for f in schema if f.name != "source_file"),
+                               T.StructField("source_file", T.StringType())])
+        rows = spark.read.schema(landed).format(fmt).load(paths)
+        if only is not None:
+            rows = _of_files(rows, "source_file", only.select(data_file("filename").alias("source_file")))
+        return rows.select(*[n for n in schema.names if n != "source_file"], "source_file")
+    names = schema.names
+    encoded = None
+    if only is not None:
+        encoded = _listed(spark, paths).join(
+            only.select(data_file("filename").alias("source_file")).distinct(), "source_file",
+            "left_semi").select("encoded")
+    if not mixed_headers:
+        rows = spark.read.schema(schema).options(**WITH_HEADER).csv(paths)
+        rows = rows.select(*names, F.col(_ENCODED).alias("encoded"))
+        order = None
+    else:
+        positions = ", ".join(f"_{i} string" for i in range(len(names)))
+        rows = spark.read.schema(positions).options(**CSV, header=True).csv(paths)
+        rows = rows.select("*", F.col(_ENCODED).alias("encoded"))
+        order = _header_orders(spark, paths, names)
+    if encoded is not None:
+        rows = _of_files(rows, "encoded", encoded)
+    if order is not None:
+        placed = spread_join(rows, order, ["encoded"])
+        rows = placed.select(*[F.get(F.array(*[f"_{i}" for i in range(len(names))]),
+                                     F.array_position("order", n).cast("int") - 1)
+                               .cast(schema[n].dataType).alias(n) for n in names], "encoded")
+    return rows.select(*names, file_name("encoded").alias("source_file"))
+
+
+def _listed(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """Files by both forms of their names; nothing is opened."""
+    files = spark.read.format("binaryFile").load(paths)
+    return files.select(F.col(_ENCODED).alias("encoded"), file_name(_ENCODED).alias("source_file"))
+
+
+def _of_files(rows: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
+    """Rows whose file is wanted. A filter on names keeps Spark from opening the other files."""
+    wanted = wanted.distinct()
+    few = [r[0] for r in wanted.limit(NAMES_IN_FILTER + 1).collect()]
+    if len(few) <= NAMES_IN_FILTER:
+        return rows.filter(F.col(column).isin(few))
+    return spread_join(rows, wanted, [column], "left_semi")
+
+
+def _header_orders(spark: SparkSession, paths: str | Sequence[str], names: Sequence[str]) -> DataFrame:
+    """``encoded, order`` for each file whose header has these columns in some order."""
+    lines = spark.read.text(paths).select(
+        F.regexp_replace(F.regexp_replace("value", "^\ufeff", ""), "[\"\\s]", "").alias("line"),
+        F.col(_ENCODED).alias("encoded"))
+    headers = [",".join(p) for p in permutations(names)]
+    found = lines.filter(F.col("line").isin(headers)).groupBy("encoded").agg(
+        F.min("line").alias("line"))
+    return land(found.select("encoded", F.split("line", ",").alias("order")), "headers")
+
+
+def _in_file_order(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``pos``, which grows by file name, then by place in the file.
+
+    Parts of files are ranked, one row each; within a part the rows count on.
     """
-    rows = spark.read.schema(schema).options(header=True, **CSV).csv(paths)
-    return rows.select(*schema.names, F.col("_metadata.file_name").alias("source_file"))
+    placed = rows.select("*", file_name(_ENCODED).alias("__file"),
+                         F.col("_metadata.file_block_start").alias("__start"),
+                         F.monotonically_increasing_id().alias("__id"))
+    parts = placed.groupBy("__file", "__start").agg(F.min("__id").alias("__first"))
+    rank = F.row_number().over(Window.orderBy("__file", "__start")) - 1
+    ranked = parts.select("__file", "__start", "__first", rank.cast("bigint").alias("__rank"))
+    pos = F.col("__rank") * F.lit(1 << 33) + F.col("__id") - F.col("__first")
+    return placed.join(ranked, ["__file", "__start"]).select(*rows.columns, pos.alias("pos"))
 
 
 def read_manifest(spark: SparkSession, path: str, has_header: bool = True) -> DataFrame:
-    """Expected files, ``filename`` and ``pos``, which grows in file order."""
-    rows = spark.read.schema("filename string").options(header=has_header, **CSV).csv(path)
-    return rows.withColumn("pos", F.monotonically_increasing_id())
+    """Expected files, ``filename`` and ``pos``, which grows in file order, part file by part file."""
+    return _in_file_order(spark.read.schema("filename string").options(header=has_header, **CSV).csv(path))
 
 
 def read_product_urls(spark: SparkSession, path: str) -> DataFrame:
     """First column of a CSV without header as ``url``, and ``pos``."""
-    rows = spark.read.schema("url string").options(header=False, **CSV).csv(path)
-    return rows.withColumn("pos", F.monotonically_increasing_id())
+    return _in_file_order(spark.read.schema("url string").options(header=False, **CSV).csv(path))
 
 
 def build_manifest(urls: DataFrame, url: str = "url", pattern: str = PRODUCT_URL_PATTERN,
@@ -54,4 +136,9 @@ def build_manifest(urls: DataFrame, url: str = "url", pattern: str = PRODUCT_URL
 def list_files(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame:
     """Names of the files in folder ``path``, those ``read_reviews`` reads; nothing is opened."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
-    return files.select(F.element_at(F.split("path", "/"), -1).alias("filename"))
+    return files.select(file_name(_ENCODED).alias("filename"))
+
+
+def list_landed(spark: SparkSession, path: str, by: str = "source_file") -> DataFrame:
+    """Names of the files that a table written by ``land_reviews`` holds, from its partitions."""
+    return spark.read.schema(f"{by} string").parquet(path).select(F.col(by).alias("filename")).distinct()

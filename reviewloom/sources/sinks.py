@@ -3,7 +3,7 @@ partition swollen by one source or index is split."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
@@ -33,8 +33,12 @@ def land_reviews(df: DataFrame, path: str, fmt: str = "parquet",
 
 
 def write_manifest(df: DataFrame, path: str) -> None:
-    """File names without header, replacing what is there."""
-    df.select("filename").write.mode("overwrite").options(header=False, **_CSV_OUT).csv(path)
+    """File names without header, replacing what is there.
+
+    With ``pos`` they are written in its order: part files follow one another like their names.
+    """
+    rows = df.orderBy("pos") if "pos" in df.columns else df
+    rows.select("filename").write.mode("overwrite").options(header=False, **_CSV_OUT).csv(path)
 
 
 def write_clean(df: DataFrame, path: str) -> None:
@@ -44,7 +48,7 @@ def write_clean(df: DataFrame, path: str) -> None:
 
 def write_index(df: DataFrame, path: str | None = None, fmt: str = "parquet",
                 options: Mapping[str, str] | None = None, by: str | None = "index_name") -> None:
-    """Replace an index with ``df``.
+    """Replace the indexes that ``df`` holds and leave the others alone.
 
     ``fmt`` and ``options`` name the target: a file format by default, partitioned by index name,
     or a search index through its connector, which takes the index from the options (``by=None``).
@@ -52,11 +56,11 @@ def write_index(df: DataFrame, path: str | None = None, fmt: str = "parquet",
     out = df.hint("rebalance", by) if by else df
     writer = out.write.format(fmt).options(**dict(options or {})).mode("overwrite")
     if by:
-        writer = writer.partitionBy(by)
+        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(by)
     writer.save(path)
 
 
-def preview(df: DataFrame, n: int = 5) -> DataFrame:
-    """Print the schema and return the first ``n`` rows."""
+def preview(df: DataFrame, n: int = 5, order_by: Sequence[str] = ()) -> DataFrame:
+    """Print the schema and return the first ``n`` rows, in the order given if any."""
     df.printSchema()
-    return df.limit(n)
+    return (df.orderBy(*order_by) if order_by else df).limit(n)

@@ -124,6 +124,117 @@ def test_index_sink(spark, tmp_path, fmt):
         ("comment_index_76", "a"), ("comment_index_77", "b")]
 
 
+def test_one_index_is_replaced_and_the_others_stay(spark, tmp_path):
+    path = str(tmp_path / "index")
+    for rows in ([("comment_index_76", "a")], [("comment_index_77", "b")], [("comment_index_76", "c")]):
+        sinks.write_index(spark.createDataFrame(rows, "index_name string, name string"), path)
+    assert sorted((r.index_name, r.name) for r in spark.read.parquet(path).collect()) == [
+        ("comment_index_76", "c"), ("comment_index_77", "b")]
+
+
+def test_columns_are_never_taken_for_one_another(spark, tmp_path):
+    write_reviews(tmp_path / "a.csv", [("5", "good", "p")])
+    (tmp_path / "b.csv").write_text("name,comment,rating_star\nq,fine,4\n")
+    (tmp_path / "c d.csv").write_text('"comment","rating_star","name"\nbad,1,r\n')
+    with pytest.raises(Exception, match="(?i)header"):
+        files.read_reviews(spark, str(tmp_path)).collect()
+    got = files.read_reviews(spark, str(tmp_path), mixed_headers=True)
+    want = [("5", "good", "p", "a.csv"), ("4", "fine", "q", "b.csv"), ("1", "bad", "r", "c d.csv")]
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+    only = spark.createDataFrame([("b",), ("c d.csv",), ("never",)], "filename string")
+    some = files.read_reviews(spark, str(tmp_path), only=only, mixed_headers=True)
+    assert sorted(map(tuple, some.collect())) == sorted(want[1:])
+
+
+ODD_NAMES = ["a b.csv", "100%.csv", "a+b.csv", "café ü.csv", "x%20y.csv", "1_2.csv"]
+
+
+def test_odd_names_are_the_same_everywhere(spark, tmp_path):
+    for name in ODD_NAMES:
+        write_reviews(tmp_path / name, [("5", name, "p")])
+    assert sorted(r.filename for r in files.list_files(spark, str(tmp_path)).collect()) == sorted(ODD_NAMES)
+    rows = files.read_reviews(spark, str(tmp_path)).collect()
+    assert sorted(r.source_file for r in rows) == sorted(ODD_NAMES)
+    assert all(r.source_file == r.comment for r in rows)
+    only = spark.createDataFrame([("a b",), ("100%.csv",), ("a+b",)], "filename string")
+    some = files.read_reviews(spark, str(tmp_path), only=only)
+    assert sorted(r.source_file for r in some.collect()) == ["100%.csv", "a b.csv", "a+b.csv"]
+
+
+@pytest.mark.parametrize("limit", [0, 10])
+def test_only_the_wanted_files_are_opened(spark, tmp_path, monkeypatch, limit):
+    for i in range(6):
+        write_reviews(tmp_path / f"{i}.csv", [("5", "x", f"p{i}")])
+    monkeypatch.setattr(files, "NAMES_IN_FILTER", limit)
+    only = spark.createDataFrame([("1",), ("4.csv",), ("4",), ("9",)], "filename string")
+    rows = files.read_reviews(spark, str(tmp_path), only=only)
+    assert sorted(r.name for r in rows.collect()) == ["p1", "p4"]
+    if limit:
+        plan = rows._jdf.queryExecution().executedPlan()
+        found = rows.select("name", "source_file")
+        found.collect()
+        assert "PartitionFilters" in plan.toString() or "file_name" in plan.toString()
+
+
+def test_landed_reviews_are_read_like_files(spark, tmp_path):
+    rows = spark.createDataFrame([("5", "x", "p", "1_2.csv"), ("4", "y", "q", "3 4.csv")],
+                                 RAW + ", source_file string")
+    path = str(tmp_path / "landed")
+    sinks.land_reviews(rows, path)
+    got = files.read_reviews(spark, path, fmt="parquet")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, rows.collect()))
+    only = spark.createDataFrame([("3 4",)], "filename string")
+    assert [r.name for r in files.read_reviews(spark, path, only=only, fmt="parquet").collect()] == ["q"]
+    assert sorted(r.filename for r in files.list_landed(spark, path).collect()) == ["1_2.csv", "3 4.csv"]
+
+
+def test_a_manifest_of_many_parts_keeps_its_order(spark, tmp_path):
+    path = str(tmp_path / "list")
+    names = [f"{i * 37 % 60}_{'x' * (i % 9)}" for i in range(60)]
+    df = spark.createDataFrame(list(enumerate(names)), "pos long, filename string").repartition(6)
+    settings = {"spark.sql.shuffle.partitions": "6", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        sinks.write_manifest(df, path)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert len([p for p in (tmp_path / "list").iterdir() if p.name.startswith("part-")]) > 1
+    got = {r.filename: r.index_name for r in assign_index(
+        files.read_manifest(spark, path, has_header=False)).collect()}
+    assert got == {n: f"comment_index_{76 + i}" for i, n in enumerate(names)}
+
+
+class _Cluster:
+    """A session on a cluster that names no shared folder."""
+
+    class conf:
+        @staticmethod
+        def get(key, default=None):
+            return default
+
+    class sparkContext:
+        master = "spark://somewhere:7077"
+
+        @staticmethod
+        def getCheckpointDir():
+            return None
+
+
+@pytest.mark.parametrize("master", ["spark://somewhere:7077", "yarn", "local-cluster[2,1,1024]", "k8s://x"])
+def test_a_cluster_must_name_a_shared_folder(master, monkeypatch):
+    monkeypatch.setattr(_Cluster.sparkContext, "master", master)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_dir(_Cluster())
+
+
+def test_preview_in_order(spark):
+    df = spark.range(20).repartition(4)
+    assert [r.id for r in sinks.preview(df, 3, [df["id"].desc()]).collect()] == [19, 18, 17]
+
+
 def test_preview(spark, capsys):
     df = spark.range(20)
     assert sinks.preview(df).count() == 5
