@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from checks import views as v
 from checks.views import table, with_views
 from reviewloom.functions import names, rating, review, spam, text
 from reviewloom.operators import clean, enrich, payload, skew, stats, workset
 from reviewloom.operators import rating as product
+from reviewloom.plans import job
 from reviewloom.plans.enrich import enrich_reviews
 from reviewloom.plans.score import score_late_reviews, score_reviews
 from reviewloom.session import fresh_path
@@ -506,19 +508,23 @@ def build_manifest(spark, sf):
         "filename", "pos")
 
 
-@query("SELECT filename FROM url_manifest")
+@query("""
+    SELECT filename, 'comment_index_' || (75 + row_number() OVER (ORDER BY pos)) AS index_name
+    FROM url_manifest""")
 def read_manifest(spark, sf):
     path = fresh_path(spark, "manifest")
-    sinks.write_manifest(files.build_manifest(v.manifest_urls(spark, sf), pattern=v.URL_PATTERN),
-                         path)
-    return files.read_manifest(spark, path, has_header=False).select("filename")
+    listed = files.build_manifest(v.manifest_urls(spark, sf), pattern=v.URL_PATTERN)
+    sinks.write_manifest(listed.repartition(6), path)
+    manifest = files.read_manifest(spark, path, has_header=False)
+    return workset.assign_index(manifest).select("filename", "index_name")
 
 
-@query("SELECT url FROM pages")
+@query("SELECT url, row_number() OVER (ORDER BY page_id) AS row_no FROM pages")
 def read_product_urls(spark, sf):
     path = fresh_path(spark, "urls")
-    v.manifest_urls(spark, sf).select("url").write.csv(path, escape='"')
-    return files.read_product_urls(spark, path).select("url")
+    v.manifest_urls(spark, sf).orderBy("pos").select("url").write.csv(path, escape='"')
+    urls = skew.number_rows(files.read_product_urls(spark, path), [], "pos")
+    return urls.select("url", F.col("row_no").cast("bigint").alias("row_no"))
 
 
 def _as_files(spark: SparkSession, sf: str) -> DataFrame:
@@ -532,11 +538,12 @@ def _as_files(spark: SparkSession, sf: str) -> DataFrame:
 def read_reviews(spark, sf):
     path = fresh_path(spark, "raw")
     rows = _as_files(spark, sf)
-    # two appends, as pages come in
-    for english in (True, False):
+    # two appends, as pages come in, of which the second orders its columns in another way
+    for english, order in ((True, ["rating_star", "comment", "name"]),
+                           (False, ["name", "rating_star", "comment"])):
         part = rows.filter((F.col("scope") == "en") == english)
-        sinks.append_reviews(part.drop("scope"), path)
-    return files.read_reviews(spark, path).select("rating_star", "comment", "name")
+        sinks.append_reviews(part.select(*order), path)
+    return files.read_reviews(spark, path, mixed_headers=True).select("rating_star", "comment", "name")
 
 
 @query("""
@@ -563,7 +570,9 @@ def write_index(spark, sf):
         F.min("doc_id").alias("pos"))
     scored = score_reviews(v.reviews_raw(spark, sf), SCOPE, order_by=["row_id"])
     indexed = skew.spread_join(scored, workset.assign_index(expected).drop("pos"), ["scope"])
-    sinks.write_index(indexed, path)
+    # one call for each half of the indexes, and one of them again
+    for english in (True, False, True):
+        sinks.write_index(indexed.filter((F.col("scope") == "en") == english), path)
     return spark.read.schema(indexed.schema).parquet(path).select(
         "index_name", "scope", "name", _round("rating"), "comments")
 
@@ -577,9 +586,11 @@ def write_clean(spark, sf):
         "name", _round("rating"), "comments")
 
 
-@query()
+@query("""
+    SELECT row_id, rating_star, comment, name FROM reviews_raw ORDER BY row_id LIMIT 5""")
 def preview(spark, sf):
-    return sinks.preview(v.reviews_raw(spark, sf).select("rating_star", "comment", "name"))
+    rows = v.reviews_raw(spark, sf).select("row_id", "rating_star", "comment", "name")
+    return sinks.preview(rows, order_by=["row_id"])
 
 
 # --- request statistics ---
@@ -622,25 +633,45 @@ def counting_function() -> Callable[[str], str]:
     return answer
 
 
+def sometimes_failing(fn: Callable[[str], str]) -> Callable[[str], str]:
+    """``fn`` that fails, by the number of comments: of four payloads one once, one twice, one always."""
+    calls: dict[str, int] = {}
+
+    def answer(payload_text: str) -> str:
+        import json
+        fails = {0: 0, 1: 1, 2: 2, 3: 9}[len(json.loads(payload_text)["comments"]) % 4]
+        calls[payload_text] = calls.get(payload_text, 0) + 1
+        if calls[payload_text] <= fails:
+            raise TimeoutError("busy")
+        return fn(payload_text)
+    return answer
+
+
 @query("""
     SELECT scope, name AS product_name, 0 AS part,
-           count(*) || ' comments, ' || coalesce(trunc(any_value(rating))::INT::VARCHAR, 'None')
-           || ' stars' AS summary,
-           name || ' (renamed)' AS echoed_name, NULL::VARCHAR AS error, 1 AS attempts
+           CASE WHEN count(*) % 4 < 3 THEN count(*) || ' comments, ' || coalesce(
+               trunc(any_value(rating))::INT::VARCHAR, 'None') || ' stars' END AS summary,
+           CASE WHEN count(*) % 4 < 3 THEN name || ' (renamed)' END AS echoed_name,
+           CASE WHEN count(*) % 4 = 3 THEN 'TimeoutError: busy' END AS error,
+           least(count(*) % 4 + 1, 3)::INT AS attempts
     FROM rated GROUP BY scope, name""")
 def summarize(spark, sf):
     p = payload.payload_json(payload.product_payload(_rated(spark, sf), "row_id", SCOPE))
-    return enrich.summarize(p, counting_function(), keys=["scope", "product_name", "part"],
-                            max_parallel=4)
+    return enrich.summarize(p, sometimes_failing(counting_function()),
+                            keys=["scope", "product_name", "part"], max_parallel=4, backoff=0.0)
 
 
 def _enriched_sql(size: int, chosen: str) -> str:
+    # comments, then parts, then parts of parts: the first number that fits into one payload
+    sizes = " ".join(f"WHEN n <= {size ** (k + 1)} THEN ceil(n / {size ** k})::INT" for k in range(12)
+                     if size ** (k + 1) < 2 ** 62)
     return f"""
     SELECT scope, name, round(rating, 6) AS rating, comments,
-           CASE WHEN {chosen} THEN
-               count(*) OVER (PARTITION BY scope, name, (row_no - 1) // {size}) || ' comments, '
-               || coalesce(trunc(rating)::INT::VARCHAR, 'None') || ' stars' END AS summary
-    FROM (SELECT *, min(name) OVER (PARTITION BY scope) AS first_name FROM numbered)"""
+           CASE WHEN {chosen} THEN (CASE {sizes} END) || ' comments, '
+               || coalesce(trunc(rating)::INT::VARCHAR, 'None') || ' stars' END AS summary,
+           NULL::VARCHAR AS error, CASE WHEN {chosen} THEN 1 END AS attempts
+    FROM (SELECT *, min(name) OVER (PARTITION BY scope) AS first_name,
+                 count(*) OVER (PARTITION BY scope, name) AS n FROM numbered)"""
 
 
 def _enriched(spark, sf, **options):
@@ -711,3 +742,84 @@ def stream_late_reviews(spark, sf):
                              "cleaned_comment string").csv(sink, header=True, escape='"')
     return late.withColumn("average_rating", F.round("average_rating", 6)).select(
         "source_file", "name", "average_rating", "cleaned_comment")
+
+
+# --- whole jobs, from files made of the test tables ---
+
+def _landing(spark: SparkSession, sf: str) -> str:
+    """A landed table whose files are the languages."""
+    path = fresh_path(spark, "landing")
+    rows = v.reviews_raw(spark, sf).select(
+        "row_id", "rating_star", text.flatten_lines("comment").alias("comment"), "name",
+        F.concat(F.lit("lang "), F.col("scope"), F.lit(".csv")).alias("source_file"))
+    sinks.land_reviews(rows, path)
+    return path
+
+
+_LANGUAGES = """(SELECT lang, 75 + row_number() OVER (ORDER BY lang) AS no
+                 FROM (SELECT DISTINCT lang FROM documents))"""
+
+
+def _language_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    """A file per language, in their order; the last one is listed under a name that never comes."""
+    langs = table(spark, sf, "documents").select(F.col("lang").alias("l")).distinct()
+    name = F.concat(F.lit("lang "), F.col("l"))
+    pos = F.ascii("l") * 1000 + F.ascii(F.substring("l", 2, 1))
+    return langs.select(name.alias("filename"), pos.cast("bigint").alias("pos")).unionByName(
+        spark.range(1).select(F.lit("never").alias("filename"), F.lit(10**9).cast("bigint").alias("pos")))
+
+
+@query(f"""
+    SELECT 'comment_index_' || no AS index_name, 'lang ' || scope || '.csv' AS source_file, name,
+           round(avg(rating_star) OVER (PARTITION BY scope, name), 6) AS rating, comments,
+           'landed' AS status
+    FROM strict_scoped JOIN {_LANGUAGES} ON lang = scope
+    UNION ALL SELECT 'comment_index_' || (76 + count(DISTINCT lang)), 'never', NULL, NULL, NULL, 'pending'
+    FROM documents""")
+def index_ready_files(spark, sf):
+    index = fresh_path(spark, "index")
+    landed = T.StructType([*files.RAW_REVIEW, T.StructField("row_id", T.LongType())])
+    pending = job.index_ready_files(spark, _language_manifest(spark, sf), _landing(spark, sf),
+                                    counting_function(), index, order_by="row_id",
+                                    read_options={"fmt": "parquet", "schema": landed})
+    rows = spark.read.parquet(index).select("index_name", "source_file", "name", _round("rating"),
+                                            "comments", F.lit("landed").alias("status"))
+    return rows.unionByName(pending.select(
+        "index_name", F.col("filename").alias("source_file"), F.lit("pending").alias("status")),
+        allowMissingColumns=True)
+
+
+@query("""
+    SELECT 'lang ' || scope || '.csv' AS source_file, name,
+           round(avg(rating_star) OVER (PARTITION BY scope, name), 6) AS average_rating,
+           comments AS cleaned_comment
+    FROM relaxed WHERE scope <> 'en'""")
+def follow_pending_files(spark, sf):
+    # every file of the folder comes in, and all but the English one are waited for
+    landed = _landing(spark, sf)
+    stream = spark.readStream.schema(spark.read.parquet(landed).schema).parquet(landed)
+    pending = _language_manifest(spark, sf).filter("filename <> 'lang en'")
+    sink = fresh_path(spark, "late")
+    arrivals.stream_late_reviews(stream, sink, fresh_path(spark, "progress"), pending,
+                                 available_now=True).awaitTermination()
+    late = spark.read.schema("source_file string, name string, average_rating double, "
+                             "cleaned_comment string").csv(sink, header=True, escape='"')
+    return late.withColumn("average_rating", F.round("average_rating", 6)).select(
+        "source_file", "name", "average_rating", "cleaned_comment")
+
+
+@query("""
+    SELECT filename, index_name, rating_star, comment, name FROM (
+        SELECT conv_id || '_' || turn || '.csv' AS filename, 'comment_index_' ||
+               (75 + row_number() OVER (ORDER BY conv_id || '_' || turn || '.csv')) AS index_name,
+               (turn % 5 + 1)::VARCHAR AS rating_star,
+               replace(replace(text, chr(10), ' '), chr(13), ' ') AS comment,
+               CASE WHEN turn % 4 = 3 THEN '' ELSE role END AS name
+        FROM conversations)""")
+def ingest_pages(spark, sf):
+    landed, listed = fresh_path(spark, "landed"), fresh_path(spark, "manifest")
+    job.ingest_pages(v.rating_pages(spark, sf), "page", landed, listed, ["conv_id", "page_no"])
+    manifest = workset.assign_index(files.read_manifest(spark, listed, has_header=False))
+    rows = files.read_reviews(spark, landed, fmt="parquet", only=manifest.select("filename"))
+    return rows.join(manifest, rows["source_file"] == manifest["filename"]).select(
+        "filename", "index_name", "rating_star", "comment", "name")

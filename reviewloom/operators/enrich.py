@@ -10,16 +10,18 @@ from pyspark.sql import functions as F
 
 from reviewloom.functions.review import parse_summary
 from reviewloom.operators.skew import spread_join
+from reviewloom.session import land
 
 
 def call_text_function(df: DataFrame, fn: Callable[[str], str], request: str,
                        keys: Sequence[str], retries: int = 3, backoff: float = 1.0,
-                       max_parallel: int | None = None, seed: int | None = None) -> DataFrame:
+                       max_parallel: int | None = None, seed: int | None = None,
+                       on_error: str = "null") -> DataFrame:
     """One call of ``fn`` per row; adds ``response, error, attempts`` to the keys.
 
     A failing call is tried ``retries`` times with waits of ``backoff * (2^k + U(0,1))`` seconds.
-    When all fail, the row carries the error and the job goes on. ``max_parallel`` bounds the
-    calls in flight: that many partitions, each calling one at a time. Spark may run a task again
+    When all fail, the row carries the error and the job goes on, or ends with ``on_error="fail"``.
+    ``max_parallel`` bounds the calls in flight: that many partitions, each calling one at a time. Spark may run a task again
     after losing an executor, so ``fn`` must bear being asked twice.
     """
     if retries < 1:
@@ -50,6 +52,8 @@ def call_text_function(df: DataFrame, fn: Callable[[str], str], request: str,
                             error = "no response"
                     except Exception as e:
                         error = f"{type(e).__name__}: {e}"
+                if response is None and on_error == "fail":
+                    raise RuntimeError(error)
                 answers.append((response, error, attempt))
             out = batch[names].reset_index(drop=True)
             out[["response", "error", "attempts"]] = pd.DataFrame(
@@ -75,22 +79,72 @@ def summarize(df: DataFrame, fn: Callable[[str], str], request: str = "payload",
     """
     if on_error not in ("null", "fail"):
         raise ValueError(f"on_error must be 'null' or 'fail', not {on_error!r}")
-    answered = call_text_function(df, fn, request, keys, **call_options)
+    answered = call_text_function(df, fn, request, keys, on_error=on_error, **call_options)
+    return read_answers(answered, keys, on_error)
+
+
+def read_answers(answered: DataFrame, keys: Sequence[str], on_error: str = "null") -> DataFrame:
+    """Summaries from the answers of ``call_text_function``, as ``summarize`` gives them."""
     parsed = answered.withColumn("__parsed", parse_summary("response"))
     error = F.coalesce(F.col("error"),
                        F.when(~F.col("__parsed.is_valid"), F.lit("invalid response")))
-    summary = F.col("__parsed.summary")
+    found = parsed.select(*keys, F.col("__parsed.summary").alias("summary"),
+                          F.col("__parsed.product_name").alias("echoed_name"),
+                          error.alias("error"), "attempts")
     if on_error == "fail":
-        summary = F.when(error.isNull(), summary).otherwise(
-            F.raise_error(error).cast("string"))
-    return parsed.select(*keys, summary.alias("summary"),
-                         F.col("__parsed.product_name").alias("echoed_name"),
-                         error.alias("error"), "attempts")
+        # a filter, which no choice of columns can prune
+        found = found.filter(F.when(F.col("error").isNull(), True).otherwise(
+            F.raise_error(F.col("error")).cast("boolean")))
+    return found
+
+
+def answers_in_slices(df: DataFrame, fn: Callable[[str], str], request: str, path: str,
+                      calls_per_slice: int = 10_000, max_parallel: int | None = None,
+                      **call_options) -> DataFrame:
+    """Answers to all distinct requests, landed below ``path`` slice by slice.
+
+    ``request_hash, response, error, attempts``, one row per distinct request. A job that died goes on
+    where it stopped when it is given the same ``path``: requests answered there without an error are
+    not asked again. A lost task repeats its own calls of one slice at most.
+    """
+    spark = df.sparkSession
+    kind = "request_hash string, response string, error string, attempts int, slice int"
+    asked = df.select(F.col(request).alias("request")).filter("request IS NOT NULL").distinct().withColumn(
+        "request_hash", F.sha2("request", 256))
+    spark.createDataFrame([], kind).write.mode("append").parquet(path)
+    known = spark.read.schema(kind).parquet(path).filter("error IS NULL").select("request_hash")
+    todo = land(asked.join(known, "request_hash", "left_anti"), "requests")
+    slices = max(1, -(-todo.count() // calls_per_slice))
+    number = F.pmod(F.xxhash64("request_hash"), F.lit(slices)).cast("int")
+    for i in range(slices):
+        answered = call_text_function(todo.filter(number == i), fn, "request", ["request_hash"],
+                                      max_parallel=max_parallel, **call_options)
+        answered.withColumn("slice", F.lit(i)).write.mode("append").parquet(path)
+    every = spark.read.schema(kind).parquet(path)
+    # an earlier failure gives way to a later answer
+    best = every.groupBy("request_hash").agg(F.min(F.struct(
+        F.col("error").isNotNull().alias("failed"), "attempts", "response", "error")).alias("a"))
+    return best.select("request_hash", "a.response", "a.error", "a.attempts")
+
+
+def summarize_in_slices(df: DataFrame, fn: Callable[[str], str], request: str, keys: Sequence[str],
+                        path: str, on_error: str = "null", **call_options) -> DataFrame:
+    """``summarize`` with calls that can be resumed; see ``answers_in_slices``."""
+    if on_error not in ("null", "fail"):
+        raise ValueError(f"on_error must be 'null' or 'fail', not {on_error!r}")
+    answers = answers_in_slices(df, fn, request, path, on_error=on_error, **call_options)
+    rows = df.select(*keys, F.sha2(request, 256).alias("request_hash"))
+    return read_answers(rows.join(answers, "request_hash"), keys, on_error)
 
 
 def attach_summary(df: DataFrame, summaries: DataFrame, scope: Sequence[str] = (),
                    rows_per_split: int | None = None) -> DataFrame:
-    """Rows with their product's summary, null where there is none."""
-    keys = [*scope, "name"]
+    """Rows with their product's summary, null where there is none.
+
+    Summaries given in parts, by ``part``, meet rows that carry theirs.
+    """
+    keys = [*scope, "name", *(["part"] if "part" in summaries.columns else [])]
+    if "part" in keys and "part" not in df.columns:
+        raise ValueError("summaries in parts need rows with their part; combine them first")
     return spread_join(df, summaries.select(*keys, "summary"), keys, "left",
                        rows_per_split=rows_per_split)

@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from reviewloom.functions.names import data_file
+from reviewloom.functions.names import data_file, file_name
 from reviewloom.operators.clean import RELAXED, STRICT, Profile
+from reviewloom.operators.skew import spread_join
+from reviewloom.operators.workset import arrival_status
 from reviewloom.plans.score import score_late_reviews, score_reviews
-from reviewloom.sources.files import CSV, RAW_REVIEW
+from reviewloom.sources.files import RAW_REVIEW, WITH_HEADER, list_files
 from reviewloom.sources.sinks import _CSV_OUT
 
 BATCH = "batch_id"
@@ -22,11 +24,11 @@ def review_stream(spark: SparkSession, landing: str, max_files: int | None = Non
 
     The source reads a path once, so a file must be complete when it appears.
     """
-    reader = spark.readStream.schema(RAW_REVIEW).options(header=True, **CSV)
+    reader = spark.readStream.schema(RAW_REVIEW).options(**WITH_HEADER)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     rows = reader.csv(landing)
-    return rows.select(*RAW_REVIEW.names, F.col("_metadata.file_name").alias("source_file"))
+    return rows.select(*RAW_REVIEW.names, file_name("_metadata.file_name").alias("source_file"))
 
 
 def _start(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str,
@@ -55,19 +57,28 @@ def stream_reviews(stream: DataFrame, sink: str, checkpoint: str, profile: Profi
 
 def stream_late_reviews(stream: DataFrame, sink: str, checkpoint: str,
                         pending: DataFrame | None = None, profile: Profile | str = RELAXED,
-                        available_now: bool = False) -> StreamingQuery:
+                        available_now: bool = False, landing: str | None = None,
+                        status: str | None = None) -> StreamingQuery:
     """Score files that were missing at first and write CSV below ``sink``.
 
-    ``pending`` restricts the stream to those manifest entries. It is read again for each batch,
-    so it should be a landed table rather than a live listing.
+    ``pending`` restricts the stream to those manifest entries: rows of other files go before
+    anything is cleaned or shuffled. It is read again for each batch, so it should be a landed table
+    rather than a live listing. With ``status``, each batch also leaves there, below
+    ``batch_id=n``, which of the pending files the ``landing`` folder holds by then.
     """
+    if status is not None and (pending is None or landing is None):
+        raise ValueError("a status needs the pending files and the landing folder")
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        late = score_late_reviews(batch, ("source_file",), profile)
+        rows = batch
         if pending is not None:
-            # files are scored apart, so the others may go last, when few rows are left
-            wanted = pending.select(data_file("filename").alias("source_file"))
-            late = late.join(wanted, "source_file", "left_semi")
+            wanted = pending.select(data_file("filename").alias("source_file")).distinct()
+            rows = spread_join(batch, wanted, ["source_file"], "left_semi")
+        late = score_late_reviews(rows, ("source_file",), profile)
         late.write.mode("overwrite").options(header=True, **_CSV_OUT).csv(
             f"{sink}/{BATCH}={batch_id}")
+        if status is not None:
+            seen = list_files(batch.sparkSession, landing)
+            arrival_status(pending, seen).write.mode("overwrite").parquet(f"{status}/{BATCH}={batch_id}")
 
     return _start(stream, write, checkpoint, available_now)

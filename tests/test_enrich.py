@@ -3,7 +3,8 @@ import os
 
 import pytest
 
-from reviewloom.operators.enrich import attach_summary, call_text_function, summarize
+from reviewloom.operators.enrich import (attach_summary, call_text_function, summarize,
+                                         summarize_in_slices)
 from reviewloom.plans.enrich import enrich_reviews
 
 TEN = "một hai ba bốn năm sáu bảy tám chín mười"
@@ -134,16 +135,121 @@ def test_all_products_in_parts_with_one_call_each(spark, tmp_path, request_):
 
     got = enrich_reviews(raw(spark), answer, ["file"], products="all", request=request_,
                          part_size=2, rows_per_split=1).collect()
-    assert len(got) == 9 and len(open(calls).readlines()) == 3 + 1 + 1
+    # of five comments three parts, of their summaries two, then one; the other products are whole
+    assert len(got) == 9 and len(open(calls).readlines()) == (3 + 2 + 1) + 1 + 1
+    by_product = {(r.file, r.name): {x.summary for x in got if (x.file, x.name) == (r.file, r.name)}
+                  for r in got}
+    assert all(len(s) == 1 and None not in s for s in by_product.values())
     if request_ == "payload":
-        assert sorted(r.summary for r in got if r.name == "áo") == ["1", "2", "2", "2", "2"]
+        assert by_product[("f1", "áo")] == {"0"} and by_product[("f1", "bàn")] == {"2"}
+
+
+def test_any_number_of_comments_gives_one_summary(spark):
+    """Parts are summed up again until one is left, whatever the number of levels."""
+    def answer(text):
+        import json
+        p = json.loads(text)
+        known = [int(c["text"]) if c["text"].isdigit() else 1 for c in p["comments"]]
+        return json.dumps({"product_name": p["product_name"], "summary": str(sum(known))})
+
+    rows = [("5", f"{TEN} {n} {i}", f"p{n}") for n in (1, 3, 4, 9, 10, 28) for i in range(n)]
+    df = spark.createDataFrame(rows, "rating_star string, comment string, name string")
+    got = enrich_reviews(df, answer, products="all", part_size=3).collect()
+    assert len(got) == len(rows)
+    assert {(r.name, r.summary) for r in got} == {(f"p{n}", str(n)) for n in (1, 3, 4, 9, 10, 28)}
+    assert {(r.error, r.attempts) for r in got} == {(None, 1)}
+
+
+def test_failures_reach_the_rows(spark):
+    def answer(text):
+        import json
+        p = json.loads(text)
+        if p["product_name"] == "bad" or "one part" in text:
+            raise ConnectionError("down")
+        return json.dumps({"product_name": "x", "summary": "s"})
+
+    rows = [("5", f"{TEN} {n} {i}", n) for n in ("bad", "good") for i in range(3)]
+    rows += [("5", f"{TEN} {w}", "half") for w in ("one part", "two", "three")]
+    df = spark.createDataFrame(rows, "rating_star string, comment string, name string")
+    got = enrich_reviews(df, answer, products="all", part_size=1 + 1, retries=2, backoff=0.0).collect()
+    assert {(r.name, r.summary, r.error, r.attempts) for r in got} == {
+        ("bad", None, "ConnectionError: down", 2), ("good", "s", None, 1),
+        ("half", "s", "ConnectionError: down", 2)}
+
+
+def test_a_failing_job_cannot_be_pruned(spark):
+    df = spark.createDataFrame([(f"p{i}", "x") for i in range(4)], PAYLOAD)
+
+    def down(text):
+        raise ConnectionError("down")
+    for run in (lambda x: x.count(), lambda x: x.select("product_name").collect()):
+        with pytest.raises(Exception, match="ConnectionError: down"):
+            run(summarize(df, down, on_error="fail", retries=1))
+        with pytest.raises(Exception, match="invalid response"):
+            run(summarize(df, lambda text: text, on_error="fail"))
+
+
+def test_answered_requests_are_not_asked_again(spark, tmp_path):
+    calls, up = str(tmp_path / "calls"), tmp_path / "up"
+
+    def answer(text):
+        import json
+        import os
+        with open(calls, "a") as f:
+            f.write(text + "\n")
+        if text in ("p3", "p4") and not os.path.exists(str(up)):
+            raise ConnectionError("down")
+        return json.dumps({"product_name": text, "summary": text})
+
+    df = spark.createDataFrame([(f"p{i % 6}-{i}", f"p{i % 6}") for i in range(12)], PAYLOAD)
+
+    def run():
+        return {r.product_name: (r.summary, r.error) for r in summarize_in_slices(
+            df, answer, "payload", ["product_name"], str(tmp_path / "answers"), retries=1,
+            calls_per_slice=2).collect()}
+    first = run()
+    assert sorted(open(calls).read().split()) == [f"p{i}" for i in range(6)], "equal requests are one"
+    assert first["p3-9"] == (None, "ConnectionError: down") and first["p2-8"] == ("p2", None)
+    up.write_text("")
+    assert all(v == (k.split("-")[0], None) for k, v in run().items())
+    assert sorted(open(calls).read().split()[6:]) == ["p3", "p4"]
+
+
+def test_no_more_calls_in_flight_than_allowed(spark, tmp_path):
+    log = str(tmp_path / "log")
+
+    def answer(text):
+        import json
+        import time
+        with open(log, "a") as f:
+            f.write("1\n")
+        time.sleep(0.05)
+        with open(log, "a") as f:
+            f.write("-1\n")
+        return json.dumps({"product_name": text, "summary": text})
+
+    df = spark.createDataFrame([(f"p{i}", f"p{i}") for i in range(24)], PAYLOAD).repartition(12)
+    assert summarize(df, answer, max_parallel=2).count() == 24
+    running, most = 0, 0
+    for step in open(log).read().split():
+        running += int(step)
+        most = max(most, running)
+    assert 1 <= most <= 2
+
+
+def test_summaries_in_parts_meet_their_rows(spark):
+    rows = spark.createDataFrame([("a", 0, 1), ("a", 1, 2)], "name string, part int, i int")
+    found = spark.createDataFrame([("a", 0, "s"), ("a", 1, "t")], "name string, part int, summary string")
+    assert sorted((r.i, r.summary) for r in attach_summary(rows, found).collect()) == [(1, "s"), (2, "t")]
+    with pytest.raises(ValueError):
+        attach_summary(rows.drop("part"), found)
 
 
 def test_copies_of_a_text_are_kept_apart_without_dedup(spark):
     df = spark.createDataFrame([("5", "ngon", "p")] * 7, "rating_star string, comment string, name string")
     got = enrich_reviews(df.repartition(3), echo(), profile="relaxed", part_size=3,
                          rows_per_split=2).collect()
-    assert [tuple(r) for r in got] == [("p", 5.0, "ngon", "fine")] * 7
+    assert [tuple(r) for r in got] == [("p", 5.0, "ngon", "fine", None, 1)] * 7
 
 
 def test_a_refused_review_is_not_asked_about(spark, tmp_path):

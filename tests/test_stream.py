@@ -1,8 +1,9 @@
+import json
 import os
 
 import pytest
 
-from reviewloom.plans.job import follow_pending_files, index_ready_files
+from reviewloom.plans.job import follow_pending_files, index_ready_files, ingest_pages
 from reviewloom.sources.files import read_manifest
 from reviewloom.streaming.arrivals import review_stream, stream_late_reviews, stream_reviews
 from tests.test_enrich import echo
@@ -96,8 +97,71 @@ def test_whole_job(spark, tmp_path, landing):
 
     late, progress = str(tmp_path / "late"), str(tmp_path / "late-progress")
     drop_in(landing, "missing.csv", [("2", "short text", "p")])
-    follow_pending_files(spark, pending, str(landing), late, progress,
-                         available_now=True).awaitTermination()
+    follow_pending_files(spark, pending, str(landing), late, progress, available_now=True, max_files=2,
+                         status=str(tmp_path / "status")).awaitTermination()
+    last = spark.read.parquet(str(tmp_path / "status")).orderBy("batch_id")
+    assert {(r.filename, r.status) for r in last.collect()} == {("missing", "ready"), ("never", "pending")}
+    assert last.select("batch_id").distinct().count() == 2
     rows = spark.read.csv(late, header=True).collect()
     assert [(r.source_file, r.average_rating, r.cleaned_comment) for r in rows] == [
         ("missing.csv", "2.0", "short text")]
+
+
+def test_odd_names_through_the_whole_job(spark, tmp_path, landing):
+    """Each file is indexed once, under its own number, or is pending."""
+    names = ["a b.csv", "100%.csv", "a+b.csv", "café ü.csv"]
+    for i, name in enumerate(names):
+        drop_in(landing, name, [("5", f"{TEN} {i}", f"p{i}")])
+    manifest = spark.createDataFrame([(n, i) for i, n in enumerate([*names, "late one"])],
+                                     "filename string, pos long")
+    index = str(tmp_path / "index")
+    pending = index_ready_files(spark, manifest, str(landing), echo("good"), index)
+    assert [r.filename for r in pending.collect()] == ["late one"]
+    got = sorted((r.index_name, r.source_file, r.name) for r in spark.read.parquet(index).collect())
+    assert got == [(f"comment_index_{76 + i}", n, f"p{i}") for i, n in enumerate(names)]
+    late = str(tmp_path / "late")
+    drop_in(landing, "late one.csv", [("2", "short text", "p")])
+    follow_pending_files(spark, pending, str(landing), late, str(tmp_path / "progress"),
+                         available_now=True).awaitTermination()
+    assert [r.source_file for r in spark.read.csv(late, header=True).collect()] == ["late one.csv"]
+
+
+def test_unlisted_files_are_neither_landed_nor_scored(spark, tmp_path, landing, monkeypatch):
+    drop_in(landing, "1_2.csv", [("5", TEN, "p")])
+    drop_in(landing, "0_0.csv", [("5", f"{TEN} {i}", "other") for i in range(50)])
+    seen = []
+    import reviewloom.plans.enrich as plan
+    real = plan.land
+
+    def counted(df, name):
+        out = real(df, name)
+        if name == "cleaned":
+            seen.append(out.count())
+        return out
+    monkeypatch.setattr(plan, "land", counted)
+    manifest = spark.createDataFrame([("1_2", 0)], "filename string, pos long")
+    index_ready_files(spark, manifest, str(landing), echo("good"), str(tmp_path / "index"))
+    assert seen == [1]
+
+
+def test_the_job_over_a_landed_table(spark, tmp_path):
+    pages = spark.createDataFrame([
+        (1, page([(1, 2, 5, TEN + " a", "p"), (1, 2, 3, TEN + " b", "p"), (3, 4, 4, TEN, "q")])),
+        (0, page([(1, 2, 1, TEN + " c", "p"), (3, None, 4, TEN, "no shop")]))], "page_no int, page string")
+    landed, listed = str(tmp_path / "landed"), str(tmp_path / "list")
+    ingest_pages(pages, "page", landed, listed, ["page_no"], max_reviews=2)
+    manifest = read_manifest(spark, listed, has_header=False)
+    assert [r.filename for r in manifest.orderBy("pos").collect()] == ["1_2.csv", "3_4.csv"]
+    index = str(tmp_path / "index")
+    pending = index_ready_files(spark, manifest, landed, echo("good"), index,
+                                read_options={"fmt": "parquet"})
+    assert pending.count() == 0
+    got = {(r.index_name, r.name, r.rating, r.comments) for r in spark.read.parquet(index).collect()}
+    assert got == {("comment_index_76", "p", 3.0, TEN + " c"), ("comment_index_76", "p", 3.0, TEN + " a"),
+                   ("comment_index_77", "q", 4.0, TEN)}
+
+
+def page(ratings):
+    return json.dumps({"data": {"ratings": [
+        {"itemid": i, "shopid": s, "rating_star": r, "comment": c, "product_items": [{"name": n}]}
+        for i, s, r, c, n in ratings]}})
