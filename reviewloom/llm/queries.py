@@ -47,7 +47,10 @@ def op3_quality(spark, sf):
 
 
 # A word lies in a repeat of k words or more exactly if it lies in a window of k words that occurs again.
-ORACLES["op3_quality"] = rf"""
+def _quality_sql() -> str:
+    def run(k: int) -> str:  # k words from here on, null where there are fewer
+        return " || ' ' || ".join(["w", *(f"lead(w, {i}) OVER here" for i in range(1, k))])
+    return rf"""
     WITH texts AS (
         SELECT doc_id, coalesce(text, '') AS text,
                regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws
@@ -57,36 +60,41 @@ ORACLES["op3_quality"] = rf"""
         SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines
         FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM texts)
         WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+    runs AS (
+        SELECT doc_id, i, {run(5)} AS five, {run(8)} AS eight
+        FROM (SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM texts)
+        WINDOW here AS (PARTITION BY doc_id ORDER BY i)),
     windows AS (
-        SELECT doc_id, k, i, count(*) OVER (PARTITION BY doc_id, k, list_slice(ws, i, i + k - 1)) AS times
-        FROM (SELECT doc_id, ws, k, unnest(range(1, n_words - k + 2)) AS i
-              FROM sized, (VALUES (5), (8)) AS sizes(k))),
+        SELECT doc_id, k, i, count(*) OVER (PARTITION BY doc_id, k, run) AS times
+        FROM (SELECT doc_id, 5 AS k, i, five AS run FROM runs
+              UNION ALL SELECT doc_id, 8, i, eight FROM runs) WHERE run IS NOT NULL),
     covered AS (
         SELECT doc_id, count(DISTINCT p) FILTER (k = 5) AS covered_words,
                count(DISTINCT p) FILTER (k = 8) AS n_repeat_words
         FROM (SELECT doc_id, k, unnest(range(i, i + k)) AS p FROM windows WHERE times > 1)
         GROUP BY doc_id),
-    long_repeats AS (
-        SELECT doc_id, max(times) > 1 AS has_long
-        FROM (SELECT doc_id, count(*) AS times
-              FROM (SELECT doc_id, ws, too_long, unnest(range(1, n_words - too_long + 2)) AS i
-                    FROM sized JOIN covered USING (doc_id)
-                    WHERE covered_words >= too_long)
-              GROUP BY doc_id, list_slice(ws, i, i + too_long - 1))
-        GROUP BY doc_id),
     measured AS (
-        SELECT doc_id, n_words, length(array_to_string(ws, '')) AS word_chars,
+        SELECT doc_id, ws, too_long, n_words, length(array_to_string(ws, '')) AS word_chars,
                length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
                coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
-               coalesce(covered_words, 0) AS covered_words, coalesce(has_long, FALSE) AS has_long,
+               coalesce(covered_words, 0) AS covered_words,
                n_words < 20 OR 100 * coalesce(n_repeat_words, 0) > 30 * n_words AS base_failed
-        FROM sized LEFT JOIN lines USING (doc_id) LEFT JOIN covered USING (doc_id)
-        LEFT JOIN long_repeats USING (doc_id))
+        FROM sized LEFT JOIN lines USING (doc_id) LEFT JOIN covered USING (doc_id)),
+    -- the longest repeat only matters where the rest lets a text pass
+    long_repeats AS (
+        SELECT DISTINCT doc_id
+        FROM (SELECT doc_id, ws, too_long, unnest(range(1, n_words - too_long + 2)) AS i FROM measured
+              WHERE NOT base_failed AND covered_words >= too_long AND 100 * covered_words <= 40 * n_words)
+        GROUP BY doc_id, list_slice(ws, i, i + too_long - 1) HAVING count(*) > 1)
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-           NOT base_failed AND 100 * covered_words <= 40 * n_words AND NOT has_long AS kept
+           NOT base_failed AND 100 * covered_words <= 40 * n_words
+           AND doc_id NOT IN (SELECT doc_id FROM long_repeats) AS kept
     FROM measured"""
 
 
+ORACLES["op3_quality"] = _quality_sql()
+
+
 @query
 def op4_bpe(spark, sf):
     codec = tokenizer(spark)
