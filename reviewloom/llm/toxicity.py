@@ -24,10 +24,10 @@ from reviewloom.session import land
 #: Buckets of the hashed features, as a power of two: a model has 2**BITS weights at most (8 MB).
 BITS = 20
 #: The classifier is fitted on so many labelled rows at most, taken by a hash of their id.
-MAX_TRAIN_ROWS = 20_000
-ROWS_PER_SHARD = 5_000
+MAX_TRAIN_ROWS = 40_000
+ROWS_PER_SHARD = 20_000
 ROUNDS = 8
-ALPHA, BETA, L1, L2 = 2.0, 1.0, 4.0, 0.0
+ALPHA, BETA, L1, L2 = 2.0, 1.0, 6.0, 0.0
 _SAMPLE_UNITS = 1 << 30
 
 
