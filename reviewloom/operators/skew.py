@@ -27,10 +27,16 @@ _KEY, _MARKS, _CUTS, _BLOCK, _BASE = "__key", "__marks", "__cuts", "__block", "_
 
 def _hottest(counts: DataFrame, keys: Sequence[str], count: str, rows_per_split: int,
              value: Column, into: str) -> DataFrame:
-    """``value`` of the hot keys by digest."""
+    """``value`` of the hot keys by digest.
+
+    Of keys with one digest the first in a total order over all columns of ``counts``, so that the
+    aggregate behind it is read whole here as elsewhere, and Spark computes it once.
+    """
     large = counts.filter(F.col(count) > rows_per_split)
-    return (large.select(F.xxhash64(*keys).alias(_DIGEST), value.alias(into))
-                 .groupBy(_DIGEST).agg(F.max(into).alias(into)))
+    rest = [c for c in counts.columns if c not in keys]
+    ranked = large.select(F.xxhash64(*keys).alias(_DIGEST), F.struct(value.alias(into), *rest).alias("__v"))
+    return (ranked.groupBy(_DIGEST).agg(F.max("__v").alias("__v"))
+                  .select(_DIGEST, F.col("__v")[into].alias(into)))
 
 
 def _with_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame, rows_per_split: int) -> DataFrame:

@@ -45,6 +45,7 @@ def test_flagship_scans_and_shuffles_the_reviews_once(spark):
 
 def test_with_hot_products_too_there_is_one_scan(spark, monkeypatch):
     monkeypatch.setattr(skew, "ROWS_PER_SPLIT", 1)
+    monkeypatch.setattr(skew, "BROADCAST_FROM", 1)  # as with a million rows per split
     plan = final_plan(QUERIES["score_reviews_per_file"](spark, SF_DIR))
     assert plan.count("FileScan parquet") == 1 and "__splits" in plan
     # without deduplication the reviews are read twice, for the averages and for the rows
