@@ -77,7 +77,8 @@ def spread_join(rows: DataFrame, lookup: DataFrame, keys: Sequence[str], how: st
         return F.ceil(F.col(n) / F.lit(rows_per_split)).cast("int")
 
     hot = _hottest(counts, keys, count, rows_per_split, splits_of(count), _SPLITS)
-    dealt = F.pmod(F.pmod(F.xxhash64(*rows.columns), F.col(_SPLITS)) + F.col(_TASK),
+    content = [f.name for f in rows.schema if "map<" not in f.dataType.simpleString()]
+    dealt = F.pmod(F.pmod(F.xxhash64(*content), F.col(_SPLITS)) + F.col(_TASK),
                    F.col(_SPLITS)).cast("int")
     salt = F.when(F.col(_SPLITS).isNull(), F.lit(0)).otherwise(dealt)
     repeats = F.coalesce(F.col(_SPLITS), F.lit(1))

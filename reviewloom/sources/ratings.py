@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from reviewloom.functions.text import flatten_lines
 
 PAGE = ("data struct<ratings: array<struct<itemid: bigint, shopid: bigint, userid: bigint, "
-        "rating_star: int, comment: string, product_items: array<struct<name: string>>>>>")
+        "rating_star: string, comment: string, product_items: array<struct<name: string>>>>>")
 
 
 def flatten_rating_pages(df: DataFrame, json_col: str, wide: bool = False) -> DataFrame:
@@ -22,9 +22,10 @@ def flatten_rating_pages(df: DataFrame, json_col: str, wide: bool = False) -> Da
     carried = [c for c in df.columns if c != json_col]
     r = df.select(*carried, F.posexplode(page["data"]["ratings"]).alias("page_row", "r"))
     name = F.get(F.col("r.product_items"), F.lit(0))["name"]
+    star = F.col("r.rating_star").try_cast("int").alias("rating_star")  # as a number or in quotes
     if wide:
         return r.select(*carried, "page_row", "r.itemid", name.alias("name"), "r.shopid",
-                        "r.userid", "r.rating_star", "r.comment")
+                        "r.userid", star, "r.comment")
     comment = flatten_lines(F.coalesce("r.comment", F.lit("")))
-    return r.select(*carried, "page_row", "r.rating_star", comment.alias("comment"),
+    return r.select(*carried, "page_row", star, comment.alias("comment"),
                     F.coalesce(name, F.lit("")).alias("name"))

@@ -69,7 +69,7 @@ def page(*rows):
 def test_rating_pages(spark):
     full = {"itemid": 1, "shopid": 2, "userid": 3, "rating_star": 5, "comment": "a\nb\rc",
             "product_items": [{"name": "x"}, {"name": "y"}]}
-    pages = [page(full, {"rating_star": 4}, {"rating_star": 3, "comment": None, "product_items": []}),
+    pages = [page(full, {"rating_star": "4"}, {"rating_star": 3, "comment": None, "product_items": []}),
              "not json", page(), json.dumps({"data": None}), "{}"]
     df = spark.createDataFrame(list(enumerate(pages)), "page_id int, page string")
     got = ratings.flatten_rating_pages(df, "page").orderBy("page_id", "page_row").collect()

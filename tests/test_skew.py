@@ -147,3 +147,10 @@ def test_copies_of_one_row_are_dealt_too(spark):
             spark.conf.set(key, value)
     assert sum(r["count"] for r in sizes) == 400
     assert max(r["count"] for r in sizes) <= 100  # twice the fair share of 8 splits
+
+
+def test_rows_with_maps_are_spread(spark):
+    rows = spark.createDataFrame([("hot", i, {"a": i}) for i in range(40)], "k string, i int, m map<string,int>")
+    lookup = spark.createDataFrame([("hot", 1)], "k string, x int")
+    got = spread_join(rows, lookup, ["k"], rows_per_split=5).collect()
+    assert sorted((r.i, r.m["a"], r.x) for r in got) == [(i, i, 1) for i in range(40)]
