@@ -29,9 +29,11 @@ MIN_WORDS = 13
 MIN_EQUAL = 0.8
 #: Words kept on each side of a run of hits: a passage of an item is checked this far around each.
 AROUND = 64
-#: Bits of the filter that keeps seeds of no item from leaving their task: 16 for each seed of an item,
-#: between these bounds (128 KB and 64 MB).
+#: Bits of the filter that keeps seeds of no item from leaving their task: 128 for each seed of an item
+#: at least, between these bounds (128 KB and 64 MB). Each seed sets three of them, so of a million
+#: seeds of no item a dozen pass.
 FILTER_BITS = (1 << 20, 1 << 29)
+BITS_PER_SEED = 128
 
 _SEEDS = "key_a bigint, key_b bigint, begin bigint, words array<bigint>, hits array<struct<seed:bigint,at:bigint>>"
 
@@ -79,9 +81,11 @@ def _stretches(masks: tuple[tuple[int, ...], ...], bits: int, filled: np.ndarray
             ats, found = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
             for k, mask in enumerate(masks):
                 s = seeds(words, mask, k)
-                bit = s & np.uint64(bits - 1)
-                at = np.flatnonzero(filled[(bit >> np.uint64(3)).astype(np.int64)]
-                                    >> (bit & np.uint64(7)).astype(np.uint8) & np.uint8(1))
+                at = np.arange(s.size)
+                for shift in _shifts(bits):
+                    bit = s[at] >> np.uint64(shift) & np.uint64(bits - 1)
+                    at = at[(filled[(bit >> np.uint64(3)).astype(np.int64)]
+                             >> (bit & np.uint64(7)).astype(np.uint8) & np.uint8(1)).astype(bool)]
                 # a window must not run into the next text
                 owner = np.searchsorted(bounds, at, side="right")
                 at = at[at + mask[-1] < bounds[np.minimum(owner, bounds.size - 1)]]
@@ -150,13 +154,22 @@ def _verify(least: int, share: float):
     return check
 
 
+def _shifts(bits: int) -> tuple[int, int, int]:
+    """Where in a seed its three places in the filter stand: at both ends and in the middle."""
+    spare = 64 - bits.bit_length() + 1
+    return 0, spare // 2, spare
+
+
 def _filter_bits(tests: DataFrame) -> tuple[int, np.ndarray]:
     """The bit filter of the items' seeds: gathered in 64-bit words, never larger than its bound."""
     n = tests.count()
     low, high = FILTER_BITS
-    bits = min(high, max(low, 1 << math.ceil(math.log2(16 * n + 1))))
-    place = F.col("seed").bitwiseAND(F.lit(bits - 1))
-    words = tests.groupBy(F.shiftright(place, 6).alias("word")).agg(
+    bits = min(high, max(low, 1 << math.ceil(math.log2(BITS_PER_SEED * n + 1))))
+    places = F.array(*[F.shiftrightunsigned("seed", shift).bitwiseAND(F.lit(bits - 1))
+                       for shift in _shifts(bits)])
+    place = F.col("place")
+    words = tests.select(F.explode(places).alias("place")).groupBy(
+        F.shiftright(place, 6).alias("word")).agg(
         F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"),
                                  place.bitwiseAND(F.lit(63)).cast("int"))).alias("set"))
     filled = np.zeros(bits // 64, np.int64)
