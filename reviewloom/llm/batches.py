@@ -6,7 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 
-SLICE_BYTES = 8_000_000
+SLICE_BYTES = 1_500_000
 
 
 def slices(batches: Iterable[pa.Array], limit: int = SLICE_BYTES) -> Iterator[list[bytes | None]]:

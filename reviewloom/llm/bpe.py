@@ -27,6 +27,8 @@ from pyspark.sql.functions import arrow_udf
 from reviewloom.llm.batches import slices
 
 MAX_RANK_FILE_BYTES = 64_000_000
+#: Text encoded at once; a task that also decodes holds two workers.
+SLICE_BYTES = 4_000_000
 ENCODED = "struct<n_tokens:bigint,ids:binary>"
 ID_TYPE = np.dtype("<u4")
 _NONE = np.int32(2**31 - 1)
@@ -37,15 +39,23 @@ _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _CHUNK = re.compile(rf" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
 
 
+def _ranks(rank_file: bytes) -> dict[bytes, int]:
+    return {base64.b64decode(piece): int(rank)
+            for piece, rank in map(bytes.split, rank_file.splitlines()) if piece}
+
+
+@lru_cache(maxsize=4)
+def _pieces(rank_file: bytes) -> dict[int, bytes]:
+    return {rank: piece for piece, rank in _ranks(rank_file).items()}
+
+
 class Vocabulary:
     """Ranks of a byte-level BPE: the pieces, and for two adjacent pieces the piece they merge into."""
 
     def __init__(self, rank_file: bytes, pattern: str):
-        self.rank_of = {base64.b64decode(piece): int(rank)
-                        for piece, rank in map(bytes.split, rank_file.splitlines()) if piece}
-        self.piece_of = {rank: piece for piece, rank in self.rank_of.items()}
+        self.rank_of = _ranks(rank_file)
         self.pattern = regex.compile(pattern)
-        self.size = max(self.piece_of) + 1
+        self.size = max(self.rank_of.values()) + 1
         self.byte_ids = np.array([self.rank_of[bytes([b])] for b in range(256)], np.int32)
         pairs = sorted((self.rank_of[piece[:cut]] * self.size + self.rank_of[piece[cut:]], rank)
                        for piece, rank in self.rank_of.items() for cut in range(1, len(piece))
@@ -228,7 +238,7 @@ class BytePairEncoding:
         with open(rank_path, "rb") as file:
             ranks = spark.sparkContext.broadcast(file.read())
         self._encode = _encoder(lambda: _vocabulary(ranks.value, pattern))
-        self._decode = _decoder(lambda: _vocabulary(ranks.value, pattern))
+        self._decode = _decoder(lambda: _pieces(ranks.value))
         self._count = _counter(lambda: _vocabulary(ranks.value, pattern))
 
     def encode(self, text: Column | str) -> Column:
@@ -251,7 +261,7 @@ def _encoder(vocabulary: Callable[[], Vocabulary]):
     @arrow_udf(ENCODED)
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         vocab = vocabulary()
-        for part in slices(batches):
+        for part in slices(batches, SLICE_BYTES):
             ids, bounds = encode_slice(part, vocab)
             data, cuts = ids.astype(ID_TYPE).tobytes(), (bounds * ID_TYPE.itemsize).tolist()
             yield pa.StructArray.from_arrays(
@@ -265,15 +275,15 @@ def _counter(vocabulary: Callable[[], Vocabulary]):
     @arrow_udf("bigint")
     def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         vocab = vocabulary()
-        for part in slices(batches):
+        for part in slices(batches, SLICE_BYTES):
             yield pa.array(np.diff(encode_slice(part, vocab)[1]))
     return count.asNondeterministic()  # never asked twice
 
 
-def _decoder(vocabulary: Callable[[], Vocabulary]):
+def _decoder(pieces: Callable[[], dict[int, bytes]]):
     @arrow_udf("binary")
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        piece = vocabulary().piece_of
+        piece = pieces()
         for packed in batches:
             yield pa.array([b"".join(map(piece.__getitem__,
                                          np.frombuffer(ids.as_py() or b"", ID_TYPE).tolist()))
