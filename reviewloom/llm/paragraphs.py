@@ -32,6 +32,8 @@ REACH = 6
 MIN_WORDS = 15
 #: Classes that meet in one band of one task; larger meetings are split.
 BUCKET = 2048
+#: Up to so many sets are compared one by one.
+_FEW = 24
 _HIGHEST = np.uint64(2**64 - 1)
 
 
@@ -148,16 +150,30 @@ def _colliding(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _shingles_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From (text, wanted classes), the distinct shingles of those classes' paragraphs."""
     for batch in batches:
-        for text, wanted in zip(batch.column(0).cast(pa.large_binary()), batch.column(1)):
-            words, bounds = hashed_words([text.as_py()])
-            starts, sizes, hashes, _ = paragraphs(words, bounds, 0)
-            asked = set(wanted.as_py())
-            rows = [(h, np.unique(shingles(words[s:s + n])).view(np.int64))
-                    for s, n, h in zip(starts.tolist(), sizes.tolist(), hashes.view(np.int64).tolist())
-                    if h in asked]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([h for h, _ in rows], pa.int64()),
-                 pa.array([s for _, s in rows], pa.list_(pa.int64()))], ["class", "shingles"])
+        words, bounds = hashed_words([t.as_py() for t in batch.column(0).cast(pa.large_binary())])
+        starts, sizes, hashes, _ = paragraphs(words, bounds, 0)
+        hashes = hashes.view(np.int64)
+        # a class asked of one text may stand in another one of the batch too: all its sets are equal
+        asked, first = np.unique(hashes, return_index=True)
+        first = first[np.isin(asked, np.asarray(batch.column(1).flatten()))]
+        each = shingles(words).view(np.int64)
+        sets = [np.unique(each[s:s + n - SHINGLE_WORDS + 1])
+                for s, n in zip(starts[first].tolist(), sizes[first].tolist())]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(hashes[first]), pa.array(sets, pa.list_(pa.int64()))], ["class", "shingles"])
+
+
+def _few_groups(sets: list[set[int]], similarity: float) -> list[int]:
+    """``similar_groups`` for a handful of sets."""
+    label = list(range(len(sets)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if label[i] != label[j]:
+                shared = len(a & sets[j])
+                if shared >= similarity * (len(a) + len(sets[j]) - shared) - 1e-9:
+                    low, high = sorted((label[i], label[j]))
+                    label = [low if x == high else x for x in label]
+    return label
 
 
 def similar_groups(sets: list[np.ndarray], similarity: float) -> np.ndarray:
@@ -188,23 +204,27 @@ def _verify(similarity: float):
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, items, sets = None, [], []
 
-        def links() -> pa.RecordBatch:
-            label = similar_groups(sets, similarity) if len(sets) > 1 else np.zeros(len(sets), int)
-            pairs = [(items[i], items[j]) for i, j in enumerate(label.tolist()) if items[i] != items[j]]
+        def links() -> list[tuple[int, int]]:
+            if len(items) <= _FEW:
+                label = _few_groups([set(s) for s in sets], similarity) if len(items) > 1 else []
+            else:
+                label = similar_groups([np.array(s, np.int64) for s in sets], similarity).tolist()
+            return [(items[i], items[j]) for i, j in enumerate(label) if i != j]
+
+        def rows(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([a for a, _ in pairs], pa.int64()),
                                                pa.array([b for _, b in pairs], pa.int64())], ["a", "b"])
 
         for batch in batches:
-            for bucket, item, found in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
-                                           batch.column(2)):
+            found = []
+            for bucket, item, shingles_ in zip(*(c.to_pylist() for c in batch.columns)):
                 if bucket != now:
-                    if len(items) > 1:
-                        yield links()
+                    found += links()
                     now, items, sets = bucket, [], []
                 items.append(item)
-                sets.append(np.asarray(found.values))
-        if len(items) > 1:
-            yield links()
+                sets.append(shingles_)
+            yield rows(found)
+        yield rows(links())
     return verify
 
 

@@ -66,6 +66,7 @@ def test_similar_groups(seed):
     want = brute.groups(range(len(sets)), near)
     got = p.similar_groups([np.asarray(s, np.int64) for s in sets], 0.8)
     assert got.tolist() == [want[i] for i in range(len(sets))]
+    assert p._few_groups([set(s.tolist()) for s in sets], 0.8) == got.tolist()
 
 
 def _variants(n):
