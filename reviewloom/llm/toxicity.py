@@ -26,7 +26,7 @@ BITS = 20
 #: The classifier is fitted on so many labelled rows at most, taken by a hash of their id.
 MAX_TRAIN_ROWS = 40_000
 ROWS_PER_SHARD = 20_000
-ROUNDS = 8
+ROUNDS = 6
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 6.0, 0.0
 _SAMPLE_UNITS = 1 << 30
 
@@ -104,7 +104,7 @@ class _State:
 def _shard_round(state):
     """One pass over a shard, in the order of ``turn``; gives the changes of the state."""
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        z, n = state.value
+        z, n = (part.astype(np.float64) for part in state.value)
         model = _State(z.copy(), n.copy())
         rows = 0
         for batch in batches:
@@ -113,9 +113,11 @@ def _shard_round(state):
                 model.learn(np.asarray(buckets.values), label)
         if rows:
             at = np.flatnonzero((model.z != z) | (model.n != n))
+            # and one row that counts the shard
             yield pa.RecordBatch.from_arrays(
-                [pa.array(at.astype(np.int32)), pa.array(model.z[at] - z[at]), pa.array(model.n[at] - n[at])],
-                ["bucket", "z", "n"])
+                [pa.array(np.append(at, -1).astype(np.int32)),
+                 pa.array(np.append(model.z[at] - z[at], 1.0).astype(np.float32)),
+                 pa.array(np.append(model.n[at] - n[at], 0.0).astype(np.float32))], ["bucket", "z", "n"])
     return learn
 
 
@@ -143,20 +145,23 @@ def train(docs: DataFrame, labels: DataFrame, eligible: Callable[[Column], Colum
     texts = docs.select(number.alias("id"), column(text).alias("text")).filter(chosen(F.col("id")))
     sample = texts.join(marked.filter(chosen(F.col("id"))), "id").select(
         "label", F.xxhash64("id", F.lit("turn")).alias("turn"), F.coalesce("text", F.lit("")).alias("text"))
-    made = land(sample.mapInArrow(_features, "label int, turn bigint, buckets array<int>"), "features")
+    made = sample.mapInArrow(_features, "label int, turn bigint, buckets array<int>")
     shards = max(1, -(-min(rows, max_rows) // ROWS_PER_SHARD))
-    dealt = (made.repartition(shards, F.pmod(F.col("turn"), F.lit(shards)))
-             .sortWithinPartitions("turn").select("label", "buckets"))
+    # a file per shard, which each round reads again in its order
+    dealt = land(made.repartition(shards, F.pmod(F.col("turn"), F.lit(shards)))
+                 .sortWithinPartitions("turn").select("label", "buckets"), "features")
     z, n = np.zeros((1 << BITS) + 1), np.zeros((1 << BITS) + 1)
     for _ in range(ROUNDS):
-        state = spark.sparkContext.broadcast((z, n))
-        changes = dealt.mapInArrow(_shard_round(state), "bucket int, z double, n double")
-        # one row per bucket at most
-        mean = changes.groupBy("bucket").agg((F.sum("z") / shards).alias("z"),
-                                             (F.sum("n") / shards).alias("n")).toArrow()
-        at = mean["bucket"].to_numpy()
-        z[at] += mean["z"].to_numpy()
-        n[at] += mean["n"].to_numpy()
+        state = spark.sparkContext.broadcast((z.astype(np.float32), n.astype(np.float32)))
+        changes = dealt.mapInArrow(_shard_round(state), "bucket int, z float, n float")
+        # one row per bucket at most, and the count of the shards
+        total = changes.groupBy("bucket").agg(F.sum("z").alias("z"), F.sum("n").alias("n")).toArrow()
+        state.destroy()  # its files would stay on every executor
+        at, by = total["bucket"].to_numpy(), {c: total[c].to_numpy() for c in ("z", "n")}
+        seen, real = by["z"][at < 0].sum(), at >= 0
+        if seen:
+            z[at[real]] += by["z"][real] / seen
+            n[at[real]] += by["n"][real] / seen
     final = _State(z, n)
     weights = final.weights()[:-1]
     some = np.flatnonzero(weights)
