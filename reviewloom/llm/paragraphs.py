@@ -76,37 +76,66 @@ def shingles(words: np.ndarray) -> np.ndarray:
     return out
 
 
-def paragraphs(words: np.ndarray, bounds: np.ndarray, bands: int) -> tuple:
-    """Starts, lengths, hashes and band keys of all paragraphs of at least five words."""
-    starts = cut_places(words, bounds)
-    stops = np.append(starts[1:], words.size)
-    # a text's last paragraph ends with it
-    sizes = stops - starts
-    base = np.uint64(0x9E3779B97F4A7C15 | 1)
-    powers = np.cumprod(np.full(words.size + 1, base))
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(words * powers[:-1])])
-    inverse = np.cumprod(np.full(words.size + 1, np.uint64(pow(int(base), -1, 2**64))))
-    hashes = _mix((sums[stops] - sums[starts]) * inverse[starts] + sizes.astype(np.uint64), 7)
+def words_by_line(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashed words, where each text's begin, where each line's begin, and each text's first line."""
+    lines = [t.split(b"\n") for t in texts]
+    words, ends = hashed_words([line for several in lines for line in several])
+    first = np.concatenate([np.zeros(1, np.int64), np.cumsum([len(x) for x in lines], dtype=np.int64)])
+    return words, ends[first], ends, first
+
+
+def blocks(ends: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and stops of what lies between lines without words, in texts that have such lines."""
+    full = np.diff(ends) > 0
+    begins, closes = full.copy(), full.copy()
+    begins[1:] &= ~full[:-1]
+    closes[:-1] &= ~full[1:]
+    begins[first[:-1]], closes[first[1:] - 1] = full[first[:-1]], full[first[1:] - 1]
+    text = np.searchsorted(first, np.flatnonzero(begins), side="right") - 1
+    several = np.bincount(text, minlength=first.size)[text] > 1
+    return ends[:-1][begins][several], ends[1:][closes][several]
+
+
+def paragraphs(words: np.ndarray, bounds: np.ndarray, ends: np.ndarray, first: np.ndarray,
+               bands: int) -> tuple:
+    """Starts, sizes, hashes and band keys of all paragraphs of at least five words: what lies between
+    two cuts, each line, and each block between blank lines."""
+    cuts = cut_places(words, bounds)
+    block_starts, block_stops = blocks(ends, first)
+    spans = np.stack([np.concatenate([cuts, ends[:-1], block_starts]),
+                      # a text's last paragraph ends with it
+                      np.concatenate([np.append(cuts[1:], words.size)[:cuts.size], ends[1:], block_stops])])
+    spans = spans[:, spans[1] - spans[0] >= SHINGLE_WORDS]
+    starts, stops = np.unique(spans, axis=1) if spans.size else spans
+    hashes = span_hashes(words, starts, stops)
     keys = np.zeros((bands, starts.size), np.uint64)
-    if words.size:
+    if starts.size:
         found = np.full(words.size, _HIGHEST)
         each = shingles(words)
         found[:each.size] = each
-        left = stops[np.searchsorted(starts, np.arange(words.size), side="right") - 1] - np.arange(words.size)
-        inside = left >= SHINGLE_WORDS
+        # shingles that begin up to there lie inside
+        edges = np.stack([starts, stops - SHINGLE_WORDS + 1], axis=1).ravel()
         for k in range(bands):
-            lowest = np.minimum.reduceat(np.where(inside, _mix(found, 101 + k), _HIGHEST), starts)
-            keys[k] = _mix(lowest, 211 + k)
-    some = sizes >= SHINGLE_WORDS
-    return starts[some], sizes[some], hashes[some], keys[:, some]
+            keys[k] = _mix(np.minimum.reduceat(_mix(found, 101 + k), edges)[::2], 211 + k)
+    return starts, stops - starts, hashes, keys
+
+
+def span_hashes(words: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """Hashes of the words from each start to its stop, wherever they stand."""
+    base = np.uint64(0x9E3779B97F4A7C15 | 1)
+    powers = np.cumprod(np.full(words.size + 1, base))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(words * powers[:-1])])
+    inverse = np.cumprod(np.full(words.size + 1, np.uint64(pow(int(base), -1, 2**64))))
+    return _mix((sums[stops] - sums[starts]) * inverse[starts] + (stops - starts).astype(np.uint64), 7)
 
 
 def _cut(bands: int):
     """From (id, key, text), one row per paragraph."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words, bounds = hashed_words([t.as_py() for t in batch.column(2).cast(pa.large_binary())])
-            starts, sizes, hashes, keys = paragraphs(words, bounds, bands)
+            words, bounds, ends, first = words_by_line(
+                [t.as_py() for t in batch.column(2).cast(pa.large_binary())])
+            starts, sizes, hashes, keys = paragraphs(words, bounds, ends, first, bands)
             owner = np.searchsorted(bounds, starts, side="right") - 1
             rows = pa.array(owner)
             yield pa.RecordBatch.from_arrays(
@@ -150,8 +179,9 @@ def _colliding(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _shingles_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From (text, wanted classes), the distinct shingles of those classes' paragraphs."""
     for batch in batches:
-        words, bounds = hashed_words([t.as_py() for t in batch.column(0).cast(pa.large_binary())])
-        starts, sizes, hashes, _ = paragraphs(words, bounds, 0)
+        words, bounds, ends, lines = words_by_line(
+            [t.as_py() for t in batch.column(0).cast(pa.large_binary())])
+        starts, sizes, hashes, _ = paragraphs(words, bounds, ends, lines, 0)
         hashes = hashes.view(np.int64)
         # a class asked of one text may stand in another one of the batch too: all its sets are equal
         asked, first = np.unique(hashes, return_index=True)
@@ -267,16 +297,17 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
                       min_words: int = MIN_WORDS) -> DataFrame:
     """One row per paragraph that lies in a passage repeated in another document.
 
-    ``doc_id, key, at, n`` name the paragraph, ``root`` its cluster, ``first_doc`` the smallest id with
-    it, ``removed`` whether an earlier occurrence stays instead. Passages are runs of such paragraphs with
-    ``min_words`` words or more. Rows with equal ids are one document, null ids another.
+    ``doc_id, key, start, stop`` name its words, ``first_doc`` the smallest id with a paragraph of its
+    cluster, ``removed`` whether an earlier occurrence stays instead. Paragraphs that touch or overlap
+    are one passage, ``run``, which has ``min_words`` words or more; ``island`` numbers the connected parts
+    of a text that are removed. Rows with equal ids are one document, null ids another.
     """
     bands = bands_for(similarity, recall)
     docs = docs.select(column(doc_id).alias("doc_id"), column(text).alias("text"))
     table = land(paragraph_table(docs, bands=bands), "paragraphs")
     similar = land(similar_classes(docs, table, bands, similarity), "similar")
     classes = table.groupBy("class").agg(
-        F.min(F.struct("doc_id", "at")).alias("first"), F.min("doc_id").alias("low"),
+        F.min(F.struct("doc_id", "at", "key", "n")).alias("first"), F.min("doc_id").alias("low"),
         F.max("doc_id").alias("high"), F.max(F.col("doc_id").isNull()).alias("no_id"))
     rooted = classes.join(similar, "class", "left").withColumn("root", F.coalesce("root", "class"))
     clusters = rooted.groupBy("root").agg(
@@ -285,32 +316,46 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
         (F.col("low") < F.col("high")) | (F.col("no_id") & F.col("low").isNotNull()))
     members = rooted.select("class", "root").join(clusters.select("root", "first"), "root")
     found = table.select("doc_id", "key", "at", "n", "class").join(members, "class")
-    in_text = Window.partitionBy("doc_id", "key").orderBy("at")
+    # a line and a paragraph inside it may be of one cluster: what overlaps the first occurrence stays with it
+    stays = (F.struct("doc_id", "key").eqNullSafe(F.struct("first.doc_id", "first.key"))
+             & (F.col("at") < F.col("first.at") + F.col("first.n"))
+             & (F.col("at") + F.col("n") > F.col("first.at")))
+    spans = found.select(
+        "doc_id", "key", F.col("at").alias("start"), (F.col("at") + F.col("n")).alias("stop"),
+        F.col("first.doc_id").alias("first_doc"), (~stays).alias("removed"))
     run = Window.partitionBy("doc_id", "key", "run")
-    return (found.withColumn("gap", F.coalesce(
-                F.col("at") != F.lag(F.col("at") + F.col("n")).over(in_text), F.lit(True)).cast("int"))
-            .withColumn("run", F.sum("gap").over(in_text))
-            .withColumn("run_words", F.sum("n").over(run)).filter(F.col("run_words") >= min_words)
-            .select("doc_id", "key", "at", "n", "root", F.col("first.doc_id").alias("first_doc"),
-                    (~F.struct("doc_id", "at").eqNullSafe(F.col("first"))).alias("removed")))
+    size = F.max("stop").over(run) - F.min("start").over(run)
+    return _numbered(_numbered(spans, "run").withColumn("size", size).filter(F.col("size") >= min_words)
+                     .drop("size"), "island", "removed")
+
+
+def _numbered(spans: DataFrame, name: str, *by: str) -> DataFrame:
+    """``spans`` with a number for those of one text, and of one ``by``, that touch or overlap."""
+    in_order = Window.partitionBy("doc_id", "key", *by).orderBy("start", "stop")
+    reach = F.max("stop").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    return spans.withColumn("gap", F.coalesce(F.col("start") > reach, F.lit(True)).cast("int")) \
+        .withColumn(name, F.sum("gap").over(in_order)).drop("gap")
 
 
 def dedup_report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """One row per row of ``docs``: what of it repeats, and with whom.
 
     ``doc_id``; ``component_id``, the smallest id reachable over shared passages, itself included;
-    ``linked_docs``, the sorted ids that hold its repeated passages first; ``n_repeated`` paragraphs, of
-    which ``n_removed`` with ``removed_words`` words stay elsewhere; ``removed_spans``, their places in
-    words. Null and empty texts repeat nothing.
+    ``linked_docs``, the sorted ids that hold its repeated passages first; ``n_repeated`` passages in a
+    row; ``n_removed`` stretches with ``removed_words`` words that stay elsewhere; ``removed_spans``, their
+    places in words. Null and empty texts repeat nothing.
     """
     number, words = column(doc_id), F.coalesce(column(text), F.lit(""))
     found = land(repeated_passages(docs, doc_id, text, **options), "passages")
-    span = F.when(F.col("removed"), F.struct(F.col("at").alias("start"),
-                                             (F.col("at") + F.col("n")).alias("stop")))
-    per_doc = found.groupBy(F.col("doc_id").alias("id"), "key").agg(
-        F.array_sort(F.collect_set("first_doc")).alias("linked_docs"),
-        F.count(F.lit(1)).alias("n_repeated"), F.count_if("removed").alias("n_removed"),
-        F.sum(F.when(F.col("removed"), F.col("n")).otherwise(0)).alias("removed_words"),
+    parts = found.groupBy(F.col("doc_id").alias("id"), "key", "removed", "island").agg(
+        F.collect_set("first_doc").alias("docs"), F.collect_set("run").alias("runs"),
+        F.min("start").alias("start"), F.max("stop").alias("stop"))
+    span = F.when(F.col("removed"), F.struct("start", "stop"))
+    per_doc = parts.groupBy("id", "key").agg(
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("docs")))).alias("linked_docs"),
+        F.size(F.array_distinct(F.flatten(F.collect_list("runs")))).cast("bigint").alias("n_repeated"),
+        F.count_if("removed").alias("n_removed"),
+        F.sum(F.when(F.col("removed"), F.col("stop") - F.col("start")).otherwise(0)).alias("removed_words"),
         F.array_sort(F.collect_list(span)).alias("removed_spans"))
     groups = land(connected_components(found.select("doc_id", "first_doc").distinct(), "doc_id", "first_doc"),
                   "document_groups")

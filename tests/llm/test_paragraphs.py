@@ -113,3 +113,32 @@ def test_repeated_rows_and_empty(documents, world):
     got = p.dedup_report(documents([row, row, (6, "short")])).collect()
     assert [r["n_repeated"] for r in got] == [0, 0, 0], "rows with one id are one document"
     assert p.dedup_report(documents([])).count() == 0
+
+
+def _jaccard(a, b):
+    a, b = ({tuple(w[i:i + p.SHINGLE_WORDS]) for i in range(len(w) - p.SHINGLE_WORDS + 1)} for w in (a, b))
+    return len(a & b) / len(a | b)
+
+
+@pytest.mark.parametrize("glue", ["\n", "\n\n"])
+def test_near_copies_of_whole_paragraphs_are_removed_whole(documents, glue):
+    """Lines, and blocks of lines between blank lines, with changed words; all 0.8 similar and more."""
+    rng = random.Random(31)
+    rows, near = [], {}
+    for k in range(60):
+        words = _words(rng, rng.randrange(50, 101))
+        changed = list(words)
+        for at in rng.sample(range(len(words)), 1 if len(words) < 95 else 2):
+            changed[at] = "changed"
+        for copy, body in enumerate((words, changed)):
+            if glue == "\n\n":
+                body = [w + ("\n" if i % (9 + copy) == 8 else "") for i, w in enumerate(body)]
+            before = _words(rng, rng.randrange(5, 30))
+            rows.append((10 * k + copy, " ".join(before) + glue + " ".join(body) + glue + "the end"))
+            near[10 * k + copy] = (len(before), len(before) + len(words))
+        assert _jaccard(words, changed) >= 0.8
+    got = {r["doc_id"]: r for r in p.dedup_report(documents(rows), recall=0.9999).collect()}
+    for i, (start, stop) in near.items():
+        assert got[i]["component_id"] == i // 10 * 10
+        if i % 10:
+            assert any(s["start"] <= start and stop <= s["stop"] for s in got[i]["removed_spans"])
