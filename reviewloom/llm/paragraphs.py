@@ -2,8 +2,10 @@
 
 A text is cut into paragraphs at places that only the words around them decide, so a passage has the
 same cuts wherever it was pasted, whatever lines it was broken into. Equal paragraphs are one class.
-Near-equal ones meet by MinHash bands over shingles of five words; every two that collide are compared
-exactly, and classes that are similar enough make clusters. Of each cluster the first occurrence stays.
+Lines, and blocks between blank lines, are paragraphs too. Near-equal ones meet by MinHash bands over
+shingles of five words; every two that collide are compared exactly, and classes that are similar enough
+make clusters. Of each cluster the first occurrence stays; the others are extended, word by word, as far
+as they go on like it.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewloom.llm.columns import column
@@ -25,9 +27,12 @@ SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 #: Wanted share of the pairs at exactly ``SIMILARITY`` that meet in a band.
 RECALL = 0.95
-#: A cut is the lowest of this many places on both sides: paragraphs have seven words at least and
-#: thirteen on average, and a passage of 51 words nearly always holds a whole one.
+#: A cut is the lowest of this many places on both sides: what lies between two cuts has seven words at
+#: least and thirteen on average.
 REACH = 6
+#: A passage that holds no whole paragraph is found by runs of ``SEED_WORDS`` words: any ``LONG`` words in a
+#: row of a paragraph that long hold one. No passage of 51 words is without both.
+SEED_WORDS, LONG = 8, 18
 #: Repeats of fewer words in a row are left alone.
 MIN_WORDS = 15
 #: Classes that meet in one band of one task; larger meetings are split.
@@ -99,14 +104,20 @@ def blocks(ends: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 def paragraphs(words: np.ndarray, bounds: np.ndarray, ends: np.ndarray, first: np.ndarray,
                bands: int) -> tuple:
     """Starts, sizes, hashes and band keys of all paragraphs of at least five words: what lies between
-    two cuts, each line, and each block between blank lines."""
+    two cuts, each line, and each block between blank lines.
+
+    What lies between cuts has keys of its own: a line would always collide with a part of itself.
+    """
     cuts = cut_places(words, bounds)
     block_starts, block_stops = blocks(ends, first)
-    spans = np.stack([np.concatenate([cuts, ends[:-1], block_starts]),
-                      # a text's last paragraph ends with it
-                      np.concatenate([np.append(cuts[1:], words.size)[:cuts.size], ends[1:], block_stops])])
-    spans = spans[:, spans[1] - spans[0] >= SHINGLE_WORDS]
-    starts, stops = np.unique(spans, axis=1) if spans.size else spans
+    # a text's last paragraph ends with it
+    parts = np.stack([cuts, np.append(cuts[1:], words.size)[:cuts.size]])
+    wholes = np.stack([np.append(ends[:-1], block_starts), np.append(ends[1:], block_stops)])
+    parts, wholes = (x[:, x[1] - x[0] >= SHINGLE_WORDS] for x in (parts, wholes))
+    if wholes.size:
+        wholes = np.unique(wholes, axis=1)  # a block may be a line
+    starts, stops = np.concatenate([parts, wholes], axis=1)
+    whole = np.arange(starts.size) >= parts.shape[1]
     hashes = span_hashes(words, starts, stops)
     keys = np.zeros((bands, starts.size), np.uint64)
     if starts.size:
@@ -116,7 +127,8 @@ def paragraphs(words: np.ndarray, bounds: np.ndarray, ends: np.ndarray, first: n
         # shingles that begin up to there lie inside
         edges = np.stack([starts, stops - SHINGLE_WORDS + 1], axis=1).ravel()
         for k in range(bands):
-            keys[k] = _mix(np.minimum.reduceat(_mix(found, 101 + k), edges)[::2], 211 + k)
+            lowest = np.minimum.reduceat(_mix(found, 101 + k), edges)[::2]
+            keys[k] = np.where(whole, _mix(lowest, 307 + k), _mix(lowest, 211 + k))
     return starts, stops - starts, hashes, keys
 
 
@@ -129,19 +141,47 @@ def span_hashes(words: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.
     return _mix((sums[stops] - sums[starts]) * inverse[starts] + (stops - starts).astype(np.uint64), 7)
 
 
+def seeds(words: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Starts of runs of ``SEED_WORDS`` words in long paragraphs, chosen by the words around them: each
+    has the lowest hash of some ``LONG - SEED_WORDS + 1`` neighbouring runs."""
+    cuts = cut_places(words, bounds)
+    sizes = np.diff(np.append(cuts, words.size))
+    runs = np.where(sizes >= LONG, sizes - SEED_WORDS + 1, 0)
+    owner = np.repeat(np.arange(cuts.size), runs)
+    at = np.arange(owner.size) + np.repeat(cuts - np.cumsum(runs) + runs, runs)
+    height = span_hashes(words, at, at + SEED_WORDS)
+    window = LONG - SEED_WORDS + 1
+    reach = np.ones(at.size, np.int64)
+    left, right = np.ones(at.size, bool), np.ones(at.size, bool)
+    for step in range(1, window):
+        same = owner[step:] == owner[:-step]
+        left[:step] = right[max(0, at.size - step):] = False
+        left[step:] &= same & (height[:-step] > height[step:])
+        right[:-step] &= same & (height[step:] >= height[:-step])
+        reach += left
+        reach += right
+    return at[reach >= window]
+
+
 def _cut(bands: int):
-    """From (id, key, text), one row per paragraph."""
+    """From (id, key, text), one row per paragraph and, without band keys, per seed."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words, bounds, ends, first = words_by_line(
                 [t.as_py() for t in batch.column(2).cast(pa.large_binary())])
             starts, sizes, hashes, keys = paragraphs(words, bounds, ends, first, bands)
+            more = seeds(words, bounds)
+            plain = np.arange(starts.size + more.size) >= starts.size
+            starts = np.concatenate([starts, more])
+            sizes = np.concatenate([sizes, np.full(more.size, SEED_WORDS, sizes.dtype)])
+            hashes = np.concatenate([hashes, span_hashes(words, more, more + SEED_WORDS)])
+            keys = np.concatenate([keys, np.zeros((bands, more.size), np.uint64)], axis=1)
             owner = np.searchsorted(bounds, starts, side="right") - 1
             rows = pa.array(owner)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(rows), batch.column(1).take(rows),
                  pa.array((starts - bounds[owner]).astype(np.int32)), pa.array(sizes.astype(np.int32)),
-                 pa.array(hashes.view(np.int64)), *[pa.array(k.view(np.int64)) for k in keys]],
+                 pa.array(hashes.view(np.int64)), *[pa.array(k.view(np.int64), mask=plain) for k in keys]],
                 ["doc_id", "key", "at", "n", "class", *[f"band{k}" for k in range(bands)]])
     return cut
 
@@ -258,9 +298,86 @@ def _verify(similarity: float):
     return verify
 
 
+def _sides(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From (id, key, text, spans of the text), the words before each span, backwards, and after it.
+
+    They go as far as the cut after the next one and the words that decide it: two texts that are equal
+    beyond it have the whole next paragraph in common, which is a span of its own.
+    """
+    for batch in batches:
+        words, bounds = hashed_words([t.as_py() for t in batch.column(2).cast(pa.large_binary())])
+        owner = np.repeat(np.arange(batch.num_rows), batch.column(3).value_lengths().to_numpy())
+        spans = batch.column(3).flatten()
+        start, stop = (spans.field(k).to_numpy().astype(np.int64) + bounds[owner] for k in range(2))
+        cuts = cut_places(words, bounds)
+        low = cuts[np.maximum(np.searchsorted(cuts, start, side="right") - 2, 0)] - REACH - 2
+        low = np.maximum(low, bounds[owner])
+        high = np.append(cuts, [words.size] * 2)[np.searchsorted(cuts, stop, side="left") + 1] + REACH + 3
+        high = np.minimum(high, bounds[owner + 1])
+
+        def several(first: np.ndarray, size: np.ndarray, step: int) -> pa.Array:
+            offsets = np.concatenate([np.zeros(1, np.int64), np.cumsum(size)])
+            place = np.repeat(first, size) + step * (np.arange(offsets[-1]) - np.repeat(offsets[:-1], size))
+            return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)),
+                                            pa.array(words[place].view(np.int64)))
+        rows = pa.array(owner)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0).take(rows), batch.column(1).take(rows), *spans.flatten(),
+             several(start - 1, start - low, -1), several(stop, high - stop, 1)],
+            ["doc_id", "key", "start", "stop", "exact", "link", "first_doc", "twin", "left", "right"])
+
+
+def _in_common(a: str, b: str) -> Column:
+    """How many items two arrays begin with alike."""
+    differ = F.array_position(F.zip_with(a, b, lambda x, y: x.eqNullSafe(y)), False)
+    return F.when(differ > 0, differ - 1).otherwise(F.size(a)).cast("int")
+
+
+def extended_spans(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The outermost of the ``found`` spans of each stretch of a text, as far as their words go on like
+    those of their ``twin`` in another document; and the twins, as far as any goes."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    stretch = Window.partitionBy("doc_id", "key", "exact", "stretch")
+    edges = land(
+        _numbered(found, "stretch", "exact").withColumns({"low": F.min("start").over(stretch),
+                                                          "high": F.max("stop").over(stretch)})
+        .filter((F.col("start") == F.col("low")) | (F.col("stop") == F.col("high")))
+        .filter(~F.col("doc_id").eqNullSafe(F.col("twin.doc_id")))
+        .select("doc_id", "key", "start", "stop", "exact", "link", "first_doc", "twin"), "edges")
+    twins = edges.select("twin.doc_id", "twin.key", F.col("twin.at").alias("start"),
+                         (F.col("twin.at") + F.col("twin.n")).alias("stop"), "exact", "link",
+                         F.lit(None).cast(edges.schema["first_doc"].dataType).alias("first_doc")).distinct()
+
+    def of_text(spans: DataFrame, twin: bool) -> DataFrame:
+        return spans.select("doc_id", "key", F.struct(
+            "start", "stop", "exact", "link", "first_doc", F.lit(twin).alias("twin")).alias("span"))
+    wanted = of_text(edges, False).union(of_text(twins, True)).groupBy(
+        F.col("doc_id").alias("id"), F.col("key").alias("k")).agg(F.collect_set("span").alias("spans"))
+    words = F.coalesce("text", F.lit(""))
+    texts = docs.select("doc_id", F.xxhash64("doc_id", words).alias("key"), words.alias("text"))
+    texts = texts.join(wanted, texts["doc_id"].eqNullSafe(F.col("id")) & (texts["key"] == F.col("k")))
+    sides = land(texts.select("doc_id", "key", "text", "spans").mapInArrow(
+        _sides, f"doc_id {kind}, key bigint, start int, stop int, exact boolean, link bigint, "
+                f"first_doc {kind}, twin boolean, left array<bigint>, right array<bigint>"), "sides")
+    twin = sides.filter("twin").groupBy("exact", "link").agg(
+        F.first(F.struct("left", "right")).alias("of"))
+    grown = land(sides.filter("not twin").join(twin, ["exact", "link"]).select(
+        "doc_id", "key", "start", "stop", "exact", "link", "first_doc",
+        _in_common("left", "of.left").alias("before"), _in_common("right", "of.right").alias("after")),
+        "grown")
+    most = grown.groupBy("exact", "link").agg(F.max("before").alias("before"), F.max("after").alias("after"))
+
+    def out(spans: DataFrame, removed: bool) -> DataFrame:
+        return spans.select("doc_id", "key", (F.col("start") - F.col("before")).alias("start"),
+                            (F.col("stop") + F.col("after")).alias("stop"), "first_doc",
+                            F.lit(removed).alias("removed"))
+    return out(grown, True).union(out(twins.join(most, ["exact", "link"]), False))
+
+
 def paragraph_table(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     bands: int = 0) -> DataFrame:
-    """``doc_id, key, at, n, class`` and band keys: one row per paragraph of five words and more.
+    """``doc_id, key, at, n, class`` and band keys: one row per paragraph of five words and more. Seeds
+    are rows without band keys.
 
     ``key`` tells rows with the same id apart by their text; ``at`` counts words from 0.
     """
@@ -275,6 +392,7 @@ def paragraph_table(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 def similar_classes(docs: DataFrame, table: DataFrame, bands: int, similarity: float = SIMILARITY,
                     bucket_size: int = BUCKET) -> DataFrame:
     """``class, root`` for the classes that are similar to another one; equal texts are one class."""
+    table = table.filter("band0 is not null")
     keys = F.array(*[F.col(f"band{k}") for k in range(bands)])
     met = land(table.select(F.explode(keys).alias("bucket"), "class").repartition("bucket")
                .sortWithinPartitions("bucket", "class")
@@ -295,7 +413,8 @@ def similar_classes(docs: DataFrame, table: DataFrame, bands: int, similarity: f
 def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                       similarity: float = SIMILARITY, recall: float = RECALL,
                       min_words: int = MIN_WORDS) -> DataFrame:
-    """One row per paragraph that lies in a passage repeated in another document.
+    """One row per paragraph that lies in a passage repeated in another document, and one more where the
+    passage goes on beyond it.
 
     ``doc_id, key, start, stop`` name its words, ``first_doc`` the smallest id with a paragraph of its
     cluster, ``removed`` whether an earlier occurrence stays instead. Paragraphs that touch or overlap
@@ -314,15 +433,21 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
         F.min("first").alias("first"), F.min("low").alias("low"), F.max("high").alias("high"),
         F.max("no_id").alias("no_id")).filter(
         (F.col("low") < F.col("high")) | (F.col("no_id") & F.col("low").isNotNull()))
-    members = rooted.select("class", "root").join(clusters.select("root", "first"), "root")
+    members = rooted.select("class", "root", F.col("first").alias("own")).join(clusters.select("root", "first"), "root")
     found = table.select("doc_id", "key", "at", "n", "class").join(members, "class")
     # a line and a paragraph inside it may be of one cluster: what overlaps the first occurrence stays with it
     stays = (F.struct("doc_id", "key").eqNullSafe(F.struct("first.doc_id", "first.key"))
              & (F.col("at") < F.col("first.at") + F.col("first.n"))
              & (F.col("at") + F.col("n") > F.col("first.at")))
-    spans = found.select(
+    # words go on alike beside equal paragraphs; beside similar ones, where no equal one is in another document
+    exact = ~F.col("doc_id").eqNullSafe(F.col("own.doc_id"))
+    found = land(found.select(
         "doc_id", "key", F.col("at").alias("start"), (F.col("at") + F.col("n")).alias("stop"),
-        F.col("first.doc_id").alias("first_doc"), (~stays).alias("removed"))
+        exact.alias("exact"), F.when(exact, F.col("class")).otherwise(F.col("root")).alias("link"),
+        F.when(exact, F.col("own")).otherwise(F.col("first")).alias("twin"),
+        F.col("first.doc_id").alias("first_doc"), (~stays).alias("removed")), "found")
+    spans = found.select("doc_id", "key", "start", "stop", "first_doc", "removed").union(
+        extended_spans(docs, found))
     run = Window.partitionBy("doc_id", "key", "run")
     size = F.max("stop").over(run) - F.min("start").over(run)
     return _numbered(_numbered(spans, "run").withColumn("size", size).filter(F.col("size") >= min_words)

@@ -142,3 +142,40 @@ def test_near_copies_of_whole_paragraphs_are_removed_whole(documents, glue):
         assert got[i]["component_id"] == i // 10 * 10
         if i % 10:
             assert any(s["start"] <= start and stop <= s["stop"] for s in got[i]["removed_spans"])
+
+
+def test_passages_are_removed_to_their_ends(documents):
+    """Exact passages of 51 and 52 words within other words are all found, and to their last word."""
+    rng = random.Random(41)
+    rows, planted = [], {}
+    for k in range(300):
+        passage = _words(rng, 51 + k % 2)
+        for copy in range(2):
+            before, after = _words(rng, rng.randrange(10, 60)), _words(rng, rng.randrange(10, 60))
+            rows.append((10 * k + copy, " ".join(before + passage + after)))
+            planted[10 * k + copy] = (len(before), len(before) + len(passage))
+    got = {r["doc_id"]: r for r in p.dedup_report(documents(rows)).collect()}
+    for i, span in planted.items():
+        spans = [tuple(s) for s in got[i]["removed_spans"]]
+        if i % 10 == 0:
+            assert spans == []
+        else:
+            assert len(spans) == 1 and got[i]["linked_docs"] == [i - 1]
+            start, stop = spans[0]
+            # a similar paragraph at an end may bring a few words more
+            assert start <= span[0] and span[1] <= stop and stop - start <= span[1] - span[0] + 12
+
+
+def test_every_51_words_hold_a_paragraph_or_a_seed():
+    rng = np.random.default_rng(5)
+    for _ in range(2000):
+        passage = rng.integers(0, 2**63, 51, dtype=np.uint64)
+        found = []
+        for _ in range(2):
+            before = rng.integers(0, 2**63, 30, dtype=np.uint64)
+            words = np.concatenate([before, passage, rng.integers(0, 2**63, 30, dtype=np.uint64)])
+            bounds = np.array([0, words.size])
+            cuts, more = p.cut_places(words, bounds), p.seeds(words, bounds)
+            units = [*zip(cuts[:-1].tolist(), cuts[1:].tolist()), *((a, a + p.SEED_WORDS) for a in more.tolist())]
+            found.append({(a - 30, b - 30) for a, b in units if a >= 30 and b <= 81})
+        assert found[0] & found[1]
