@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import permutations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,8 +34,8 @@ def read_reviews(spark: SparkSession, paths: str | Sequence[str],
     """Raw reviews, all as text, plus the ``source_file`` of each row.
 
     CSVs have a header, which must hold the columns of ``schema`` in that order, or reading fails. With
-    ``mixed_headers`` each file may have them in its own order, at the price of a second scan for
-    the headers. Empty fields come back as null. ``fmt="parquet"`` reads what ``land_reviews`` wrote.
+    ``mixed_headers`` each file may have them in its own order, in any letter case and among other
+    columns, at the price of a second scan for the headers; reading a file that lacks one fails. Empty fields come back as null. ``fmt="parquet"`` reads what ``land_reviews`` wrote.
 
     ``only`` holds the wanted files in ``filename``; no other file is opened, unless there
     are more than ``NAMES_IN_FILTER`` of them, when the others' rows go right after the scan.
@@ -59,17 +58,23 @@ def read_reviews(spark: SparkSession, paths: str | Sequence[str],
         rows = rows.select(*names, F.col(_ENCODED).alias("encoded"))
         order = None
     else:
-        positions = ", ".join(f"_{i} string" for i in range(len(names)))
+        order = _header_places(spark, paths, names, encoded)
+        width = order.agg(F.max(F.array_max("places"))).first()[0] or 1
+        positions = ", ".join(f"_{i} string" for i in range(max(width, 1)))
         rows = spark.read.schema(positions).options(**CSV, header=True).csv(paths)
         rows = rows.select("*", F.col(_ENCODED).alias("encoded"))
-        order = _header_orders(spark, paths, names)
     if encoded is not None:
         rows = _of_files(rows, "encoded", encoded)
     if order is not None:
-        placed = spread_join(rows, order, ["encoded"])
-        rows = placed.select(*[F.get(F.array(*[f"_{i}" for i in range(len(names))]),
-                                     F.array_position("order", n).cast("int") - 1)
-                               .cast(schema[n].dataType).alias(n) for n in names], "encoded")
+        placed = spread_join(rows, order, ["encoded"], "left")
+        fields = F.array(*[c for c in rows.columns if c != "encoded"])
+
+        def field(i: int) -> Column:
+            place = F.coalesce(F.col("places")[i], F.lit(0))
+            lacks = F.raise_error(F.concat(F.lit(f"no column {names[i]} in the header of "), "encoded"))
+            return F.when(place > 0, F.get(fields, place - 1)).otherwise(lacks.cast("string"))
+        rows = placed.select(*[field(i).cast(schema[n].dataType).alias(n) for i, n in enumerate(names)],
+                             "encoded")
     return rows.select(*names, file_name("encoded").alias("source_file"))
 
 
@@ -88,15 +93,27 @@ def _of_files(rows: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
     return spread_join(rows, wanted, [column], "left_semi")
 
 
-def _header_orders(spark: SparkSession, paths: str | Sequence[str], names: Sequence[str]) -> DataFrame:
-    """``encoded, order`` for each file whose header has these columns in some order."""
+def _header_places(spark: SparkSession, paths: str | Sequence[str], names: Sequence[str],
+                   wanted: DataFrame | None) -> DataFrame:
+    """``encoded, places`` for each file with a line: where its header has each column, from 1; 0 is nowhere.
+
+    A name in the same letter case goes before one in another.
+    """
     lines = spark.read.text(paths).select(
-        F.regexp_replace(F.regexp_replace("value", "^\ufeff", ""), "[\"\\s]", "").alias("line"),
-        F.col(_ENCODED).alias("encoded"))
-    headers = [",".join(p) for p in permutations(names)]
-    found = lines.filter(F.col("line").isin(headers)).groupBy("encoded").agg(
-        F.min("line").alias("line"))
-    return land(found.select("encoded", F.split("line", ",").alias("order")), "headers")
+        F.regexp_replace("value", "^\ufeff", "").alias("line"), F.col(_ENCODED).alias("encoded"),
+        F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("id"))
+    if wanted is not None:
+        lines = _of_files(lines, "encoded", wanted)
+    first = lines.filter((F.col("start") == 0) & (F.trim("line") != "")).groupBy("encoded").agg(
+        F.min_by("line", "id").alias("line"))
+    cells = F.split("line", ',(?=(?:[^"]*"[^"]*")*[^"]*$)')  # commas outside quotes
+    header = F.transform(cells, lambda c: F.trim(F.replace(
+        F.regexp_replace(F.trim(c), '^"|"$', ""), F.lit('""'), F.lit('"'))))
+    low = F.transform("header", F.lower)
+    places = [F.coalesce(F.nullif(F.array_position("header", n), F.lit(0)),
+                         F.array_position(low, n.lower())).cast("int") for n in names]
+    return land(first.select("encoded", header.alias("header")).select(
+        "encoded", F.array(*places).alias("places")), "headers")
 
 
 def _in_file_order(rows: DataFrame) -> DataFrame:

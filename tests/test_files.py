@@ -146,6 +146,22 @@ def test_columns_are_never_taken_for_one_another(spark, tmp_path):
     assert sorted(map(tuple, some.collect())) == sorted(want[1:])
 
 
+def test_columns_are_found_by_name_among_others(spark, tmp_path):
+    write_reviews(tmp_path / "a.csv", [("5", "good", "p")])
+    (tmp_path / "b.csv").write_text('id,name,"a, b",comment,rating_star,more\n1,q,x,"fine, really",4,z\n')
+    (tmp_path / "c.csv").write_text("\ufeffName,COMMENT,Rating_Star\nr,bad,1\n", encoding="utf-8")
+    (tmp_path / "empty.csv").write_text("")
+    want = [("5", "good", "p", "a.csv"), ("4", "fine, really", "q", "b.csv"), ("1", "bad", "r", "c.csv")]
+    got = files.read_reviews(spark, str(tmp_path), mixed_headers=True)
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+    (tmp_path / "d.csv").write_text("name,rating_star\ns,2\n")
+    only = spark.createDataFrame([("a",), ("b",), ("c",)], "filename string")
+    some = files.read_reviews(spark, str(tmp_path), only=only, mixed_headers=True)
+    assert sorted(map(tuple, some.collect())) == sorted(want)
+    with pytest.raises(Exception, match="no column comment in the header of d.csv"):
+        files.read_reviews(spark, str(tmp_path), mixed_headers=True).collect()
+
+
 ODD_NAMES = ["a b.csv", "100%.csv", "a+b.csv", "café ü.csv", "x%20y.csv", "1_2.csv"]
 
 
