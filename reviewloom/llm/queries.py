@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewloom.llm import (bpe, decontaminate, lengths, licenses, paragraphs, quality, secrets, sharding,
+from reviewloom.llm import (alignment, bpe, decontaminate, lengths, licenses, paragraphs, quality, secrets, sharding,
                             simhash, toxicity)
 from reviewloom.session import prepare_workers
 
@@ -211,3 +211,11 @@ def op1_toxicity(spark, sf):
 @query
 def op10_paragraph_dedup(spark, sf):
     return paragraphs.dedup_report(_documents(spark, sf))
+
+
+@query
+def op13_alignment(spark, sf):
+    rows, _ = alignment.align(_documents(spark, sf),
+                              (alignment.ByteLevel, public_tokenizers.path("byte_bpe_50k.json")),
+                              (alignment.Pieces, public_tokenizers.path("piece_bpe_32k.model")))
+    return rows
