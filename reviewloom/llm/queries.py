@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewloom.llm import (alignment, bpe, decontaminate, lengths, licenses, paragraphs, quality, secrets, sharding,
-                            simhash, toxicity)
+from reviewloom.llm import (alignment, bpe, collocations, decontaminate, lengths, licenses, paragraphs, quality,
+                            secrets, sharding, simhash, toxicity)
 from reviewloom.session import prepare_workers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -219,3 +219,47 @@ def op13_alignment(spark, sf):
                               (alignment.ByteLevel, public_tokenizers.path("byte_bpe_50k.json")),
                               (alignment.Pieces, public_tokenizers.path("piece_bpe_32k.model")))
     return rows
+
+
+@query
+def op12_collocations(spark, sf):
+    return collocations.collocations(_table(spark, sf, "documents").select("lang", "text")) \
+        .withColumnRenamed("group", "lang")
+
+
+def _collocations_sql() -> str:
+    lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return rf"""
+    WITH pieces AS (
+        SELECT coalesce(lang, 'und') AS lang,
+               unnest(string_split_regex({lower}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+    worded AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces),
+    totals AS (SELECT lang, sum(len(ws)) AS n FROM worded GROUP BY lang),
+    counts AS (
+        SELECT lang, k AS words, phrase, count(*) AS a
+        FROM (SELECT lang, k, array_to_string(list_slice(ws, i, i + k - 1), ' ') AS phrase
+              FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i
+                    FROM worded, (VALUES (1), (2), (3), (4)) AS sizes(k)))
+        GROUP BY ALL HAVING count(*) >= 30),
+    phrases AS (SELECT *, string_split(phrase, ' ') AS ws FROM counts WHERE words > 1),
+    cuts AS (
+        SELECT p.lang, p.phrase, p.a, k, l.a AS l, r.a AS r,
+               (2000000::HUGEINT * p.a) // (l.a::HUGEINT + r.a) AS score
+        FROM (SELECT *, unnest(range(1, words)) AS k FROM phrases) AS p
+        JOIN counts AS l ON l.lang = p.lang AND l.phrase = array_to_string(list_slice(p.ws, 1, k), ' ')
+        JOIN counts AS r ON r.lang = p.lang AND r.phrase = array_to_string(list_slice(p.ws, k + 1, words), ' ')),
+    scored AS (
+        SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+    inside AS (
+        SELECT lang, array_to_string(list_slice(ws, i, i + size - 1), ' ') AS phrase, max(a) AS longest
+        FROM (SELECT *, unnest(range(1, words - size + 2)) AS i
+              FROM (SELECT *, unnest(range(2, words)) AS size FROM phrases))
+        GROUP BY ALL)
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase,
+           a, l, r, n::BIGINT AS n, score::BIGINT AS score
+    FROM scored LEFT JOIN inside USING (lang, phrase) JOIN totals USING (lang)
+    WHERE longest IS NULL OR 100::HUGEINT * longest < 80::HUGEINT * a
+    QUALIFY rank <= 2000"""
+
+
+ORACLES["op12_collocations"] = _collocations_sql()
