@@ -247,7 +247,7 @@ def _collocations_sql() -> str:
                (2000000::HUGEINT * p.a) // (l.a::HUGEINT + r.a) AS score
         FROM (SELECT *, unnest(range(1, words)) AS k FROM phrases) AS p
         JOIN counts AS l ON l.lang = p.lang AND l.phrase = array_to_string(list_slice(p.ws, 1, k), ' ')
-        JOIN counts AS r ON r.lang = p.lang AND r.phrase = array_to_string(list_slice(p.ws, k + 1, words), ' ')),
+        JOIN counts AS r ON r.lang = p.lang AND r.phrase = array_to_string(list_slice(p.ws, k + 1, p.words), ' ')),
     scored AS (
         SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
     inside AS (
