@@ -10,27 +10,38 @@ kept by its two tuples of ids.
 from __future__ import annotations
 
 import hashlib
+import itertools
+import json
 import os
+from array import array
+from collections import Counter
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from sentencepiece import SentencePieceProcessor
+from tokenizers import Tokenizer
 
 from reviewloom.llm.columns import column
 from reviewloom.operators.skew import spread_join
 from reviewloom.session import land
 
+#: Fixed value: how byte-level tokenizers cut texts into words.
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Text that is tokenised at once.
 SLICE_BYTES = 500_000
 #: Windows remembered by a task; a fuller memory starts anew, which costs time and changes nothing.
-MAX_WINDOWS = 200_000
+MAX_WINDOWS = 400_000
 #: The counts of so many id pairs are broadcast (12 bytes each); more of them are joined.
 BROADCAST_PAIRS = 2_000_000
 #: Links expanded at once when a slice's links are counted.
 _LINKS = 4_000_000
+#: Links of a group that are listed one by one.
+_FEW = 64
 
 _ALIGNED = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs", "times"]
 
@@ -43,28 +54,50 @@ def _byte_of() -> dict[str, int]:
 
 
 class ByteLevel:
-    """A byte-level tokenizer of the ``tokenizers`` library, by its JSON file; encodes a space before the text."""
+    """A byte-level BPE of the ``tokenizers`` library, by its JSON file; encodes a space before the text.
+
+    Where the file says that ids follow the order of the merges and words are cut by the usual pattern, as byte-level
+    vocabularies do, ``tiktoken`` replays the same merges some four times faster; other files go to their own library.
+    """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
+        with open(path, encoding="utf-8") as file:
+            content = file.read()
+        model = json.loads(content)
         byte_of = _byte_of()
-        self.pieces = [b""] * self._tokenizer.get_vocab_size()
-        for piece, number in self._tokenizer.get_vocab().items():
-            self.pieces[number] = bytes(byte_of[c] for c in piece) if all(c in byte_of for c in piece) else b""
+        vocabulary = model["model"]["vocab"]
+        special = {t["content"] for t in model.get("added_tokens", [])}
+        self.pieces = [b""] * (1 + max(vocabulary.values()))
+        for piece, number in vocabulary.items():
+            if piece not in special:
+                self.pieces[number] = bytes(map(byte_of.__getitem__, piece))
+        if _merges_by_id(model, len(byte_of)):
+            ranks = {piece: number for number, piece in enumerate(self.pieces) if piece}
+            fast = tiktoken.Encoding("byte level", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={})
+            self.encode = lambda texts: [fast.encode_ordinary(" " + t) for t in texts]
+        else:
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"
+            own = Tokenizer.from_str(content)
+            own.encode_special_tokens = True
+            self.encode = lambda texts: [e.ids for e in own.encode_batch_fast([" " + t for t in texts],
+                                                                              add_special_tokens=False)]
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        found = self._tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
-        return [e.ids for e in found]
+
+def _merges_by_id(model: dict, n_bytes: int) -> bool:
+    """Whether the ids are the bytes, then the merges in their order, and nothing else shapes the text."""
+    bpe, words = model["model"], model.get("pre_tokenizer") or {}
+    merges = [m.split(" ") if isinstance(m, str) else m for m in bpe.get("merges", [])]
+    return (bpe.get("type") == "BPE" and not bpe.get("dropout") and not bpe.get("ignore_merges")
+            and not bpe.get("continuing_subword_prefix") and not bpe.get("end_of_word_suffix")
+            and not model.get("normalizer") and words.get("type") == "ByteLevel"
+            and not words.get("add_prefix_space") and words.get("use_regex", True)
+            and all(bpe["vocab"].get(a + b) == n_bytes + i for i, (a, b) in enumerate(merges)))
 
 
 class Pieces:
     """A model of the ``sentencepiece`` library, by its file; it adds the space before the text itself."""
 
     def __init__(self, path: str):
-        from sentencepiece import SentencePieceProcessor
         self._model = SentencePieceProcessor(model_file=path)
         self.pieces = []
         for i in range(self._model.get_piece_size()):
@@ -90,42 +123,67 @@ class Windows:
     """Groups and links of windows of token ids, each worked out once."""
 
     def __init__(self, len_a: np.ndarray, len_b: np.ndarray):
-        self._len_a, self._len_b, self._size_b = len_a, len_b, len_b.size
+        self._len_a, self._len_b, self._size_b = len_a.tolist(), len_b.tolist(), len_b.size
         self.clear()
 
     def clear(self) -> None:
         self.number: dict[tuple[bytes, bytes], int] = {}
-        self.groups: list[str] = []
-        self.sizes: list[tuple[int, int]] = []  # groups, links
-        self.pairs: list[np.ndarray] = []
-        self.times: list[np.ndarray] = []
+        self.text: list[str] = []
+        self.n_groups, self.n_links = array("q"), array("q")
+        # the distinct linked pairs of all windows, how often each is linked, and where a window's begin
+        self.pairs, self.times, self.bounds = array("q"), array("q"), array("q", [0])
 
     def add(self, key: tuple[bytes, bytes]) -> int:
-        a, b = np.frombuffer(key[0], "<i4"), np.frombuffer(key[1], "<i4")
-        ends_a, ends_b = np.cumsum(self._len_a[a]), np.cumsum(self._len_b[b])
-        _, at_a, at_b = np.intersect1d(ends_a, ends_b, assume_unique=True, return_indices=True)
-        text, pairs, times, links = [], [], [], 0
-        from_a = from_b = 0
-        for to_a, to_b in zip((at_a + 1).tolist(), (at_b + 1).tolist()):
-            of_a, of_b = a[from_a:to_a], b[from_b:to_b]
-            from_a, from_b = to_a, to_b
-            text.append(f"{','.join(map(str, of_a.tolist()))}|{','.join(map(str, of_b.tolist()))}")
-            links += of_a.size * of_b.size
-            ids_a, times_a = np.unique(of_a, return_counts=True)
-            ids_b, times_b = np.unique(of_b, return_counts=True)
-            pairs.append((ids_a.astype(np.int64)[:, None] * self._size_b + ids_b).ravel())
-            times.append((times_a[:, None] * times_b).ravel())
-        found, inverse = np.unique(np.concatenate(pairs), return_inverse=True)
-        self.groups.append(";".join(text))
-        self.sizes.append((len(text), links))
-        self.pairs.append(found)
-        self.times.append(np.bincount(inverse, np.concatenate(times)).astype(np.int64))
-        self.number[key] = len(self.groups) - 1
-        return len(self.groups) - 1
-
-
-def _windows_of(a: np.ndarray, b: np.ndarray, a_side, b_side, windows: Windows) -> list[int]:
-    """Numbers of a document's windows, in order."""
+        a, b = array("i", key[0]).tolist(), array("i", key[1]).tolist()
+        len_a, len_b = self._len_a, self._len_b
+        text, links, n_links = [], {}, 0
+        from_a = from_b = i = j = end_a = end_b = 0
+        for x in a:
+            end_a += len_a[x]
+            i += 1
+            while end_b < end_a:
+                end_b += len_b[b[j]]
+                j += 1
+            if end_a != end_b:
+                continue
+            if i - from_a == 1 == j - from_b:
+                y = b[from_b]
+                text.append(f"{x}|{y}")
+                pair = x * self._size_b + y
+                links[pair] = links.get(pair, 0) + 1
+                n_links += 1
+            else:
+                of_a, of_b = a[from_a:i], b[from_b:j]
+                text.append(f"{','.join(map(str, of_a))}|{','.join(map(str, of_b))}")
+                here = len(of_a) * len(of_b)
+                n_links += here
+                if here <= _FEW:
+                    for left in of_a:
+                        for right in of_b:
+                            pair = left * self._size_b + right
+                            links[pair] = links.get(pair, 0) + 1
+                else:  # equal ids once, so that a long group is no list of all its links
+                    times_b = Counter(of_b).items()
+                    for left, n in Counter(of_a).items():
+                        for right, m in times_b:
+                            pair = left * self._size_b + right
+                            links[pair] = links.get(pair, 0) + n * m
+            from_a, from_b = i, j
+        self.text.append(";".join(text))
+        self.n_groups.append(len(text))
+        self.n_links.append(n_links)
+        self.pairs.extend(links.keys())
+        self.times.extend(links.values())
+        self.bounds.append(len(self.pairs))
+        self.number[key] = number = len(self.text) - 1
+        return number
+
+
+def _windows_of(a: np.ndarray, b: np.ndarray, a_side, b_side, windows: Windows) -> tuple[list[int], np.ndarray]:
+    """Numbers of the windows of some documents' tokens, one document after the other, and where in ``a`` they end.
+
+    Both sides of each document hold the same bytes, so a document's end is a shared one.
+    """
     (_, len_a, spaced_a), (_, len_b, spaced_b) = a_side, b_side
     ends_a, ends_b = np.cumsum(len_a[a]), np.cumsum(len_b[b])
     place = np.searchsorted(ends_b, ends_a)
@@ -133,50 +191,57 @@ def _windows_of(a: np.ndarray, b: np.ndarray, a_side, b_side, windows: Windows)
     to_b = place[at]
     last = at == a.size - 1
     marked = spaced_a[a[np.minimum(at + 1, a.size - 1)]] & spaced_b[b[np.minimum(to_b + 1, b.size - 1)]]
-    anchor = last | marked
-    stops_a, stops_b = ((at[anchor] + 1) * 4).tolist(), ((to_b[anchor] + 1) * 4).tolist()
-    ids_a, ids_b = a.astype("<i4").tobytes(), b.astype("<i4").tobytes()
-    number, found = windows.number, []
+    anchor = last | marked  # every document begins with a space
+    stops = at[anchor] + 1
+    ids_a, ids_b = a.tobytes(), b.tobytes()
+    number, add, found = windows.number.get, windows.add, []
     from_a = from_b = 0
-    for stop_a, stop_b in zip(stops_a, stops_b):
+    for stop_a, stop_b in zip((stops * 4).tolist(), ((to_b[anchor] + 1) * 4).tolist()):
         key = ids_a[from_a:stop_a], ids_b[from_b:stop_b]
-        known = number.get(key)
-        found.append(windows.add(key) if known is None else known)
+        known = number(key)
+        found.append(add(key) if known is None else known)
         from_a, from_b = stop_a, stop_b
+    return found, stops
+
+
+def _align(texts: list[str | None], a_side, b_side, windows: Windows) -> list[tuple[int, int, list[int]]]:
+    """For each text its numbers of tokens and its windows; texts without tokens have none."""
+    asked = [i for i, t in enumerate(texts) if t]
+    fitting, all_a, all_b = [], [], []
+    some = [texts[i] for i in asked]
+    for i, a, b in zip(asked, a_side[0].encode(some), b_side[0].encode(some)):
+        whole = b" " + texts[i].encode()
+        if b"".join(map(a_side[0].pieces.__getitem__, a)) == whole == b"".join(map(b_side[0].pieces.__getitem__, b)):
+            fitting.append((i, len(a), len(b)))
+            all_a.append(np.array(a, np.int32))
+            all_b.append(np.array(b, np.int32))
+    found: list[tuple[int, int, list[int]]] = [(0, 0, [])] * len(texts)
+    if fitting:
+        numbers, stops = _windows_of(np.concatenate(all_a), np.concatenate(all_b), a_side, b_side, windows)
+        ends = np.searchsorted(stops, np.cumsum([n for _, n, _ in fitting]), side="right").tolist()
+        for (i, n_a, n_b), start, stop in zip(fitting, [0, *ends], ends):
+            found[i] = n_a, n_b, numbers[start:stop]
     return found
 
 
-def _align(texts: list[str | None], a_side, b_side, windows: Windows) -> list[tuple[int, int, list[int]] | None]:
-    """For each text its numbers of tokens and its windows; None for texts without tokens."""
-    asked = [t for t in texts if t]
-    found = []
-    for text, a, b in zip(asked, a_side[0].encode(asked), b_side[0].encode(asked)):
-        whole = b" " + text.encode()
-        if not a or not b or b"".join(map(a_side[0].pieces.__getitem__, a)) != whole or \
-                b"".join(map(b_side[0].pieces.__getitem__, b)) != whole:
-            found.append(None)
-        else:
-            found.append((len(a), len(b), _windows_of(np.array(a, np.int64), np.array(b, np.int64),
-                                                      a_side, b_side, windows)))
-    answers = iter(found)
-    return [next(answers) if t else None for t in texts]
-
-
 def _link_counts(documents: list[list[int]], windows: Windows) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct ``document, pair`` with the number of links, in that order."""
     doc = np.repeat(np.arange(len(documents)), [len(d) for d in documents])
-    window = np.fromiter((w for d in documents for w in d), np.int64, doc.size)
+    window = np.fromiter(itertools.chain.from_iterable(documents), np.int64, doc.size)
     # equal windows of one document once, with their number
-    both, repeats = np.unique(doc * np.int64(max(1, len(windows.groups))) + window, return_counts=True)
-    doc, window = np.divmod(both, max(1, len(windows.groups)))
-    sizes = np.fromiter((windows.pairs[w].size for w in window.tolist()), np.int64, window.size)
+    of_all = max(1, len(windows.text))
+    both, repeats = np.unique(doc * np.int64(of_all) + window, return_counts=True)
+    doc, window = np.divmod(both, of_all)
+    all_pairs, all_times, bounds = map(np.array, (windows.pairs, windows.times, windows.bounds))
+    starts = bounds[window]
+    sizes = bounds[window + 1] - starts
     done: list[list[np.ndarray]] = [[np.zeros(0, np.int64)] for _ in range(3)]
     cuts = _pieces_of(doc, sizes)
     for start, stop in zip(cuts, cuts[1:]):
-        part = window[start:stop].tolist()
-        pairs = np.concatenate([windows.pairs[w] for w in part])
-        times = np.concatenate([windows.times[w] for w in part]) * np.repeat(repeats[start:stop], sizes[start:stop])
-        of = np.repeat(doc[start:stop], sizes[start:stop])
+        size = sizes[start:stop]
+        at = np.arange(size.sum()) + np.repeat(starts[start:stop] - np.cumsum(size) + size, size)
+        pairs, times = all_pairs[at], all_times[at] * np.repeat(repeats[start:stop], size)
+        of = np.repeat(doc[start:stop], size)
         order = np.lexsort((pairs, of))
         pairs, times, of = pairs[order], times[order], of[order]
         first = np.flatnonzero(np.concatenate([[True], (pairs[1:] != pairs[:-1]) | (of[1:] != of[:-1])]))
@@ -200,20 +265,20 @@ def _aligner(a: tuple[Callable, str], b: tuple[Callable, str], pair_type: pa.Dat
         windows = Windows(a_side[1], b_side[1])
 
         def aligned(ids: pa.Array, texts: list[str | None]) -> pa.RecordBatch:
-            if len(windows.groups) > MAX_WINDOWS:
+            if len(windows.text) > MAX_WINDOWS:
                 windows.clear()
             found = _align(texts, a_side, b_side, windows)
-            documents = [d[2] if d else [] for d in found]
+            documents = [d[2] for d in found]
             doc, pairs, times = _link_counts(documents, windows)
             bounds = pa.array(np.searchsorted(doc, np.arange(len(texts) + 1)).astype(np.int32))
-            sizes = np.array([(sum(windows.sizes[w][0] for w in d), sum(windows.sizes[w][1] for w in d))
-                              for d in documents], np.int64).reshape(-1, 2)
-            digests = [hashlib.sha256(";".join([windows.groups[w] for w in d]).encode()).hexdigest() if d else ""
+            groups, links = np.array(windows.n_groups, np.int64), np.array(windows.n_links, np.int64)
+            digests = [hashlib.sha256(";".join(map(windows.text.__getitem__, d)).encode()).hexdigest() if d else ""
                        for d in documents]
             return pa.RecordBatch.from_arrays([
-                ids, pa.array([d[0] if d else 0 for d in found], pa.int64()),
-                pa.array([d[1] if d else 0 for d in found], pa.int64()),
-                pa.array(sizes[:, 0]), pa.array(sizes[:, 1]), pa.array(digests, pa.string()),
+                ids, pa.array([d[0] for d in found], pa.int64()),
+                pa.array([d[1] for d in found], pa.int64()),
+                pa.array([int(groups[d].sum()) if d else 0 for d in documents], pa.int64()),
+                pa.array([int(links[d].sum()) if d else 0 for d in documents], pa.int64()), pa.array(digests, pa.string()),
                 pa.ListArray.from_arrays(bounds, pa.array(pairs).cast(pair_type)),
                 pa.ListArray.from_arrays(bounds, pa.array(times))], _ALIGNED)
 
