@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewloom.llm import (alignment, bpe, collocations, decontaminate, lengths, licenses, paragraphs, quality,
-                            secrets, sharding, simhash, toxicity)
+from reviewloom.llm import (alignment, bpe, collocations, decontaminate, lengths, licenses, minhash, paragraphs,
+                            quality, secrets, sharding, simhash, toxicity)
 from reviewloom.session import prepare_workers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -263,3 +263,37 @@ def _collocations_sql() -> str:
 
 
 ORACLES["op12_collocations"] = _collocations_sql()
+
+
+@query
+def op11_minhash(spark, sf):
+    return minhash.near_duplicates(_documents(spark, sf))
+
+
+def _minhash_sql() -> str:
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return rf"""
+    WITH RECURSIVE worded AS (
+        SELECT doc_id, regexp_extract_all({lower}, '[^\x20\x09-\x0D]+') AS ws FROM documents),
+    shingles AS (
+        SELECT DISTINCT doc_id, array_to_string(list_slice(ws, i, i + 4), ' ') AS s
+        FROM (SELECT doc_id, ws, unnest(range(1, greatest(1, len(ws) - 4) + 1)) AS i FROM worded
+              WHERE len(ws) > 0)),
+    sets AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+    common AS (
+        SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
+        FROM shingles AS a JOIN shingles AS b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+    links AS (
+        SELECT a, b FROM common JOIN sets AS x ON x.doc_id = a JOIN sets AS y ON y.doc_id = b
+        WHERE 100 * common >= 85 * (x.n + y.n - common)),
+    ends AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+    reached AS (
+        SELECT a AS doc_id, a AS seen FROM ends
+        UNION SELECT reached.doc_id, ends.b FROM reached JOIN ends ON reached.seen = ends.a),
+    least AS (SELECT doc_id, min(seen) AS component_id FROM reached GROUP BY doc_id)
+    SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(component_id, doc_id) AS component_id,
+           coalesce(component_id, doc_id) = doc_id AS kept
+    FROM documents LEFT JOIN sets USING (doc_id) LEFT JOIN least USING (doc_id)"""
+
+
+ORACLES["op11_minhash"] = _minhash_sql()
