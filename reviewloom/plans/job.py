@@ -17,7 +17,7 @@ from reviewloom.session import land
 from reviewloom.sources.files import list_files, list_landed, read_reviews
 from reviewloom.sources.ratings import flatten_rating_pages
 from reviewloom.sources.sinks import land_reviews, write_index, write_manifest
-from reviewloom.streaming.arrivals import review_stream, stream_late_reviews
+from reviewloom.streaming.arrivals import MAX_FILES, file_stream, stream_late_reviews
 
 FILE = "source_file"
 
@@ -59,13 +59,15 @@ def index_ready_files(spark: SparkSession, manifest: DataFrame, landing: str,
 def follow_pending_files(spark: SparkSession, pending: DataFrame, landing: str, sink: str,
                          checkpoint: str, available_now: bool = False,
                          profile: Profile | str = RELAXED, max_files: int | None = None,
-                         status: str | None = None) -> StreamingQuery:
+                         status: str | None = None, set_aside: str | None = None) -> StreamingQuery:
     """Score pending files as they arrive, under the looser rules, and write them as CSV.
 
-    ``max_files`` bounds a batch; ``status`` names a folder for what is still pending after each.
+    Each file is read by its own header; one that lacks a column fails the stream, or goes to the table
+    ``set_aside`` with the reason. ``max_files`` bounds a batch; ``status`` names a folder for what is still
+    pending after each.
     """
-    return stream_late_reviews(review_stream(spark, landing, max_files), sink, checkpoint, pending,
-                               profile, available_now, landing, status)
+    return stream_late_reviews(file_stream(spark, landing, max_files or MAX_FILES), sink, checkpoint, pending,
+                               profile, available_now, landing, status, set_aside)
 
 
 def ingest_pages(pages: DataFrame, json_col: str, landed: str, manifest: str, order_by: Sequence[str] = (),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -59,25 +60,57 @@ def read_reviews(spark: SparkSession, paths: str | Sequence[str],
         order = None
     else:
         order = _header_places(spark, paths, names, encoded)
-        width = order.agg(F.max(F.array_max("places"))).first()[0] or 1
-        positions = ", ".join(f"_{i} string" for i in range(max(width, 1)))
-        rows = spark.read.schema(positions).options(**CSV, header=True).csv(paths)
-        rows = rows.select("*", F.col(_ENCODED).alias("encoded"))
+        rows = _positional(spark, paths, order)
     if encoded is not None:
         rows = _of_files(rows, "encoded", encoded)
     if order is not None:
-        placed = spread_join(rows, order, ["encoded"], "left")
-        fields = F.array(*[c for c in rows.columns if c != "encoded"])
-
-        def field(i: int) -> Column:
-            place = F.coalesce(F.col("places")[i], F.lit(0))
-            lacks = F.raise_error(F.concat(F.lit(f"no column {names[i]} in the header of "), "encoded"))
-            return F.when(place > 0, F.get(fields, place - 1)).otherwise(lacks.cast("string"))
-        rows = placed.select(*[field(i).cast(schema[n].dataType).alias(n) for i, n in enumerate(names)],
-                             "encoded")
+        rows = _by_place(rows, order, schema)
     return rows.select(*names, file_name("encoded").alias("source_file"))
 
 
+def read_by_header(spark: SparkSession, paths: Sequence[str],
+                   schema: T.StructType = RAW_REVIEW) -> tuple[DataFrame, DataFrame]:
+    """Reviews of exactly these CSV files, each read by its own header, and the files that cannot be read so.
+
+    The first table is as ``read_reviews`` gives it with ``mixed_headers``. The second holds ``source_file`` and
+    ``reason`` of the files that have no header or lack a column; none of their rows is in the first.
+    """
+    names, exact = schema.names, [re.sub(r"([\\\[\]{}*?])", r"\\\1", p) for p in paths]
+    order = _header_places(spark, exact, names, None)
+    absent = F.concat_ws(", ", *[F.when(F.get("places", F.lit(i)) == 0, n) for i, n in enumerate(names)])
+    found = order.select("encoded", "places", absent.alias("absent"))
+    known = found.select(file_name("encoded").alias("source_file"), F.when(
+        F.col("absent") != "", F.concat(F.lit("no column "), "absent")).otherwise("").alias("reason"))
+    asked = spark.createDataFrame([(p,) for p in paths], "path string").select(
+        F.regexp_extract("path", "[^/]*$", 0).alias("source_file"))
+    lacking = asked.join(known, "source_file", "left").select(
+        "source_file", F.coalesce("reason", F.lit("no header")).alias("reason")).filter("reason <> ''")
+    whole = found.filter("absent = ''").select("encoded", "places")
+    rows = _of_files(_positional(spark, exact, whole), "encoded", whole.select("encoded"))
+    return _by_place(rows, whole, schema).select(*names, file_name("encoded").alias("source_file")), lacking
+
+
+def _positional(spark: SparkSession, paths: str | Sequence[str], order: DataFrame) -> DataFrame:
+    """Lines below the headers, as wide as the last place that is asked for."""
+    width = order.agg(F.max(F.array_max("places"))).first()[0] or 1
+    positions = ", ".join(f"_{i} string" for i in range(max(width, 1)))
+    rows = spark.read.schema(positions).options(**CSV, header=True).csv(paths)
+    return rows.select("*", F.col(_ENCODED).alias("encoded"))
+
+
+def _by_place(rows: DataFrame, order: DataFrame, schema: T.StructType) -> DataFrame:
+    """The columns of ``schema`` from where each file has them; fails for a file that lacks one."""
+    names = schema.names
+    placed = spread_join(rows, order, ["encoded"], "left")
+    fields = F.array(*[c for c in rows.columns if c != "encoded"])
+
+    def field(i: int) -> Column:
+        place = F.coalesce(F.col("places")[i], F.lit(0))
+        lacks = F.raise_error(F.concat(F.lit(f"no column {names[i]} in the header of "), "encoded"))
+        return F.when(place > 0, F.get(fields, place - 1)).otherwise(lacks.cast("string"))
+    return placed.select(*[field(i).cast(schema[n].dataType).alias(n) for i, n in enumerate(names)], "encoded")
+
+
 def _listed(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Files by both forms of their names; nothing is opened."""
     files = spark.read.format("binaryFile").load(paths)

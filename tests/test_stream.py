@@ -1,11 +1,13 @@
 import json
 import os
+import time
 
 import pytest
 
 from reviewloom.plans.job import follow_pending_files, index_ready_files, ingest_pages
 from reviewloom.sources.files import read_manifest
-from reviewloom.streaming.arrivals import review_stream, stream_late_reviews, stream_reviews
+from reviewloom.streaming.arrivals import (await_decided, file_stream, last_status, review_stream,
+                                           stream_late_reviews, stream_reviews, track_arrivals)
 from tests.test_enrich import echo
 from tests.test_files import write_reviews
 
@@ -165,3 +167,97 @@ def page(ratings):
     return json.dumps({"data": {"ratings": [
         {"itemid": i, "shopid": s, "rating_star": r, "comment": c, "product_items": [{"name": n}]}
         for i, s, r, c, n in ratings]}})
+
+
+def drop_text(landing, name, text):
+    (landing.parent / f"staged-{name}").write_text(text, encoding="utf-8")
+    os.rename(landing.parent / f"staged-{name}", landing / name)
+
+
+def test_each_file_by_its_own_header(spark, tmp_path, landing):
+    sink, progress, aside = (str(tmp_path / n) for n in ("sink", "progress", "aside"))
+
+    def run():
+        stream_reviews(file_stream(spark, str(landing), max_files=2), sink, progress, available_now=True,
+                       set_aside=aside).awaitTermination()
+        return (sorted((r.source_file, r.name, r.rating, r.comments) for r in spark.read.parquet(sink).collect()),
+                sorted((r.source_file, r.reason) for r in spark.read.parquet(aside).collect()))
+
+    drop_text(landing, "a.csv", f"rating_star,comment,name\n5,{TEN},p\n3,{TEN} x,p\n")
+    drop_text(landing, "b [1].csv", f'name,when,rating_star,comment\nq,today,4,"{TEN}, y"\n')
+    drop_text(landing, "c.csv", f"name,comment\nq,{TEN}\n")
+    drop_text(landing, "other.txt", f"rating_star,comment,name\n5,{TEN},p\n")
+    rows = [("a.csv", "p", 4.0, TEN), ("a.csv", "p", 4.0, TEN + " x"), ("b [1].csv", "q", 4.0, TEN + " y")]
+    lacking = [("c.csv", "no column rating_star")]
+    assert run() == (rows, lacking)
+    drop_text(landing, "d.csv", f"COMMENT,Name,Rating_Star\n{TEN} z,r,2\n")
+    drop_text(landing, "e.csv", "\n\n")
+    drop_text(landing, "empty.csv", "")  # a file of no bytes is nothing that Spark would list
+    drop_text(landing, "f.csv", "rating_star,comment,name\n")
+    drop_text(landing, "g.csv", "x\n1\n")
+    rows += [("d.csv", "r", 2.0, TEN + " z")]
+    lacking += [("e.csv", "no header"), ("g.csv", "no column rating_star, comment, name")]
+    assert run() == (rows, lacking)
+    assert run() == (rows, lacking)
+
+
+def test_a_file_without_a_column_fails_unless_set_aside(spark, tmp_path, landing):
+    drop_text(landing, "c.csv", "name,comment\nq,text\n")
+    query = stream_reviews(file_stream(spark, str(landing)), str(tmp_path / "sink"), str(tmp_path / "progress"),
+                           available_now=True)
+    with pytest.raises(Exception, match="c.csv: no column rating_star"):
+        query.awaitTermination()
+
+
+def test_late_files_by_their_own_header_and_only_those_waited_for(spark, tmp_path, landing):
+    drop_text(landing, "1_2.csv", "name,comment,rating_star\np,ngon,5\np,ngon,4\n")
+    drop_text(landing, "9_9.csv", "no header that anyone could read\n")
+    pending = spark.createDataFrame([("1_2",), ("never",)], "filename string")
+    sink, aside = str(tmp_path / "late"), str(tmp_path / "aside")
+    follow_pending_files(spark, pending, str(landing), sink, str(tmp_path / "progress"), available_now=True,
+                         set_aside=aside).awaitTermination()
+    assert [(r.source_file, r.average_rating, r.cleaned_comment) for r in spark.read.csv(
+        sink, header=True).collect()] == [("1_2.csv", "4.5", "ngon")] * 2
+    assert spark.read.parquet(aside).count() == 0
+
+
+def test_a_file_that_never_comes_is_overdue(spark, tmp_path, landing):
+    """Two waves, a restart that keeps the deadlines, a file nobody asked for, and an end."""
+    listed = tmp_path / "listed"
+    listed.mkdir()
+    sink, progress = str(tmp_path / "told"), str(tmp_path / "progress")
+    manifest = spark.createDataFrame([("1_2",), ("3_4.csv",), ("never",), ("1_2.csv",)], "filename string")
+
+    def start():
+        expected = spark.readStream.schema("filename string").csv(str(listed))
+        return track_arrivals(spark, expected, str(landing), sink, progress, patience=20, every="0 seconds")
+
+    def wait_for(want):
+        """Batches go on as long as a timer may fire, so there is no moment at which all is done."""
+        end = time.monotonic() + 90
+        while time.monotonic() < end and query.isActive:
+            if os.path.isdir(sink) and {r.source_file: r.status for r in last_status(spark, sink).collect()} == want:
+                break
+            time.sleep(0.2)
+        query.stop()
+        assert {r.source_file: r.status for r in last_status(spark, sink).collect()} == want
+
+    drop_text(landing, "1_2.csv", "x\n")
+    drop_text(landing, "9_9.csv", "x\n")
+    drop_text(listed, "list.csv", "1_2\n3_4.csv\nnever\n1_2.csv\n")
+    query = start()
+    wait_for({"1_2.csv": "ready", "3_4.csv": "pending", "never.csv": "pending"})
+    drop_text(landing, "3_4.csv", "x\n")
+    query = start()
+    found = await_decided(query, manifest, sink, poll=0.2)
+    assert not query.isActive
+    assert {r.source_file: r.status for r in found.collect()} == {
+        "1_2.csv": "ready", "3_4.csv": "ready", "never.csv": "overdue"}
+    # late after all, and one asked for after it came
+    drop_text(landing, "never.csv", "x\n")
+    drop_text(listed, "more.csv", "9_9\n")
+    query = start()
+    wait_for({"1_2.csv": "ready", "3_4.csv": "ready", "never.csv": "ready", "9_9.csv": "ready"})
+    told = spark.read.parquet(sink).orderBy("at").collect()
+    assert [r.status for r in told if r.source_file == "never.csv"] == ["pending", "overdue", "ready"]
+    assert [r.status for r in told if r.source_file == "1_2.csv"] == ["ready"]
