@@ -35,11 +35,12 @@ WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)
 #: Text that is tokenised at once.
 SLICE_BYTES = 500_000
 #: Windows remembered by a task; a fuller memory starts anew, which costs time and changes nothing.
-MAX_WINDOWS = 400_000
+MAX_WINDOWS = 600_000
 #: The counts of so many id pairs are broadcast (12 bytes each); more of them are joined.
 BROADCAST_PAIRS = 2_000_000
 #: Links expanded at once when a slice's links are counted.
 _LINKS = 4_000_000
+_MARK = array("i", [-1]).tobytes()
 #: Links of a group that are listed one by one.
 _FEW = 64
 
@@ -71,7 +72,8 @@ class ByteLevel:
         for piece, number in vocabulary.items():
             if piece not in special:
                 self.pieces[number] = bytes(map(byte_of.__getitem__, piece))
-        if _merges_by_id(model, len(byte_of)):
+        self.lossless = _merges_by_id(model, len(byte_of))  # each byte is a token, and merges only join them
+        if self.lossless:
             ranks = {piece: number for number, piece in enumerate(self.pieces) if piece}
             fast = tiktoken.Encoding("byte level", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={})
             self.encode = lambda texts: [fast.encode_ordinary(" " + t) for t in texts]
@@ -97,6 +99,8 @@ def _merges_by_id(model: dict, n_bytes: int) -> bool:
 class Pieces:
     """A model of the ``sentencepiece`` library, by its file; it adds the space before the text itself."""
 
+    lossless = False  # the file may normalise texts
+
     def __init__(self, path: str):
         self._model = SentencePieceProcessor(model_file=path)
         self.pieces = []
@@ -127,14 +131,16 @@ class Windows:
         self.clear()
 
     def clear(self) -> None:
-        self.number: dict[tuple[bytes, bytes], int] = {}
+        self.number: dict[bytes, int] = {}  # by the ids of both sides, as bytes with a mark between them
         self.text: list[str] = []
         self.n_groups, self.n_links = array("q"), array("q")
         # the distinct linked pairs of all windows, how often each is linked, and where a window's begin
         self.pairs, self.times, self.bounds = array("q"), array("q"), array("q", [0])
 
-    def add(self, key: tuple[bytes, bytes]) -> int:
-        a, b = array("i", key[0]).tolist(), array("i", key[1]).tolist()
+    def add(self, key: bytes) -> int:
+        ids = array("i", key).tolist()
+        cut = ids.index(-1)
+        a, b = ids[:cut], ids[cut + 1:]
         len_a, len_b = self._len_a, self._len_b
         text, links, n_links = [], {}, 0
         from_a = from_b = i = j = end_a = end_b = 0
@@ -197,13 +203,17 @@ def _windows_of(a: np.ndarray, b: np.ndarray, a_side, b_side, windows: Windows)
     number, add, found = windows.number.get, windows.add, []
     from_a = from_b = 0
     for stop_a, stop_b in zip((stops * 4).tolist(), ((to_b[anchor] + 1) * 4).tolist()):
-        key = ids_a[from_a:stop_a], ids_b[from_b:stop_b]
+        key = ids_a[from_a:stop_a] + _MARK + ids_b[from_b:stop_b]
         known = number(key)
         found.append(add(key) if known is None else known)
         from_a, from_b = stop_a, stop_b
     return found, stops
 
 
+def _gives_back(tokenizer, ids: list[int], whole: bytes) -> bool:
+    return tokenizer.lossless or b"".join(map(tokenizer.pieces.__getitem__, ids)) == whole
+
+
 def _align(texts: list[str | None], a_side, b_side, windows: Windows) -> list[tuple[int, int, list[int]]]:
     """For each text its numbers of tokens and its windows; texts without tokens have none."""
     asked = [i for i, t in enumerate(texts) if t]
@@ -211,7 +221,7 @@ def _align(texts: list[str | None], a_side, b_side, windows: Windows) -> list[tu
     some = [texts[i] for i in asked]
     for i, a, b in zip(asked, a_side[0].encode(some), b_side[0].encode(some)):
         whole = b" " + texts[i].encode()
-        if b"".join(map(a_side[0].pieces.__getitem__, a)) == whole == b"".join(map(b_side[0].pieces.__getitem__, b)):
+        if _gives_back(a_side[0], a, whole) and _gives_back(b_side[0], b, whole):
             fitting.append((i, len(a), len(b)))
             all_a.append(np.array(a, np.int32))
             all_b.append(np.array(b, np.int32))
