@@ -16,7 +16,7 @@ from reviewloom.operators import rating as product
 from reviewloom.plans import job
 from reviewloom.plans.enrich import enrich_reviews
 from reviewloom.plans.score import score_late_reviews, score_reviews
-from reviewloom.session import fresh_path
+from reviewloom.session import fresh_path, land
 from reviewloom.sources import files, ratings, sinks
 from reviewloom.streaming import arrivals
 
@@ -789,6 +789,39 @@ def index_ready_files(spark, sf):
         allowMissingColumns=True)
 
 
+def _csv_landing(spark: SparkSession, sf: str) -> str:
+    """A folder of CSVs, one per language, each with its own order of columns; the last file lacks one."""
+    folder, orders = fresh_path(spark, "landing"), [
+        ("rating_star", "comment", "name"), ("name", "rating_star", "comment"), ("row_id", "comment", "name", "rating_star")]
+    rows = land(v.reviews_raw(spark, sf).withColumn("comment", text.flatten_lines("comment")), "reviews")
+    languages = [r[0] for r in table(spark, sf, "documents").select("lang").distinct().orderBy("lang").collect()]
+    written = [(f"lang {lang}.csv", rows.filter(F.col("scope") == lang).select(*orders[i % len(orders)]))
+               for i, lang in enumerate(languages)]
+    for name, file in [*written, ("broken.csv", rows.select("comment", "name"))]:
+        staged = f"{folder}-staged"
+        file.coalesce(1).write.mode("overwrite").options(header=True, **sinks._CSV_OUT).csv(staged)
+        # into the folder under its own name, as a crawler would move it there
+        path = spark._jvm.org.apache.hadoop.fs.Path
+        fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+        fs.mkdirs(path(folder))
+        fs.rename(fs.globStatus(path(f"{staged}/part-*.csv"))[0].getPath(), path(f"{folder}/{name}"))
+    return folder
+
+
+@query("""
+    SELECT 'lang ' || scope || '.csv' AS source_file, name,
+           round(avg(rating_star) OVER (PARTITION BY scope, name), 6) AS rating, comments, NULL AS reason
+    FROM relaxed
+    UNION ALL SELECT 'broken.csv', NULL, NULL, NULL, 'no column rating_star'""")
+def stream_files_by_header(spark, sf):
+    sink, aside = fresh_path(spark, "stream"), fresh_path(spark, "aside")
+    arrivals.stream_reviews(arrivals.file_stream(spark, _csv_landing(spark, sf), max_files=2), sink,
+                            fresh_path(spark, "progress"), "relaxed", available_now=True,
+                            set_aside=aside).awaitTermination()
+    rows = spark.read.parquet(sink).select("source_file", "name", _round("rating"), "comments")
+    return rows.unionByName(spark.read.parquet(aside).select("source_file", "reason"), allowMissingColumns=True)
+
+
 @query("""
     SELECT 'lang ' || scope || '.csv' AS source_file, name,
            round(avg(rating_star) OVER (PARTITION BY scope, name), 6) AS average_rating,
@@ -796,18 +829,28 @@ def index_ready_files(spark, sf):
     FROM relaxed WHERE scope <> 'en'""")
 def follow_pending_files(spark, sf):
     # every file of the folder comes in, and all but the English one are waited for
-    landed = _landing(spark, sf)
-    stream = spark.readStream.schema(spark.read.parquet(landed).schema).parquet(landed)
     pending = _language_manifest(spark, sf).filter("filename <> 'lang en'")
     sink = fresh_path(spark, "late")
-    arrivals.stream_late_reviews(stream, sink, fresh_path(spark, "progress"), pending,
-                                 available_now=True).awaitTermination()
+    job.follow_pending_files(spark, pending, _csv_landing(spark, sf), sink, fresh_path(spark, "progress"),
+                             available_now=True).awaitTermination()
     late = spark.read.schema("source_file string, name string, average_rating double, "
                              "cleaned_comment string").csv(sink, header=True, escape='"')
     return late.withColumn("average_rating", F.round("average_rating", 6)).select(
         "source_file", "name", "average_rating", "cleaned_comment")
 
 
+@query("""
+    SELECT DISTINCT 'lang ' || lang || '.csv' AS source_file, 'ready' AS status FROM documents
+    UNION ALL SELECT 'never.csv', 'overdue'""")
+def track_arrivals(spark, sf):
+    listed, sink = fresh_path(spark, "manifest"), fresh_path(spark, "told")
+    sinks.write_manifest(_language_manifest(spark, sf), listed)
+    expected = spark.readStream.schema("filename string").csv(listed)
+    query = arrivals.track_arrivals(spark, expected, _csv_landing(spark, sf), sink, fresh_path(spark, "progress"),
+                                    patience=3, every="0 seconds")
+    return arrivals.await_decided(query, _language_manifest(spark, sf), sink).select("source_file", "status")
+
+
 @query("""
     SELECT filename, index_name, rating_star, comment, name FROM (
         SELECT conv_id || '_' || turn || '.csv' AS filename, 'comment_index_' ||

@@ -77,14 +77,11 @@ def land(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def prepare_workers(spark: SparkSession) -> None:
-    """Give the Python workers of this application the package, and small batches of rows.
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers of this application the package.
 
-    The archive is made on the driver, once, and Spark sends it to the executors. Rows with long texts
-    travel a few hundred at a time, unless the session names another number than Spark's default.
+    The archive is made on the driver, once, and Spark sends it to the executors.
     """
-    if spark.conf.get(ARROW_ROWS) == "10000":
-        spark.conf.set(ARROW_ROWS, "512")
     app = spark.sparkContext.applicationId
     if app not in _SHIPPED:
         package = os.path.dirname(os.path.abspath(__file__))
@@ -92,3 +89,14 @@ def prepare_workers(spark: SparkSession) -> None:
         spark.sparkContext.addPyFile(shutil.make_archive(name, "zip", os.path.dirname(package),
                                                          os.path.basename(package)))
         _SHIPPED.add(app)
+
+
+def prepare_workers(spark: SparkSession) -> None:
+    """Give the Python workers of this application the package, and small batches of rows.
+
+    Rows with long texts travel a few hundred at a time, unless the session names another number than
+    Spark's default.
+    """
+    if spark.conf.get(ARROW_ROWS) == "10000":
+        spark.conf.set(ARROW_ROWS, "512")
+    ship_package(spark)

@@ -16,6 +16,7 @@ from reviewloom.operators.clean import RELAXED, STRICT, Profile
 from reviewloom.operators.skew import spread_join
 from reviewloom.operators.workset import arrival_status, pending_files
 from reviewloom.plans.score import score_late_reviews, score_reviews
+from reviewloom.session import ship_package
 from reviewloom.sources.files import RAW_REVIEW, WITH_HEADER, list_files, read_by_header
 from reviewloom.sources.sinks import _CSV_OUT
 
@@ -183,6 +184,7 @@ def track_arrivals(spark: SparkSession, expected: DataFrame, landing: str, sink:
     kept in the checkpoint, so a restart goes on with the deadlines it had. Files that are not asked for are noted, in
     case they will be, and not told of.
     """
+    ship_package(spark)
     asked = expected.select(data_file("filename").alias("source_file"), F.lit(EXPECTED).alias("kind"))
     come = file_stream(spark, landing, max_files).select("source_file", F.lit(ARRIVED).alias("kind"))
     told = asked.unionByName(come).groupBy("source_file").transformWithStateInPandas(
