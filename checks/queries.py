@@ -19,6 +19,7 @@ from reviewloom.plans.score import score_late_reviews, score_reviews
 from reviewloom.session import fresh_path, land
 from reviewloom.sources import files, ratings, sinks
 from reviewloom.streaming import arrivals
+from reviewloom.streaming import pages as page_streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -866,3 +867,62 @@ def ingest_pages(spark, sf):
     rows = files.read_reviews(spark, landed, fmt="parquet", only=manifest.select("filename"))
     return rows.join(manifest, rows["source_file"] == manifest["filename"]).select(
         "filename", "index_name", "rating_star", "comment", "name")
+
+
+# pages of two ratings, of which a product takes whole ones until it has five; each conversation is a product
+_CAPPED_TURNS = """
+    SELECT conv_id, turn, turn // 2 AS page_no, turn % 2 AS page_row, (turn % 5 + 1)::VARCHAR AS rating_star,
+           replace(replace(text, chr(10), ' '), chr(13), ' ') AS comment,
+           CASE WHEN turn % 4 = 3 THEN '' ELSE role END AS name
+    FROM conversations
+    QUALIFY count(*) OVER (PARTITION BY conv_id ORDER BY turn // 2) - count(*) OVER (PARTITION BY conv_id, turn // 2) < 5"""
+
+
+def _small_pages(spark: SparkSession, sf: str) -> DataFrame:
+    return v.rating_pages(spark, sf, 2).select(
+        F.col("conv_id").alias("itemid"), F.pmod("conv_id", F.lit(7)).alias("shopid"), "page_no", "page")
+
+
+@query(f"SELECT conv_id AS itemid, page_no, page_row, rating_star, comment, name FROM ({_CAPPED_TURNS})")
+def cap_pages(spark, sf):
+    pages = _small_pages(spark, sf).withColumn("n", ratings.page_size("page"))
+    kept = workset.cap_pages(pages, "n", 5, rows_per_split=FEW_ROWS)
+    return ratings.landed_reviews(kept.select("itemid", "page_no", "page"), "page")
+
+
+@query(f"""
+    SELECT conv_id || '_' || conv_id % 7 || '.csv' AS source_file, page_no, page_row, rating_star, comment, name,
+           true AS complete FROM ({_CAPPED_TURNS})""")
+def ingest_page_stream(spark, sf):
+    # three waves, in which a product's pages come in any order; its empty page tells where it ends
+    waves, landed, listed = (fresh_path(spark, n) for n in ("pages", "landed", "manifest"))
+    pages = land(_small_pages(spark, sf), "pages")
+    ends = pages.groupBy("itemid", "shopid").agg(F.max("page_no").alias("last")).select(
+        "itemid", "shopid", (F.col("last") + 1).alias("page_no"), F.lit('{"data": {"ratings": []}}').alias("page"))
+    every = pages.unionByName(ends)
+    for wave in range(3):
+        every.filter(F.pmod(F.xxhash64("itemid", "page_no"), F.lit(3)) == wave).coalesce(1).write.mode(
+            "append").parquet(waves)
+    stream = spark.readStream.schema(every.schema).option("maxFilesPerTrigger", 1).parquet(waves)
+    page_streams.ingest_page_stream(stream, landed, listed, fresh_path(spark, "progress"), max_reviews=5,
+                                    available_now=True).awaitTermination()
+    complete = spark.read.parquet(listed).select(F.col("filename").alias("source_file"), F.lit(True).alias("complete"))
+    return spark.read.parquet(landed).drop("batch_id").join(complete, "source_file", "left").select(
+        "source_file", "page_no", "page_row", "rating_star", "comment", "name", "complete")
+
+
+@query("SELECT DISTINCT scope, comments FROM strict_all")
+def stream_distinct_reviews(spark, sf):
+    # copies come in different files and batches, and after a restart
+    waves, sink, progress = (fresh_path(spark, n) for n in ("reviews", "distinct", "progress"))
+    rows = land(v.reviews_raw(spark, sf), "reviews")
+    for run in range(2):
+        for wave in range(2):
+            rows.filter(F.pmod(F.xxhash64("row_id"), F.lit(4)) == 2 * run + wave).coalesce(1).write.mode(
+                "append").parquet(waves)
+        stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(waves)
+        seen = stream.select("scope", "name", "comment", "rating_star",
+                             F.col("_metadata.file_modification_time").alias("seen"))
+        arrivals.stream_distinct_reviews(seen, sink, progress, "seen", "30 days", scope=SCOPE,
+                                         available_now=True).awaitTermination()
+    return spark.read.parquet(sink).select("scope", "comments")

@@ -44,8 +44,8 @@ def reviews_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dirty(reviews(spark, sf_dir))
 
 
-def rating_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversations as pages of at most 50 ratings in the JSON of the rating service."""
+def rating_pages(spark: SparkSession, sf_dir: str, size: int = PAGE_SIZE) -> DataFrame:
+    """Conversations as pages of at most ``size`` ratings in the JSON of the rating service."""
     turns = table(spark, sf_dir, "conversations")
     items = F.when(F.col("turn") % 4 == 3, F.array().cast("array<struct<name:string>>")).otherwise(
         F.array(F.struct(F.col("role").alias("name"))))
@@ -53,7 +53,7 @@ def rating_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("conv_id") + F.col("turn")).alias("userid"),
                       (F.col("turn") % 5 + 1).cast("int").alias("rating_star"),
                       F.col("text").alias("comment"), items.alias("product_items"))
-    page = F.floor(F.col("turn") / PAGE_SIZE).alias("page_no")
+    page = F.floor(F.col("turn") / size).alias("page_no")
     pages = turns.groupBy("conv_id", page).agg(F.sort_array(F.collect_list(rating)).alias("ratings"))
     return pages.select("conv_id", "page_no", F.to_json(
         F.struct(F.struct("ratings").alias("data"))).alias("page"))

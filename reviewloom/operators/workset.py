@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewloom.functions.names import data_file
@@ -75,3 +75,26 @@ def cap_reviews(df: DataFrame, n: int = MAX_REVIEWS, keys: Sequence[str] = ("nam
                 order_by: str = "pos", rows_per_split: int | None = None) -> DataFrame:
     """At most the first ``n`` reviews of each product."""
     return number_rows(df, keys, order_by, "__row_no", n, rows_per_split).drop("__row_no")
+
+
+def cap_pages(pages: DataFrame, size: str, n: int = MAX_REVIEWS, keys: Sequence[str] = ("itemid", "shopid"),
+              page_no: str = "page_no", rows_per_split: int | None = None) -> DataFrame:
+    """The pages of each product up to its end: whole pages, as long as those before hold fewer than ``n`` reviews.
+
+    ``size`` is the column with a page's number of reviews, ``page_no`` counts a product's pages from 0, each
+    number once. A product ends before its first page without reviews, and before a page that is missing. Only
+    numbers are sorted, a row per page; a product has ``n`` pages with a review at most.
+    """
+    here = Window.partitionBy(*keys).orderBy(page_no)
+    before = here.rowsBetween(Window.unboundedPreceding, -1)
+    # at most ``n`` pages can be kept, so later ones go before they are sorted
+    sizes = pages.filter(F.col(page_no) < n).select(*keys, page_no, F.col(size).alias("__size"))
+    placed = sizes.select(*keys, page_no, "__size", (F.row_number().over(here) - 1).alias("__place"),
+                          F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__before"),
+                          F.coalesce(F.min("__size").over(before), F.lit(1)).alias("__least"))
+    kept = placed.filter((F.col("__place") == F.col(page_no)) & (F.col("__before") < n)
+                         & (F.col("__least") > 0) & (F.col("__size") > 0))
+    # the last kept page tells all that is needed
+    last = kept.groupBy(*keys).agg(F.max(page_no).alias("__last"))
+    return spread_join(pages, last, keys, rows_per_split=rows_per_split).filter(
+        F.col(page_no) <= F.col("__last")).drop("__last")

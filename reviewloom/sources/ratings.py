@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewloom.functions.text import flatten_lines
@@ -29,3 +29,16 @@ def flatten_rating_pages(df: DataFrame, json_col: str, wide: bool = False) -> Da
     comment = flatten_lines(F.coalesce("r.comment", F.lit("")))
     return r.select(*carried, "page_row", star, comment.alias("comment"),
                     F.coalesce(name, F.lit("")).alias("name"))
+
+
+def page_size(json_col: str) -> Column:
+    """How many ratings a page holds; 0 for a page that is no JSON or has none."""
+    ratings = F.from_json(F.col(json_col), PAGE, {"mode": "PERMISSIVE"})["data"]["ratings"]
+    return F.when(ratings.isNull(), F.lit(0)).otherwise(F.size(ratings)).cast("bigint")
+
+
+def landed_reviews(pages: DataFrame, json_col: str) -> DataFrame:
+    """Reviews as they land, all as text, with the other columns of their page and ``page_row``."""
+    carried = [c for c in pages.columns if c != json_col]
+    return flatten_rating_pages(pages, json_col).select(
+        *carried, "page_row", F.col("rating_star").cast("string").alias("rating_star"), "comment", "name")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
+from dataclasses import replace
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle, TimerValues
 
 from reviewloom.functions.names import data_file, file_name
-from reviewloom.operators.clean import RELAXED, STRICT, Profile
+from reviewloom.operators.clean import RELAXED, STRICT, Profile, clean_reviews, profile_of
 from reviewloom.operators.skew import spread_join
 from reviewloom.operators.workset import arrival_status, pending_files
 from reviewloom.plans.score import score_late_reviews, score_reviews
@@ -31,6 +33,17 @@ _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvid
 _FILE = "path string, modificationTime timestamp, length bigint, content binary"
 
 
+@contextmanager
+def state_store(spark: SparkSession) -> Iterator[None]:
+    """The state store that keyed processors need, for the queries started within; they keep the setting."""
+    before = spark.conf.get(_STORE, None)
+    spark.conf.set(_STORE, _ROCKS)
+    try:
+        yield
+    finally:
+        spark.conf.set(_STORE, before) if before is not None else spark.conf.unset(_STORE)
+
+
 def file_stream(spark: SparkSession, landing: str, max_files: int = MAX_FILES, glob: str = "*.csv") -> DataFrame:
     """``path, source_file`` of the files that are moved into a folder; nothing of them is read.
 
@@ -193,13 +206,9 @@ def track_arrivals(spark: SparkSession, expected: DataFrame, landing: str, sink:
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{sink}/{BATCH}={batch_id}")
 
-    before = spark.conf.get(_STORE, None)
-    spark.conf.set(_STORE, _ROCKS)  # a query takes over the setting when it starts
-    try:
+    with state_store(spark):
         return (told.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
                 .outputMode("append").trigger(processingTime=every).start())
-    finally:
-        spark.conf.set(_STORE, before) if before is not None else spark.conf.unset(_STORE)
 
 
 def last_status(spark: SparkSession, sink: str) -> DataFrame:
@@ -226,3 +235,35 @@ def await_decided(query: StreamingQuery, manifest: DataFrame, sink: str, poll: f
     if query.exception() is not None:
         raise query.exception()
     return last_status(spark, sink)
+
+
+def dedup_arrivals(stream: DataFrame, seen_at: str, within: str, scope: Sequence[str] = (),
+                   text: str = "comments") -> DataFrame:
+    """The first row of each text within a scope that may span files, batches and restarts.
+
+    A text is known for ``within`` after the time ``seen_at`` of its first row, for example of the file it came in;
+    copies that come later count as new, so that the state stays bounded. The state holds the scope and a digest of
+    the text. Which copy within one batch stays is left open; null texts are one text.
+    """
+    marked = stream.withColumn("__digest", F.sha2(F.coalesce(text, F.lit("")), 256)).withColumn(
+        "__none", F.col(text).isNull())
+    return (marked.withWatermark(seen_at, within)
+            .dropDuplicatesWithinWatermark([*scope, "__digest", "__none"]).drop("__digest", "__none"))
+
+
+def stream_distinct_reviews(stream: DataFrame, sink: str, checkpoint: str, seen_at: str, within: str,
+                            profile: Profile | str = STRICT, scope: Sequence[str] = (),
+                            available_now: bool = False) -> StreamingQuery:
+    """Clean reviews as they arrive, each text once per scope, whatever file or batch its copies come in.
+
+    ``stream`` holds raw reviews and the time ``seen_at``; see ``dedup_arrivals`` for ``within``. Below ``sink``
+    each batch owns a folder.
+    """
+    rules = replace(profile_of(profile), dedup=False)
+    distinct = dedup_arrivals(clean_reviews(stream, rules), seen_at, within, scope)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{sink}/{BATCH}={batch_id}")
+
+    with state_store(stream.sparkSession):
+        return _start(distinct, write, checkpoint, available_now)

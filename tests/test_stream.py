@@ -1,13 +1,18 @@
 import json
 import os
 import time
+from datetime import datetime
 
 import pytest
 
 from reviewloom.plans.job import follow_pending_files, index_ready_files, ingest_pages
+from reviewloom.operators.workset import cap_pages
 from reviewloom.sources.files import read_manifest
+from reviewloom.sources.ratings import page_size
 from reviewloom.streaming.arrivals import (await_decided, file_stream, last_status, review_stream,
-                                           stream_late_reviews, stream_reviews, track_arrivals)
+                                           stream_distinct_reviews, stream_late_reviews, stream_reviews,
+                                           track_arrivals)
+from reviewloom.streaming.pages import ingest_page_stream
 from tests.test_enrich import echo
 from tests.test_files import write_reviews
 
@@ -261,3 +266,44 @@ def test_a_file_that_never_comes_is_overdue(spark, tmp_path, landing):
     told = spark.read.parquet(sink).orderBy("at").collect()
     assert [r.status for r in told if r.source_file == "never.csv"] == ["pending", "overdue", "ready"]
     assert [r.status for r in told if r.source_file == "1_2.csv"] == ["ready"]
+
+
+def test_pages_become_files_of_whole_pages(spark, tmp_path):
+    """Pages in any order over three runs: ends by an empty page and by the limit, gaps, repeats, late pages."""
+    waves, landed, listed, progress = (str(tmp_path / n) for n in ("pages", "landed", "listed", "progress"))
+    schema = "itemid bigint, shopid bigint, page_no int, page string"
+
+    def of(product, number, *texts):
+        return product, 0, number, page([(product, 0, 5, t, "p") for t in texts])
+
+    runs = [[of(1, 2, "e"), of(1, 0, "a", "b"), of(2, 0, "a"), of(3, 1, "b"), of(4, 0)],
+            [of(1, 1, "c", "d"), of(1, 1, "again"), of(2, 1, "b"), (2, 0, 2, "no json"), of(3, 2, "c")],
+            [of(1, 3, "f"), of(1, 0, "late"), of(2, 3, "late"), of(5, 0, "a", "b", "c", "d", "e", "f")]]
+    for rows in runs + [None]:
+        if rows:
+            spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(waves)
+        stream = spark.readStream.schema(schema).parquet(waves)
+        ingest_page_stream(stream, landed, listed, progress, max_reviews=4, available_now=True).awaitTermination()
+    got = sorted((r.source_file, r.page_no, r.page_row, r.comment) for r in spark.read.parquet(landed).collect())
+    assert got == [("1_0.csv", 0, 0, "a"), ("1_0.csv", 0, 1, "b"), ("1_0.csv", 1, 0, "c"), ("1_0.csv", 1, 1, "d"),
+                   ("2_0.csv", 0, 0, "a"), ("2_0.csv", 1, 0, "b")] + [
+        ("5_0.csv", 0, i, t) for i, t in enumerate("abcdef")]
+    assert sorted(r.filename for r in spark.read.parquet(listed).collect()) == [
+        "1_0.csv", "2_0.csv", "4_0.csv", "5_0.csv"]
+    # the batch form agrees, where it knows all pages
+    pages = spark.createDataFrame(sum(runs, []), schema).dropDuplicates(["itemid", "page_no"])
+    kept = cap_pages(pages.withColumn("n", page_size("page")), "n", 4)
+    assert sorted((r.itemid, r.page_no) for r in kept.collect()) == [(1, 0), (1, 1), (2, 0), (2, 1), (5, 0)]
+
+
+def test_copies_in_two_batches_and_a_restart_leave_one(spark, tmp_path):
+    waves, sink, progress = (str(tmp_path / n) for n in ("reviews", "sink", "progress"))
+    schema = "file string, name string, comment string, rating_star string, seen timestamp"
+    runs = [[("a", "p", TEN, "5", 1), ("a", "p", TEN, "5", 1)], [("b", "q", TEN + "!", "1", 2), ("b", "q", TEN + " x", "1", 2)],
+            [("c", "p", TEN, "5", 3), ("c", None, TEN + " y", "5", 3), ("c", "p", TEN + " x", "4", 3)]]
+    for rows in runs:
+        spark.createDataFrame([(*r[:-1], datetime(2026, 1, r[-1])) for r in rows], schema).coalesce(1).write.mode(
+            "append").parquet(waves)
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(waves)
+        stream_distinct_reviews(stream, sink, progress, "seen", "10 days", available_now=True).awaitTermination()
+    assert sorted((r.file, r.comments) for r in spark.read.parquet(sink).collect()) == [("a", TEN), ("b", TEN + " x")]
