@@ -17,6 +17,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -151,8 +152,8 @@ def _common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         common = [np.intersect1d(np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64),
                                  assume_unique=True).size for a, b in zip(batch.column(2), batch.column(3))]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(common, pa.int64())],
-                                         ["a", "b", "common"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(4), batch.column(5),
+                                          pa.array(common, pa.int64())], ["a", "b", "n_a", "n_b", "common"])
 
 
 def _similar_sizes(a: str, b: str, percent: int) -> Column:
@@ -176,21 +177,25 @@ class _Corpus:
             F.min("text_hash").alias("text_hash")), "nodes")
 
     def measured(self, pairs: DataFrame) -> DataFrame:
-        """``a, b, n_a, n_b, common`` of the pairs whose sizes let them be similar, from their full sets; landed."""
-        sizes = self.nodes.select("node", "n")
-        sized = spread_join(spread_join(pairs, sizes.toDF("a", "n_a"), ["a"]), sizes.toDF("b", "n_b"), ["b"])
-        todo = land(sized.filter(_similar_sizes("n_a", "n_b", self.percent)), "candidates")
-        needed = todo.select("a").union(todo.select("b")).distinct().toDF("node")
+        """``a, b, n_a, n_b, common``: the pairs with the sizes of their intersections, from the full sets; landed.
+
+        Pairs that their sizes ``n_a, n_b`` rule out are left out.
+        """
+        todo = land(pairs.filter(_similar_sizes("n_a", "n_b", self.percent)).distinct(), "candidates")
+        needed = land(todo.select("a").union(todo.select("b")).distinct().toDF("node"), "needed")
         hashes = needed.join(self.nodes.select("node", "text_hash"), "node").select("text_hash")
-        wanted = bitfilter.build(hashes.mapInArrow(_spread, "hash bigint"), "hash")
+        wanted = bitfilter.build(land(hashes.mapInArrow(_spread, "hash bigint"), "hashes"), "hash")
         read = self.texts.mapInArrow(_set_reader(self.size, wanted), "node binary, shingles binary")
         # copies of a text have one set, which a task passes on once
         sets = land(read.groupBy("node").agg(F.min("shingles").alias("shingles")).join(
             needed, "node", "left_semi"), "sets")
-        both = spread_join(spread_join(todo.select("a", "b"), sets.toDF("a", "of_a"), ["a"]),
-                           sets.toDF("b", "of_b"), ["b"])
-        common = both.select("a", "b", "of_a", "of_b").mapInArrow(_common, "a binary, b binary, common bigint")
-        return land(todo.join(common, ["a", "b"]), "measured")
+
+        def with_set(rows: DataFrame, end: str) -> DataFrame:
+            # one set may stand in most pairs, so its rows are dealt over salts
+            counts = todo.groupBy(end).agg(F.count(F.lit(1)).alias("__n"))
+            return spread_join(rows, sets.toDF(end, f"of_{end}"), [end], counts=counts, count="__n")
+        both = with_set(with_set(todo, "a"), "b").select("a", "b", "of_a", "of_b", "n_a", "n_b")
+        return land(both.mapInArrow(_common, "a binary, b binary, n_a bigint, n_b bigint, common bigint"), "measured")
 
     def links(self, measured: DataFrame) -> DataFrame:
         union = F.col("n_a") + F.col("n_b") - F.col("common")
@@ -217,9 +222,15 @@ def _pairs_across(percent: int):
                 near = ~(np.abs(away[i + 1:] - away[i]) > reach)  # an unknown distance rules out nothing
                 size = 100 * np.minimum(n[i], n[i + 1:]) >= percent * np.maximum(n[i], n[i + 1:])
                 j = np.flatnonzero((root[i + 1:] != root[i]) & near & size) + i + 1
-                if j.size:
-                    yield pa.RecordBatch.from_arrays([pa.array([node[i].as_py()] * j.size, pa.binary()),
-                                                      node.take(pa.array(j))], ["a", "b"])
+                if j.size:  # the smaller name first, so that a pair of several keys is one
+                    mine = node[i].as_py()
+                    others = node.take(pa.array(j))
+                    turn = np.array([o < mine for o in others.to_pylist()])
+                    same = pa.array([mine] * j.size, pa.binary())
+                    yield pa.RecordBatch.from_arrays([
+                        pc.if_else(pa.array(turn), others, same), pc.if_else(pa.array(turn), same, others),
+                        pa.array(np.where(turn, n[j], n[i])), pa.array(np.where(turn, n[i], n[j]))],
+                        ["a", "b", "n_a", "n_b"])
 
         for batch in batches:
             shard = batch.column(0).to_numpy()
@@ -238,31 +249,32 @@ def _pairs_across(percent: int):
 
 def near_groups(corpus: _Corpus, group: int = GROUP) -> DataFrame:
     """``node, root`` of the nodes that have a similar one."""
-    keyed = corpus.nodes.select("node", F.explode(chunk_keys("signature")).alias("key"))
-    firsts = keyed.groupBy("key").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("__n")).filter("__n > 1")
+    keyed = corpus.nodes.select("node", "n", F.explode(chunk_keys("signature")).alias("key"))
+    firsts = keyed.groupBy("key").agg(F.min(F.struct("node", "n")).alias("first"), F.count(F.lit(1)).alias("__n"))
+    firsts = firsts.filter("__n > 1").select("key", "first.node", "first.n", "__n").toDF("key", "first", "n_first", "__n")
     shared = land(spread_join(keyed, firsts, ["key"], count="__n"), "keys")
-    starts = shared.filter("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
-    measured = corpus.measured(starts)
+    measured = corpus.measured(shared.filter("node <> first").select("first", "node", "n_first", "n")
+                               .toDF("a", "b", "n_a", "n_b"))
     links = corpus.links(measured)
-    roots = connected_components(links)
+    roots = land(connected_components(links), "roots")
 
     # keys that hold several groups
-    labelled = spread_join(shared, roots, ["node"], "left").select(
-        "key", "node", "first", F.coalesce("root", "node").alias("root"))
+    labelled = land(shared.join(roots, "node", "left").select(
+        "key", "node", "n", "first", F.coalesce("root", "node").alias("root")), "labelled")
     mixed = labelled.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most"),
                                         F.count(F.lit(1)).alias("__n")).filter("least <> most").select("key", "__n")
     open_rows = spread_join(labelled, mixed, ["key"], count="__n")
     known = measured.select(F.col("a").alias("first"), F.col("b").alias("node"), (
         1 - F.col("common") / (F.col("n_a") + F.col("n_b") - F.col("common"))).alias("away"))
     # pairs of too different sizes were not measured: their distance stays unknown
-    placed = spread_join(open_rows, corpus.nodes.select("node", "n"), ["node"]).join(known, ["first", "node"], "left")
-    rows = placed.select(F.col("key").alias("shard"), "node", "root", "n", F.when(
-        F.col("node") == F.col("first"), 0.0).otherwise(F.col("away")).alias("away"))
+    rows = land(open_rows.join(known, ["first", "node"], "left").select(
+        F.col("key").alias("shard"), "node", "root", "n",
+        F.when(F.col("node") == F.col("first"), 0.0).otherwise(F.col("away")).alias("away")), "open")
     dealt = split_large(rows, "shard", "node", group).select("shard", "node", "root", "n", "away")
     across = dealt.repartition("shard").sortWithinPartitions("shard").mapInArrow(
-        _pairs_across(corpus.percent), "a binary, b binary")
-    more = across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    return connected_components(links.union(corpus.links(corpus.measured(more))))
+        _pairs_across(corpus.percent), "a binary, b binary, n_a bigint, n_b bigint")
+    more = corpus.links(corpus.measured(across))
+    return land(connected_components(links.union(more)), "groups")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = SHINGLE_WORDS,
