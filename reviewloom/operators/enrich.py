@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Awaitable, Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -10,59 +10,123 @@ from pyspark.sql import functions as F
 
 from reviewloom.functions.review import parse_summary
 from reviewloom.operators.skew import spread_join
-from reviewloom.session import land
+from reviewloom.session import fresh_path
 
+#: Fixed value: calls that one process has open at a time.
+IN_FLIGHT = 10
 
-def call_text_function(df: DataFrame, fn: Callable[[str], str], request: str,
-                       keys: Sequence[str], retries: int = 3, backoff: float = 1.0,
+
+def call_text_function(df: DataFrame, fn: Callable[[str], str | None] | Callable[[str], Awaitable[str | None]],
+                       request: str, keys: Sequence[str], retries: int = 3, backoff: float = 1.0,
                        max_parallel: int | None = None, seed: int | None = None,
-                       on_error: str = "null") -> DataFrame:
+                       on_error: str = "null", in_flight: int | None = None) -> DataFrame:
     """One call of ``fn`` per row; adds ``response, error, attempts`` to the keys.
 
     A failing call is tried ``retries`` times with waits of ``backoff * (2^k + U(0,1))`` seconds.
     When all fail, the row carries the error and the job goes on, or ends with ``on_error="fail"``.
-    ``max_parallel`` bounds the calls in flight: that many partitions, each calling one at a time. Spark may run a task again
+
+    ``fn`` may be a plain function, which is called in threads, or a coroutine function, whose calls share one event
+    loop. A task has at most ``in_flight`` calls open at a time, waits between attempts included, and gives the
+    answers in the order of its rows; ``IN_FLIGHT`` unless said otherwise. ``max_parallel`` bounds the calls of the
+    whole job: as many tasks as fit, which by itself means tasks with one call each. Spark may run a task again
     after losing an executor, so ``fn`` must bear being asked twice.
     """
     if retries < 1:
         raise ValueError("retries must be at least 1")
+    if in_flight is None:
+        in_flight = IN_FLIGHT if max_parallel is None else 1
+    if in_flight < 1 or max_parallel is not None and max_parallel < in_flight:
+        raise ValueError("in_flight must be at least 1, and max_parallel at least that")
     rows = df.select(*keys, F.col(request).alias("__request"))
     if max_parallel is not None:
-        rows = rows.repartition(max_parallel, *keys)
+        rows = rows.repartition(max_parallel // in_flight, *keys)
     schema = rows.select(*keys, F.lit("").alias("response"), F.lit("").alias("error"),
                          F.lit(0).alias("attempts")).schema
-    names = list(keys)
+    names, answers_of = list(keys), _caller(fn, retries, backoff, seed, on_error == "fail")
 
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import random
-        import time
-
-        jitter = random.Random(seed)
         for batch in batches:
-            answers = []
-            for request_text in batch["__request"]:
-                response, error, attempt = None, None, 0
-                while response is None and attempt < retries:
-                    if attempt:
-                        time.sleep(backoff * (2 ** (attempt - 1) + jitter.uniform(0, 1)))
-                    attempt += 1
-                    try:
-                        response, error = fn(request_text), None
-                        if response is None:
-                            error = "no response"
-                    except Exception as e:
-                        error = f"{type(e).__name__}: {e}"
-                if response is None and on_error == "fail":
-                    raise RuntimeError(error)
-                answers.append((response, error, attempt))
             out = batch[names].reset_index(drop=True)
             out[["response", "error", "attempts"]] = pd.DataFrame(
-                answers, columns=["response", "error", "attempts"], index=out.index)
+                answers_of(batch["__request"].tolist(), in_flight),
+                columns=["response", "error", "attempts"], index=out.index)
             yield out
 
     return rows.mapInPandas(ask, _nullable(schema))
 
 
+def _caller(fn: Callable, retries: int, backoff: float, seed: int | None, fail: bool):
+    """``answers_of(requests, limit)``: a response, error and number of attempts for each request, in their order.
+
+    It is made of functions that travel with the task, so the workers need nothing of this package.
+    """
+    def answers_of(requests: list, limit: int) -> list[tuple[str | None, str | None, int]]:
+        import asyncio
+        import inspect
+        import random
+        import time
+        from concurrent.futures import ThreadPoolExecutor
+
+        def wait(request, attempt: int) -> float:
+            jitter = random.Random() if seed is None else random.Random(f"{seed} {attempt} {request}")
+            return backoff * (2 ** (attempt - 1) + jitter.uniform(0, 1))
+
+        def outcome(response, error, attempt: int):
+            if response is None and error is None:
+                error = "no response"
+            return response, error, attempt
+
+        def last(answer):
+            if fail and answer[0] is None:
+                raise RuntimeError(answer[1])
+            return answer
+
+        def in_thread(request):
+            for attempt in range(1, retries + 1):
+                try:
+                    answer = outcome(fn(request), None, attempt)
+                except Exception as e:
+                    answer = outcome(None, f"{type(e).__name__}: {e}", attempt)
+                if answer[0] is not None:
+                    break
+                if attempt < retries:
+                    time.sleep(wait(request, attempt))
+            return last(answer)
+
+        async def in_loop(request, places: asyncio.Semaphore):
+            async with places:
+                for attempt in range(1, retries + 1):
+                    try:
+                        answer = outcome(await fn(request), None, attempt)
+                    except Exception as e:
+                        answer = outcome(None, f"{type(e).__name__}: {e}", attempt)
+                    if answer[0] is not None:
+                        break
+                    if attempt < retries:
+                        await asyncio.sleep(wait(request, attempt))
+                return last(answer)
+
+        async def all_in_loop():
+            places = asyncio.Semaphore(limit)
+            async with asyncio.TaskGroup() as group:  # the first failure ends the others
+                calls = [group.create_task(in_loop(r, places)) for r in requests]
+            return [c.result() for c in calls]
+
+        if inspect.iscoroutinefunction(fn):
+            try:
+                return asyncio.run(all_in_loop())
+            except ExceptionGroup as e:
+                raise e.exceptions[0]
+        with ThreadPoolExecutor(limit) as pool:
+            calls = [pool.submit(in_thread, r) for r in requests]
+            try:
+                return [c.result() for c in calls]
+            except BaseException:
+                pool.shutdown(wait=False, cancel_futures=True)
+                raise
+    return answers_of
+
+
 def _nullable(schema):
     from pyspark.sql import types as T
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema])
@@ -105,7 +169,8 @@ def answers_in_slices(df: DataFrame, fn: Callable[[str], str], request: str, pat
 
     ``request_hash, response, error, attempts``, one row per distinct request. A job that died goes on
     where it stopped when it is given the same ``path``: requests answered there without an error are
-    not asked again. A lost task repeats its own calls of one slice at most.
+    not asked again. A lost task repeats its own calls of one slice at most. A slice has about
+    ``calls_per_slice`` requests, and each request is read once.
     """
     spark = df.sparkSession
     kind = "request_hash string, response string, error string, attempts int, slice int"
@@ -113,11 +178,17 @@ def answers_in_slices(df: DataFrame, fn: Callable[[str], str], request: str, pat
         "request_hash", F.sha2("request", 256))
     spark.createDataFrame([], kind).write.mode("append").parquet(path)
     known = spark.read.schema(kind).parquet(path).filter("error IS NULL").select("request_hash")
-    todo = land(asked.join(known, "request_hash", "left_anti"), "requests")
-    slices = max(1, -(-todo.count() // calls_per_slice))
-    number = F.pmod(F.xxhash64("request_hash"), F.lit(slices)).cast("int")
-    for i in range(slices):
-        answered = call_text_function(todo.filter(number == i), fn, "request", ["request_hash"],
+    # each task deals its rows to the slices in turn, and a slice is a folder that is read once
+    tasks = spark.sparkContext.defaultParallelism
+    place = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    per_task = max(1, calls_per_slice // tasks)
+    todo = fresh_path(spark, "requests")
+    asked.join(known, "request_hash", "left_anti").repartition(tasks, "request_hash").withColumn(
+        "slice", F.call_function("div", place, F.lit(per_task)).cast("int")).write.partitionBy("slice").parquet(todo)
+    requests = spark.read.schema("request string, request_hash string, slice int").parquet(todo)
+    last = requests.agg(F.max("slice")).first()[0]
+    for i in range(0 if last is None else last + 1):
+        answered = call_text_function(requests.filter(F.col("slice") == i), fn, "request", ["request_hash"],
                                       max_parallel=max_parallel, **call_options)
         answered.withColumn("slice", F.lit(i)).write.mode("append").parquet(path)
     every = spark.read.schema(kind).parquet(path)

@@ -39,10 +39,11 @@ def _hottest(counts: DataFrame, keys: Sequence[str], count: str, rows_per_split:
                   .select(_DIGEST, F.col("__v")[into].alias(into)))
 
 
-def _with_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame, rows_per_split: int) -> DataFrame:
-    """``df`` with the hot keys' value, null for all other keys."""
+def _with_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame, rows_per_split: int,
+              how: str = "left") -> DataFrame:
+    """``df`` with the hot keys' value, null for all other keys, or only the hot keys' rows (``inner``)."""
     listed = F.broadcast(hot) if rows_per_split >= BROADCAST_FROM else hot
-    return df.withColumn(_DIGEST, F.xxhash64(*keys)).join(listed, _DIGEST, "left").drop(_DIGEST)
+    return df.withColumn(_DIGEST, F.xxhash64(*keys)).join(listed, _DIGEST, how).drop(_DIGEST)
 
 
 def _keyed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -113,7 +114,12 @@ def number_rows(rows: DataFrame, keys: Sequence[str], order: str, into: str = "r
     work = rows.withColumn(_KEY, key).drop(*keys)
     marks = F.percentile_approx(pos, F.array(*[F.lit(i / QUANTILES) for i in range(1, QUANTILES)]),
                                 F.lit(10 * QUANTILES))
-    spans = work.groupBy(_KEY).agg(marks.alias(_MARKS), F.count(F.lit(1)).alias(_COUNT))
+    # rows are only counted per key; quantiles are taken of the hot keys' rows, and where there are none,
+    # the empty list lets AQE leave that branch out
+    counts = work.groupBy(_KEY).agg(F.count(F.lit(1)).alias(_COUNT))
+    large = _hottest(counts, [_KEY], _COUNT, rows_per_split, F.lit(1), _SPLITS)
+    of_hot = _with_hot(work.select(_KEY, order), [_KEY], large, rows_per_split, "inner")
+    spans = of_hot.groupBy(_KEY).agg(marks.alias(_MARKS), F.count(F.lit(1)).alias(_COUNT))
     # every so many quantiles make one block; the counts of the blocks make up for what is approximate
     blocks = F.least(F.ceil(F.col(_COUNT) / F.lit(rows_per_split)), F.lit(QUANTILES))
     step = F.greatest(F.floor(F.lit(QUANTILES) / blocks), F.lit(1))

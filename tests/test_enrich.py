@@ -6,6 +6,7 @@ import pytest
 from reviewloom.operators.enrich import (attach_summary, call_text_function, summarize,
                                          summarize_in_slices)
 from reviewloom.plans.enrich import enrich_reviews
+from tests.conftest import executed_plan
 
 TEN = "một hai ba bốn năm sáu bảy tám chín mười"
 PAYLOAD = "product_name string, payload string"
@@ -277,3 +278,94 @@ def test_unknown_choices(spark):
 
 def test_nothing_in_nothing_out(spark):
     assert enrich_reviews(raw(spark).limit(0), echo(), ["file"]).count() == 0
+
+
+def _most_at_once(log):
+    running, most = 0, 0
+    for step in open(log).read().split():
+        running += int(step)
+        most = max(most, running)
+    assert running == 0
+    return most
+
+
+def _slow(log, later=False):
+    """A call that notes when it begins and ends; ``later`` makes it a coroutine."""
+    def answer(text):
+        import time
+        with open(log, "a") as f:
+            f.write("1\n")
+        time.sleep(0.1 if int(text) % 3 else 0.3)
+        with open(log, "a") as f:
+            f.write("-1\n")
+        return f"answer {text}"
+
+    async def answer_later(text):
+        import asyncio
+        with open(log, "a") as f:
+            f.write("1\n")
+        await asyncio.sleep(0.1 if int(text) % 3 else 0.3)
+        with open(log, "a") as f:
+            f.write("-1\n")
+        return f"answer {text}"
+    return answer_later if later else answer
+
+
+@pytest.mark.parametrize("later", [False, True])
+@pytest.mark.parametrize("options,most", [({}, 10), ({"in_flight": 4}, 4), ({"max_parallel": 6, "in_flight": 6}, 6)])
+def test_so_many_calls_of_one_task_are_open(spark, tmp_path, later, options, most):
+    log = str(tmp_path / "log")
+    df = spark.createDataFrame([(i, str(i)) for i in range(40)], "i int, text string").coalesce(1)
+    rows = call_text_function(df, _slow(log, later), "text", ["i"], **options).collect()
+    assert [r.response for r in rows] == [f"answer {r.i}" for r in rows], "each answer stands by its request"
+    if "max_parallel" not in options:
+        assert [r.i for r in rows] == list(range(40)), "in the order of the rows"
+    assert _most_at_once(log) == most
+
+
+@pytest.mark.parametrize("later", [False, True])
+def test_failures_among_open_calls(spark, later):
+    def answer(text):
+        if text.endswith("3"):
+            raise ValueError(f"no {text}")
+        return None if text.endswith("7") else text
+
+    async def answer_later(text):
+        return answer(text)
+    fn = answer_later if later else answer
+    df = spark.createDataFrame([(i, str(i)) for i in range(30)], "i int, text string").coalesce(1)
+    rows = call_text_function(df, fn, "text", ["i"], retries=2, backoff=0.0).collect()
+    for r in rows:
+        want = ((None, f"ValueError: no {r.i}", 2) if r.i % 10 == 3 else
+                (None, "no response", 2) if r.i % 10 == 7 else (str(r.i), None, 1))
+        assert (r.response, r.error, r.attempts) == want
+    with pytest.raises(Exception, match="no 3"):
+        call_text_function(df, fn, "text", ["i"], retries=1, on_error="fail").collect()
+
+
+def test_bounds_that_cannot_hold(spark):
+    for options in ({"in_flight": 0}, {"max_parallel": 3, "in_flight": 4}):
+        with pytest.raises(ValueError):
+            call_text_function(one(spark), echo(), "payload", ["product_name"], **options)
+
+
+def test_each_request_is_read_once(spark, tmp_path):
+    """Requests lie in one folder per slice, and a slice reads its own folder only."""
+    import reviewloom.operators.enrich as module
+    read = []
+    real = module.call_text_function
+
+    def counted(df, *args, **kwargs):
+        read.append(executed_plan(df))
+        return real(df, *args, **kwargs)
+    df = spark.createDataFrame([(f"p{i}", f"p{i}") for i in range(60)], PAYLOAD)
+    module.call_text_function = counted
+    try:
+        found = summarize_in_slices(df, lambda t: json.dumps({"product_name": t, "summary": t}), "payload",
+                                    ["product_name"], str(tmp_path / "answers"), calls_per_slice=12)
+    finally:
+        module.call_text_function = real
+    assert found.filter("summary = product_name").count() == 60
+    assert len(read) >= 4
+    for i, plan in enumerate(read):
+        assert "PartitionFilters: [isnotnull(slice#" in plan and f"= {i})]" in plan and "PushedFilters: []" in plan
