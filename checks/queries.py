@@ -12,6 +12,7 @@ from checks import views as v
 from checks.views import table, with_views
 from reviewloom.functions import names, rating, review, spam, text
 from reviewloom.operators import clean, enrich, payload, skew, stats, workset
+from reviewloom.operators import keywords as keyword_lists
 from reviewloom.operators import rating as product
 from reviewloom.plans import job
 from reviewloom.plans.enrich import enrich_reviews
@@ -711,6 +712,34 @@ def parse_summary(spark, sf):
         "conv_id", "turn", "p.*")
 
 
+# every long word of the benchmark's texts, and a few phrases, among them ones of one and two letters
+_KEYWORDS = """(SELECT unnest(regexp_extract_all(text, '[a-zA-Z]{7,}')) AS k FROM benchmark
+                UNION SELECT unnest(['Q', 'zy', 'that, ', ', th', 'NEVER SEEN ANYWHERE', '']))"""
+
+
+def _keywords(spark: SparkSession, sf: str) -> DataFrame:
+    words = F.explode(F.regexp_extract_all("text", F.lit("[a-zA-Z]{7,}"), F.lit(0))).alias("keyword")
+    few = spark.createDataFrame([(k,) for k in ("Q", "zy", "that, ", ", th", "NEVER SEEN ANYWHERE", "")],
+                                "keyword string")
+    return table(spark, sf, "benchmark").select(words).union(few)
+
+
+@query(f"""
+    SELECT DISTINCT row_id, lower(k) AS keyword FROM reviews, {_KEYWORDS}
+    WHERE k <> '' AND contains(lower(comment), lower(k))""")
+def keyword_hits(spark, sf):
+    return keyword_lists.keyword_hits(v.reviews(spark, sf), _keywords(spark, sf), ["row_id"])
+
+
+@query(f"""
+    SELECT row_id, EXISTS (SELECT 1 FROM {_KEYWORDS} WHERE k <> '' AND contains(lower(comment), lower(k)))
+           AS has_keyword FROM reviews""")
+def mark_keywords(spark, sf):
+    rows = v.reviews(spark, sf).select("row_id", "comment")
+    return keyword_lists.mark_keywords(rows, _keywords(spark, sf), ["row_id"], broadcast_bytes=0).select(
+        "row_id", "has_keyword")
+
+
 # --- arrival ---
 
 def _document_stream(spark: SparkSession, sf: str) -> DataFrame:
