@@ -3,21 +3,38 @@ partition swollen by one source or index is split."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
 from reviewloom.sources.files import CSV
 
+TOKEN = "token"
 # Leading and trailing blanks are data, which Spark would trim when writing. An empty text is
 # written as nothing, not as "", and so reads back as null.
 _CSV_OUT = {**CSV, "emptyValue": "", "ignoreLeadingWhiteSpace": False,
             "ignoreTrailingWhiteSpace": False}
 
 
-def append_reviews(df: DataFrame, path: str) -> None:
-    """Add reviews to a CSV folder; every part file carries the header."""
-    df.write.mode("append").options(header=True, **_CSV_OUT).csv(path)
+def append_reviews(df: DataFrame, path: str, token: str | None = None) -> bool:
+    """Add reviews to a CSV folder; every part file carries the header. Tells whether it has written.
+
+    With ``token``, which names the batch, an append that is repeated adds nothing: the batch has a folder of its own,
+    which is written anew until it is complete and then left alone. Readers of the folder find it like the others;
+    a folder either takes tokens or does not.
+    """
+    target = path
+    if token is not None:
+        if not re.fullmatch(r"[\w.-]+", token):
+            raise ValueError("a token is made of letters, digits, dots, dashes and underlines")
+        target = f"{path.rstrip('/')}/{TOKEN}={token}"
+        done = df.sparkSession._jvm.org.apache.hadoop.fs.Path(f"{target}/_SUCCESS")
+        if done.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).exists(done):
+            return False
+    writer = df.write.mode("append" if token is None else "overwrite")
+    writer.options(header=True, **_CSV_OUT).csv(target)
+    return True
 
 
 def land_reviews(df: DataFrame, path: str, fmt: str = "parquet",
