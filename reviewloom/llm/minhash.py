@@ -7,7 +7,8 @@ places of a chunk, and the rest is a key. So all pairs under the signature dista
 
 Pairs are not listed per key. First every signature meets the first one of its key; what is confirmed on
 the full sets becomes groups. Then, in keys that still hold several groups, pairs across groups are looked at,
-save those that the distances to the first one, which are known by then, rule out.
+each in the first key that it shares, save those that the distances to the first one, which are known by
+then, or a long sketch rule out. What is left is confirmed on the full sets as well.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 
 from reviewloom.llm import bitfilter
 from reviewloom.llm.columns import column
-from reviewloom.llm.components import connected_components, split_large
+from reviewloom.llm.components import connected_components
 from reviewloom.operators.skew import spread_join
 from reviewloom.session import land
 
@@ -38,6 +39,9 @@ VALUES = CHUNKS * CHUNK
 DISTANCE = CHUNKS * (ERRORS + 1) - 1
 #: Rows of a key that one task compares; a larger key is cut into parts, and each pair of parts is compared.
 GROUP = 2048
+#: Values of the long sketch, a byte each, that says which pairs across groups are worth their full sets; a pair at
+#: the limit has too few in common with a probability of some 3 in a million.
+SKETCH, DEVIATIONS = 512, 4.5
 _SLICE_BYTES = 1_500_000
 #: Hashes of texts that a task remembers to have passed on.
 _SEEN = 200_000
@@ -65,14 +69,14 @@ def shingle_set(text: bytes | None, size: int = SHINGLE_WORDS) -> np.ndarray:
     return np.unique(bitfilter.spread_bits(mixed))
 
 
-def signatures(sets: list[np.ndarray], values: int = VALUES) -> np.ndarray:
-    """For each set, none of them empty, the ``BITS`` low bits of its least hashes under ``values`` functions."""
+def signatures(sets: list[np.ndarray], values: int = VALUES, seed: int = 77, kind: str = "<u2") -> np.ndarray:
+    """For each set, none of them empty, the low bits of its least hashes under ``values`` functions."""
     joined = np.concatenate(sets)
     starts = np.cumsum([0] + [s.size for s in sets[:-1]])
     found = np.empty((len(sets), values), np.uint64)
-    for i, factor in enumerate(_factors(values, 77)):
+    for i, factor in enumerate(_factors(values, seed)):
         found[:, i] = np.minimum.reduceat(joined * factor, starts)
-    return bitfilter.spread_bits(found).astype("<u2")
+    return bitfilter.spread_bits(found).astype(kind)
 
 
 def _node(shingles: np.ndarray) -> bytes:
@@ -176,19 +180,23 @@ class _Corpus:
             F.min("doc_id").alias("first"), F.min("n_shingles").alias("n"), F.min("signature").alias("signature"),
             F.min("text_hash").alias("text_hash")), "nodes")
 
+    def sets_of(self, nodes: DataFrame) -> DataFrame:
+        """``node, shingles``: the full sets of some nodes, worked out again from their texts; landed."""
+        needed = land(nodes.distinct(), "needed")
+        hashes = needed.join(self.nodes.select("node", "text_hash"), "node").select("text_hash")
+        wanted = bitfilter.build(land(hashes.mapInArrow(_spread, "hash bigint"), "hashes"), "hash")
+        read = self.texts.mapInArrow(_set_reader(self.size, wanted), "node binary, shingles binary")
+        # copies of a text have one set, which a task passes on once
+        return land(read.groupBy("node").agg(F.min("shingles").alias("shingles")).join(
+            needed, "node", "left_semi"), "sets")
+
     def measured(self, pairs: DataFrame) -> DataFrame:
         """``a, b, n_a, n_b, common``: the pairs with the sizes of their intersections, from the full sets; landed.
 
         Pairs that their sizes ``n_a, n_b`` rule out are left out.
         """
         todo = land(pairs.filter(_similar_sizes("n_a", "n_b", self.percent)).distinct(), "candidates")
-        needed = land(todo.select("a").union(todo.select("b")).distinct().toDF("node"), "needed")
-        hashes = needed.join(self.nodes.select("node", "text_hash"), "node").select("text_hash")
-        wanted = bitfilter.build(land(hashes.mapInArrow(_spread, "hash bigint"), "hashes"), "hash")
-        read = self.texts.mapInArrow(_set_reader(self.size, wanted), "node binary, shingles binary")
-        # copies of a text have one set, which a task passes on once
-        sets = land(read.groupBy("node").agg(F.min("shingles").alias("shingles")).join(
-            needed, "node", "left_semi"), "sets")
+        sets = self.sets_of(todo.select("a").union(todo.select("b")).toDF("node"))
 
         def with_set(rows: DataFrame, end: str) -> DataFrame:
             # one set may stand in most pairs, so its rows are dealt over salts
@@ -202,36 +210,61 @@ class _Corpus:
         return measured.filter(F.col("common") * 100 >= union * self.percent).select("a", "b")
 
 
+def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Long sketches of full sets."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 64):
+            some = batch.slice(at, 64)
+            sets = [np.frombuffer(s.as_buffer(), np.uint64) for s in some.column(1)]
+            yield pa.RecordBatch.from_arrays([some.column(0), pa.array(
+                [s.tobytes() for s in signatures(sets, SKETCH, 99, "u1")], pa.binary())], ["node", "sketch"])
+
+
+def _first_key(mine: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """The number of the first key that a signature has in common with each of the others; -1 for none."""
+    differ = (others != mine).reshape(-1, CHUNKS, CHUNK)
+    # a chunk without errors has all its keys in common, one with an error the key that leaves out its place
+    place = np.arange(CHUNKS) * CHUNK + differ.argmax(axis=2)
+    place[differ.sum(axis=2) > 1] = VALUES
+    first = place.min(axis=1)
+    return np.where(first == VALUES, -1, first)
+
+
 def _pairs_across(percent: int):
-    """From rows sorted by shard, pairs of different groups that may be similar.
+    """From rows sorted by shard, pairs of different groups that may be similar, each from its first key only.
 
     Jaccard distance is a metric: with the distances to a third set known, it is no less than their difference.
+    What that and the sizes leave is asked of the long sketches.
     """
-    reach = 1 - percent / 100 + 1e-9
+    reach, share = 1 - percent / 100 + 1e-9, percent / 100
+    least = SKETCH * share - DEVIATIONS * np.sqrt(SKETCH * share * (1 - share))
+
+    def pairs(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        node, n, at = table["node"].combine_chunks(), table["n"].to_numpy(), table["at"].to_numpy()
+        root = np.unique(np.array(table["root"].to_pylist(), object), return_inverse=True)[1]
+        away, part, alone = table["away"].to_numpy(), table["part"].to_numpy(), table["alone"].to_numpy()
+
+        def matrix(name: str, kind: str) -> np.ndarray:
+            return np.frombuffer(b"".join(table[name].to_pylist()), kind).reshape(table.num_rows, -1)
+        signature, sketch = matrix("signature", "<u2"), matrix("sketch", "u1")
+        for i in range(table.num_rows - 1):
+            rest = slice(i + 1, None)
+            j = np.flatnonzero((root[rest] != root[i]) & ((part[rest] != part[i]) | alone[rest])
+                               & ~(np.abs(away[rest] - away[i]) > reach)  # an unknown distance rules out nothing
+                               & (100 * np.minimum(n[i], n[rest]) >= percent * np.maximum(n[i], n[rest]))) + i + 1
+            j = j[_first_key(signature[i], signature[j]) == at[i]]
+            j = j[(sketch[j] == sketch[i]).sum(axis=1) >= least]
+            if j.size:  # the smaller name first
+                mine, others = node[i].as_py(), node.take(pa.array(j))
+                turn = np.array([o < mine for o in others.to_pylist()])
+                same = pa.array([mine] * j.size, pa.binary())
+                yield pa.RecordBatch.from_arrays([
+                    pc.if_else(pa.array(turn), others, same), pc.if_else(pa.array(turn), same, others),
+                    pa.array(np.where(turn, n[j], n[i])), pa.array(np.where(turn, n[i], n[j]))],
+                    ["a", "b", "n_a", "n_b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
-
-        def pairs(table: pa.Table) -> Iterator[pa.RecordBatch]:
-            if table.num_rows < 2:
-                return
-            node, n = table["node"].combine_chunks(), table["n"].to_numpy()
-            root = np.unique(np.array(table["root"].to_pylist(), object), return_inverse=True)[1]
-            away = table["away"].to_numpy()
-            for i in range(table.num_rows - 1):
-                near = ~(np.abs(away[i + 1:] - away[i]) > reach)  # an unknown distance rules out nothing
-                size = 100 * np.minimum(n[i], n[i + 1:]) >= percent * np.maximum(n[i], n[i + 1:])
-                j = np.flatnonzero((root[i + 1:] != root[i]) & near & size) + i + 1
-                if j.size:  # the smaller name first, so that a pair of several keys is one
-                    mine = node[i].as_py()
-                    others = node.take(pa.array(j))
-                    turn = np.array([o < mine for o in others.to_pylist()])
-                    same = pa.array([mine] * j.size, pa.binary())
-                    yield pa.RecordBatch.from_arrays([
-                        pc.if_else(pa.array(turn), others, same), pc.if_else(pa.array(turn), same, others),
-                        pa.array(np.where(turn, n[j], n[i])), pa.array(np.where(turn, n[i], n[j]))],
-                        ["a", "b", "n_a", "n_b"])
-
         for batch in batches:
             shard = batch.column(0).to_numpy()
             cuts = [0, *(np.flatnonzero(shard[1:] != shard[:-1]) + 1).tolist(), batch.num_rows]
@@ -247,9 +280,23 @@ def _pairs_across(percent: int):
     return run
 
 
+def _dealt(rows: DataFrame, sizes: DataFrame, group: int) -> DataFrame:
+    """Rows of a key as ``shard``s of ``group`` rows at most: a larger key in parts of half that, each two of which meet.
+
+    ``alone`` says that a shard is one part, the only place where the part's own rows are compared.
+    """
+    parts = F.ceil(F.col("__n") / max(1, group // 2)).cast("int")
+    cut = spread_join(rows, sizes.select("key", "__n", F.when(F.col("__n") > group, parts).otherwise(1).alias("parts")),
+                      ["key"], count="__n")
+    part = F.pmod(F.xxhash64("node", F.lit("part")), F.col("parts")).cast("int")
+    placed = cut.withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    return placed.withColumn("alone", F.col("part") == F.col("other")).withColumn("shard", F.xxhash64(
+        "key", F.least("part", "other"), F.greatest("part", "other"))).drop("parts", "other", "key")
+
+
 def near_groups(corpus: _Corpus, group: int = GROUP) -> DataFrame:
     """``node, root`` of the nodes that have a similar one."""
-    keyed = corpus.nodes.select("node", "n", F.explode(chunk_keys("signature")).alias("key"))
+    keyed = corpus.nodes.select("node", "n", F.posexplode(chunk_keys("signature")).alias("at", "key"))
     firsts = keyed.groupBy("key").agg(F.min(F.struct("node", "n")).alias("first"), F.count(F.lit(1)).alias("__n"))
     firsts = firsts.filter("__n > 1").select("key", "first.node", "first.n", "__n").toDF("key", "first", "n_first", "__n")
     shared = land(spread_join(keyed, firsts, ["key"], count="__n"), "keys")
@@ -260,17 +307,22 @@ def near_groups(corpus: _Corpus, group: int = GROUP) -> DataFrame:
 
     # keys that hold several groups
     labelled = land(shared.join(roots, "node", "left").select(
-        "key", "node", "n", "first", F.coalesce("root", "node").alias("root")), "labelled")
-    mixed = labelled.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most"),
-                                        F.count(F.lit(1)).alias("__n")).filter("least <> most").select("key", "__n")
-    open_rows = spread_join(labelled, mixed, ["key"], count="__n")
+        "key", "at", "node", "n", "first", F.coalesce("root", "node").alias("root")), "labelled")
+    mixed = land(labelled.groupBy("key").agg(
+        F.min("root").alias("least"), F.max("root").alias("most"), F.count(F.lit(1)).alias("__n"))
+        .filter("least <> most").select("key", "__n"), "mixed")
+    open_rows = land(spread_join(labelled, mixed, ["key"], count="__n"), "open")
     known = measured.select(F.col("a").alias("first"), F.col("b").alias("node"), (
         1 - F.col("common") / (F.col("n_a") + F.col("n_b") - F.col("common"))).alias("away"))
+    sketches = corpus.sets_of(open_rows.select("node")).mapInArrow(_sketches, "node binary, sketch binary")
+    of_node = land(corpus.nodes.select("node", "signature").join(sketches, "node"), "sketches_of_open")
     # pairs of too different sizes were not measured: their distance stays unknown
-    rows = land(open_rows.join(known, ["first", "node"], "left").select(
-        F.col("key").alias("shard"), "node", "root", "n",
-        F.when(F.col("node") == F.col("first"), 0.0).otherwise(F.col("away")).alias("away")), "open")
-    dealt = split_large(rows, "shard", "node", group).select("shard", "node", "root", "n", "away")
+    rows = open_rows.join(known, ["first", "node"], "left").join(of_node, "node").select(
+        "key", "at", "node", "root", "n", "signature", "sketch",
+        F.when(F.col("node") == F.col("first"), 0.0).otherwise(F.col("away")).alias("away"))
+    # sketches are added to rows, and rows then dealt: a node has as many rows as it has keys at most
+    dealt = _dealt(land(rows, "rows"), mixed, group).select(
+        "shard", "at", "node", "root", "n", "away", "part", "alone", "signature", "sketch")
     across = dealt.repartition("shard").sortWithinPartitions("shard").mapInArrow(
         _pairs_across(corpus.percent), "a binary, b binary, n_a bigint, n_b bigint")
     more = corpus.links(corpus.measured(across))

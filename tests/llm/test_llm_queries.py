@@ -33,5 +33,5 @@ def test_query_equals_its_sql(llm, name):
 def test_all_are_registered():
     names = set(entry_module.queries())
     assert set(QUERIES) | {"pipeline"} <= names
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(ORACLES) <= set(entry_module.oracle_sql())

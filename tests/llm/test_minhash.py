@@ -113,22 +113,45 @@ def test_recall_at_the_limit():
 
 
 def test_pairs_across_lose_none():
-    rng = random.Random(9)
-    sets = [frozenset(rng.sample(range(60), rng.randrange(40, 56))) for _ in range(50)]
-
-    def away(a, b):
-        return 1 - len(a & b) / len(a | b)
-    table = pa.RecordBatch.from_arrays([
-        pa.array([1] * 50, pa.int64()), pa.array([bytes([i]) for i in range(50)]),
-        pa.array([bytes([i % 7]) for i in range(50)]), pa.array([len(s) for s in sets], pa.int64()),
-        pa.array([None if i % 11 == 3 else away(sets[0], s) for i, s in enumerate(sets)], pa.float64())],
-        ["shard", "node", "root", "n", "away"])
-    found = set()
-    for part in minhash._pairs_across(85)(iter([table.slice(0, 20), table.slice(20)])):
-        found |= set(zip(part["a"].to_pylist(), part["b"].to_pylist()))
-    want = {(bytes([i]), bytes([j])) for i, j in combinations(range(50), 2)
-            if i % 7 != j % 7 and away(sets[i], sets[j]) <= 0.15}
-    assert want and want <= found and len(found) < 50 * 49 / 2
+    """Every similar pair of two groups comes out of the shard of its first key, once, and few others do."""
+    rng = np.random.default_rng(9)
+    pool = rng.integers(0, 2**63, 4000, dtype=np.uint64)
+    base, sets = rng.permutation(pool)[:220], []
+    for _ in range(60):
+        kept = rng.permutation(base)[:rng.integers(185, 221)]
+        sets.append(np.unique(np.concatenate([kept, rng.permutation(pool)[:rng.integers(0, 20)]])))
+
+    def jaccard(a, b):
+        return np.intersect1d(a, b).size / np.union1d(a, b).size
+    signatures, sketches = minhash.signatures(sets), minhash.signatures(sets, minhash.SKETCH, 99, "u1")
+    root, part = [i % 7 for i in range(60)], [i % 3 for i in range(60)]
+    found = []
+    for c in range(minhash.CHUNKS):
+        for out in range(minhash.CHUNK):
+            left = [c * minhash.CHUNK + p for p in range(minhash.CHUNK) if p != out]
+            keys = {}
+            for i, s in enumerate(signatures):
+                keys.setdefault(s[left].tobytes(), []).append(i)
+            for members in keys.values():
+                for x, y in [(0, 0), (1, 1), (2, 2), (0, 1), (0, 2), (1, 2)]:
+                    here = [i for i in members if part[i] in (x, y)]
+                    if len(here) < 2:
+                        continue
+                    first = members[0]
+                    table = pa.RecordBatch.from_arrays([
+                        pa.array([1] * len(here), pa.int64()), pa.array([c * minhash.CHUNK + out] * len(here)),
+                        pa.array([bytes([i]) for i in here]), pa.array([bytes([root[i]]) for i in here]),
+                        pa.array([sets[i].size for i in here], pa.int64()),
+                        pa.array([None if i % 11 == 3 else 1 - jaccard(sets[first], sets[i]) for i in here], pa.float64()),
+                        pa.array([part[i] for i in here]), pa.array([x == y] * len(here)),
+                        pa.array([signatures[i].tobytes() for i in here]), pa.array([sketches[i].tobytes() for i in here])],
+                        ["shard", "at", "node", "root", "n", "away", "part", "alone", "signature", "sketch"])
+                    for some in minhash._pairs_across(85)(iter([table.slice(0, 1), table.slice(1)])):
+                        found += zip(some["a"].to_pylist(), some["b"].to_pylist())
+    want = {(bytes([i]), bytes([j])) for i, j in combinations(range(60), 2)
+            if root[i] != root[j] and jaccard(sets[i], sets[j]) >= 0.85}
+    assert len(found) == len(set(found)) and want and want <= set(found)
+    assert len(found) < 0.8 * 60 * 59 / 2
 
 
 def test_null_and_equal_ids_and_no_rows(documents):
