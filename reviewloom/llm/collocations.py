@@ -39,6 +39,8 @@ PARTITION_BYTES = 128_000_000
 #: Keys in a row of the first shuffle, and entries that a summary takes in before it is cut back.
 _ROW_KEYS = 8192
 _BUFFER = 2_000_000
+#: Phrases that one task ranks.
+_RANKED = 50_000
 _ODD = 0x9E3779B97F4A7C15
 
 # only A-Z change case; a line feed stands for every separator of pieces, a blank for those of words
@@ -266,6 +268,23 @@ def _within(phrases: DataFrame) -> DataFrame:
                          "a").groupBy("group", "phrase").agg(F.max("a").alias("longest"))
 
 
+def _best(kept: DataFrame, top: int, phrases: int) -> DataFrame:
+    """The first ``top`` phrases of each group with their ``rank``.
+
+    A group's phrases are dealt over salts, about ``_RANKED`` to each, and only the best of a salt are ranked
+    among all; so no task sorts a large group.
+    """
+    order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
+    salts = -(-phrases // max(_RANKED, 2 * top))
+    if salts > 1:
+        salt = F.pmod(F.xxhash64("phrase"), F.lit(salts))
+        here = Window.partitionBy("group", "__salt").orderBy(*order)
+        kept = kept.withColumn("__salt", salt).withColumn("__place", F.row_number().over(here)).filter(
+            F.col("__place") <= top).drop("__salt", "__place")
+    return kept.withColumn("rank", F.row_number().over(Window.partitionBy("group").orderBy(*order))).filter(
+        F.col("rank") <= top)
+
+
 def _wide(value) -> F.Column:
     return value.cast("decimal(19,0)")
 
@@ -299,7 +318,5 @@ def collocations(docs: DataFrame, text: str = "text", group: str = "lang", min_c
     held = _wide(F.col("longest")) * 100 >= _wide(F.col("a")) * contained_percent
     kept = scored.join(_within(phrases), ["group", "phrase"], "left").filter(
         F.col("longest").isNull() | ~held).select("group", "phrase", "a", "cut.l", "cut.r", "cut.score")
-    order = Window.partitionBy("group").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = kept.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
-    return ranked.join(totals, "group").select(
+    return _best(kept, top, phrases.count()).join(totals, "group").select(
         "group", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", "score")

@@ -50,14 +50,15 @@ def _table(spark, rows):
     return spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id bigint, lang string, text string")
 
 
-@pytest.mark.parametrize("options", [{}, {"partition_bytes": 50}])
-def test_equals_plain_counts(llm, options):
+@pytest.mark.parametrize("options,ranked", [({}, 50_000), ({"partition_bytes": 50}, 50_000), ({"top": 3}, 6)])
+def test_equals_plain_counts(llm, options, ranked, monkeypatch):
+    monkeypatch.setattr(collocations, "_RANKED", ranked)
     rows = _corpus()
     docs = _table(llm, rows).repartition(3).withColumn("phrase", F.lit(1)).withColumn("group", F.lit("g"))
     found = collocations.collocations(docs, **options)
     assert found.columns == ["group", "rank", "phrase", "a", "l", "r", "n", "score"]
     got = sorted(map(tuple, found.collect()))
-    assert got == _plain(rows) and len({g[0] for g in got}) >= 3
+    assert got == _plain(rows, top=options.get("top", 2000)) and len({g[0] for g in got}) >= 3
 
 
 def test_ties_and_top(llm):
