@@ -18,7 +18,7 @@ from reviewloom.plans import job
 from reviewloom.plans.enrich import enrich_reviews
 from reviewloom.plans.score import score_late_reviews, score_reviews
 from reviewloom.session import fresh_path, land
-from reviewloom.sources import files, ratings, sinks
+from reviewloom.sources import documents, files, ratings, sinks
 from reviewloom.streaming import arrivals
 from reviewloom.streaming import pages as page_streams
 
@@ -105,6 +105,20 @@ def clean_text(spark, sf):
     return table(spark, sf, "documents").select("doc_id", text.clean_text("text").alias("comments"))
 
 
+@query(r"""
+    SELECT doc_id, nfc_normalize(text) AS composed,
+           trim(regexp_replace(regexp_replace(nfc_normalize(text), '[^\p{L}\p{N}\s]', ' ', 'g'),
+                               '\s+', ' ', 'g')) AS comments
+    FROM (SELECT doc_id, replace(replace(replace(text, 'é', 'e' || chr(769)), 'ü', 'u' || chr(776)), 'an', 'a' || chr(770)
+                                 || chr(769) || 'n') AS text FROM documents)""")
+def compose_accents(spark, sf):
+    apart = table(spark, sf, "documents").select("doc_id", "text")
+    for letter, parts in (("é", "e\u0301"), ("ü", "u\u0308"), ("an", "a\u0302\u0301n")):
+        apart = apart.withColumn("text", F.replace("text", F.lit(letter), F.lit(parts)))
+    return apart.select("doc_id", text.compose_accents("text").alias("composed"),
+                        text.clean_text("text", compose=True).alias("comments"))
+
+
 @query("""
     SELECT row_id, CASE WHEN len(list_filter(tokens, lambda t: length(t) > 6)) > 0 THEN ''
                         ELSE comments END AS comments
@@ -955,3 +969,24 @@ def stream_distinct_reviews(spark, sf):
         arrivals.stream_distinct_reviews(seen, sink, progress, "seen", "30 days", scope=SCOPE,
                                          available_now=True).awaitTermination()
     return spark.read.parquet(sink).select("scope", "comments")
+
+
+@query("SELECT scope, name, row_id, rating_star, comments FROM strict_scoped")
+def upsert_documents(spark, sf):
+    # written twice, the second time in part: a document's id is its row, so each is there once
+    path = fresh_path(spark, "documents").removeprefix("file:")
+    rows = land(_strict(spark, sf).select("scope", "name", "row_id", "rating_star", "comments"), "reviews")
+    documents.upsert_documents(rows.withColumn("comments", F.upper("comments")), path, ["row_id"])
+    documents.upsert_documents(rows, path, ["row_id"])
+    documents.upsert_documents(rows.filter("row_id % 3 = 0"), path, ["row_id"])
+    return documents.read_documents(spark, path, rows.schema)
+
+
+@query("SELECT rating_star, comment, name FROM reviews_raw WHERE scope IN ('de', 'fr')")
+def append_reviews_once(spark, sf):
+    path = fresh_path(spark, "appended")
+    rows = land(v.reviews_raw(spark, sf).withColumn("comment", text.flatten_lines("comment")), "reviews")
+    for lang in ("de", "fr", "de"):  # the third is a repetition
+        sinks.append_reviews(rows.filter(F.col("scope") == lang).select("rating_star", "comment", "name"), path, lang)
+    return files.read_reviews(spark, path).select(
+        "rating_star", F.coalesce("comment", F.lit("")).alias("comment"), "name")

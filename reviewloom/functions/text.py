@@ -6,6 +6,7 @@ they stay inside generated code and can sit below the projection that cleans the
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -27,9 +28,27 @@ def flatten_lines(c: Column | str) -> Column:
     return F.translate(_col(c), "\n\r", "  ")
 
 
-def clean_text(c: Column | str) -> Column:
-    """Everything but letters, digits and whitespace becomes a blank; blanks collapse; trim."""
-    blanked = F.regexp_replace(_col(c), r"[^\p{L}\p{N}\s]", " ")
+def compose_accents(c: Column | str) -> Column:
+    """Letters with separate accents become one character each (Unicode's canonical composition).
+
+    Only texts with an accent of their own, or with parts of Korean syllables, are handed to Python; for the
+    others it gets a null.
+    """
+    @F.pandas_udf("string")
+    def composed(texts: pd.Series) -> pd.Series:
+        import unicodedata
+        return texts.map(lambda t: unicodedata.normalize("NFC", t), na_action="ignore")
+    text = _col(c)
+    return F.coalesce(composed(F.when(text.rlike(r"[\p{M}\u1100-\u11FF]"), text)), text)
+
+
+def clean_text(c: Column | str, compose: bool = False) -> Column:
+    """Everything but letters, digits and whitespace becomes a blank; blanks collapse; trim.
+
+    A separate accent is neither, so it splits its word. ``compose`` joins accents and letters first.
+    """
+    text = compose_accents(c) if compose else _col(c)
+    blanked = F.regexp_replace(text, r"[^\p{L}\p{N}\s]", " ")
     return F.trim(F.regexp_replace(blanked, r"\s+", " "))
 
 

@@ -106,3 +106,17 @@ def test_extract_ids(column):
 def test_data_path(column):
     got = column(["1_2", "1_2.csv", "csv"], lambda c: names.data_path(c, "/data/raw/"))
     assert got == ["/data/raw/1_2.csv", "/data/raw/1_2.csv", "/data/raw/csv.csv"]
+
+
+def test_accents_apart_are_composed_only_when_asked(column):
+    import unicodedata
+
+    from reviewloom.functions.text import clean_text, compose_accents
+    letters = "".join(chr(c) for c in [*range(0xC0, 0x250), *range(0x1E00, 0x1F00)] if chr(c).isalpha())
+    whole = ["Rất tốt, Đẹp lắm!", letters, "plain", "", None, "가각", "ạ́", "́x", "q̇"]
+    apart = [t and unicodedata.normalize("NFD", t) for t in whole]
+    want = [t and unicodedata.normalize("NFC", t) for t in whole]
+    assert column(apart, compose_accents) == want
+    assert column(apart, lambda c: clean_text(c, compose=True)) == column(want, clean_text)
+    assert column(apart[:1], clean_text) == ["Ra t to t Đe p la m"]
+    assert column(whole[:1], clean_text) == ["Rất tốt Đẹp lắm"]
