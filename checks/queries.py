@@ -18,7 +18,7 @@ from reviewloom.plans import job
 from reviewloom.plans.enrich import enrich_reviews
 from reviewloom.plans.score import score_late_reviews, score_reviews
 from reviewloom.session import fresh_path, land
-from reviewloom.sources import documents, files, ratings, sinks
+from reviewloom.sources import documents, files, landing, ratings, sinks
 from reviewloom.streaming import arrivals
 from reviewloom.streaming import pages as page_streams
 
@@ -990,3 +990,17 @@ def append_reviews_once(spark, sf):
         sinks.append_reviews(rows.filter(F.col("scope") == lang).select("rating_star", "comment", "name"), path, lang)
     return files.read_reviews(spark, path).select(
         "rating_star", F.coalesce("comment", F.lit("")).alias("comment"), "name")
+
+
+@query("""
+    SELECT row_id, name, comment, 'lang ' || scope || '.csv' AS source_file FROM reviews_raw WHERE scope <> 'fr'""")
+def replace_files(spark, sf):
+    # all files, then some of them again, one of which has no rows any more
+    path = fresh_path(spark, "versions")
+    rows = land(v.reviews_raw(spark, sf).select("row_id", "name", "comment", F.concat(
+        F.lit("lang "), F.col("scope"), F.lit(".csv")).alias("source_file")), "reviews")
+    landing.replace_files(rows.withColumn("comment", F.upper("comment")), path)
+    landing.replace_files(rows, path)
+    listed = rows.select(F.col("source_file").alias("filename")).filter("filename IN ('lang en.csv', 'lang fr.csv')")
+    landing.replace_files(rows.filter("source_file = 'lang en.csv'"), path, listed)
+    return landing.read_landed(spark, path, rows.schema)
