@@ -7,8 +7,9 @@ places of a chunk, and the rest is a key. So all pairs under the signature dista
 
 Pairs are not listed per key. First every signature meets the first one of its key; what is confirmed on
 the full sets becomes groups. Then, in keys that still hold several groups, pairs across groups are looked at,
-each in the first key that it shares, save those that the distances to the first one, which are known by
-then, or a long sketch rule out. What is left is confirmed on the full sets as well.
+each under the first key that it shares, save those that the distances to the first one, which are known by
+then, or a long sketch rule out. What is left is confirmed on the full sets, there and then, so that pairs that
+are not similar enough, of which a large group may have many, are compared and never become rows.
 """
 
 from __future__ import annotations
@@ -18,7 +19,6 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,8 +37,9 @@ PERCENT = 85
 BITS, CHUNKS, CHUNK, ERRORS = 16, 6, 5, 1
 VALUES = CHUNKS * CHUNK
 DISTANCE = CHUNKS * (ERRORS + 1) - 1
-#: Rows of a key that one task compares; a larger key is cut into parts, and each pair of parts is compared.
-GROUP = 2048
+#: Rows of a key that one task compares, and bytes of their sets; a larger key is cut into parts, and each pair of
+#: parts is compared.
+GROUP, GROUP_BYTES = 2048, 64_000_000
 #: Values of the long sketch, a byte each, that says which pairs across groups are worth their full sets; a pair at
 #: the limit has too few in common with a probability of some 3 in a million.
 SKETCH, DEVIATIONS = 512, 4.5
@@ -230,23 +231,25 @@ def _first_key(mine: np.ndarray, others: np.ndarray) -> np.ndarray:
     return np.where(first == VALUES, -1, first)
 
 
-def _pairs_across(percent: int):
-    """From rows sorted by shard, pairs of different groups that may be similar, each from its first key only.
+def _links_across(percent: int):
+    """From rows sorted by shard, links that join groups, each looked for under the first key of its pair only.
 
     Jaccard distance is a metric: with the distances to a third set known, it is no less than their difference.
-    What that and the sizes leave is asked of the long sketches.
+    What that and the sizes leave is asked of the long sketches, and then of the full sets. Pairs whose groups
+    have become one are not looked at, so a shard gives fewer links than it has rows.
     """
     reach, share = 1 - percent / 100 + 1e-9, percent / 100
     least = SKETCH * share - DEVIATIONS * np.sqrt(SKETCH * share * (1 - share))
 
-    def pairs(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        node, n, at = table["node"].combine_chunks(), table["n"].to_numpy(), table["at"].to_numpy()
+    def links(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        node, n, at = table["node"].to_pylist(), table["n"].to_numpy(), table["at"].to_numpy()
         root = np.unique(np.array(table["root"].to_pylist(), object), return_inverse=True)[1]
         away, part, alone = table["away"].to_numpy(), table["part"].to_numpy(), table["alone"].to_numpy()
+        sets = [np.frombuffer(s.as_buffer(), np.uint64) for s in table["shingles"]]
 
         def matrix(name: str, kind: str) -> np.ndarray:
             return np.frombuffer(b"".join(table[name].to_pylist()), kind).reshape(table.num_rows, -1)
-        signature, sketch = matrix("signature", "<u2"), matrix("sketch", "u1")
+        signature, sketch, found = matrix("signature", "<u2"), matrix("sketch", "u1"), []
         for i in range(table.num_rows - 1):
             rest = slice(i + 1, None)
             j = np.flatnonzero((root[rest] != root[i]) & ((part[rest] != part[i]) | alone[rest])
@@ -254,14 +257,14 @@ def _pairs_across(percent: int):
                                & (100 * np.minimum(n[i], n[rest]) >= percent * np.maximum(n[i], n[rest]))) + i + 1
             j = j[_first_key(signature[i], signature[j]) == at[i]]
             j = j[(sketch[j] == sketch[i]).sum(axis=1) >= least]
-            if j.size:  # the smaller name first
-                mine, others = node[i].as_py(), node.take(pa.array(j))
-                turn = np.array([o < mine for o in others.to_pylist()])
-                same = pa.array([mine] * j.size, pa.binary())
-                yield pa.RecordBatch.from_arrays([
-                    pc.if_else(pa.array(turn), others, same), pc.if_else(pa.array(turn), same, others),
-                    pa.array(np.where(turn, n[j], n[i])), pa.array(np.where(turn, n[i], n[j]))],
-                    ["a", "b", "n_a", "n_b"])
+            for other in j.tolist():
+                if root[other] != root[i]:
+                    common = np.intersect1d(sets[i], sets[other], assume_unique=True).size
+                    if 100 * common >= percent * (n[i] + n[other] - common):
+                        found.append((node[i], node[other]))
+                        root[root == root[other]] = root[i]
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(side, pa.binary()) for side in zip(*found)], ["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -272,22 +275,23 @@ def _pairs_across(percent: int):
                 if start == stop:
                     continue
                 if held and held[0].column(0)[0].as_py() != int(shard[start]):
-                    yield from pairs(pa.Table.from_batches(held))
+                    yield from links(pa.Table.from_batches(held))
                     held = []
                 held.append(batch.slice(start, stop - start))
         if held:
-            yield from pairs(pa.Table.from_batches(held))
+            yield from links(pa.Table.from_batches(held))
     return run
 
 
 def _dealt(rows: DataFrame, sizes: DataFrame, group: int) -> DataFrame:
     """Rows of a key as ``shard``s of ``group`` rows at most: a larger key in parts of half that, each two of which meet.
 
-    ``alone`` says that a shard is one part, the only place where the part's own rows are compared.
+    The sets of a shard have about ``GROUP_BYTES`` at most. ``alone`` says that a shard is one part, the only place
+    where the part's own rows are compared.
     """
-    parts = F.ceil(F.col("__n") / max(1, group // 2)).cast("int")
-    cut = spread_join(rows, sizes.select("key", "__n", F.when(F.col("__n") > group, parts).otherwise(1).alias("parts")),
-                      ["key"], count="__n")
+    fill = F.greatest(F.col("__n") / group, F.col("shingles") * 8 / GROUP_BYTES)
+    parts = F.when(fill > 1, F.ceil(fill * 2)).otherwise(1).cast("int")
+    cut = spread_join(rows, sizes.select("key", "__n", parts.alias("parts")), ["key"], count="__n")
     part = F.pmod(F.xxhash64("node", F.lit("part")), F.col("parts")).cast("int")
     placed = cut.withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     return placed.withColumn("alone", F.col("part") == F.col("other")).withColumn("shard", F.xxhash64(
@@ -309,24 +313,22 @@ def near_groups(corpus: _Corpus, group: int = GROUP) -> DataFrame:
     labelled = land(shared.join(roots, "node", "left").select(
         "key", "at", "node", "n", "first", F.coalesce("root", "node").alias("root")), "labelled")
     mixed = land(labelled.groupBy("key").agg(
-        F.min("root").alias("least"), F.max("root").alias("most"), F.count(F.lit(1)).alias("__n"))
-        .filter("least <> most").select("key", "__n"), "mixed")
-    open_rows = land(spread_join(labelled, mixed, ["key"], count="__n"), "open")
+        F.min("root").alias("least"), F.max("root").alias("most"), F.count(F.lit(1)).alias("__n"),
+        F.sum("n").alias("shingles")).filter("least <> most").select("key", "__n", "shingles"), "mixed")
+    open_rows = land(spread_join(labelled, mixed.select("key", "__n"), ["key"], count="__n"), "open")
     known = measured.select(F.col("a").alias("first"), F.col("b").alias("node"), (
         1 - F.col("common") / (F.col("n_a") + F.col("n_b") - F.col("common"))).alias("away"))
-    sketches = corpus.sets_of(open_rows.select("node")).mapInArrow(_sketches, "node binary, sketch binary")
-    of_node = land(corpus.nodes.select("node", "signature").join(sketches, "node"), "sketches_of_open")
+    sets = corpus.sets_of(open_rows.select("node"))
+    sketches = sets.mapInArrow(_sketches, "node binary, sketch binary")
+    of_node = corpus.nodes.select("node", "signature").join(sketches, "node").join(sets, "node")
     # pairs of too different sizes were not measured: their distance stays unknown
-    rows = open_rows.join(known, ["first", "node"], "left").join(of_node, "node").select(
-        "key", "at", "node", "root", "n", "signature", "sketch",
-        F.when(F.col("node") == F.col("first"), 0.0).otherwise(F.col("away")).alias("away"))
-    # sketches are added to rows, and rows then dealt: a node has as many rows as it has keys at most
-    dealt = _dealt(land(rows, "rows"), mixed, group).select(
-        "shard", "at", "node", "root", "n", "away", "part", "alone", "signature", "sketch")
-    across = dealt.repartition("shard").sortWithinPartitions("shard").mapInArrow(
-        _pairs_across(corpus.percent), "a binary, b binary, n_a bigint, n_b bigint")
-    more = corpus.links(corpus.measured(across))
-    return land(connected_components(links.union(more)), "groups")
+    rows = land(open_rows.join(known, ["first", "node"], "left").select("key", "at", "node", "root", "n", F.when(
+        F.col("node") == F.col("first"), 0.0).otherwise(F.col("away")).alias("away")), "rows")
+    dealt = _dealt(rows, mixed, group).join(of_node, "node").select(
+        "shard", "at", "node", "root", "n", "away", "part", "alone", "signature", "sketch", "shingles")
+    across = land(dealt.repartition("shard").sortWithinPartitions("shard").mapInArrow(
+        _links_across(corpus.percent), "a binary, b binary"), "links_across")
+    return land(connected_components(links.union(across)), "groups")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = SHINGLE_WORDS,
