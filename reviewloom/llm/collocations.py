@@ -33,12 +33,12 @@ SCALE = 2_000_000
 UNKNOWN = "und"
 
 #: Text that a task counts at once.
-SLICE_BYTES = 8_000_000
+SLICE_BYTES = 4_000_000
 #: Text per hash partition; some 45 million n-grams of four words at most.
 PARTITION_BYTES = 128_000_000
 #: Keys in a row of the first shuffle, and entries that a summary takes in before it is cut back.
-_ROW_KEYS = 8192
-_BUFFER = 2_000_000
+_ROW_KEYS = 4096
+_BUFFER = 1_000_000
 #: Phrases that one task ranks.
 _RANKED = 50_000
 _ODD = 0x9E3779B97F4A7C15
