@@ -16,7 +16,7 @@ from reviewloom.plans.enrich import enrich_reviews
 from reviewloom.session import land
 from reviewloom.sources.files import list_files, list_landed, read_reviews
 from reviewloom.sources.ratings import flatten_rating_pages
-from reviewloom.sources.sinks import land_reviews, write_index, write_manifest
+from reviewloom.sources.sinks import land_in_buckets, write_index, write_manifest
 from reviewloom.streaming.arrivals import MAX_FILES, file_stream, stream_late_reviews
 
 FILE = "source_file"
@@ -75,8 +75,8 @@ def ingest_pages(pages: DataFrame, json_col: str, landed: str, manifest: str, or
     """From rating pages to landed review files and the manifest that lists them.
 
     Reviews go to the file of their item and shop, ``itemid_shopid.csv``, of each at most the first
-    ``max_reviews``, by the page's ``order_by`` columns and the place on the page. The manifest lists
-    the files by name. Ratings without both ids belong to no file and are left out.
+    ``max_reviews``, by the page's ``order_by`` columns and the place on the page. Most products are small,
+    so their files share folders; see ``land_in_buckets``. The manifest lists the files by name. Ratings without both ids belong to no file and are left out.
     """
     rows = flatten_rating_pages(pages, json_col, wide=True)
     kept = rows.filter(F.col("itemid").isNotNull() & F.col("shopid").isNotNull()).select(
@@ -88,6 +88,6 @@ def ingest_pages(pages: DataFrame, json_col: str, landed: str, manifest: str, or
     placed = land(kept.orderBy(FILE, *order_by, "page_row").withColumn(
         "__place", F.monotonically_increasing_id()), "pages")
     capped = cap_reviews(placed, max_reviews, [FILE], "__place")
-    land_reviews(capped.select("rating_star", "comment", "name", FILE), landed)
+    land_in_buckets(capped.select("rating_star", "comment", "name", FILE), landed)
     files = placed.select(FILE).distinct()
     write_manifest(files.select(F.col(FILE).alias("filename"), F.col(FILE).alias("pos")), manifest)

@@ -7,10 +7,14 @@ import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from reviewloom.sources.files import CSV
 
 TOKEN = "token"
+BUCKET = "bucket"
+#: Folders of a table that many small sources share. A number that stays, for a source is looked for in one of them.
+BUCKETS = 64
 # Leading and trailing blanks are data, which Spark would trim when writing. An empty text is
 # written as nothing, not as "", and so reads back as null.
 _CSV_OUT = {**CSV, "emptyValue": "", "ignoreLeadingWhiteSpace": False,
@@ -49,6 +53,26 @@ def land_reviews(df: DataFrame, path: str, fmt: str = "parquet",
        .option("partitionOverwriteMode", "dynamic").partitionBy(by).save(path))
 
 
+def land_in_buckets(df: DataFrame, path: str, by: str = "source_file") -> None:
+    """``land_reviews`` for sources that are many and small: Parquet in a fixed number of folders, not one for each.
+
+    The sources that ``df`` holds are replaced, the others in the same folders are written again with them. Rows lie
+    sorted by source, so readers of a few skip the rest by the statistics. ``read_reviews`` and ``list_landed`` read
+    either kind; a table is of one kind only.
+    """
+    spark = df.sparkSession
+    bucket = F.pmod(F.xxhash64(by), F.lit(BUCKETS)).cast("int")
+    rows = df.withColumn(BUCKET, bucket)
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
+        names = df.select(F.col(by).alias("__by")).distinct()
+        touched = [r[0] for r in rows.select(BUCKET).distinct().collect()]  # ``BUCKETS`` of them at most
+        landed = spark.read.schema(rows.schema).parquet(path).filter(F.col(BUCKET).isin(touched))
+        rows = rows.unionByName(landed.join(names, F.col(by).eqNullSafe(F.col("__by")), "left_anti"))
+    (rows.hint("rebalance", BUCKET).sortWithinPartitions(BUCKET, by).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path))
+
+
 def write_manifest(df: DataFrame, path: str) -> None:
     """File names without header, replacing what is there.
 

@@ -7,7 +7,7 @@ import pytest
 
 from reviewloom.plans.job import follow_pending_files, index_ready_files, ingest_pages
 from reviewloom.operators.workset import cap_pages
-from reviewloom.sources.files import read_manifest
+from reviewloom.sources.files import read_manifest, read_reviews
 from reviewloom.sources.ratings import page_size
 from reviewloom.streaming.arrivals import (await_decided, file_stream, last_status, review_stream,
                                            stream_distinct_reviews, stream_late_reviews, stream_reviews,
@@ -168,6 +168,19 @@ def test_the_job_over_a_landed_table(spark, tmp_path):
                    ("comment_index_77", "q", 4.0, TEN)}
 
 
+def test_many_products_share_folders_and_are_replaced_alone(spark, tmp_path):
+    landed, listed = str(tmp_path / "landed"), str(tmp_path / "list")
+
+    def ingest(ids, comment):
+        rows = [(0, page([(i, 1, 5, f"{comment} {i}", "p")])) for i in ids]
+        ingest_pages(spark.createDataFrame(rows, "page_no int, page string"), "page", landed, listed, ["page_no"])
+        return {r.source_file: r.comment for r in read_reviews(spark, landed, fmt="parquet").collect()}
+    assert ingest(range(200), "old") == {f"{i}_1.csv": f"old {i}" for i in range(200)}
+    assert len([f for f in os.listdir(landed) if "=" in f]) <= 64
+    now = ingest(range(100, 210), "new")
+    assert now == {f"{i}_1.csv": f"{'old' if i < 100 else 'new'} {i}" for i in range(210)}
+
+
 def page(ratings):
     return json.dumps({"data": {"ratings": [
         {"itemid": i, "shopid": s, "rating_star": r, "comment": c, "product_items": [{"name": n}]}
