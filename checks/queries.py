@@ -757,8 +757,9 @@ def mark_keywords(spark, sf):
 # --- arrival ---
 
 def _document_stream(spark: SparkSession, sf: str) -> DataFrame:
-    docs = (spark.readStream.schema(table(spark, sf, "documents").schema)
-                 .option("pathGlobFilter", "documents.parquet").parquet(sf))
+    # one file or a folder of part files; as a pattern, since the stream takes a plain path for a folder
+    docs = spark.readStream.schema(table(spark, sf, "documents").schema).parquet(
+        f"{sf.rstrip('/')}/documents.{{parquet}}")
     return v.dirty(v.reviews_of(docs)).withColumn("source_file", F.concat("scope", F.lit(".csv")))
 
 

@@ -5,6 +5,7 @@ from datetime import datetime
 
 import pytest
 
+from checks import queries
 from reviewloom.plans.job import follow_pending_files, index_ready_files, ingest_pages
 from reviewloom.operators.workset import cap_pages
 from reviewloom.sources.files import read_manifest, read_reviews
@@ -320,3 +321,22 @@ def test_copies_in_two_batches_and_a_restart_leave_one(spark, tmp_path):
         stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(waves)
         stream_distinct_reviews(stream, sink, progress, "seen", "10 days", available_now=True).awaitTermination()
     assert sorted((r.file, r.comments) for r in spark.read.parquet(sink).collect()) == [("a", TEN), ("b", TEN + " x")]
+
+
+def documents(spark, folder, parts):
+    """A table of ten-word sentences in two languages, as ``parts`` files below ``documents.parquet``."""
+    rows = [(i, "en" if i % 2 else "vi", "p", f"{TEN.replace('chín', 'x' * (i % 5 + 1))}.{TEN}") for i in range(80)]
+    spark.createDataFrame(rows, "doc_id long, lang string, source string, text string").repartition(
+        parts).write.parquet(f"{folder}/documents.parquet")
+
+
+@pytest.mark.parametrize("name", ["stream_reviews", "stream_late_reviews"])
+def test_documents_stream_from_a_folder_of_parts_as_from_one_file(spark, tmp_path, name):
+    documents(spark, tmp_path / "parts", 3)
+    whole = tmp_path / "whole"
+    whole.mkdir()
+    staged = tmp_path / "staged"
+    spark.read.parquet(str(tmp_path / "parts/documents.parquet")).coalesce(1).write.parquet(str(staged))
+    os.rename(next(staged.glob("part-*.parquet")), whole / "documents.parquet")
+    got = [sorted(map(str, queries.QUERIES[name](spark, str(tmp_path / d)).collect())) for d in ("parts", "whole")]
+    assert got[0] == got[1] and got[0]
