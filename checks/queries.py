@@ -961,10 +961,13 @@ def stream_distinct_reviews(spark, sf):
     waves, sink, progress = (fresh_path(spark, n) for n in ("reviews", "distinct", "progress"))
     rows = land(v.reviews_raw(spark, sf), "reviews")
     for run in range(2):
+        # each wave has as many files as the input has parts, and is a batch
+        written = []
         for wave in range(2):
-            rows.filter(F.pmod(F.xxhash64("row_id"), F.lit(4)) == 2 * run + wave).coalesce(1).write.mode(
-                "append").parquet(waves)
-        stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(waves)
+            rows.filter(F.pmod(F.xxhash64("row_id"), F.lit(4)) == 2 * run + wave).write.mode("append").parquet(waves)
+            written.append(len(spark.read.schema(rows.schema).parquet(waves).inputFiles()))
+        stream = spark.readStream.schema(rows.schema).option(
+            "maxFilesPerTrigger", written[1] - written[0]).parquet(waves)
         seen = stream.select("scope", "name", "comment", "rating_star",
                              F.col("_metadata.file_modification_time").alias("seen"))
         arrivals.stream_distinct_reviews(seen, sink, progress, "seen", "30 days", scope=SCOPE,

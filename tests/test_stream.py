@@ -340,3 +340,14 @@ def test_documents_stream_from_a_folder_of_parts_as_from_one_file(spark, tmp_pat
     os.rename(next(staged.glob("part-*.parquet")), whole / "documents.parquet")
     got = [sorted(map(str, queries.QUERIES[name](spark, str(tmp_path / d)).collect())) for d in ("parts", "whole")]
     assert got[0] == got[1] and got[0]
+
+
+def test_no_task_writes_or_reads_a_whole_wave(spark, tmp_path, monkeypatch):
+    documents(spark, tmp_path, 4)
+    paths = {}
+    monkeypatch.setattr(queries, "fresh_path", lambda _, n: paths.setdefault(n, str(tmp_path / n)))
+    monkeypatch.setattr(queries, "land", lambda df, _: df.repartition(4))
+    rows = queries.QUERIES["stream_distinct_reviews"](spark, str(tmp_path)).collect()
+    assert len(set(rows)) == len(rows) == 12
+    assert len([f for f in os.listdir(paths["reviews"]) if f.startswith("part-")]) > 4  # of four waves
+    assert len([f for f in os.listdir(paths["distinct"]) if f.startswith("batch_id=")]) >= 4
