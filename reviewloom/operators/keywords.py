@@ -1,125 +1,60 @@
 """Keyword lists of any length: which texts hold any of many phrases, and which ones.
 
 A pattern of all keywords is tried at every place of every text, so its cost grows with the list. Here the list is
-indexed: each keyword is filed under its rarest gram, a short run of bytes, as the texts have it, and a text meets only
-the keywords that are filed under one of its own grams. ``contains`` then decides.
-
-Grams are numbers below 2**24, so that a set of them is a map of 2 MB at most. Different runs may share a number, which
-only lets more keywords meet a text. A text's grams are looked up in such a map where it is read; only those found
-there become rows.
+indexed: each keyword is filed under its rarest trigram, as the texts have it, and a text meets only the keywords
+that are filed under one of its own trigrams. ``contains`` then decides.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Sequence
 from functools import reduce
 
-import numpy as np
-import pyarrow as pa
-from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewloom.operators.skew import spread_join
-from reviewloom.session import land, ship_package
+from reviewloom.session import land
 
-GRAM = 4
-_BITS = 24
-#: Bytes of text that are looked at together, and bytes of a piece of Spark's bitmaps.
-_WINDOW, _PIECE = 1 << 20, 4096
+GRAM = 3
 #: An index of so many bytes of text is broadcast; a larger one is joined.
 BROADCAST_BYTES = 32_000_000
 
 
-def _numbers(data: np.ndarray, size: int) -> np.ndarray:
-    """The gram of the ``size`` bytes from each place on."""
-    n = max(data.size - size + 1, 0)
-    code = np.full(n, size, np.uint32)
-    for k in range(size):
-        code = (code * np.uint32(16777619)) ^ data[k:k + n]
-    code = (code ^ (code >> np.uint32(15))) * np.uint32(0x9E3779B1)
-    return code >> np.uint32(32 - _BITS)
-
-
-def _grams(texts: pa.Array, sizes: Sequence[int], among: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-    """Row and gram, each pair once, of the runs of ``sizes`` bytes in binary texts; ``among`` marks the wanted grams."""
-    texts = texts.cast(pa.large_binary()).fill_null(b"")
-    ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
-    if not len(texts) or ends[0] == ends[-1]:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    data = np.frombuffer(texts.buffers()[2], np.uint8)[ends[0]:ends[-1]]
-    ends = ends - ends[0]
-    found = []
-    for start in range(0, data.size, _WINDOW):
-        seen = slice(np.searchsorted(ends, start, side="right") - 1, min(np.searchsorted(ends, start + _WINDOW), len(texts)))
-        lengths = np.diff(np.clip(ends[seen.start:seen.stop + 1], start, start + _WINDOW))
-        owner = np.repeat(np.arange(seen.start, seen.stop), lengths)
-        for size in sizes:
-            codes = _numbers(data[start:start + _WINDOW + size - 1], size)
-            at = np.arange(codes.size) if among is None else np.flatnonzero(among[codes])
-            row = owner[at]
-            inside = at + start + size <= ends[row + 1]  # a run ends in the text it begins in
-            found.append(np.unique((row[inside] << _BITS) | codes[at[inside]].astype(np.int64)))
-    pairs = found[0] if len(found) == 1 else np.unique(np.concatenate(found))
-    return pairs >> _BITS, pairs & ((1 << _BITS) - 1)
-
-
-def _marks(among: Broadcast | None) -> np.ndarray | None:
-    return None if among is None else np.unpackbits(among.value, bitorder="little").view(bool)
-
-
-def _grams_of(text: Column, sizes: Sequence[int], among: Broadcast | None = None) -> Column:
-    """The distinct grams of a text, in order, of those ``among`` marks."""
-    @F.arrow_udf("array<int>")
-    def grams(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        marks = _marks(among)
-        for texts in batches:
-            row, gram = _grams(texts, sizes, marks)
-            ends = np.searchsorted(row, np.arange(len(texts) + 1)).astype(np.int32)
-            yield pa.ListArray.from_arrays(pa.array(ends), pa.array(gram.astype(np.int32)))
-
-    return grams(text.cast("binary"))
-
-
-def _counter(sizes: Sequence[int], among: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks = _marks(among)
-        for batch in batches:
-            gram, n = np.unique(_grams(batch.column(0), sizes, marks)[1], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(gram.astype(np.int32)), pa.array(n)], ["gram", "n_texts"])
-    return count
-
-
-def _marked(grams: DataFrame) -> Broadcast:
-    """A map of the grams in column ``gram``; Spark sets the bits, the driver puts its 2 MB together."""
-    place = F.col("gram") + 1  # the bitmap functions count from 1
-    pieces = grams.groupBy(F.bitmap_bucket_number(place).alias("at")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
-    whole = np.zeros((1 << _BITS) // 8, np.uint8)
-    for at, bits in pieces.toLocalIterator():
-        whole[(at - 1) * _PIECE:at * _PIECE] = np.frombuffer(bits, np.uint8)
-    return grams.sparkSession.sparkContext.broadcast(whole)
+def grams(text: Column, sizes: Sequence[int]) -> Column:
+    """Distinct runs of ``sizes`` characters, in one pass over the text for each size; none where it is shorter.
+
+    Beside characters outside the basic plane there are runs that begin inside one; a keyword and the texts
+    that hold it have the same.
+    """
+    runs = [F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{s}}}))"), F.lit(1)) for s in sizes]
+    return F.array_distinct(F.concat(*runs))
+
+
+def _among(placed: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows whose gram is wanted; grams of up to ``BROADCAST_BYTES`` in all meet the rows where these are made."""
+    bytes_ = wanted.agg(F.sum(F.octet_length("gram"))).first()[0] or 0
+    return placed.join(F.broadcast(wanted) if bytes_ <= BROADCAST_BYTES else wanted, "gram", "left_semi")
 
 
 def index_keywords(keywords: DataFrame, texts: DataFrame, keyword: str = "keyword",
                    text: str = "comment") -> tuple[DataFrame, list[int]]:
-    """``gram, keyword``: each keyword, in lower case and once, under that of its grams which the fewest texts hold.
+    """``gram, keyword``: each keyword, in lower case and once, under that of its trigrams which the fewest texts hold.
 
-    A keyword of less than ``GRAM`` bytes is its own gram; the second result lists the sizes of all grams. Keywords
+    A keyword of one or two characters is its own gram; the second result lists the sizes of all grams. Keywords
     with a gram that no text holds can match nothing and are left out, as are null and empty ones. Landed.
     """
-    ship_package(texts.sparkSession)
     asked = land(keywords.select(F.lower(keyword).alias("keyword")).filter("keyword <> ''").distinct(), "keywords")
-    size = F.least(F.octet_length("keyword"), F.lit(GRAM))
-    sizes = sorted(r[0] for r in asked.select(size.alias("s")).distinct().collect())  # four numbers at most
+    size = F.least(F.length("keyword"), F.lit(GRAM))
+    sizes = sorted(r[0] for r in asked.select(size.alias("s")).distinct().collect())  # three numbers at most
     if not sizes:
-        return asked.select(F.lit(0).alias("gram"), "keyword"), []
-    filed = land(reduce(DataFrame.union, [asked.filter(size == s).select(
-        "keyword", F.explode(_grams_of(F.col("keyword"), [s])).alias("gram")) for s in sizes]), "grams")
+        return asked.select(F.lit("").alias("gram"), "keyword"), []
+    filed = asked.select("keyword", F.explode(reduce(lambda found, s: F.when(size == s, grams(
+        F.col("keyword"), [s])).otherwise(found), sizes, F.array().cast("array<string>"))).alias("gram"))
     # only grams of keywords are counted, however many others the texts have
-    met = texts.select(F.lower(text).cast("binary").alias("low")).mapInArrow(
-        _counter(sizes, _marked(filed)), "gram int, n_texts bigint")
-    counts = met.groupBy("gram").agg(F.sum("n_texts").alias("n_texts"))
+    wanted = land(filed.select("gram").distinct(), "grams")
+    met = _among(texts.select(F.explode(grams(F.lower(text), sizes)).alias("gram")), wanted)
+    counts = met.groupBy("gram").agg(F.count(F.lit(1)).alias("n_texts"))
     least = filed.join(counts, "gram", "left").groupBy("keyword").agg(
         F.min(F.struct(F.coalesce("n_texts", F.lit(0)).alias("n_texts"), "gram")).alias("best"))
     found = least.filter("best.n_texts > 0").select("best.gram", "keyword")
@@ -137,12 +72,14 @@ def keyword_hits(texts: DataFrame, keywords: DataFrame, keys: Sequence[str], key
     if not sizes:
         return texts.select(*keys, F.lit("").alias("keyword")).filter(F.lit(False))
     low = texts.select(*keys, F.lower(text).alias("__low"))
-    bytes_ = index.agg(F.sum(F.octet_length("keyword") + 4)).first()[0] or 0
-    placed = low.select("*", F.explode(_grams_of(F.col("__low"), sizes, _marked(index))).alias("gram"))
+    bytes_ = index.agg(F.sum(F.octet_length("gram") + F.octet_length("keyword"))).first()[0] or 0
+    placed = low.select("*", F.explode(grams(F.col("__low"), sizes)).alias("gram"))
     if bytes_ <= broadcast_bytes:
         met = placed.join(F.broadcast(index), "gram")
     else:
-        pairs = placed.select(*keys, "gram").join(index, "gram").select(*keys, "keyword")
+        # of a text's grams few are in the index, and only these are shuffled
+        here = _among(placed.select(*keys, "gram"), index.select("gram").distinct())
+        pairs = here.join(index, "gram").select(*keys, "keyword")
         met = pairs.join(low, list(keys))
     return met.filter(F.contains("__low", "keyword")).select(*keys, "keyword")
 
