@@ -6,6 +6,9 @@ Lines, and blocks between blank lines, are paragraphs too. Near-equal ones meet
 shingles of five words; every two that collide are compared exactly, and classes that are similar enough
 make clusters. Of each cluster the first occurrence stays; the others are extended, word by word, as far
 as they go on like it.
+
+Most paragraphs occur once. So a first pass sends only half of each hash, to find those that may repeat; a second one
+keeps the paragraphs whose class or band key is among them, and only these are written and shuffled.
 """
 
 from __future__ import annotations
@@ -15,9 +18,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from reviewloom.llm import bitfilter
 from reviewloom.llm.columns import column
 from reviewloom.llm.components import connected_components, join_groups, split_large
 from reviewloom.llm.words import hashed_words
@@ -39,6 +44,8 @@ MIN_WORDS = 15
 BUCKET = 2048
 #: Up to so many sets are compared one by one.
 _FEW = 24
+#: Hashes are counted in this many parts, by their highest bits, and sent as their lowest 32.
+_PART_BITS = 11
 _HIGHEST = np.uint64(2**64 - 1)
 
 
@@ -102,13 +109,13 @@ def blocks(ends: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 def paragraphs(words: np.ndarray, bounds: np.ndarray, ends: np.ndarray, first: np.ndarray,
-               bands: int) -> tuple:
+               bands: int, cuts: np.ndarray | None = None) -> tuple:
     """Starts, sizes, hashes and band keys of all paragraphs of at least five words: what lies between
-    two cuts, each line, and each block between blank lines.
+    two ``cut_places``, each line, and each block between blank lines.
 
     What lies between cuts has keys of its own: a line would always collide with a part of itself.
     """
-    cuts = cut_places(words, bounds)
+    cuts = cut_places(words, bounds) if cuts is None else cuts
     block_starts, block_stops = blocks(ends, first)
     # a text's last paragraph ends with it
     parts = np.stack([cuts, np.append(cuts[1:], words.size)[:cuts.size]])
@@ -141,10 +148,10 @@ def span_hashes(words: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.
     return _mix((sums[stops] - sums[starts]) * inverse[starts] + (stops - starts).astype(np.uint64), 7)
 
 
-def seeds(words: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+def seeds(words: np.ndarray, bounds: np.ndarray, cuts: np.ndarray | None = None) -> np.ndarray:
     """Starts of runs of ``SEED_WORDS`` words in long paragraphs, chosen by the words around them: each
     has the lowest hash of some ``LONG - SEED_WORDS + 1`` neighbouring runs."""
-    cuts = cut_places(words, bounds)
+    cuts = cut_places(words, bounds) if cuts is None else cuts
     sizes = np.diff(np.append(cuts, words.size))
     runs = np.where(sizes >= LONG, sizes - SEED_WORDS + 1, 0)
     owner = np.repeat(np.arange(cuts.size), runs)
@@ -163,25 +170,106 @@ def seeds(words: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return at[reach >= window]
 
 
-def _cut(bands: int):
-    """From (id, key, text), one row per paragraph and, without band keys, per seed."""
+def _pieces(texts: pa.Array, bands: int) -> tuple:
+    """Where texts begin; places, sizes and classes of their paragraphs, then of their seeds; and the paragraphs'
+    band keys."""
+    words, bounds, ends, first = words_by_line([t.as_py() for t in texts.cast(pa.large_binary())])
+    cuts = cut_places(words, bounds)
+    starts, sizes, hashes, keys = paragraphs(words, bounds, ends, first, bands, cuts)
+    more = seeds(words, bounds, cuts)
+    starts = np.concatenate([starts, more])
+    sizes = np.concatenate([sizes, np.full(more.size, SEED_WORDS, sizes.dtype)])
+    hashes = np.concatenate([hashes, span_hashes(words, more, more + SEED_WORDS)])
+    return bounds, starts, sizes, hashes, keys
+
+
+def _short(hashes: np.ndarray) -> np.ndarray:
+    """What is counted of hashes: their part, and 32 bits within it."""
+    spread = bitfilter.spread_bits(hashes)
+    return (spread >> np.uint64(64 - _PART_BITS) << np.uint64(32)) | (spread & np.uint64(2**32 - 1))
+
+
+def _once_or_twice(values: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """Each value: once, or twice if it has several owners."""
+    order = np.lexsort((owner, values))
+    values, owner = values[order], owner[order]
+    fresh = np.ones(values.size, bool)
+    fresh[1:] = (values[1:] != values[:-1]) | (owner[1:] != owner[:-1])
+    values = values[fresh]
+    few = np.ones(values.size, bool)
+    few[2:] = values[2:] != values[:-2]
+    return values[few]
+
+
+def _count(bands: int):
+    """From (text), the short hashes of classes, by text, and of band keys, by class; packed by their part."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bounds, starts, _, classes, keys = _pieces(batch.column(0), bands)
+            owner = np.searchsorted(bounds, starts, side="right") - 1
+            short = np.sort(_short(np.concatenate([_once_or_twice(classes, owner), *[
+                _once_or_twice(k, classes[:k.size]) for k in keys]])))
+            parts, first = np.unique(short >> np.uint64(32), return_index=True)
+            low = short.astype(np.uint32)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(parts.astype(np.int32)), pa.array(
+                    [x.tobytes() for x in np.split(low, first[1:])] if first.size else [], pa.binary())],
+                ["part", "hashes"])
+    return count
+
+
+def _several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From packed hashes sorted by part, those that came more than once."""
+    now, held = None, []
+
+    def found() -> pa.RecordBatch:
+        low = np.sort(np.frombuffer(b"".join(held), np.uint32))
+        again = np.unique(low[1:][low[1:] == low[:-1]]).astype(np.uint64)
+        known = bitfilter.spread_bits(np.uint64((now or 0) << 32) | again)
+        return pa.RecordBatch.from_arrays([pa.array(known.view(np.int64))], ["hash"])
+
+    for batch in batches:
+        for part, hashes in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            if part != now:
+                yield found()
+                now, held = part, []
+            held.append(hashes)
+    yield found()
+
+
+def repeated_hashes(texts: DataFrame, bands: int) -> Broadcast:
+    """Bits of the hashes that may repeat: of classes in several texts, of band keys with several classes."""
+    packed = texts.mapInArrow(_count(bands), "part int, hashes binary")
+    return bitfilter.build(land(packed.repartition("part").sortWithinPartitions("part")
+                                .mapInArrow(_several, "hash bigint"), "repeated"), "hash")
+
+
+def _cut(bands: int, known: Broadcast | None = None):
+    """From (id, key, text), one row per paragraph and, without band keys, per seed.
+
+    Of ``known`` hashes: the rows of a text's classes that are among them or have a band key there; other keys are null.
+    """
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words, bounds, ends, first = words_by_line(
-                [t.as_py() for t in batch.column(2).cast(pa.large_binary())])
-            starts, sizes, hashes, keys = paragraphs(words, bounds, ends, first, bands)
-            more = seeds(words, bounds)
-            plain = np.arange(starts.size + more.size) >= starts.size
-            starts = np.concatenate([starts, more])
-            sizes = np.concatenate([sizes, np.full(more.size, SEED_WORDS, sizes.dtype)])
-            hashes = np.concatenate([hashes, span_hashes(words, more, more + SEED_WORDS)])
-            keys = np.concatenate([keys, np.zeros((bands, more.size), np.uint64)], axis=1)
+            bounds, starts, sizes, hashes, keys = _pieces(batch.column(2), bands)
+            more = starts.size - keys.shape[1]
+            keys = np.concatenate([keys, np.zeros((bands, more), np.uint64)], axis=1)
+            hit = np.ones(keys.shape, bool)
+            hit[:, starts.size - more:] = False
+            if known is not None:
+                of = keys.shape[1] - more
+                for k in range(bands):
+                    hit[k, :of] = bitfilter.may_contain(known.value, bitfilter.spread_bits(_short(keys[k, :of])))
+                kept = hit.any(axis=0) | bitfilter.may_contain(known.value, bitfilter.spread_bits(_short(hashes)))
+                # a class stays with all its places, whichever of them has the key
+                kept = np.isin(hashes, np.unique(hashes[kept]))
+                starts, sizes, hashes, keys, hit = starts[kept], sizes[kept], hashes[kept], keys[:, kept], hit[:, kept]
             owner = np.searchsorted(bounds, starts, side="right") - 1
             rows = pa.array(owner)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(rows), batch.column(1).take(rows),
                  pa.array((starts - bounds[owner]).astype(np.int32)), pa.array(sizes.astype(np.int32)),
-                 pa.array(hashes.view(np.int64)), *[pa.array(k.view(np.int64), mask=plain) for k in keys]],
+                 pa.array(hashes.view(np.int64)), *[pa.array(k.view(np.int64), mask=~h) for k, h in zip(keys, hit)]],
                 ["doc_id", "key", "at", "n", "class", *[f"band{k}" for k in range(bands)]])
     return cut
 
@@ -216,21 +304,42 @@ def _colliding(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield several(bucket, item)
 
 
-def _shingles_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From (text, wanted classes), the distinct shingles of those classes' paragraphs."""
+def _marks(key: np.ndarray, item: np.ndarray) -> np.ndarray:
+    """Hash of a class within the text of a key."""
+    return bitfilter.spread_bits(key.view(np.uint64) ^ bitfilter.spread_bits(item.view(np.uint64)))
+
+
+def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From (key, class), their marks and those of the texts."""
     for batch in batches:
-        words, bounds, ends, lines = words_by_line(
-            [t.as_py() for t in batch.column(0).cast(pa.large_binary())])
-        starts, sizes, hashes, _ = paragraphs(words, bounds, ends, lines, 0)
-        hashes = hashes.view(np.int64)
-        # a class asked of one text may stand in another one of the batch too: all its sets are equal
-        asked, first = np.unique(hashes, return_index=True)
-        first = first[np.isin(asked, np.asarray(batch.column(1).flatten()))]
-        each = shingles(words).view(np.int64)
-        sets = [np.unique(each[s:s + n - SHINGLE_WORDS + 1])
-                for s, n in zip(starts[first].tolist(), sizes[first].tolist())]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(hashes[first]), pa.array(sets, pa.list_(pa.int64()))], ["class", "shingles"])
+        key = batch.column(0).to_numpy()
+        marks = np.concatenate([_marks(key, batch.column(1).to_numpy()),
+                                bitfilter.spread_bits(np.unique(key).view(np.uint64))])
+        yield pa.RecordBatch.from_arrays([pa.array(marks.view(np.int64))], ["hash"])
+
+
+def _shingles_of(wanted: Broadcast):
+    """From (key, text), the distinct shingles of the paragraphs whose class is wanted of this text; their sets are
+    equal wherever a class stands."""
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            asked = bitfilter.may_contain(
+                wanted.value, bitfilter.spread_bits(batch.column(0).to_numpy().view(np.uint64)))
+            batch = batch.filter(pa.array(asked))
+            words, bounds, ends, lines = words_by_line(
+                [t.as_py() for t in batch.column(1).cast(pa.large_binary())])
+            starts, sizes, hashes, _ = paragraphs(words, bounds, ends, lines, 0)
+            owner = np.searchsorted(bounds, starts, side="right") - 1
+            here = np.flatnonzero(bitfilter.may_contain(
+                wanted.value, _marks(batch.column(0).to_numpy()[owner], hashes)))
+            first = here[np.unique(hashes[here], return_index=True)[1]]
+            hashes = hashes.view(np.int64)
+            each = shingles(words).view(np.int64)
+            sets = [np.unique(each[s:s + n - SHINGLE_WORDS + 1])
+                    for s, n in zip(starts[first].tolist(), sizes[first].tolist())]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(hashes[first]), pa.array(sets, pa.list_(pa.int64()))], ["class", "shingles"])
+    return cut
 
 
 def _few_groups(sets: list[set[int]], similarity: float) -> list[int]:
@@ -375,34 +484,36 @@ def extended_spans(docs: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def paragraph_table(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
-                    bands: int = 0) -> DataFrame:
+                    bands: int = 0, known: Broadcast | None = None) -> DataFrame:
     """``doc_id, key, at, n, class`` and band keys: one row per paragraph of five words and more. Seeds
     are rows without band keys.
 
-    ``key`` tells rows with the same id apart by their text; ``at`` counts words from 0.
+    ``key`` tells rows with the same id apart by their text; ``at`` counts words from 0. With ``known``, the bits of
+    ``repeated_hashes``, paragraphs and seeds that surely have nothing in common with others are left out.
     """
     number, words = column(doc_id), F.coalesce(column(text), F.lit(""))
     kind = docs.schema[doc_id].dataType.simpleString()
     columns = "".join(f", band{k} bigint" for k in range(bands))
     return docs.select(number.alias("doc_id"), F.xxhash64(number, words).alias("key"),
                        words.alias("text")).mapInArrow(
-        _cut(bands), f"doc_id {kind}, key bigint, at int, n int, class bigint{columns}")
+        _cut(bands, known), f"doc_id {kind}, key bigint, at int, n int, class bigint{columns}")
 
 
 def similar_classes(docs: DataFrame, table: DataFrame, bands: int, similarity: float = SIMILARITY,
                     bucket_size: int = BUCKET) -> DataFrame:
     """``class, root`` for the classes that are similar to another one; equal texts are one class."""
-    table = table.filter("band0 is not null")
-    keys = F.array(*[F.col(f"band{k}") for k in range(bands)])
-    met = land(table.select(F.explode(keys).alias("bucket"), "class").repartition("bucket")
-               .sortWithinPartitions("bucket", "class")
+    keys = [F.col(f"band{k}") for k in range(bands)]
+    table = table.filter(F.coalesce(*keys).isNotNull())
+    met = land(table.select(F.explode(F.array(*keys)).alias("bucket"), "class").filter("bucket is not null")
+               .repartition("bucket").sortWithinPartitions("bucket", "class")
                .mapInArrow(_colliding, "bucket bigint, class bigint"), "colliding")
-    wanted = met.select("class").distinct().join(
-        table.select("class", "doc_id"), "class").groupBy("class").agg(F.min("doc_id").alias("doc_id"))
-    per_doc = wanted.groupBy("doc_id").agg(F.collect_list("class").alias("classes"))  # within one text
-    texts = docs.join(per_doc, docs["doc_id"].eqNullSafe(per_doc["doc_id"])).select(
-        F.coalesce("text", F.lit("")).alias("text"), "classes")
-    sets = texts.mapInArrow(_shingles_of, "class bigint, shingles array<bigint>")
+    # of each class the paragraph of one text; no text is shuffled for it
+    first = table.select("class", "key").groupBy("class").agg(F.min("key").alias("key"))
+    wanted = bitfilter.build(land(met.select("class").distinct().join(first, "class").select("key", "class")
+                                  .mapInArrow(_asked, "hash bigint"), "asked"), "hash")
+    words = F.coalesce("text", F.lit(""))
+    sets = docs.select(F.xxhash64("doc_id", words).alias("key"), words.alias("text")).mapInArrow(
+        _shingles_of(wanted), "class bigint, shingles array<bigint>")
     sets = land(sets.groupBy("class").agg(F.min("shingles").alias("shingles")), "shingles")
     dealt = split_large(met, "bucket", "class", bucket_size)
     links = (dealt.join(sets, "class").select("bucket", "class", "shingles").repartition("bucket")
@@ -423,7 +534,8 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     """
     bands = bands_for(similarity, recall)
     docs = docs.select(column(doc_id).alias("doc_id"), column(text).alias("text"))
-    table = land(paragraph_table(docs, bands=bands), "paragraphs")
+    known = repeated_hashes(docs.select(F.coalesce("text", F.lit("")).alias("text")), bands)
+    table = land(paragraph_table(docs, bands=bands, known=known), "paragraphs")
     similar = land(similar_classes(docs, table, bands, similarity), "similar")
     classes = table.groupBy("class").agg(
         F.min(F.struct("doc_id", "at", "key", "n")).alias("first"), F.min("doc_id").alias("low"),

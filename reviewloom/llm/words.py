@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import itertools
-from collections import defaultdict
+from collections.abc import Iterator
 
 import numpy as np
 import xxhash
@@ -19,12 +19,12 @@ def words_of(text: bytes | None) -> list[bytes]:
 
 def hashed_words(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of all texts' words, one after the other, and where each text's begin."""
-    number: defaultdict[bytes, int] = defaultdict(itertools.count().__next__)
-    codes, bounds = [np.zeros(0, np.int64)], np.zeros(len(texts) + 1, np.int64)
-    for i, text in enumerate(texts, 1):
-        words = words_of(text)
-        if words:
-            codes.append(np.fromiter(map(number.__getitem__, words), np.int64, len(words)))
-        bounds[i] = bounds[i - 1] + len(words)
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, number), np.uint64, len(number))
-    return hashes[np.concatenate(codes)] if hashes.size else np.zeros(0, np.uint64), bounds
+    bounds = np.zeros(len(texts) + 1, np.int64)
+
+    def each() -> Iterator[list[bytes]]:
+        for i, text in enumerate(texts, 1):
+            words = words_of(text)
+            bounds[i] = bounds[i - 1] + len(words)
+            yield words
+    words = itertools.chain.from_iterable(each())
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64), bounds

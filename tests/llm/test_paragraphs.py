@@ -179,3 +179,24 @@ def test_every_51_words_hold_a_paragraph_or_a_seed():
             units = [*zip(cuts[:-1].tolist(), cuts[1:].tolist()), *((a, a + p.SEED_WORDS) for a in more.tolist())]
             found.append({(a - 30, b - 30) for a, b in units if a >= 30 and b <= 81})
         assert found[0] & found[1]
+
+
+def test_what_occurs_once_is_neither_written_nor_shuffled(spark, documents, world):
+    texts, clean = world
+    rows = [*texts.items(), *clean.items(), (3000, clean[1000]), (3000, clean[1000]), (None, clean[1001])]
+    docs = documents(rows).select("doc_id", "text")
+    known = p.repeated_hashes(docs.select("text"), 2)
+    whole, kept = p.paragraph_table(docs, bands=2), p.paragraph_table(docs, bands=2, known=known)
+    assert kept.filter(F.col("doc_id").between(1002, 2000)).isEmpty(), "clean texts have nothing in common"
+    assert kept.count() < 0.7 * whole.count()
+    columns = ["doc_id", "key", "at", "n", "class"]
+    assert kept.select(columns).exceptAll(whole.select(columns)).isEmpty()
+    several = whole.groupBy("class").agg(F.countDistinct("key").alias("n")).filter("n > 1").select("class")
+    keys = F.explode(F.array("band0", "band1"))
+    met = whole.select(keys.alias("bucket"), "class").filter("bucket is not null")
+    buckets = met.groupBy("bucket").agg(F.countDistinct("class").alias("n")).filter("n > 1").select("bucket")
+    needed = several.union(met.join(buckets, "bucket").select("class")).distinct()
+    lost = whole.join(needed, "class").select(columns).exceptAll(kept.select(columns))
+    assert lost.isEmpty(), "every place of a class that repeats or collides stays"
+    kept_met = kept.select(keys.alias("bucket"), "class").join(buckets, "bucket").distinct()
+    assert kept_met.count() == met.join(buckets, "bucket").distinct().count()
