@@ -835,7 +835,10 @@ def index_ready_files(spark, sf):
 
 
 def _csv_landing(spark: SparkSession, sf: str) -> str:
-    """A folder of CSVs, one per language, each with its own order of columns; the last file lacks one."""
+    """A folder of CSVs, one per language, each with its own order of columns; the last file lacks one.
+
+    Each is in parts, written by as many tasks as read the table.
+    """
     folder, orders = fresh_path(spark, "landing"), [
         ("rating_star", "comment", "name"), ("name", "rating_star", "comment"), ("row_id", "comment", "name", "rating_star")]
     rows = land(v.reviews_raw(spark, sf).withColumn("comment", text.flatten_lines("comment")), "reviews")
@@ -844,12 +847,12 @@ def _csv_landing(spark: SparkSession, sf: str) -> str:
                for i, lang in enumerate(languages)]
     for name, file in [*written, ("broken.csv", rows.select("comment", "name"))]:
         staged = f"{folder}-staged"
-        file.coalesce(1).write.mode("overwrite").options(header=True, **sinks._CSV_OUT).csv(staged)
-        # into the folder under its own name, as a crawler would move it there
+        file.write.mode("overwrite").options(header=True, **sinks._CSV_OUT).csv(staged)
+        # into the folder under its own name and as a whole, as a crawler would move it there
         path = spark._jvm.org.apache.hadoop.fs.Path
         fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
         fs.mkdirs(path(folder))
-        fs.rename(fs.globStatus(path(f"{staged}/part-*.csv"))[0].getPath(), path(f"{folder}/{name}"))
+        fs.rename(path(staged), path(f"{folder}/{name}"))
     return folder
 
 

@@ -23,10 +23,14 @@ RAW_REVIEW = T.StructType([
 CSV = {"escape": '"', "quote": '"'}
 #: With a header that must agree with the columns asked for: no value is ever taken for another one.
 WITH_HEADER = {**CSV, "header": True, "enforceSchema": False}
+#: What lies in a landing folder itself or in its partitions, and the first part of a file in parts.
+_PLAIN, _FIRST_PART = "^([^/=]+=[^/]*/)*[^/]+$", r"^([^/]+\.csv)/part-0+(?:-[^/]*-c0+)?\.[^/]+$"
 #: So many file names may stand in a filter; beyond that the wanted files are joined as a table.
 NAMES_IN_FILTER = 10_000
 
 _ENCODED = "_metadata.file_name"
+#: Tells parts of the same name in different folders apart.
+_PLACE = "_metadata.file_path"
 
 
 def read_reviews(spark: SparkSession, paths: str | Sequence[str],
@@ -74,32 +78,39 @@ def read_by_header(spark: SparkSession, paths: Sequence[str],
 
     The first table is as ``read_reviews`` gives it with ``mixed_headers``. The second holds ``source_file`` and
     ``reason`` of the files that have no header or lack a column; none of their rows is in the first.
+
+    A path that ends with a slash is a file in parts, a folder with its name: each part has a header, and the file
+    lacks what any part lacks. Its rows are read in as many tasks as any others.
     """
     names, exact = schema.names, [re.sub(r"([\\\[\]{}*?])", r"\\\1", p) for p in paths]
-    order = _header_places(spark, exact, names, None)
+    order = _header_places(spark, exact, names, None, _PLACE)
+    parted = [p.rstrip("/").rpartition("/")[2] for p in paths if p.endswith("/")]
+    folder = file_name(F.regexp_extract("encoded", "([^/]*)/[^/]*$", 1))
+    of_file = F.when(folder.isin(parted), folder).otherwise(file_name(F.regexp_extract("encoded", "[^/]*$", 0)))
     absent = F.concat_ws(", ", *[F.when(F.get("places", F.lit(i)) == 0, n) for i, n in enumerate(names)])
-    found = order.select("encoded", "places", absent.alias("absent"))
-    known = found.select(file_name("encoded").alias("source_file"), F.when(
+    found = order.select("encoded", "places", of_file.alias("source_file"), absent.alias("absent"))
+    known = found.groupBy("source_file").agg(F.max("absent").alias("absent")).select("source_file", F.when(
         F.col("absent") != "", F.concat(F.lit("no column "), "absent")).otherwise("").alias("reason"))
-    asked = spark.createDataFrame([(p,) for p in paths], "path string").select(
-        F.regexp_extract("path", "[^/]*$", 0).alias("source_file"))
+    asked = spark.createDataFrame([(p.rstrip("/").rpartition("/")[2],) for p in paths], "source_file string")
     lacking = asked.join(known, "source_file", "left").select(
         "source_file", F.coalesce("reason", F.lit("no header")).alias("reason")).filter("reason <> ''")
-    whole = found.filter("absent = ''").select("encoded", "places")
-    rows = _of_files(_positional(spark, exact, whole), "encoded", whole.select("encoded"))
-    return _by_place(rows, whole, schema).select(*names, file_name("encoded").alias("source_file")), lacking
+    whole = found.join(known.filter("reason = ''"), "source_file", "left_semi").select("encoded", "places", "source_file")
+    rows = _of_files(_positional(spark, exact, whole, _PLACE), "encoded", whole.select("encoded"))
+    return _by_place(rows, whole, schema, "source_file").select(*names, "source_file"), lacking
 
 
-def _positional(spark: SparkSession, paths: str | Sequence[str], order: DataFrame) -> DataFrame:
+def _positional(spark: SparkSession, paths: str | Sequence[str], order: DataFrame,
+                encoded: str = _ENCODED) -> DataFrame:
     """Lines below the headers, as wide as the last place that is asked for."""
     width = order.agg(F.max(F.array_max("places"))).first()[0] or 1
     positions = ", ".join(f"_{i} string" for i in range(max(width, 1)))
     rows = spark.read.schema(positions).options(**CSV, header=True).csv(paths)
-    return rows.select("*", F.col(_ENCODED).alias("encoded"))
+    return rows.select("*", F.col(encoded).alias("encoded"))
 
 
-def _by_place(rows: DataFrame, order: DataFrame, schema: T.StructType) -> DataFrame:
-    """The columns of ``schema`` from where each file has them; fails for a file that lacks one."""
+def _by_place(rows: DataFrame, order: DataFrame, schema: T.StructType, *more: str) -> DataFrame:
+    """The columns of ``schema`` from where each file has them, and ``more`` of ``order``; fails for a file that
+    lacks one."""
     names = schema.names
     placed = spread_join(rows, order, ["encoded"], "left")
     fields = F.array(*[c for c in rows.columns if c != "encoded"])
@@ -108,7 +119,7 @@ def _by_place(rows: DataFrame, order: DataFrame, schema: T.StructType) -> DataFr
         place = F.coalesce(F.col("places")[i], F.lit(0))
         lacks = F.raise_error(F.concat(F.lit(f"no column {names[i]} in the header of "), "encoded"))
         return F.when(place > 0, F.get(fields, place - 1)).otherwise(lacks.cast("string"))
-    return placed.select(*[field(i).cast(schema[n].dataType).alias(n) for i, n in enumerate(names)], "encoded")
+    return placed.select(*[field(i).cast(schema[n].dataType).alias(n) for i, n in enumerate(names)], "encoded", *more)
 
 
 def _listed(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -127,13 +138,13 @@ def _of_files(rows: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
 
 
 def _header_places(spark: SparkSession, paths: str | Sequence[str], names: Sequence[str],
-                   wanted: DataFrame | None) -> DataFrame:
+                   wanted: DataFrame | None, encoded: str = _ENCODED) -> DataFrame:
     """``encoded, places`` for each file with a line: where its header has each column, from 1; 0 is nowhere.
 
     A name in the same letter case goes before one in another.
     """
     lines = spark.read.text(paths).select(
-        F.regexp_replace("value", "^\ufeff", "").alias("line"), F.col(_ENCODED).alias("encoded"),
+        F.regexp_replace("value", "^\ufeff", "").alias("line"), F.col(encoded).alias("encoded"),
         F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("id"))
     if wanted is not None:
         lines = _of_files(lines, "encoded", wanted)
@@ -183,12 +194,35 @@ def build_manifest(urls: DataFrame, url: str = "url", pattern: str = PRODUCT_URL
     return kept.withColumn("filename", name).drop("__ids", url)
 
 
-def list_files(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame:
-    """Names of the files in folder ``path``, those ``read_reviews`` reads; nothing is opened."""
+def list_files(spark: SparkSession, path: str, glob: str = "*.csv", in_parts: bool = False) -> DataFrame:
+    """Names of the files in folder ``path``, those ``read_reviews`` reads; nothing is opened.
+
+    With ``in_parts`` also of the files in parts, those that only ``read_by_header`` reads.
+    """
+    if in_parts:
+        files = spark.read.format("binaryFile").options(recursiveFileLookup=True, pathGlobFilter=glob).load(path)
+        return whole_files(files, path).select(F.col("source_file").alias("filename"))
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
     return files.select(file_name(_ENCODED).alias("filename"))
 
 
+def whole_files(listed: DataFrame, landing: str) -> DataFrame:
+    """``path, source_file`` of the files among those ``listed`` at any depth below ``landing``, a row for each.
+
+    A large file may be a folder ``name.csv`` of parts as Spark writes them, moved in as a whole. Its first part, which
+    Spark always writes, stands for it, and its path ends with a slash.
+    """
+    root = listed.sparkSession._jvm.org.apache.hadoop.fs.Path(landing)
+    fs = root.getFileSystem(listed.sparkSession._jsc.hadoopConfiguration())
+    below = F.substring("path", len(fs.makeQualified(root).toString().rstrip("/")) + 2, 2**30)
+    part = F.regexp_extract(below, _FIRST_PART, 1)
+    plain = below.rlike(_PLAIN)
+    folder = F.regexp_extract("path", "^(.*/)[^/]*$", 1)
+    return listed.filter(plain | (part != "")).select(
+        F.when(plain, F.col("path")).otherwise(folder).alias("path"),
+        F.when(plain, file_name(_ENCODED)).otherwise(part).alias("source_file"))
+
+
 def list_landed(spark: SparkSession, path: str, by: str = "source_file") -> DataFrame:
     """Names of the files that a table written by ``land_reviews`` holds, from its partitions."""
     return spark.read.schema(f"{by} string").parquet(path).select(F.col(by).alias("filename")).distinct()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import replace
@@ -19,7 +20,7 @@ from reviewloom.operators.skew import spread_join
 from reviewloom.operators.workset import arrival_status, pending_files
 from reviewloom.plans.score import score_late_reviews, score_reviews
 from reviewloom.session import ship_package
-from reviewloom.sources.files import RAW_REVIEW, WITH_HEADER, list_files, read_by_header
+from reviewloom.sources.files import RAW_REVIEW, WITH_HEADER, list_files, read_by_header, whole_files
 from reviewloom.sources.sinks import _CSV_OUT
 
 BATCH = "batch_id"
@@ -47,14 +48,18 @@ def state_store(spark: SparkSession) -> Iterator[None]:
 def file_stream(spark: SparkSession, landing: str, max_files: int = MAX_FILES, glob: str = "*.csv") -> DataFrame:
     """``path, source_file`` of the files that are moved into a folder; nothing of them is read.
 
-    Spark lists no file of no bytes, which would hold nothing to read either.
+    Spark lists no file of no bytes, which would hold nothing to read either. A large file may be moved in as a folder
+    of parts, see ``whole_files``: it comes whole, in the batch of its first part, whatever batch lists the others.
+    Each part counts as one of ``max_files``. Below a pattern of folders no files in parts are looked for.
 
     A stream of rows has one header for all files. Given this stream, ``stream_reviews`` and
     ``stream_late_reviews`` read each file of a batch by its own header.
     """
     files = (spark.readStream.format("binaryFile").schema(_FILE).option("pathGlobFilter", glob)
-             .option("maxFilesPerTrigger", max_files).load(landing))
-    return files.select("path", file_name("_metadata.file_name").alias("source_file"))
+             .option("maxFilesPerTrigger", max_files))
+    if re.search(r"[\[\]{}*?]", landing):
+        return files.load(landing).select("path", file_name("_metadata.file_name").alias("source_file"))
+    return whole_files(files.option("recursiveFileLookup", True).load(landing), landing)
 
 
 def _rows_of(batch: DataFrame, batch_id: int, set_aside: str | None,
@@ -139,7 +144,7 @@ def stream_late_reviews(stream: DataFrame, sink: str, checkpoint: str,
         late.write.mode("overwrite").options(header=True, **_CSV_OUT).csv(
             f"{sink}/{BATCH}={batch_id}")
         if status is not None:
-            seen = list_files(batch.sparkSession, landing)
+            seen = list_files(batch.sparkSession, landing, in_parts=True)
             arrival_status(pending, seen).write.mode("overwrite").parquet(f"{status}/{BATCH}={batch_id}")
 
     return _start(stream, write, checkpoint, available_now)

@@ -4,6 +4,7 @@ import time
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from checks import queries
 from reviewloom.plans.job import follow_pending_files, index_ready_files, ingest_pages
@@ -351,3 +352,56 @@ def test_no_task_writes_or_reads_a_whole_wave(spark, tmp_path, monkeypatch):
     assert len(set(rows)) == len(rows) == 12
     assert len([f for f in os.listdir(paths["reviews"]) if f.startswith("part-")]) > 4  # of four waves
     assert len([f for f in os.listdir(paths["distinct"]) if f.startswith("batch_id=")]) >= 4
+
+
+def test_a_file_in_parts_comes_whole_and_no_task_writes_or_reads_all_of_it(spark, tmp_path, landing):
+    """Parts go to several batches, but their file to one; a part without a column sets its file aside."""
+    sink, progress, aside, status = (str(tmp_path / n) for n in ("sink", "progress", "aside", "status"))
+
+    def drop_parts(name, *frames):
+        staged = tmp_path / f"staged-{len(list(tmp_path.iterdir()))}"
+        for frame in frames:
+            frame.write.mode("append").csv(str(staged), header=True)
+        os.rename(staged, landing / name)
+
+    rows = spark.range(60, numPartitions=6).select(
+        F.col("id").alias("rating_star"), F.lit("p").alias("name"), F.concat(F.lit(TEN + " "), "id").alias("comment"))
+    drop_parts("in parts [1].csv", rows)
+    drop_parts("bad.csv", rows.select("comment", "name"))
+    drop_text(landing, "part-00001-x.csv", f"comment,rating_star,name\n{TEN},5,q\n")
+    (landing / "deeper").mkdir()
+    (landing / "deeper" / "c.csv").write_text("not listed\n")
+    stream_reviews(file_stream(spark, str(landing), max_files=2), sink, progress, available_now=True,
+                   set_aside=aside).awaitTermination()
+    got = spark.read.parquet(sink).groupBy("source_file", "batch_id").agg(
+        F.count("*").alias("n"), F.avg("rating").alias("rating")).collect()
+    assert sorted((r.source_file, r.n, r.rating) for r in got) == [
+        ("in parts [1].csv", 60, 29.5), ("part-00001-x.csv", 1, 5.0)]
+    assert [(r.source_file, r.reason) for r in spark.read.parquet(aside).collect()] == [
+        ("bad.csv", "no column rating_star")]
+    late = str(tmp_path / "late")
+    pending = spark.createDataFrame([("in parts [1]",), ("never",)], "filename string")
+    follow_pending_files(spark, pending, str(landing), late, str(tmp_path / "progress-2"), available_now=True,
+                         status=status).awaitTermination()
+    assert spark.read.csv(late, header=True).count() == 60
+    assert {(r.filename, r.status) for r in spark.read.parquet(status).collect()} == {
+        ("in parts [1]", "ready"), ("never", "pending")}
+
+
+def test_the_landing_of_the_queries_has_no_file_of_one_task(spark, tmp_path):
+    docs = spark.range(4000).select(
+        F.col("id").alias("doc_id"), F.concat(F.lit(TEN + " "), "id").alias("text"), F.lit("en").alias("lang"),
+        F.lit("s").alias("source"), F.lit(10).alias("n_chars"))
+    docs.repartition(4).write.parquet(str(tmp_path / "documents.parquet"))
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", 1 << 30)
+    try:
+        folder = queries._csv_landing(spark, str(tmp_path))
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", before)
+    names = {r.source_file for r in spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+             .select(F.regexp_extract("path", "([^/]+)/[^/]+$", 1).alias("source_file"), "path").collect()}
+    assert names == {"lang en.csv", "broken.csv"}
+    for name in names:
+        lines = spark.read.csv(f"{folder}/{name}", header=True)
+        assert lines.count() == 4000 and len(lines.inputFiles()) > 1
